@@ -70,7 +70,7 @@ def nonblank_lines(content) -> Column:
 
 
 def nonblank_lines_sql(expr: str) -> str:
-    return f"len(list_filter(string_split(coalesce({expr}, ''), chr(10)), p -> {strip_sql('p')} <> ''))"
+    return f"len(list_filter(string_split(coalesce({expr}, ''), chr(10)), lambda p: {strip_sql('p')} <> ''))"
 
 
 def structure_bp(content, lex: Lexicon) -> Column:
