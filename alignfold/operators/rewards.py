@@ -146,7 +146,7 @@ def combined_from_bp_sql(entity: str, structure: str, safety: str, length: str)
 
 # ---------- R6 repetition ----------
 def repetition(content, mark: str = "。") -> Column:
-    parts = F.split(_c(content), mark, -1)
+    parts = F.split(_c(content), "\\Q" + mark + "\\E", -1)  # the mark is literal, not a regex
     return F.size(F.array_distinct(parts)).cast("double") / F.size(parts).cast("double")
 
 
