@@ -86,18 +86,29 @@ COMPLETIONS_SQL = """completions AS (
 def docs_scored(spark, sf_dir) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     lab = table(spark, sf_dir, "labels")
+    from alignfold.operators.rewards import nonblank_lines
+
+    nl = nonblank_lines(F.col("text"))
     return d.join(lab, "doc_id").select(
         F.col("source").alias("model"), F.col("doc_id").alias("question_id"), "lang", "source", "text",
-        F.col("quality").alias("accuracy"), F.length("text").cast("long").alias("n_chars"),
-        (1 - F.col("toxic")).alias("cot"), "quality", "toxic")
+        F.col("quality").alias("accuracy"), F.when(nl >= 3, 2).when(nl == 2, 1).otherwise(0).alias("structure"),
+        F.length("text").cast("long").alias("n_chars"), (1 - F.col("toxic")).alias("cot"), "quality", "toxic")
+
 
+def _docs_scored_sql():
+    from alignfold.operators.rewards import nonblank_lines_sql
 
-DOCS_SCORED_SQL = """docs_scored AS (
+    nl = nonblank_lines_sql("d.text")
+    return f"""docs_scored AS (
   SELECT d.source AS model, d.doc_id AS question_id, d.lang, d.source, d.text, l.quality AS accuracy,
+         CASE WHEN {nl} >= 3 THEN 2 WHEN {nl} = 2 THEN 1 ELSE 0 END AS structure,
          CAST(length(d.text) AS BIGINT) AS n_chars, 1 - l.toxic AS cot, l.quality, l.toxic
   FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"""
 
 
+DOCS_SCORED_SQL = _docs_scored_sql()
+
+
 # ---------- training metrics ----------
 def metrics_long(spark, sf_dir) -> DataFrame:
     e = table(spark, sf_dir, "events")
