@@ -160,7 +160,7 @@ def unresolved_placeholders(df: DataFrame, col: str, pattern: str = PLACEHOLDER)
 # ---------- F12 ----------
 def length_match(df: DataFrame, tol: float, chosen: str = "response_chosen", rejected: str = "response_rejected"):
     """Ratio len(rejected) / len(chosen); keep pairs with |ratio - 1| <= tol."""
-    ratio = F.length(rejected).cast("double") / F.length(chosen).cast("double")
+    ratio = F.try_divide(F.length(rejected).cast("double"), F.length(chosen).cast("double"))
     return df.withColumn("length_ratio", ratio).filter(F.abs(F.col("length_ratio") - 1.0) <= tol)
 
 

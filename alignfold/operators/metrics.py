@@ -133,7 +133,7 @@ def component_balance(df: DataFrame, components: Sequence[str], const_eps: float
     one = df.agg(*aggs)
     total = sum((F.col(f"{c}__sum") for c in components[1:]), F.col(f"{components[0]}__sum"))
     rows = F.stack(F.lit(len(components)), *[x for c in components for x in (
-        F.lit(c), F.col(f"{c}__mean"), F.col(f"{c}__sd"), F.col(f"{c}__sum") / total)])
+        F.lit(c), F.col(f"{c}__mean"), F.col(f"{c}__sd"), F.try_divide(F.col(f"{c}__sum"), total))])
     out = one.select(rows.alias("component", "mean", "sd", "share"))
     return out.withColumn("is_constant", F.col("sd") < const_eps).withColumn("is_dominant", F.col("share") > dominant_share)
 

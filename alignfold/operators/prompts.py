@@ -92,7 +92,8 @@ def to_rollout_prompts(df: DataFrame, system_prompt: str, template: Template, co
     blank queries dropped; prompt = system + user rendered with the generation suffix."""
     c = F.col(conversations)
     first_human = F.try_element_at(F.filter(c, lambda t: t["from"] == "human"), F.lit(1))["value"]
-    q = F.when(c[0]["from"] == "human", c[0]["value"]).otherwise(first_human)
+    t0 = F.try_element_at(c, F.lit(1))
+    q = F.when(F.coalesce(t0["from"] == "human", F.lit(False)), t0["value"]).otherwise(first_human)
     out = df.select(*_keep(keep), q.alias("query")).filter(F.length(strip(F.coalesce("query", F.lit("")))) > 0)
     pairs = F.array(F.struct(F.col("query").alias("query"), F.lit("").alias("answer")))
     return out.withColumn("prompt", render_prompt(pairs, F.lit(system_prompt), template))

@@ -56,10 +56,10 @@ def tokenize_dialog(dialog, tok: Tokenizer = whitespace_tokenize, bos: int | Non
     idx = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: i < n)
 
     def turn(i):
-        src = tok(F.element_at(d, i * 2 + 1))
+        src = tok(F.try_element_at(d, i * 2 + 1))
         if bos is not None:
             src = F.when(i == 0, F.concat(F.array(F.lit(bos)), src)).otherwise(src)
-        return F.struct(src.alias("src"), tok(F.element_at(d, i * 2 + 2)).alias("tgt"))
+        return F.struct(src.alias("src"), tok(F.try_element_at(d, i * 2 + 2)).alias("tgt"))
     return F.transform(idx, turn)
 
 
@@ -74,8 +74,8 @@ def truncate_turn(src, tgt, max_len: int) -> Column:
     s, t = col_of(src), col_of(tgt)
     ns, nt = F.size(s), F.size(t)
     total = (ns + nt).cast("double")
-    ms = F.floor(F.lit(float(max_len)) * (ns.cast("double") / total)).cast("int")
-    mt = F.floor(F.lit(float(max_len)) * (nt.cast("double") / total)).cast("int")
+    ms = F.floor(F.lit(float(max_len)) * F.try_divide(ns.cast("double"), total)).cast("int")
+    mt = F.floor(F.lit(float(max_len)) * F.try_divide(nt.cast("double"), total)).cast("int")
     new_s = F.when(ns > ms, F.slice(s, 1, ms)).otherwise(s)
     keep_t = F.when(mt == 0, F.greatest(nt - 1, F.lit(0))).otherwise(F.least(nt, mt - 1))
     new_t = F.when(nt > mt - 1, F.slice(t, 1, keep_t)).otherwise(t)
@@ -85,8 +85,8 @@ def truncate_turn(src, tgt, max_len: int) -> Column:
 def strip_eos(src, tgt, eos: int = EOS_ID) -> Column:
     """K3: drop one leading eos of the source and one trailing eos of the target."""
     s, t = col_of(src), col_of(tgt)
-    new_s = F.when((F.size(s) > 0) & (F.element_at(s, 1) == eos), F.slice(s, 2, F.greatest(F.size(s) - 1, F.lit(0)))).otherwise(s)
-    new_t = F.when((F.size(t) > 0) & (F.element_at(t, -1) == eos), F.slice(t, 1, F.size(t) - 1)).otherwise(t)
+    new_s = F.when((F.size(s) > 0) & (F.try_element_at(s, F.lit(1)) == eos), F.slice(s, 2, F.greatest(F.size(s) - 1, F.lit(0)))).otherwise(s)
+    new_t = F.when((F.size(t) > 0) & (F.try_element_at(t, F.lit(-1)) == eos), F.slice(t, 1, F.size(t) - 1)).otherwise(t)
     return F.struct(new_s.alias("src"), new_t.alias("tgt"))
 
 

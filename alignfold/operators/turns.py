@@ -60,11 +60,12 @@ def normalize_dialog(df: DataFrame, conversations: str = "conversations", system
     """
     c = F.col(conversations)
     n = F.size(c)
-    has_sys = F.coalesce(c[0]["from"] == "system", F.lit(False))
+    first = F.try_element_at(c, F.lit(1))
+    has_sys = F.coalesce(first["from"] == "system", F.lit(False))
     rest = F.when(has_sys, F.slice(c, 2, F.greatest(n - 1, F.lit(1)))).otherwise(c)
     rest = F.when(has_sys & (n < 2), F.array().cast(c_type(df, conversations))).otherwise(rest)
-    own_sys = F.when(has_sys, F.coalesce(c[0]["value"], F.lit(""))).otherwise(F.lit(""))
-    first_ok = F.coalesce(rest[0]["from"] == "human", F.lit(False))
+    own_sys = F.when(has_sys, F.coalesce(first["value"], F.lit(""))).otherwise(F.lit(""))
+    first_ok = F.coalesce(F.try_element_at(rest, F.lit(1))["from"] == "human", F.lit(False))
     rest2 = F.when(first_ok, rest).otherwise(F.slice(rest, 2, F.greatest(F.size(rest), F.lit(1))))
     rest2 = F.when(~first_ok & (F.size(rest) < 2), F.array().cast(c_type(df, conversations))).otherwise(rest2)
 
@@ -92,7 +93,7 @@ def pair_turns(msgs) -> Column:
     """[m0, m1, m2, m3] -> [(m0, m1), (m2, m3)] (even-length input)."""
     m = col_of(msgs)
     tagged = F.transform(m, lambda x, i: F.struct(i.alias("i"), x.alias("query"),
-                                                  F.element_at(m, i + 2).alias("answer")))
+                                                  F.try_element_at(m, i + 2).alias("answer")))
     return F.transform(F.filter(tagged, lambda s: s["i"] % 2 == 0),
                        lambda s: F.struct(s["query"].alias("query"), s["answer"].alias("answer")))
 

@@ -192,7 +192,7 @@ def template_by_row(spark, sf):
 def append_pair(spark, sf):
     d = TU.normalize_dialog(FX.sft(spark, sf))
     a = TU.append_pair("pairs", F.lit("next question"), F.lit(""))
-    return d.select("conv_id", F.size(a).cast("int").alias("n_pairs"), F.element_at(a, -1)["query"].alias("last_query"))
+    return d.select("conv_id", F.size(a).cast("int").alias("n_pairs"), F.try_element_at(a, F.lit(-1))["query"].alias("last_query"))
 
 
 @query("history_messages", FX.with_ctes(
@@ -209,7 +209,7 @@ def history_messages(spark, sf):
     """P20: all complete pairs but the last are history; the last pair's query is the new query."""
     d = TU.normalize_dialog(FX.sft(spark, sf)).filter(F.size("pairs") >= 1)
     hist = F.slice("pairs", 1, F.size("pairs") - 1)
-    msgs = TU.history_to_messages(hist, F.element_at("pairs", -1)["query"], F.col("system"))
+    msgs = TU.history_to_messages(hist, F.try_element_at("pairs", F.lit(-1))["query"], F.col("system"))
     return d.select("conv_id", F.posexplode(msgs).alias("pos", "m")).select(
         "conv_id", F.col("pos").cast("int").alias("pos"), F.col("m.role").alias("role"),
         F.col("m.content").alias("content"))

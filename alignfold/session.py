@@ -28,7 +28,6 @@ def get_spark(master: str | None = None, app: str = "alignfold", shuffle_partiti
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "16g",
-        "spark.sql.ansi.enabled": "false",
     }
     conf.update(extra or {})
     for k, v in conf.items():
