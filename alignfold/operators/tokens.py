@@ -56,9 +56,9 @@ def tokenize_dialog(dialog, tok: Tokenizer = whitespace_tokenize, bos: int | Non
     idx = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: i < n)
 
     def turn(i):
-        src = tok(F.try_element_at(d, i * 2 + 1))
+        src = tok(F.try_element_at(d, i * 2 + 1))  # referenced once: lambdas share no subexpressions
         if bos is not None:
-            src = F.when(i == 0, F.concat(F.array(F.lit(bos)), src)).otherwise(src)
+            src = F.concat(F.when(i == 0, F.array(F.lit(bos))).otherwise(F.array().cast(ARR_I)), src)
         return F.struct(src.alias("src"), tok(F.try_element_at(d, i * 2 + 2)).alias("tgt"))
     return F.transform(idx, turn)
 
@@ -93,47 +93,77 @@ def strip_eos(src, tgt, eos: int = EOS_ID) -> Column:
 # ---------- K4 ----------
 def turn_budget(turns, max_len: int) -> Column:
     """K4: keep turns while the running total of (src + tgt + 1 eos) stays <= max_len; a dropped turn
-    also drops every later turn (costs are positive, so the prefix test equals the loop with break)."""
+    also drops every later turn. One left fold over the turns (each turn is read once)."""
     ts = col_of(turns)
-    costs = F.transform(ts, lambda t: F.size(t["src"]) + F.size(t["tgt"]) + 1)
-    running = F.transform(costs, lambda c, i: F.aggregate(F.slice(costs, 1, i + 1), F.lit(0), lambda a, x: a + x))
-    tagged = F.arrays_zip(ts.alias("t"), running.alias("cum"))
-    return F.transform(F.filter(tagged, lambda z: z["cum"] <= max_len), lambda z: z["t"])
+    init = F.struct(F.lit(0).alias("total"), F.lit(True).alias("open"), F.slice(ts, 1, 0).alias("kept"))
+
+    def step(acc, t):
+        cost = F.size(t["src"]) + F.size(t["tgt"]) + 1
+        ok = acc["open"] & (acc["total"] + cost <= max_len)
+        return F.struct(F.when(ok, acc["total"] + cost).otherwise(acc["total"]).alias("total"), ok.alias("open"),
+                        F.when(ok, F.concat(acc["kept"], F.array(t))).otherwise(acc["kept"]).alias("kept"))
+    return F.aggregate(ts, init, step, lambda acc: acc["kept"])
 
 
 # ---------- K5 / K6 ----------
-def pack_turns(turns, eos: int = EOS_ID, train_on_inputs: bool = False) -> Column:
-    """K5 + K6: input_ids = concat of src + tgt + eos per turn; mask of ones; labels with the
-    ignore index over sources (unless train_on_inputs)."""
-    ts = col_of(turns)
-    ids = F.flatten(F.transform(ts, lambda t: F.concat(t["src"], t["tgt"], F.array(F.lit(eos)))))
+def packed_ids(turns, eos: int = EOS_ID) -> Column:
+    """K5: concat of src + tgt + eos per turn."""
+    return F.flatten(F.transform(col_of(turns), lambda t: F.concat(t["src"], t["tgt"], F.array(F.lit(eos))))).cast(ARR_I)
+
+
+def packed_labels(turns, eos: int = EOS_ID, train_on_inputs: bool = False) -> Column:
+    """K6: the ignore index over source tokens (unless train_on_inputs), then target + eos."""
     if train_on_inputs:
-        labels = ids
-    else:
-        labels = F.flatten(F.transform(ts, lambda t: F.concat(
-            F.array_repeat(F.lit(IGNORE_INDEX), F.size(t["src"])), t["tgt"], F.array(F.lit(eos)))))
-    return F.struct(ids.cast(ARR_I).alias("input_ids"),
-                    F.array_repeat(F.lit(1), F.size(ids)).cast(ARR_I).alias("attention_mask"),
-                    labels.cast(ARR_I).alias("labels"))
+        return packed_ids(turns, eos)
+    return F.flatten(F.transform(col_of(turns), lambda t: F.concat(
+        F.array_repeat(F.lit(IGNORE_INDEX), F.size(t["src"])), t["tgt"], F.array(F.lit(eos))))).cast(ARR_I)
+
+
+def pack_turns(turns, eos: int = EOS_ID, train_on_inputs: bool = False) -> Column:
+    """K5 + K6 as one struct (input_ids, attention_mask of ones, labels)."""
+    ids = packed_ids(turns, eos)
+    return F.struct(ids.alias("input_ids"), F.array_repeat(F.lit(1), F.size(ids)).cast(ARR_I).alias("attention_mask"),
+                    packed_labels(turns, eos, train_on_inputs).alias("labels"))
 
 
 def build_sft_examples(df: DataFrame, dialog: str = "dialog", max_len: int = 512, tok: Tokenizer = whitespace_tokenize,
                        eos: int = EOS_ID, train_on_inputs: bool = False, keep=()) -> DataFrame:
-    """K1-K6 over rendered dialogs; rows whose turn has no tokens on either side are quarantined (dropped)."""
-    turns = tokenize_dialog(dialog, tok)
-    out = df.select(*keep, turns.alias("_turns"))
-    out = out.filter(F.forall("_turns", lambda t: (F.size(t["src"]) + F.size(t["tgt"])) > 0))
-    cut = F.transform("_turns", lambda t: truncate_turn(t["src"], t["tgt"], max_len))
-    cut = F.transform(cut, lambda t: strip_eos(t["src"], t["tgt"], eos))
-    packed = pack_turns(turn_budget(cut, max_len), eos, train_on_inputs)
-    return out.select(*keep, packed["input_ids"].alias("input_ids"), packed["attention_mask"].alias("attention_mask"),
-                      packed["labels"].alias("labels"))
+    """K1-K6 over rendered dialogs; rows whose turn has no tokens on either side are quarantined (dropped).
+
+    Each stage is its own projection over a materialised column: expressions inside
+    higher-order functions are not shared, so chaining them unmaterialised would
+    re-run the tokenizer once per reference.
+    """
+    k = list(keep)
+    out = quarantine_empty_turns(df.select(*k, tokenize_dialog(dialog, tok).alias("_t")), "_t")
+    out = out.select(*k, F.transform("_t", lambda t: truncate_turn(t["src"], t["tgt"], max_len)).alias("_t"))
+    out = out.select(*k, F.transform("_t", lambda t: strip_eos(t["src"], t["tgt"], eos)).alias("_t"))
+    out = out.select(*k, turn_budget("_t", max_len).alias("_t"))
+    out = out.select(*k, packed_ids("_t", eos).alias("input_ids"), packed_labels("_t", eos, train_on_inputs).alias("labels"))
+    return out.select(*k, "input_ids", F.array_repeat(F.lit(1), F.size("input_ids")).cast(ARR_I).alias("attention_mask"),
+                      "labels")
+
+
+def keep_rows(df: DataFrame, cond: Column) -> DataFrame:
+    """Row filter evaluated in place, as a generator over a 0/1-element array.
+
+    A ``Filter`` above the token pipeline is pushed below every (deterministic)
+    projection, which inlines the whole array pipeline into the predicate and runs it
+    twice. A generator is not pushed through, so the pipeline runs once per row.
+    """
+    flag = F.when(cond, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    return df.withColumn("_keep", F.explode(flag)).drop("_keep")
+
+
+def quarantine_empty_turns(df: DataFrame, turns: str) -> DataFrame:
+    """Drop rows with a turn that has no tokens on either side (the truncation share would divide by zero)."""
+    return keep_rows(df, F.forall(turns, lambda t: (F.size(t["src"]) + F.size(t["tgt"])) > 0))
 
 
 # ---------- F5 / P18 ----------
 def drop_unlabelled(df: DataFrame, labels: str = "labels") -> DataFrame:
     """drop examples whose labels are all the ignore index (empty ones included)."""
-    return df.filter(F.exists(labels, lambda x: x != IGNORE_INDEX))
+    return keep_rows(df, F.exists(labels, lambda x: x != IGNORE_INDEX))
 
 
 def unmask_labels(labels, pad_id: int = PAD_ID) -> Column:

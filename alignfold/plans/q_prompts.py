@@ -143,7 +143,7 @@ def dialog_normalize(spark, sf):
 def turn_pairs(spark, sf):
     """P11 exploded: (conv_id, k, query, answer)."""
     d = TU.normalize_dialog(FX.sft(spark, sf))
-    return d.select("conv_id", F.posexplode("pairs").alias("k", "p")).select(
+    return d.select("conv_id", F.posexplode_outer("pairs").alias("k", "p")).filter(F.col("k").isNotNull()).select(
         "conv_id", F.col("k").cast("int").alias("k"), F.col("p.query").alias("query"), F.col("p.answer").alias("answer"))
 
 

@@ -74,14 +74,16 @@ def token_counts(spark, sf):
 
 
 def _turn_sizes(df_turns, name):
-    t = df_turns.select("conv_id", F.posexplode(name).alias("k", "t"))
+    # outer generator + null filter: a plain explode of an attribute makes Catalyst infer size(turns) > 0
+    # and push it below the token pipeline, which would then run twice
+    t = df_turns.select("conv_id", F.posexplode_outer(name).alias("k", "t")).filter(F.col("k").isNotNull())
     return t.select("conv_id", F.col("k").cast("int").alias("k"), F.size("t.src").cast("int").alias("n_src"),
                     F.size("t.tgt").cast("int").alias("n_tgt"))
 
 
 def _stage(spark, sf, upto: str):
     d = dialogs(spark, sf).select("conv_id", K.tokenize_dialog("dialog").alias("turns"))
-    d = d.filter(F.forall("turns", lambda t: (F.size(t["src"]) + F.size(t["tgt"])) > 0))
+    d = K.quarantine_empty_turns(d, "turns")
     d = d.withColumn("turns", F.transform("turns", lambda t: K.truncate_turn(t["src"], t["tgt"], MAX_LEN)))
     if upto == "truncate":
         return d

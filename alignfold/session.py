@@ -24,6 +24,9 @@ def get_spark(master: str | None = None, app: str = "alignfold", shuffle_partiti
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # text stages are CPU-bound per row: do not let AQE coalesce a few MB of shuffle
+        # output into a single task
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
