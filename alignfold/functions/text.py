@@ -7,7 +7,9 @@ a SQL form (returns a DuckDB/ANSI expression string) that computes the same valu
 from __future__ import annotations
 
 import sys
-from typing import Iterable, Sequence
+from typing import Iterable, Iterator, Sequence
+
+import pandas as pd
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -68,25 +70,19 @@ LARGE_LEXICON = 1024
 
 
 def _count_hits_automaton(terms: Sequence[str]):
-    import pandas as pd
-
     frozen = tuple(terms)
 
     @F.pandas_udf("int")
-    def hits(s: pd.Series) -> pd.Series:
+    def hits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import ahocorasick
 
-        a = ahocorasick.Automaton()
+        a = ahocorasick.Automaton()  # built once per task, reused for every batch
         for i, t in enumerate(frozen):
             a.add_word(t, i)
         a.make_automaton()
-        out = []
-        for text in s:
-            if not isinstance(text, str) or not text:
-                out.append(0)
-                continue
-            out.append(len({i for _, i in a.iter(text)}))
-        return pd.Series(out, dtype="int32")
+        for s in batches:
+            out = [len({i for _, i in a.iter(x)}) if isinstance(x, str) and x else 0 for x in s]
+            yield pd.Series(out, dtype="int32")
 
     return hits
 

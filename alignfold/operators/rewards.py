@@ -7,7 +7,9 @@ expression: the same code scores a batch table or a stream (X2).
 
 from __future__ import annotations
 
-from typing import Callable, Sequence
+from typing import Callable, Iterator, Sequence, Tuple
+
+import pandas as pd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -210,10 +212,8 @@ def score_with(df: DataFrame, fn, prompt: str = "prompt", content: str = "conten
 
     Runs as an iterator pandas UDF, so a heavy scorer is loaded once per task, not per row.
     """
-    import pandas as pd
-
     @F.pandas_udf("double")
-    def _score(batches):
+    def _score(batches: Iterator[Tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for p, c in batches:
             yield pd.Series(fn(p, c), dtype="float64")
 

@@ -10,7 +10,9 @@ pandas UDF (``pandas_tokenizer``), loaded once per task.
 
 from __future__ import annotations
 
-from typing import Callable
+from typing import Callable, Iterator
+
+import pandas as pd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,10 +41,8 @@ def whitespace_tokenize_sql(expr: str) -> str:
 
 def pandas_tokenizer(encode: Callable) -> Tokenizer:
     """U4: wrap ``encode(list[str]) -> list[list[int]]`` (e.g. a subword tokenizer) as an Arrow-batched UDF."""
-    import pandas as pd
-
     @F.pandas_udf(ARR_I)
-    def _tok(batches):
+    def _tok(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             yield pd.Series(encode(s.fillna("").tolist()))
 
