@@ -115,11 +115,12 @@ def rloo_advantage(spark, sf):
 
 
 @query("group_rank", FX.with_ctes(
-    """SELECT prompt_id, gen_id, CAST(rank() OVER w AS INTEGER) AS rank, CAST(row_number() OVER w AS INTEGER) AS row_number
-       FROM rewarded WINDOW w AS (PARTITION BY prompt_id ORDER BY reward DESC, gen_id)""",
+    """SELECT prompt_id, gen_id, CAST(rank() OVER (PARTITION BY prompt_id ORDER BY reward DESC) AS INTEGER) AS rank,
+              CAST(row_number() OVER (PARTITION BY prompt_id ORDER BY reward DESC, gen_id) AS INTEGER) AS row_number
+       FROM rewarded""",
     FX.COMPLETIONS_SQL, SCORED_SQL, REWARD_SQL))
 def group_rank(spark, sf):
-    """Rank inside each prompt's group of samples."""
+    """Rank (equal rewards share) and row number (ties by gen_id) inside each prompt's group."""
     g = R.group_rank(rewarded(spark, sf))
     return g.select("prompt_id", "gen_id", F.col("rank").cast("int").alias("rank"),
                     F.col("row_number").cast("int").alias("row_number"))

@@ -65,3 +65,14 @@ def test_read_table_and_write_results(spark, tmp_path):
     io.write_results(res, os.path.join(base, "res"))
     io.write_results(res, os.path.join(base, "res"))  # replaced, not appended
     assert spark.read.json(os.path.join(base, "res")).count() == 1
+
+
+def test_group_rank_index_equals_window(spark):
+    import random
+    rnd = random.Random(1)
+    rows = [(p, g, float(rnd.randint(0, 3))) for p in range(20) for g in range(rnd.randint(1, 6))]
+    rows += [(99, g, float(g % 3)) for g in range(300)]  # one hot group
+    df = spark.createDataFrame(rows, "prompt_id long, gen_id int, reward double")
+    a = {(r.prompt_id, r.gen_id): (r.rank, r.row_number) for r in R.group_rank(df, method="window").collect()}
+    b = {(r.prompt_id, r.gen_id): (r.rank, r.row_number) for r in R.group_rank(df, method="index").collect()}
+    assert a == b
