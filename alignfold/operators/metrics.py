@@ -21,7 +21,6 @@ from alignfold.operators import rewards as R
 def pair_scores(pref: DataFrame, lex: Lexicon, keep: Sequence[str] = ("conv_id", "turn")) -> DataFrame:
     """R5 score of each side of a preference pair."""
     def comb(c):
-        c = F.col(c)
         return R.combined_from_bp(R.entity_bp(c, lex), R.structure_bp(c, lex), R.safety_bp(c, lex), R.length_bp(c))
     return pref.select(*keep, comb("response_chosen").alias("chosen_score"),
                        comb("response_rejected").alias("rejected_score"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alignfold.functions.lexicon import ENTITY_CATEGORIES, Lexicon
-from alignfold.functions.text import col_of, count_hits, count_hits_sql, strip, strip_sql
+from alignfold.functions.text import PY_WHITESPACE, col_of, count_hits, count_hits_sql, strip, strip_sql
 
 # FIXED VALUES of the scoring rules (basis points, 10000 = 1.0).
 NUMBERED_MARK = r"[1-9][.、]|[一二三四五六七八九十][、.]"
@@ -30,8 +30,40 @@ def _c(content) -> Column:
     return F.coalesce(col_of(content), F.lit(""))
 
 
+# With a column *name*, each rule is emitted as one Spark SQL expression: one parse on the
+# driver instead of hundreds of Column calls, and the same whole-stage-codegen'd plan.
+def _named(content) -> bool:
+    return isinstance(content, str)
+
+
+def _e(name: str) -> str:
+    return "coalesce(`" + name.replace("`", "``") + "`, '')"
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _hits(e: str, terms) -> str:
+    terms = list(dict.fromkeys(terms))
+    if not terms:
+        return "0"
+    return "(" + " + ".join(f"(CASE WHEN contains({e}, {_lit(t)}) THEN 1 ELSE 0 END)" for t in terms) + ")"
+
+
+def _small(lex: Lexicon, *cats) -> bool:
+    from alignfold.functions.text import LARGE_LEXICON
+
+    return all(len(lex.get(c)) <= LARGE_LEXICON for c in cats)
+
+
 # ---------- R1 entity coverage ----------
 def entity_bp(content, lex: Lexicon) -> Column:
+    if _named(content) and _small(lex, *ENTITY_CATEGORIES):
+        e = _e(content)
+        parts = [f"(CASE WHEN {_hits(e, lex.get(cat))} > 0 THEN least(10, {_hits(e, lex.get(cat))} + 6) * {ENTITY_STEP_BP} "
+                 f"ELSE 0 END)" for cat in ENTITY_CATEGORIES]
+        return F.expr("(" + " + ".join(parts) + ")")
     c = _c(content)
     total = F.lit(0)
     for cat in ENTITY_CATEGORIES:
@@ -75,7 +107,20 @@ def nonblank_lines_sql(expr: str) -> str:
     return f"len(list_filter(string_split(coalesce({expr}, ''), chr(10)), lambda p: {strip_sql('p')} <> ''))"
 
 
+def _tier_spark(n: str, lo_hi, one_at: int) -> str:
+    lo, hi = lo_hi
+    return f"(CASE WHEN {n} >= {one_at + 1} THEN {hi} WHEN {n} >= {one_at} THEN {lo} ELSE 0 END)"
+
+
 def structure_bp(content, lex: Lexicon) -> Column:
+    if _named(content) and _small(lex, "think", "advice"):
+        e = _e(content)
+        lines = f"size(filter(split({e}, {_lit(chr(10))}), p -> trim(BOTH {_lit(PY_WHITESPACE)} FROM p) <> ''))"
+        return F.expr("(" + " + ".join([
+            _tier_spark(_hits(e, lex.get("think")), STRUCT_BP["think"], 1),
+            _tier_spark(_hits(e, lex.get("advice")), STRUCT_BP["advice"], 1),
+            _tier_spark(f"regexp_count({e}, {_lit(NUMBERED_MARK)})", STRUCT_BP["numbered"], 2),
+            _tier_spark(lines, STRUCT_BP["lines"], 2)]) + ")")
     c = _c(content)
     return (_tier(count_hits(c, lex.get("think")), STRUCT_BP["think"], 1)
             + _tier(count_hits(c, lex.get("advice")), STRUCT_BP["advice"], 1)
@@ -92,6 +137,13 @@ def structure_bp_sql(expr: str, lex: Lexicon) -> str:
 
 # ---------- R3 safety ----------
 def safety_bp(content, lex: Lexicon) -> Column:
+    if _named(content) and _small(lex, "safety", "danger"):
+        e = _e(content)
+        sh, dh = _hits(e, lex.get("safety")), _hits(e, lex.get("danger"))
+        b1, b2, b3 = SAFETY_BONUS_BP
+        raw = (f"({SAFETY_BASE_BP} + (CASE WHEN {sh} >= 3 THEN {b3} WHEN {sh} >= 2 THEN {b2} WHEN {sh} >= 1 THEN {b1} "
+               f"ELSE 0 END) - {dh} * {DANGER_BP})")
+        return F.expr(f"(CASE WHEN {e} = '' THEN 0 ELSE greatest(0, least(10000, {raw})) END)")
     c = _c(content)
     s = count_hits(c, lex.get("safety"))
     d = count_hits(c, lex.get("danger"))
@@ -112,6 +164,11 @@ def safety_bp_sql(expr: str, lex: Lexicon) -> str:
 
 # ---------- R4 length ----------
 def length_bp(content) -> Column:
+    if _named(content):
+        n = f"length({_e(content)})"
+        return F.expr(f"(CASE WHEN {n} < 50 THEN 0 WHEN {n} < 100 THEN 2000 WHEN {n} < 200 THEN 5000 + 30 * ({n} - 100) "
+                      f"WHEN {n} <= 1500 THEN 10000 WHEN {n} <= 2500 THEN 10000 - 3 * ({n} - 1500) "
+                      f"ELSE greatest(1000, 7000 - 3 * ({n} - 2500)) END)")
     n = F.length(_c(content))
     return (F.when(n < 50, 0).when(n < 100, 2000).when(n < 200, 5000 + 30 * (n - 100))
             .when(n <= 1500, 10000).when(n <= 2500, 10000 - 3 * (n - 1500))
@@ -185,8 +242,7 @@ def register_reward(name: str, fn: RewardFn) -> None:
 
 def score(df: DataFrame, lex: Lexicon, content: str = "content", with_combined: bool = True) -> DataFrame:
     """R1-R5 as columns next to the input columns (J1: one wide row, no positional zip)."""
-    c = F.col(content)
-    e, st, sa, ln = entity_bp(c, lex), structure_bp(c, lex), safety_bp(c, lex), length_bp(c)
+    e, st, sa, ln = entity_bp(content, lex), structure_bp(content, lex), safety_bp(content, lex), length_bp(content)
     out = df.withColumns({
         "entity": to_score(e), "structure": to_score(st), "safety": to_score(sa), "length": to_score(ln),
     })
@@ -199,7 +255,7 @@ def score_total(df: DataFrame, lex: Lexicon, rewards: Sequence[str] = ("entity",
                 weights: Sequence[float] | None = None, content: str = "content", out: str = "reward") -> DataFrame:
     """The trainer's total is the (optionally weighted) sum of the independent rewards."""
     weights = list(weights) if weights is not None else [1.0] * len(rewards)
-    cols = {name: REWARDS[name](F.col(content), lex) for name in rewards}
+    cols = {name: REWARDS[name](content, lex) for name in rewards}
     total = None
     for (name, col), w in zip(cols.items(), weights):
         term = col if w == 1.0 else col * F.lit(float(w))

@@ -40,23 +40,23 @@ def _single(name, col_sql):
 
 @query("reward_entity", _single("entity", R.to_score_sql(E)))
 def reward_entity(spark, sf):
-    return FX.completions(spark, sf).select("prompt_id", "gen_id", R.REWARDS["entity"](F.col("content"), LEX).alias("entity"))
+    return FX.completions(spark, sf).select("prompt_id", "gen_id", R.REWARDS["entity"]("content", LEX).alias("entity"))
 
 
 @query("reward_structure", _single("structure", R.to_score_sql(ST)))
 def reward_structure(spark, sf):
     return FX.completions(spark, sf).select(
-        "prompt_id", "gen_id", R.REWARDS["structure"](F.col("content"), LEX).alias("structure"))
+        "prompt_id", "gen_id", R.REWARDS["structure"]("content", LEX).alias("structure"))
 
 
 @query("reward_safety", _single("safety", R.to_score_sql(SA)))
 def reward_safety(spark, sf):
-    return FX.completions(spark, sf).select("prompt_id", "gen_id", R.REWARDS["safety"](F.col("content"), LEX).alias("safety"))
+    return FX.completions(spark, sf).select("prompt_id", "gen_id", R.REWARDS["safety"]("content", LEX).alias("safety"))
 
 
 @query("reward_length", _single("length", R.to_score_sql(LN)))
 def reward_length(spark, sf):
-    return FX.completions(spark, sf).select("prompt_id", "gen_id", R.REWARDS["length"](F.col("content"), LEX).alias("length"))
+    return FX.completions(spark, sf).select("prompt_id", "gen_id", R.REWARDS["length"]("content", LEX).alias("length"))
 
 
 @query("reward_combined", FX.with_ctes(

@@ -72,3 +72,14 @@ def test_rloo_and_grpo(spark):
     assert r[(1, 0)] == -1.5 and r[(1, 1)] == 0.0 and r[(1, 2)] == 1.5 and r[(2, 0)] == 0.0
     g = {(x.prompt_id, x.gen_id): x.advantage for x in R.group_advantage(df).collect()}
     assert abs(sum(v for k, v in g.items() if k[0] == 1)) < 1e-9 and g[(2, 0)] == 0.0
+
+
+def test_column_and_sql_paths_agree(spark):
+    lex = load_lexicon("parkinson")
+    texts = DEMO + ["", "1. a\n2、b\n\n十.c 医生指导 包治 偏方 可以停药", "x" * 3000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, content string")
+    fns = [R.entity_bp, R.structure_bp, R.safety_bp]
+    a = df.select("i", *[f("content", lex).alias(f"f{k}") for k, f in enumerate(fns)], R.length_bp("content").alias("l"))
+    b = df.select("i", *[f(F.col("content"), lex).alias(f"f{k}") for k, f in enumerate(fns)],
+                  R.length_bp(F.col("content")).alias("l"))
+    assert sorted(a.collect()) == sorted(b.collect())
