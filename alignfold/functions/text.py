@@ -121,3 +121,18 @@ def hash_unit_sql(seed: int, expr: str) -> str:
 
 def terms_array(terms: Iterable[str]) -> Column:
     return F.array(*[F.lit(t) for t in terms])
+
+
+def as_instant(df, ts: str) -> Column:
+    """Event time as an instant. TIMESTAMP_NTZ (wall clock, e.g. parquet without UTC adjustment)
+    is read as UTC, so windows, watermarks and epoch buckets do not depend on the session zone."""
+    from pyspark.sql import types as T
+
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
+        return F.timestamp_micros(micros)
+    return F.col(ts)
+
+
+def epoch_seconds(df, ts: str) -> Column:
+    return F.unix_seconds(as_instant(df, ts))

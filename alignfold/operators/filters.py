@@ -35,7 +35,7 @@ def keyword_filter(df: DataFrame, col: str, terms: Sequence[str], min_hits: int
 
 
 # ---------- F8 / J5 ----------
-BROADCAST_ANCHOR_BYTES = 256 * 1024 * 1024  # anchors above this go through the block product
+BROADCAST_ANCHOR_BYTES = 64 * 1024 * 1024  # anchors above this go through the block product
 
 
 def _unit_rows(m):

@@ -138,6 +138,9 @@ def component_balance(df: DataFrame, components: Sequence[str], const_eps: float
 
 
 # ---------- M14 training health ----------
+BUCKET_SECONDS = {"minute": 60, "hour": 3600, "day": 86400}
+
+
 def training_health(metrics: DataFrame, kl_metric: str, loss_metric: str, reward_metric: str,
                     bucket: str = "hour", window: int = 3, kl_explode: float = 1.0, kl_high: float = 0.5,
                     kl_low: float = 0.1, jump: float = 2.0, spike_sd: float = 3.0, flat_sd: float = 1e-3) -> DataFrame:
@@ -149,7 +152,10 @@ def training_health(metrics: DataFrame, kl_metric: str, loss_metric: str, reward
     Loss: NaN in the bucket, or mean jumps above ``jump`` x the previous bucket.
     Reward: spike above trailing mean + spike_sd * trailing std; flat when trailing std < flat_sd.
     """
-    b = metrics.groupBy("run", "metric", F.date_trunc(bucket, "ts").alias("bucket")).agg(
+    from alignfold.functions.text import epoch_seconds
+
+    size = BUCKET_SECONDS[bucket]  # UTC buckets by epoch arithmetic: independent of the session zone
+    b = metrics.groupBy("run", "metric", (F.floor(epoch_seconds(metrics, "ts") / size) * size).cast("long").alias("bucket")).agg(
         F.avg(F.when(~F.isnan("value"), F.col("value"))).alias("mean"),
         F.sum(F.when(F.isnan("value"), 1).otherwise(0)).alias("n_nan"), F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("run", "metric").orderBy("bucket")
@@ -164,13 +170,15 @@ def training_health(metrics: DataFrame, kl_metric: str, loss_metric: str, reward
     rew = (F.when(m != reward_metric, None)
            .when(F.col("t_sd").isNotNull() & (F.col("mean") > F.col("t_mean") + F.col("t_sd") * spike_sd), "spike")
            .when(F.col("t_sd").isNotNull() & (F.col("t_sd") < flat_sd), "flat").otherwise("ok"))
-    return b.select("run", "metric", F.unix_timestamp("bucket").alias("bucket_ts"), "mean", "n",
+    return b.select("run", "metric", F.col("bucket").alias("bucket_ts"), "mean", "n",
                     kl.alias("kl_flag"), loss.alias("loss_flag"), rew.alias("reward_flag"))
 
 
 def metric_windows(metrics: DataFrame, size: str = "2 hours", slide: str = "1 hour") -> DataFrame:
     """X4 batch twin: mean / std / count per run and metric in sliding event-time windows."""
-    return (metrics.groupBy("run", "metric", F.window("ts", size, slide).alias("w"))
+    from alignfold.functions.text import as_instant
+
+    return (metrics.groupBy("run", "metric", F.window(as_instant(metrics, "ts"), size, slide).alias("w"))
             .agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"), F.count(F.lit(1)).alias("n"))
             .select("run", "metric", F.unix_timestamp("w.start").alias("window_start"), "mean", "sd", "n"))
 

@@ -61,15 +61,23 @@ def shuffle(df: DataFrame, seed: int, key: str) -> DataFrame:
     return df.orderBy(seeded_key(seed, key), F.col(key))
 
 
-def take_n(df: DataFrame, n: int | None, order_cols: Sequence[str]) -> DataFrame:
-    """Head-n in a declared order; n <= 0 or None means all rows. Spark plans a top-k (no full sort)."""
-    ordered = df.orderBy(*order_cols)
-    return ordered if n is None or n <= 0 else ordered.limit(n)
+# Up to this many rows a top-k (TakeOrderedAndProject) is cheapest; above it the k rows would
+# be merged in one task, so the distributed row index is used instead.
+TOPK_MAX = 100_000
+
+
+def take_n(df: DataFrame, n: int | None, order_cols: Sequence) -> DataFrame:
+    """Head-n in a declared order; n <= 0 or None means all rows (capped at the row count)."""
+    if n is None or n <= 0:
+        return df.orderBy(*order_cols)
+    if n <= TOPK_MAX:
+        return df.orderBy(*order_cols).limit(n)
+    return with_row_index(df, order_cols, out="_take").filter(F.col("_take") < n).drop("_take")
 
 
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
-    """Shuffled sample of exactly min(n, rows) rows."""
-    return df.orderBy(seeded_key(seed, key), F.col(key)).limit(max(int(n), 0))
+    """Shuffled sample of exactly min(n, rows) rows (seeded md5 order, ties by key)."""
+    return take_n(df, max(int(n), 0), [seeded_key(seed, key), F.col(key)]) if n > 0 else df.limit(0)
 
 
 # ---------- row index (2.5.1) ----------
@@ -147,6 +155,19 @@ def ensure_validation(splits: Mapping[str, DataFrame], frac: float, seed: int, k
     return out
 
 
+def prompt_set_funnel(a: DataFrame, b: DataFrame, min_len: int = 8, col: str = "question") -> DataFrame:
+    """M1 for the prompt-set build in one aggregation pass: rows per source, after dedup,
+    after the length filter (instead of one job per stage)."""
+    u = (a.select(F.col(col).alias("_q"), F.lit(1).alias("_a"), F.lit(0).alias("_b"))
+         .unionByName(b.select(F.col(col).alias("_q"), F.lit(0).alias("_a"), F.lit(1).alias("_b"))))
+    per = u.groupBy("_q").agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
+    tot = per.agg(F.sum("_na").alias("n0"), F.sum("_nb").alias("n1"), F.count(F.lit(1)).alias("n2"),
+                  F.sum(F.when(F.length("_q") >= min_len, 1).otherwise(0)).alias("n3"))
+    names = ["sft_questions", "preference_questions", "after_dedup", "after_min_length"]
+    rows = F.stack(F.lit(4), *[x for i, nm in enumerate(names) for x in (F.lit(i), F.lit(nm), F.col(f"n{i}").cast("long"))])
+    return tot.select(rows.alias("step", "stage", "n"))
+
+
 # ---------- T13 / T14 / J4 ----------
 def fan_out(df: DataFrame, k: int, out: str = "gen_id") -> DataFrame:
     """k generation slots per prompt (1..k)."""

@@ -82,7 +82,7 @@ HEALTH = dict(kl_metric="view", loss_metric="error", reward_metric="purchase", b
 
 
 @query("training_health", FX.with_ctes(
-    f"""SELECT run, metric, CAST(epoch(bucket) AS BIGINT) AS bucket_ts, round(mean, 6) AS mean, CAST(n AS BIGINT) AS n,
+    f"""SELECT run, metric, bucket AS bucket_ts, round(mean, 6) AS mean, CAST(n AS BIGINT) AS n,
           CASE WHEN metric <> 'view' THEN NULL WHEN mean > 40.0 THEN 'explosion' WHEN mean >= 25.0 THEN 'high'
                WHEN mean < 5.0 THEN 'conservative' ELSE 'ok' END AS kl_flag,
           CASE WHEN metric <> 'error' THEN NULL WHEN n_nan > 0 THEN 'nan'
@@ -92,7 +92,7 @@ HEALTH = dict(kl_metric="view", loss_metric="error", reward_metric="purchase", b
         FROM (SELECT *, lag(mean) OVER w AS prev,
                      avg(mean) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS t_mean,
                      stddev_samp(mean) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS t_sd
-              FROM (SELECT run, metric, date_trunc('day', ts) AS bucket,
+              FROM (SELECT run, metric, CAST(floor(epoch(ts) / 86400) * 86400 AS BIGINT) AS bucket,
                            avg(CASE WHEN NOT isnan(value) THEN value END) AS mean,
                            sum(CASE WHEN isnan(value) THEN 1 ELSE 0 END) AS n_nan, count(*) AS n
                     FROM metrics_long GROUP BY ALL)

@@ -90,7 +90,5 @@ def split_overlap(spark, sf):
        ) USING (step)""", FX.PREF_SQL, SFTQ_SQL, PREFQ_SQL))
 def funnel(spark, sf):
     """M1 + M6: rows per stage of the prompt-set build."""
-    a, b = sft_questions(spark, sf), pref_questions(spark, sf)
-    u = S.prompt_union(a, b)
-    return M.funnel({"sft_questions": a, "preference_questions": b, "after_dedup": u,
-                     "after_min_length": u.filter(F.length("question") >= 8)}).withColumn("step", F.col("step").cast("int"))
+    f = S.prompt_set_funnel(sft_questions(spark, sf), pref_questions(spark, sf), min_len=8)
+    return f.withColumn("step", F.col("step").cast("int"))

@@ -30,6 +30,7 @@ def get_spark(master: str | None = None, app: str = "alignfold", shuffle_partiti
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "16g",
     }
     conf.update(extra or {})

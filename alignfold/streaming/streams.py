@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alignfold.functions.lexicon import Lexicon
-from alignfold.functions.text import content_hash
+from alignfold.functions.text import as_instant, content_hash
 from alignfold.operators import filters as FL
 from alignfold.operators import rewards as R
 from alignfold.session import checkpoint_dir
@@ -42,7 +42,7 @@ def stream_prompt_set(df: DataFrame, watermark: str, ts: str = "ts", col: str =
                       min_len: int = 8) -> DataFrame:
     """Streaming prompt dedup on a content hash; state is bounded by the watermark, so an exact
     copy arriving later than the watermark may pass again."""
-    df = df.withColumn(ts, F.col(ts).cast("timestamp"))
+    df = df.withColumn(ts, as_instant(df, ts))
     return (df.filter(F.length(col) >= min_len).withColumn("question_hash", content_hash(col))
             .withWatermark(ts, watermark).dropDuplicatesWithinWatermark(["question_hash"]))
 
@@ -51,8 +51,8 @@ def stream_prompt_set(df: DataFrame, watermark: str, ts: str = "ts", col: str =
 def stream_metrics(df: DataFrame, window: str, slide: str | None, watermark: str, ts: str = "ts") -> DataFrame:
     """Mean / std / count per run and metric in event-time windows; late rows dropped by the watermark."""
     w = F.window(ts, window, slide) if slide else F.window(ts, window)
-    # event time must be TIMESTAMP (parquet often carries TIMESTAMP_NTZ; read as session-time-zone wall clock)
-    df = df.withColumn(ts, F.col(ts).cast("timestamp"))
+    # event time must be an instant (TIMESTAMP_NTZ is read as UTC, as in the batch twin)
+    df = df.withColumn(ts, as_instant(df, ts))
     return (df.withWatermark(ts, watermark).groupBy("run", "metric", w.alias("w"))
             .agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"), F.count(F.lit(1)).alias("n"))
             .select("run", "metric", F.unix_timestamp("w.start").alias("window_start"), "mean", "sd", "n"))

@@ -14,7 +14,7 @@ def spark():
 
     s = (SparkSession.builder.master("local[*]").appName("alignfold-tests")
          .config("spark.sql.shuffle.partitions", "8")
-         .config("spark.ui.enabled", "false")
+         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.driver.memory", "8g")

@@ -176,3 +176,12 @@ def test_reward_pairs_drop_empty(spark):
 def test_clean_response(spark):
     df = spark.createDataFrame([(" answer </s> tail",), ("no stop ",)], "c string")
     assert [r.x for r in df.select(P.clean_response("c", "</s>").alias("x")).collect()] == ["answer", "no stop"]
+
+
+def test_take_n_large_path_equals_topk(spark, monkeypatch):
+    df = spark.range(200).withColumn("k", (F.col("id") * 7919) % 200)
+    small = [r.k for r in S.take_n(df, 30, ["k"]).collect()]
+    monkeypatch.setattr(S, "TOPK_MAX", 5)
+    big = sorted(r.k for r in S.take_n(df, 30, ["k"]).collect())
+    assert sorted(small) == big == list(range(30))
+    assert S.sample_n(df, 10, 1, "id").count() == 10
