@@ -69,8 +69,9 @@ def funnel(stages: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def with_counts(metrics: DataFrame, df: DataFrame, name: str = "samples") -> DataFrame:
-    """M6: attach the sample count to a one-row metrics frame."""
-    return metrics.crossJoin(df.agg(F.count(F.lit(1)).alias(name)))
+    """M6: attach the sample count to a one-row metrics frame (equi-join of two one-row aggregates)."""
+    cnt = df.agg(F.count(F.lit(1)).alias(name)).withColumn("_one", F.lit(1))
+    return metrics.withColumn("_one", F.lit(1)).join(F.broadcast(cnt), "_one").drop("_one")
 
 
 # ---------- M7-M11 evaluation reports ----------

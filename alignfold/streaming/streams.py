@@ -65,6 +65,23 @@ def kl_alerts(batch: DataFrame, kl_metric: str, explode: float = 1.0, high: floa
     return batch.filter(F.col("metric") == kl_metric).withColumn("kl_flag", flag)
 
 
+def stream_kl_alerts(windows: DataFrame, sink: str, kl_metric: str, explode: float = 1.0, high: float = 0.5,
+                     low: float = 0.1, checkpoint: str | None = None, available_now: bool = True):
+    """X4 + M14: KL flags on each micro-batch of finalised window means, appended to ``sink`` (Parquet)."""
+    spark = windows.sparkSession
+    ck = checkpoint or os.path.join(checkpoint_dir(spark), "streams", uuid.uuid4().hex)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kl_alerts(batch, kl_metric, explode, high, low).filter(F.col("kl_flag") != "ok") \
+            .withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink)
+
+    w = windows.writeStream.outputMode("append").option("checkpointLocation", ck).foreachBatch(write)
+    q = (w.trigger(availableNow=True) if available_now else w).start()
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
 def run_available_now(stream: DataFrame, sink: str, fmt: str = "parquet", output_mode: str = "append",
                       checkpoint: str | None = None) -> str:
     """Process everything available now, then stop; the checkpoint lives under the shared checkpoint dir."""

@@ -185,3 +185,9 @@ def test_take_n_large_path_equals_topk(spark, monkeypatch):
     big = sorted(r.k for r in S.take_n(df, 30, ["k"]).collect())
     assert sorted(small) == big == list(range(30))
     assert S.sample_n(df, 10, 1, "id").count() == 10
+
+
+def test_with_counts(spark):
+    m = spark.range(1).select(F.lit(0.5).alias("loss"))
+    r = M.with_counts(m, spark.range(7)).first()
+    assert r.loss == 0.5 and r.samples == 7

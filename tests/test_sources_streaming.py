@@ -133,3 +133,14 @@ def test_stream_metric_windows_equal_batch(spark, sf_dir, tmp_path):
     joined = got.alias("s").join(batch.alias("b"), ["run", "metric", "window_start"])
     assert joined.filter((F.col("s.n") != F.col("b.n")) | (F.abs(F.col("s.mean") - F.col("b.mean")) > 1e-9)).count() == 0
     assert joined.count() == got.count()
+
+
+def test_stream_kl_alerts(spark, tmp_path):
+    rows = [("r1", "2024-01-01T00:%02d:00Z" % m, "kl", v) for m, v in [(0, 2.0), (10, 2.0), (50, 0.05)]]
+    rows += [("r1", "2024-01-01T05:00:00Z", "kl", 0.7)]  # advances the watermark past the first windows
+    src = tmp_path / "m"
+    _write(str(src / "a.jsonl"), [json.dumps({"run": r, "ts": t, "metric": m, "value": v}) for r, t, m, v in rows])
+    s = spark.readStream.schema("run string, ts timestamp, metric string, value double").json(str(src))
+    X.stream_kl_alerts(X.stream_metrics(s, "1 hour", None, "10 minutes"), str(tmp_path / "alerts"), "kl")
+    got = {r.kl_flag for r in spark.read.parquet(str(tmp_path / "alerts")).collect()}
+    assert got == {"explosion"}  # the 00:00 window mean (2.0 + 2.0 + 0.05) / 3 > 1.0; 05:00 is still open
