@@ -25,7 +25,7 @@ class Lexicon:
         return [(c, t) for c, ts in self.terms.items() for t in ts]
 
 
-def load_lexicon(name_or_path: str = "parkinson") -> Lexicon:
+def load_lexicon(name_or_path: str = "clinical") -> Lexicon:
     path = name_or_path
     if not os.path.exists(path):
         path = os.path.join(DATA_DIR, f"lexicon_{name_or_path}.csv")

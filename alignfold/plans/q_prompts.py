@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from alignfold.functions.text import strip, strip_sql
+from alignfold.functions.text import hash_unit, hash_unit_sql, strip, strip_sql
 from alignfold.operators import prompts as P
 from alignfold.operators import splits as S
 from alignfold.operators import templates as TPL
@@ -166,21 +166,20 @@ def _template_by_row_sql():
     names = sorted(TPL.TEMPLATES)
     cases = " ".join(f"WHEN {i} THEN {TPL.render_prompt_sql('pairs', 'system', TPL.TEMPLATES[n])}"
                      for i, n in enumerate(names))
+    pick = f"CAST(floor({hash_unit_sql(7, 'conv_id')} * {len(names)}) AS INTEGER)"
     return FX.with_ctes(
-        f"""SELECT conv_id, template, CASE idx {cases} END AS prompt_text FROM (
-              SELECT conv_id, pairs, system, names[1 + CAST(conv_id % {len(names)} AS INTEGER)] AS template,
-                     CAST(conv_id % {len(names)} AS INTEGER) AS idx
-              FROM dialog, (SELECT {names!r} AS names))""",
+        f"""SELECT conv_id, names[1 + idx] AS template, CASE idx {cases} END AS prompt_text FROM (
+              SELECT conv_id, pairs, system, {pick} AS idx FROM dialog), (SELECT {names!r} AS names)""",
         FX.SFT_SQL, DIALOG_SQL)
 
 
 @query("template_by_row", _template_by_row_sql())
 def template_by_row(spark, sf):
-    """A template name per row (round-robin over the registry by conv_id), resolved by a broadcast join."""
+    """A template name per row (seeded-hash choice over the registry), resolved by a broadcast join."""
     names = sorted(TPL.TEMPLATES)
     d = TU.normalize_dialog(FX.sft(spark, sf))
-    d = d.withColumn("template", F.element_at(F.array(*[F.lit(n) for n in names]),
-                                              (F.col("conv_id") % len(names)).cast("int") + 1))
+    pick = F.floor(hash_unit(7, "conv_id") * len(names)).cast("int") + 1
+    d = d.withColumn("template", F.element_at(F.array(*[F.lit(n) for n in names]), pick))
     d = TPL.with_template(d, "template")
     return d.select("conv_id", "template", TPL.render_prompt("pairs", "system", "row").alias("prompt_text"))
 

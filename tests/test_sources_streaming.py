@@ -101,7 +101,7 @@ def test_stream_keyword_filter_equals_batch(spark, tmp_path):
 
 
 def test_stream_score_and_dedup(spark, tmp_path):
-    lex = load_lexicon("parkinson")
+    lex = load_lexicon("clinical")
     src = tmp_path / "comp"
     rows = [{"prompt_id": 1, "gen_id": i, "content": c, "ts": "2024-01-01T00:00:0%dZ" % i}
             for i, c in enumerate(["建议就诊，咨询医生", "可以停药", "建议就诊，咨询医生"])]
