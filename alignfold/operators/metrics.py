@@ -68,6 +68,17 @@ def funnel(stages: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def observe_counts(df: DataFrame, stage: str):
+    """M1 without an extra pass: count rows as they flow through the next action that runs ``df``.
+
+    Returns (df, observation); after the action, ``observation.get`` is {stage: n}.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation(stage)
+    return df.observe(obs, F.count(F.lit(1)).alias(stage)), obs
+
+
 def with_counts(metrics: DataFrame, df: DataFrame, name: str = "samples") -> DataFrame:
     """M6: attach the sample count to a one-row metrics frame (equi-join of two one-row aggregates)."""
     cnt = df.agg(F.count(F.lit(1)).alias(name)).withColumn("_one", F.lit(1))

@@ -191,3 +191,9 @@ def test_with_counts(spark):
     m = spark.range(1).select(F.lit(0.5).alias("loss"))
     r = M.with_counts(m, spark.range(7)).first()
     assert r.loss == 0.5 and r.samples == 7
+
+
+def test_observe_counts_no_extra_pass(spark, tmp_path):
+    df, obs = M.observe_counts(spark.range(10).filter("id % 3 = 0"), "after_filter")
+    df.write.parquet(str(tmp_path / "o"))
+    assert obs.get == {"after_filter": 4}
