@@ -99,9 +99,11 @@ def to_rollout_prompts(df: DataFrame, system_prompt: str, template: Template, co
     return out.withColumn("prompt", render_prompt(pairs, F.lit(system_prompt), template))
 
 
-def clean_response(c, stop: str) -> "F.Column":
-    """Cut at the first stop string, then strip."""
-    return strip(F.substring_index(col_of(c), stop, 1))
+def clean_response(c, stop: str, strip_output: bool = True) -> "F.Column":
+    """Cut at the first stop string, then strip (``strip_output=False``: the streaming
+    variant, which cuts but keeps surrounding whitespace)."""
+    cut = F.substring_index(col_of(c), stop, 1)
+    return strip(cut) if strip_output else cut
 
 
 def to_results(df: DataFrame, input_col: str, output_col: str, key: str | None = None) -> DataFrame:

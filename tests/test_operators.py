@@ -176,6 +176,7 @@ def test_reward_pairs_drop_empty(spark):
 def test_clean_response(spark):
     df = spark.createDataFrame([(" answer </s> tail",), ("no stop ",)], "c string")
     assert [r.x for r in df.select(P.clean_response("c", "</s>").alias("x")).collect()] == ["answer", "no stop"]
+    assert df.select(P.clean_response("c", "</s>", strip_output=False).alias("x")).first().x == " answer "
 
 
 def test_take_n_large_path_equals_topk(spark, monkeypatch):
