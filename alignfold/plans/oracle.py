@@ -9,6 +9,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "benchmark labels conversations").split()
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
 def duck(sf_dir: str):
     import duckdb
 
@@ -67,6 +71,13 @@ def compare(spark, name: str, sf_dir: str, con=None, digits: int = 9) -> dict:
         res["oracle"] = None
         return res
     con = con or duck(sf_dir)
+    rel = con.sql(ORACLE[name])
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    res["types_match"] = s_types == d_types
+    if not res["types_match"]:
+        res["type_diff"] = {k: (s_types.get(k), d_types.get(k)) for k in set(s_types) | set(d_types)
+                            if s_types.get(k) != d_types.get(k)}
     cur = con.execute(ORACLE[name])
     d_cols = [d[0] for d in cur.description]
     d_rows = cur.fetchall()

@@ -23,6 +23,7 @@ def test_plan_matches_oracle(spark, con, name):
         assert r["spark_rows"] >= 0
         return
     assert r["cols_match"], r
+    assert r["types_match"], r.get("type_diff")
     assert r["rows_match"], r
     assert r["values_match"], r.get("first_diff")
 
