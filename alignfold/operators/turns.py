@@ -62,12 +62,11 @@ def normalize_dialog(df: DataFrame, conversations: str = "conversations", system
     n = F.size(c)
     first = F.try_element_at(c, F.lit(1))
     has_sys = F.coalesce(first["from"] == "system", F.lit(False))
-    rest = F.when(has_sys, F.slice(c, 2, F.greatest(n - 1, F.lit(1)))).otherwise(c)
-    rest = F.when(has_sys & (n < 2), F.array().cast(c_type(df, conversations))).otherwise(rest)
+    # slice() clamps at the array end (a start past the end gives []), so no extra guards are needed
+    rest = F.when(has_sys, F.slice(c, 2, n)).otherwise(c)
     own_sys = F.when(has_sys, F.coalesce(first["value"], F.lit(""))).otherwise(F.lit(""))
     first_ok = F.coalesce(F.try_element_at(rest, F.lit(1))["from"] == "human", F.lit(False))
     rest2 = F.when(first_ok, rest).otherwise(F.slice(rest, 2, F.greatest(F.size(rest), F.lit(1))))
-    rest2 = F.when(~first_ok & (F.size(rest) < 2), F.array().cast(c_type(df, conversations))).otherwise(rest2)
 
     out = df.filter(n >= 2).withColumn("_rest", rest2).withColumn("_own_sys", own_sys)
     out = out.filter(F.size("_rest") >= 2)
@@ -85,10 +84,6 @@ def normalize_dialog(df: DataFrame, conversations: str = "conversations", system
             .drop("_rest", "_own_sys", "_walk", "_msgs"))
 
 
-def c_type(df: DataFrame, name: str):
-    return df.schema[name].dataType
-
-
 def pair_turns(msgs) -> Column:
     """[m0, m1, m2, m3] -> [(m0, m1), (m2, m3)] (even-length input)."""
     m = col_of(msgs)
