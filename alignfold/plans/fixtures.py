@@ -20,6 +20,24 @@ from alignfold.functions.lexicon import load_lexicon
 SYNTHETIC_LEXICON = "synthetic"
 
 
+_SHARED: dict = {}
+
+
+def shared(fn):
+    """Reuse one lazy DataFrame per (session, table dir) for sub-plans several plans start from.
+
+    Only the plan object is shared (nothing is cached or collected); it saves rebuilding the
+    same expression trees on the driver for every plan.
+    """
+    def wrapper(spark, sf_dir, *args):
+        key = (fn.__module__, fn.__qualname__, spark.sparkContext.applicationId, id(spark), sf_dir, args)
+        if key not in _SHARED:
+            _SHARED[key] = fn(spark, sf_dir, *args)
+        return _SHARED[key]
+    wrapper.__name__, wrapper.__doc__, wrapper.__wrapped__ = fn.__name__, fn.__doc__, fn
+    return wrapper
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -33,6 +51,7 @@ def _role():
     return F.when(F.col("role") == "user", "human").when(F.col("role") == "assistant", "gpt").otherwise(F.col("role"))
 
 
+@shared
 def sft(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     t = c.select("conv_id", F.struct(F.col("turn"), _role().alias("from"), F.col("text").alias("value")).alias("t"))
@@ -52,6 +71,7 @@ SFT_SQL = """sft AS (
 
 
 # ---------- preference pairs ----------
+@shared
 def pref(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
@@ -71,6 +91,7 @@ PREF_SQL = """pref AS (
 
 
 # ---------- completions ----------
+@shared
 def completions(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     return c.filter(F.col("role") == "assistant").select(
@@ -83,6 +104,7 @@ COMPLETIONS_SQL = """completions AS (
 
 
 # ---------- scored documents as evaluation results ----------
+@shared
 def docs_scored(spark, sf_dir) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     lab = table(spark, sf_dir, "labels")
@@ -110,6 +132,7 @@ DOCS_SCORED_SQL = _docs_scored_sql()
 
 
 # ---------- training metrics ----------
+@shared
 def metrics_long(spark, sf_dir) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(F.col("user_id").cast("string").alias("run"), F.col("event_id").alias("step"), "ts",

@@ -17,6 +17,7 @@ REPORT_SQL = """report AS (
          avg(cot) AS cot, count(*) AS n FROM docs_scored GROUP BY model)"""
 
 
+@FX.shared
 def report(spark, sf):
     return M.score_report(FX.docs_scored(spark, sf))
 

@@ -21,10 +21,12 @@ PREFQ_SQL = f"""prefq AS (
   SELECT {W("coalesce(question, '')")} AS question FROM pref WHERE {W("coalesce(question, '')")} <> '')"""
 
 
+@FX.shared
 def sft_questions(spark, sf):
     return TU.first_user_turn_long(FX.table(spark, sf, "conversations")).select("question")
 
 
+@FX.shared
 def pref_questions(spark, sf):
     return TU.extract_questions(FX.pref(spark, sf))
 

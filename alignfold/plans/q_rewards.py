@@ -26,10 +26,12 @@ REWARD_SQL = f"""rewarded AS (
   FROM scored)"""
 
 
+@FX.shared
 def scored(spark, sf):
     return R.score(FX.completions(spark, sf), LEX)
 
 
+@FX.shared
 def rewarded(spark, sf):
     return R.score_total(FX.completions(spark, sf), LEX).select("prompt_id", "gen_id", "content", "reward")
 
@@ -152,6 +154,7 @@ PAIR_SCORES_SQL = f"""pair_scores AS (
          {R.combined_from_bp_sql(*_bp_sql('response_rejected'))} AS rejected_score FROM pref)"""
 
 
+@FX.shared
 def pair_scores(spark, sf):
     p = FX.pref(spark, sf)
     return M.pair_scores(p, LEX)

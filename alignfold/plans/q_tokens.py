@@ -53,11 +53,13 @@ def pipeline_sql(max_len: int) -> list:
     ]
 
 
+@FX.shared
 def dialogs(spark, sf):
     d = TU.normalize_dialog(FX.sft(spark, sf))
     return d.select("conv_id", TPL.render_dialog("pairs", "system", QWEN).alias("dialog"))
 
 
+@FX.shared
 def examples(spark, sf, max_len=MAX_LEN):
     return K.build_sft_examples(dialogs(spark, sf), "dialog", max_len, keep=("conv_id",))
 
@@ -173,6 +175,7 @@ PAIR_TOK_SQL = [FX.PREF_SQL, f"""ptok AS (
   FROM pref)"""]
 
 
+@FX.shared
 def pair_tokens(spark, sf):
     return K.tokenize_pairs(P.to_pair_texts(FX.pref(spark, sf), VICUNA, keep=("conv_id", "turn")), keep=("conv_id", "turn"))
 
