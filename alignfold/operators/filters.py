@@ -55,69 +55,65 @@ def _topk_stats(sims, k):
     return mx, part
 
 
+def _to_matrix(series):
+    import numpy as np
+
+    return _unit_rows(np.stack(series.map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()))
+
+
+def _block_scores(cand: DataFrame, A, key: str, vec: str, k: int, keep_top: bool) -> DataFrame:
+    """One broadcast block product: every Arrow batch of candidates times the (unit) anchor block A."""
+    import pandas as pd
+
+    bA = cand.sparkSession.sparkContext.broadcast(A)
+
+    def score(batches):
+        A_ = bA.value
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            mx, top = _topk_stats(_to_matrix(pdf[vec]) @ A_.T, k)
+            out = {key: pdf[key].astype("int64").to_numpy(), "max_sim": mx}
+            if keep_top:
+                out["top"] = list(top)
+            else:
+                out["topk_mean"] = top.mean(axis=1)
+            yield pd.DataFrame(out)
+
+    schema = f"{key} long, max_sim double, " + ("top array<double>" if keep_top else "topk_mean double")
+    return cand.select(key, vec).mapInPandas(score, schema)
+
+
 def semantic_scores(cand: DataFrame, anchors: DataFrame, key: str = "vec_id", vec: str = "embedding", k: int = 5,
                     broadcast_bytes: int = BROADCAST_ANCHOR_BYTES, blocks: int | None = None) -> DataFrame:
     """Per candidate: max cosine similarity to the anchor set and the mean of its top-k similarities.
 
-    Anchors are counted first; when count x dim x 8 bytes fits ``broadcast_bytes`` they
-    are broadcast once and every Arrow batch of candidates does one matrix product.
-    Beyond that, anchors are split into blocks and each (candidate chunk, anchor block)
-    meets in a cogroup; partial maxima and top-k lists are merged per candidate.
-    Never emits candidate x anchor pairs.
+    Anchors are counted first; when count x dim x 8 bytes fits ``broadcast_bytes`` they are
+    broadcast once and every Arrow batch of candidates does one matrix product. Beyond that,
+    anchors are split by hash into blocks that each fit the budget; each block is broadcast in
+    turn (candidates are re-read, never shuffled), and the per-block maxima and top-k lists are
+    merged per candidate in one aggregation. Never emits candidate x anchor rows.
     """
-    import numpy as np
-    import pandas as pd
-
     dim = len(anchors.select(vec).first()[0])
     n_anchor = anchors.count()
-    schema = f"{key} long, max_sim double, topk_mean double"
     if n_anchor == 0:
         return cand.select(F.col(key).cast("long"), F.lit(None).cast("double").alias("max_sim"),
                            F.lit(None).cast("double").alias("topk_mean"))
-    if blocks is None and n_anchor * dim * 8 <= broadcast_bytes:
-        a_pdf = anchors.select(vec).toPandas()  # size checked above
-        A = _unit_rows(np.stack(a_pdf[vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()))
-        bA = cand.sparkSession.sparkContext.broadcast(A)
-
-        def score(batches):
-            A_ = bA.value
-            for pdf in batches:
-                if len(pdf) == 0:
-                    continue
-                X = _unit_rows(np.stack(pdf[vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()))
-                mx, top = _topk_stats(X @ A_.T, k)
-                yield pd.DataFrame({key: pdf[key].astype("int64"), "max_sim": mx, "topk_mean": top.mean(axis=1)})
-
-        return cand.select(key, vec).mapInPandas(score, schema)
-    return _semantic_blocks(cand, anchors, key, vec, k, blocks or max(2, int(n_anchor * dim * 8 // broadcast_bytes) + 1))
-
-
-def _semantic_blocks(cand, anchors, key, vec, k, n_blocks, cand_chunks: int | None = None):
-    import numpy as np
-    import pandas as pd
-
-    spark = cand.sparkSession
-    nc = cand_chunks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    c = cand.select(F.col(key).cast("long").alias(key), vec,
-                    F.floor(hash_unit(7, key) * nc).cast("int").alias("cchunk"))
-    c = c.withColumn("ablock", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    a = anchors.select(vec, F.floor(hash_unit(11, key) * n_blocks).cast("int").alias("ablock"))
-    a = a.withColumn("cchunk", F.explode(F.sequence(F.lit(0), F.lit(nc - 1))))
-
-    def part(cp: pd.DataFrame, ap: pd.DataFrame) -> pd.DataFrame:
-        if len(cp) == 0 or len(ap) == 0:
-            return pd.DataFrame({key: pd.Series([], dtype="int64"), "bmax": pd.Series([], dtype="float64"),
-                                 "btop": pd.Series([], dtype="object")})
-        X = _unit_rows(np.stack(cp[vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()))
-        A = _unit_rows(np.stack(ap[vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()))
-        mx, top = _topk_stats(X @ A.T, k)
-        return pd.DataFrame({key: cp[key].astype("int64").to_numpy(), "bmax": mx, "btop": list(top)})
-
-    partial = (c.groupBy("cchunk", "ablock").cogroup(a.groupBy("cchunk", "ablock"))
-               .applyInPandas(part, f"{key} long, bmax double, btop array<double>"))
-    merged = partial.groupBy(key).agg(F.max("bmax").alias("max_sim"),
-                                      F.slice(F.sort_array(F.flatten(F.collect_list("btop")), asc=False), 1, k).alias("_top"))
-    return merged.select(key, "max_sim", (F.aggregate("_top", F.lit(0.0), lambda s, x: s + x) / F.size("_top")).alias("topk_mean"))
+    n_blocks = blocks or max(1, -(-n_anchor * dim * 8 // broadcast_bytes))
+    if n_blocks == 1:
+        return _block_scores(cand, _to_matrix(anchors.select(vec).toPandas()[vec]), key, vec, k, keep_top=False)
+    tagged = anchors.select(vec, F.floor(hash_unit(11, key) * n_blocks).cast("int").alias("_b"))
+    parts = None
+    for b in range(n_blocks):
+        block = tagged.filter(F.col("_b") == b).select(vec).toPandas()  # each block fits the budget
+        if len(block) == 0:
+            continue
+        part = _block_scores(cand, _to_matrix(block[vec]), key, vec, k, keep_top=True)
+        parts = part if parts is None else parts.unionByName(part)
+    merged = parts.groupBy(key).agg(F.max("max_sim").alias("max_sim"),
+                                    F.slice(F.sort_array(F.flatten(F.collect_list("top")), asc=False), 1, k).alias("_top"))
+    return merged.select(key, "max_sim",
+                         (F.aggregate("_top", F.lit(0.0), lambda acc, x: acc + x) / F.size("_top")).alias("topk_mean"))
 
 
 def semantic_filter(cand: DataFrame, anchors: DataFrame, threshold: float, agg: str = "max", k: int = 5,
