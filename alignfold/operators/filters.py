@@ -7,7 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alignfold.functions.text import col_of, content_hash, count_hits, hash_unit
+from alignfold.functions.text import content_hash, count_hits, hash_unit
 
 PLACEHOLDER = r"\{[A-Za-z_][A-Za-z0-9_]*\}"
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from alignfold.functions.text import hash_unit, hash_unit_sql, strip, strip_sql
+from alignfold.functions.text import hash_unit, hash_unit_sql, strip_sql
 from alignfold.operators import prompts as P
 from alignfold.operators import splits as S
 from alignfold.operators import templates as TPL

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from alignfold.functions.text import content_hash_sql, hash_unit, hash_unit_sql, seeded_key, seeded_key_sql
-from alignfold.operators import metrics as M
+from alignfold.functions.text import content_hash_sql, hash_unit_sql, seeded_key, seeded_key_sql
 from alignfold.operators import splits as S
 from alignfold.plans import fixtures as FX
 from alignfold.plans.q_prompts import PREFQ_SQL, SFTQ_SQL, pref_questions, sft_questions

@@ -3,7 +3,6 @@
 import os
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from alignfold.functions import text as TX
