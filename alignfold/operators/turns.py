@@ -112,3 +112,51 @@ def history_to_messages(history, query, system=None) -> Column:
         return F.concat(body, tail)
     sys_arr = F.filter(F.array(msg("system", F.coalesce(col_of(system), F.lit("")))), lambda m: m["content"] != "")
     return F.concat(sys_arr, body, tail)
+
+
+# ---------- P10 + P11, long form ----------
+def normalize_dialog_long(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "from",
+                          text: str = "value", strict: bool = False):
+    """P10 + P11 on a one-row-per-turn table, with no per-conversation arrays.
+
+    Same rules as ``normalize_dialog``. Turn positions come from the range-partitioned row
+    index (a conversation holding a third of all turns is spread over many partitions);
+    per-conversation facts (first roles, first unknown role, counts) are partial
+    aggregates; pairs are groups of exactly two messages. Returns (convs, pairs):
+    convs(key, system, n_pairs) for surviving conversations, pairs(key, k, query, answer).
+    """
+    from alignfold.operators.splits import with_row_index
+
+    t = with_row_index(turns.select(F.col(key), F.col(order), F.col(role).alias("_r"), F.col(text).alias("_v")),
+                       [key, order], out="_g")
+    start = t.groupBy(key).agg(F.min("_g").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    t = t.join(start, key).withColumn("_j0", F.col("_g") - F.col("_s"))
+    bad = ~F.coalesce(F.col("_r").isin(*DIALOG_ROLES), F.lit(False))
+    j0 = F.col("_j0")
+    facts = t.groupBy(key).agg(
+        F.max("_n").alias("_n"), F.max(F.when(j0 == 0, F.col("_r"))).alias("_r0"),
+        F.max(F.when(j0 == 0, F.col("_v"))).alias("_v0"), F.max(F.when(j0 == 1, F.col("_r"))).alias("_r1"),
+        *[F.min(F.when(bad & (j0 >= o), j0)).alias(f"_b{o}") for o in (0, 1, 2)])
+    has_sys = F.coalesce(F.col("_r0") == "system", F.lit(False))
+    head = F.when(has_sys, F.col("_r1")).otherwise(F.col("_r0"))
+    offset = F.when(has_sys, 1).otherwise(0) + F.when(F.coalesce(head == "human", F.lit(False)), 0).otherwise(1)
+    facts = facts.withColumn("_o", offset).filter((F.col("_n") >= 2) & (F.col("_n") - F.col("_o") >= 2))
+    cut = F.when(F.col("_o") == 0, F.col("_b0")).when(F.col("_o") == 1, F.col("_b1")).otherwise(F.col("_b2"))
+    facts = facts.select(key, "_o", F.coalesce(cut, F.col("_n")).alias("_end"),
+                         F.when(has_sys, F.coalesce(F.col("_v0"), F.lit(""))).otherwise(F.lit("")).alias("system"))
+    j = F.col("_j0") - F.col("_o")
+    kept = t.join(facts.select(key, "_o", "_end"), key).filter(
+        (j >= 0) & (F.col("_j0") < F.col("_end")) & (F.col("_r") == F.when(j % 2 == 0, "human").otherwise("gpt")))
+    m = with_row_index(kept.select(key, order, "_v"), [key, order], out="_m")
+    kstart = m.groupBy(key).agg(F.min("_m").alias("_ms"), F.count(F.lit(1)).alias("_kc"))
+    convs = facts.join(kstart, key, "left").withColumn("_kc", F.coalesce(F.col("_kc"), F.lit(0)))
+    convs = convs.filter(F.col("_kc") % 2 == 0)
+    if strict:
+        convs = convs.filter(F.col("_kc") == F.col("_end") - F.col("_o"))
+    convs = convs.select(key, "system", (F.col("_kc") / 2).cast("int").alias("n_pairs"))
+    mi = F.col("_m") - F.col("_ms")
+    msgs = m.join(kstart, key).join(convs.select(key), key, "left_semi").withColumn("_mi", mi)
+    pairs = msgs.groupBy(key, F.floor(F.col("_mi") / 2).cast("int").alias("k")).agg(
+        F.max(F.when(F.col("_mi") % 2 == 0, F.col("_v"))).alias("query"),
+        F.max(F.when(F.col("_mi") % 2 == 1, F.col("_v"))).alias("answer"))
+    return convs, pairs

@@ -62,6 +62,12 @@ def sft(spark, sf_dir) -> DataFrame:
     return g.select("conv_id", convs.alias("conversations"), F.lit(None).cast("string").alias("system_prompt"))
 
 
+def turns_long(spark, sf_dir) -> DataFrame:
+    """One row per turn with the SFT role names (user -> human, assistant -> gpt)."""
+    c = table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", _role().alias("from"), F.col("text").alias("value"))
+
+
 SFT_SQL = """sft AS (
   SELECT conv_id,
          list(struct_pack("from" := CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END,

@@ -149,6 +149,24 @@ def turn_pairs(spark, sf):
         "conv_id", F.col("k").cast("int").alias("k"), F.col("p.query").alias("query"), F.col("p.answer").alias("answer"))
 
 
+@query("dialog_normalize_long", FX.with_ctes(
+    "SELECT conv_id, CAST(len(pairs) AS INTEGER) AS n_pairs, system FROM dialog", FX.SFT_SQL, DIALOG_SQL))
+def dialog_normalize_long(spark, sf):
+    """P10 long form (no per-conversation arrays, skew-proof); same result as ``dialog_normalize``."""
+    convs, _ = TU.normalize_dialog_long(FX.turns_long(spark, sf))
+    return convs.select("conv_id", "n_pairs", "system")
+
+
+@query("turn_pairs_long", FX.with_ctes(
+    """SELECT conv_id, CAST(p.i AS INTEGER) AS k, p.x.query AS query, p.x.answer AS answer
+       FROM (SELECT conv_id, unnest(list_transform(pairs, lambda x, i: {'x': x, 'i': i - 1})) AS p FROM dialog)""",
+    FX.SFT_SQL, DIALOG_SQL))
+def turn_pairs_long(spark, sf):
+    """P11 long form: (conv_id, k, query, answer) straight from the one-row-per-turn table."""
+    _, pairs = TU.normalize_dialog_long(FX.turns_long(spark, sf))
+    return pairs.select("conv_id", "k", "query", "answer")
+
+
 _QWEN = TPL.get_template("qwen")
 _VICUNA = TPL.get_template("vicuna")
 

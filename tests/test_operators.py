@@ -198,3 +198,22 @@ def test_observe_counts_no_extra_pass(spark, tmp_path):
     df, obs = M.observe_counts(spark.range(10).filter("id % 3 = 0"), "after_filter")
     df.write.parquet(str(tmp_path / "o"))
     assert obs.get == {"after_filter": 4}
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_dialog_long_form_equals_array_form(spark, strict):
+    import random
+    rnd = random.Random(7)
+    roles = ["human", "gpt", "human", "gpt", "system", "tool", None]
+    convs = [[(rnd.choice(roles) if rnd.random() < 0.3 else ("human", "gpt")[t % 2], f"c{c}t{t}")
+              for t in range(rnd.randint(0, 9))] for c in range(300)]
+    arr = spark.createDataFrame([(c, [turn(r, v) for r, v in conv], None) for c, conv in enumerate(convs)],
+                                "conv_id long, conversations array<struct<from:string,value:string,role:string,content:string>>, system_prompt string")
+    a = TU.normalize_dialog(arr, strict=strict).collect()
+    exp_convs = {(r.conv_id, r.system, len(r.pairs)) for r in a}
+    exp_pairs = {(r.conv_id, k, p.query, p.answer) for r in a for k, p in enumerate(r.pairs)}
+    longdf = spark.createDataFrame([(c, t, r, v) for c, conv in enumerate(convs) for t, (r, v) in enumerate(conv)],
+                                   "conv_id long, turn long, from string, value string")
+    cv, pr = TU.normalize_dialog_long(longdf, strict=strict)
+    assert {(r.conv_id, r.system, r.n_pairs) for r in cv.collect()} == exp_convs
+    assert {(r.conv_id, r.k, r.query, r.answer) for r in pr.collect()} == exp_pairs
