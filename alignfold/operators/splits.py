@@ -111,6 +111,34 @@ def with_row_index(df: DataFrame, order_cols: Sequence, out: str = IDX, num_part
             .drop("_pid", "_pos", "_off"))
 
 
+def with_running_sum(df: DataFrame, order_cols: Sequence, value: str, out: str = "running",
+                     num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sum of ``value`` in ``order_cols`` order, without a per-group window.
+
+    Same two passes as ``with_row_index``; the in-partition cumulative sum is a window over
+    the Spark partition id, so each window holds one range partition, never one group.
+    Pass a narrow frame (keys + value) and join the result back: the window's exchange then
+    moves only those columns.
+    """
+    from pyspark.sql import Window
+
+    spark = df.sparkSession
+    cols = [col_of(c) for c in order_cols]
+    n_parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    ranged = cut_lineage(df.repartitionByRange(n_parts, *cols).sortWithinPartitions(*cols))
+    tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
+        "_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    sums = sorted((r["_pid"], r["s"] or 0) for r in tagged.groupBy("_pid").agg(F.sum(value).alias("s")).collect())
+    offsets, acc = [], 0
+    for pid, v in sums:
+        offsets.append((pid, acc))
+        acc += v
+    off = spark.createDataFrame(offsets or [(0, 0)], "_pid int, _off long")
+    w = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (tagged.join(F.broadcast(off), "_pid").withColumn(out, F.col("_off") + F.sum(value).over(w))
+            .drop("_pid", "_pos", "_off"))
+
+
 # ---------- T9 / T10 / T11 / T12 ----------
 def random_split(df: DataFrame, frac: float, seed: int, key: str, exact: bool = False):
     """Seeded (train, test) split. Default: hash bucket < frac (no sort, no count).

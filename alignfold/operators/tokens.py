@@ -160,6 +160,49 @@ def quarantine_empty_turns(df: DataFrame, turns: str) -> DataFrame:
     return keep_rows(df, F.forall(turns, lambda t: (F.size(t["src"]) + F.size(t["tgt"])) > 0))
 
 
+def build_sft_examples_long(convs: DataFrame, pairs: DataFrame, template, key: str = "conv_id", max_len: int = 512,
+                            tok: Tokenizer = whitespace_tokenize, eos: int = EOS_ID, bos: int | None = BOS_ID,
+                            train_on_inputs: bool = False) -> DataFrame:
+    """K1-K6 from the long form of ``normalize_dialog_long``: one row per turn pair.
+
+    Rendering, tokenising, truncation and eos handling are per row; the turn budget uses a
+    global running sum over a narrow (key, k, cost) frame (no per-conversation window), and
+    packing collects only the kept turns of a conversation, whose total is at most ``max_len``.
+    Conversations with a turn that has no tokens are quarantined, as in the record form.
+    """
+    from alignfold.operators.splits import with_running_sum
+    from alignfold.operators.templates import _parts
+
+    t_sys, pre, suf, sep = _parts(template)
+    sys = F.coalesce(F.nullif(F.col("system"), F.lit("")), t_sys)
+    sys_sep = F.when(F.coalesce(sys, F.lit("")) != "", F.concat(sys, sep)).otherwise(F.lit(""))
+    k0 = F.col("k") == 0
+    rows = pairs.join(convs.select(key, "system"), key)
+    src_text = F.concat(F.when(k0, sys_sep).otherwise(sep), pre, F.coalesce(F.col("query"), F.lit("")), suf)
+    src = tok(src_text)
+    if bos is not None:
+        src = F.concat(F.when(k0, F.array(F.lit(bos))).otherwise(F.array().cast(ARR_I)), src)
+    rows = rows.select(key, "k", src.alias("_src"), tok(F.coalesce(F.col("answer"), F.lit(""))).alias("_tgt"))
+    empty = rows.groupBy(key).agg(F.max(F.when(F.size("_src") + F.size("_tgt") == 0, 1).otherwise(0)).alias("_e"))
+    ok_convs = convs.select(key).join(empty.filter(F.col("_e") == 1).select(key), key, "left_anti")
+    rows = rows.join(ok_convs, key, "left_semi")
+    rows = rows.select(key, "k", truncate_turn("_src", "_tgt", max_len).alias("_t"))
+    rows = rows.select(key, "k", strip_eos(F.col("_t")["src"], F.col("_t")["tgt"], eos).alias("_t"))
+    rows = rows.withColumn("_cost", F.size(F.col("_t")["src"]) + F.size(F.col("_t")["tgt"]) + 1)
+    cum = with_running_sum(rows.select(key, "k", "_cost"), [key, "k"], "_cost", out="_cum")
+    start = cum.groupBy(key).agg(F.min(F.col("_cum") - F.col("_cost")).alias("_start"))
+    kept_keys = cum.join(start, key).filter(F.col("_cum") - F.col("_start") <= max_len).select(key, "k")
+    kept = rows.join(kept_keys, [key, "k"], "left_semi")
+    packed = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("k", "_t"))).alias("_ts"))
+    turns_col = F.transform("_ts", lambda x: x["_t"])
+    packed = packed.select(key, packed_ids(turns_col, eos).alias("input_ids"),
+                           packed_labels(turns_col, eos, train_on_inputs).alias("labels"))
+    out = ok_convs.join(packed, key, "left").select(
+        key, F.coalesce("input_ids", F.array().cast(ARR_I)).alias("input_ids"),
+        F.coalesce("labels", F.array().cast(ARR_I)).alias("labels"))
+    return out.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")).cast(ARR_I))
+
+
 # ---------- F5 / P18 ----------
 def drop_unlabelled(df: DataFrame, labels: str = "labels") -> DataFrame:
     """drop examples whose labels are all the ignore index (empty ones included)."""

@@ -131,6 +131,16 @@ def pack_turns(spark, sf):
     return e.select("conv_id", K.ids_str("input_ids").alias("input_ids"), F.size("attention_mask").cast("int").alias("n_attention"))
 
 
+@query("pack_turns_long", FX.with_ctes(
+    """SELECT conv_id, array_to_string(input_ids, ' ') AS input_ids, CAST(len(input_ids) AS INTEGER) AS n_attention
+       FROM t6""", *pipeline_sql(MAX_LEN)))
+def pack_turns_long(spark, sf):
+    """K1-K6 from the one-row-per-turn long form (no per-conversation turn arrays); same result as pack_turns."""
+    convs, pairs = TU.normalize_dialog_long(FX.turns_long(spark, sf))
+    e = K.build_sft_examples_long(convs, pairs, QWEN, max_len=MAX_LEN)
+    return e.select("conv_id", K.ids_str("input_ids").alias("input_ids"), F.size("attention_mask").cast("int").alias("n_attention"))
+
+
 @query("label_mask", FX.with_ctes(
     "SELECT conv_id, array_to_string(labels, ' ') AS labels FROM t6", *pipeline_sql(MAX_LEN)))
 def label_mask(spark, sf):

@@ -217,3 +217,37 @@ def test_dialog_long_form_equals_array_form(spark, strict):
     cv, pr = TU.normalize_dialog_long(longdf, strict=strict)
     assert {(r.conv_id, r.system, r.n_pairs) for r in cv.collect()} == exp_convs
     assert {(r.conv_id, r.k, r.query, r.answer) for r in pr.collect()} == exp_pairs
+
+
+def test_running_sum_equals_window(spark):
+    import random
+    from pyspark.sql import Window
+    rnd = random.Random(3)
+    rows = [(g, i, rnd.randint(1, 9)) for g in range(30) for i in range(rnd.randint(1, 5))]
+    rows += [(99, i, rnd.randint(1, 9)) for i in range(400)]  # one hot group
+    df = spark.createDataFrame(rows, "g long, i long, v long")
+    got = {(r.g, r.i): r.running for r in S.with_running_sum(df, ["g", "i"], "v").collect()}
+    w = Window.orderBy("g", "i").rowsBetween(Window.unboundedPreceding, 0)
+    exp = {(r.g, r.i): r.c for r in df.select("g", "i", F.sum("v").over(w).alias("c")).collect()}
+    assert got == exp
+
+
+def test_sft_examples_long_equals_record_form(spark):
+    import random
+    rnd = random.Random(5)
+    words = ["a", "bb", "c d", "", " ", "e f g h", "i"]
+    convs = []
+    for c in range(120):
+        n = rnd.randint(0, 8)
+        convs.append([(("human", "gpt")[t % 2] if rnd.random() > 0.1 else "system", " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 12))))
+                      for t in range(n)])
+    base = TPL.get_template("base")
+    arr = spark.createDataFrame([(c, [turn(r, v) for r, v in conv], None) for c, conv in enumerate(convs)],
+                                "conv_id long, conversations array<struct<from:string,value:string,role:string,content:string>>, system_prompt string")
+    d = TU.normalize_dialog(arr).select("conv_id", TPL.render_dialog("pairs", "system", base).alias("dialog"))
+    exp = {(r.conv_id, tuple(r.input_ids), tuple(r.labels)) for r in K.build_sft_examples(d, "dialog", 16, keep=("conv_id",)).collect()}
+    longdf = spark.createDataFrame([(c, t, r, v) for c, conv in enumerate(convs) for t, (r, v) in enumerate(conv)],
+                                   "conv_id long, turn long, from string, value string")
+    cv, pr = TU.normalize_dialog_long(longdf)
+    got = {(r.conv_id, tuple(r.input_ids), tuple(r.labels)) for r in K.build_sft_examples_long(cv, pr, base, max_len=16).collect()}
+    assert got == exp
