@@ -172,6 +172,7 @@ def build_sft_examples_long(convs: DataFrame, pairs: DataFrame, template, key: s
     """
     from alignfold.operators.splits import with_running_sum
     from alignfold.operators.templates import _parts
+    from alignfold.session import cut_lineage
 
     t_sys, pre, suf, sep = _parts(template)
     sys = F.coalesce(F.nullif(F.col("system"), F.lit("")), t_sys)
@@ -188,7 +189,9 @@ def build_sft_examples_long(convs: DataFrame, pairs: DataFrame, template, key: s
     rows = rows.join(ok_convs, key, "left_semi")
     rows = rows.select(key, "k", truncate_turn("_src", "_tgt", max_len).alias("_t"))
     rows = rows.select(key, "k", strip_eos(F.col("_t")["src"], F.col("_t")["tgt"], eos).alias("_t"))
-    rows = rows.withColumn("_cost", F.size(F.col("_t")["src"]) + F.size(F.col("_t")["tgt"]) + 1)
+    # the truncated turns feed both the budget and the packing: materialise them once
+    rows = cut_lineage(rows.withColumn("_cost", F.size(F.col("_t")["src"]) + F.size(F.col("_t")["tgt"]) + 1))
+    ok_convs = cut_lineage(ok_convs)
     cum = with_running_sum(rows.select(key, "k", "_cost"), [key, "k"], "_cost", out="_cum")
     start = cum.groupBy(key).agg(F.min(F.col("_cum") - F.col("_cost")).alias("_start"))
     kept_keys = cum.join(start, key).filter(F.col("_cum") - F.col("_start") <= max_len).select(key, "k")

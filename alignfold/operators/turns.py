@@ -126,6 +126,7 @@ def normalize_dialog_long(turns: DataFrame, key: str = "conv_id", order: str = "
     convs(key, system, n_pairs) for surviving conversations, pairs(key, k, query, answer).
     """
     from alignfold.operators.splits import with_row_index
+    from alignfold.session import cut_lineage
 
     t = with_row_index(turns.select(F.col(key), F.col(order), F.col(role).alias("_r"), F.col(text).alias("_v")),
                        [key, order], out="_g")
@@ -142,21 +143,22 @@ def normalize_dialog_long(turns: DataFrame, key: str = "conv_id", order: str = "
     offset = F.when(has_sys, 1).otherwise(0) + F.when(F.coalesce(head == "human", F.lit(False)), 0).otherwise(1)
     facts = facts.withColumn("_o", offset).filter((F.col("_n") >= 2) & (F.col("_n") - F.col("_o") >= 2))
     cut = F.when(F.col("_o") == 0, F.col("_b0")).when(F.col("_o") == 1, F.col("_b1")).otherwise(F.col("_b2"))
-    facts = facts.select(key, "_o", F.coalesce(cut, F.col("_n")).alias("_end"),
-                         F.when(has_sys, F.coalesce(F.col("_v0"), F.lit(""))).otherwise(F.lit("")).alias("system"))
+    facts = cut_lineage(facts.select(key, "_o", F.coalesce(cut, F.col("_n")).alias("_end"),
+                                     F.when(has_sys, F.coalesce(F.col("_v0"), F.lit(""))).otherwise(F.lit("")).alias("system")))
     j = F.col("_j0") - F.col("_o")
     kept = t.join(facts.select(key, "_o", "_end"), key).filter(
         (j >= 0) & (F.col("_j0") < F.col("_end")) & (F.col("_r") == F.when(j % 2 == 0, "human").otherwise("gpt")))
     m = with_row_index(kept.select(key, order, "_v"), [key, order], out="_m")
-    kstart = m.groupBy(key).agg(F.min("_m").alias("_ms"), F.count(F.lit(1)).alias("_kc"))
+    kstart = cut_lineage(m.groupBy(key).agg(F.min("_m").alias("_ms"), F.count(F.lit(1)).alias("_kc")))
     convs = facts.join(kstart, key, "left").withColumn("_kc", F.coalesce(F.col("_kc"), F.lit(0)))
     convs = convs.filter(F.col("_kc") % 2 == 0)
     if strict:
         convs = convs.filter(F.col("_kc") == F.col("_end") - F.col("_o"))
-    convs = convs.select(key, "system", (F.col("_kc") / 2).cast("int").alias("n_pairs"))
+    # both outputs are reused downstream: write them once to the shared checkpoint folder
+    convs = cut_lineage(convs.select(key, "system", (F.col("_kc") / 2).cast("int").alias("n_pairs")))
     mi = F.col("_m") - F.col("_ms")
     msgs = m.join(kstart, key).join(convs.select(key), key, "left_semi").withColumn("_mi", mi)
-    pairs = msgs.groupBy(key, F.floor(F.col("_mi") / 2).cast("int").alias("k")).agg(
+    pairs = cut_lineage(msgs.groupBy(key, F.floor(F.col("_mi") / 2).cast("int").alias("k")).agg(
         F.max(F.when(F.col("_mi") % 2 == 0, F.col("_v"))).alias("query"),
-        F.max(F.when(F.col("_mi") % 2 == 1, F.col("_v"))).alias("answer"))
+        F.max(F.when(F.col("_mi") % 2 == 1, F.col("_v"))).alias("answer")))
     return convs, pairs
