@@ -32,9 +32,11 @@ def _prompts(spark, a) -> dict:
     sq = TU.first_user_turn(sft).select("question").persist()
     pq = TU.extract_questions(pref).persist()
     ps = S.build_prompt_set(sq, pq, min_len=a.min_length, sort=False)
-    if a.format == "conversation":
-        ps = P.to_conversation_prompts(ps).select("conversations")
-    io.write_jsonl(ps, a.out, order_by=None if a.format == "conversation" else ["question"], single_file=a.single_file)
+    if a.format == "conversation":  # sorted by question, written as [{from: human, value}]
+        io.write_jsonl(P.to_conversation_prompts(ps.orderBy("question")).select("conversations"), a.out,
+                       single_file=a.single_file)
+    else:
+        io.write_jsonl(ps, a.out, order_by=["question"], single_file=a.single_file)
     funnel = {r.stage: r.n for r in S.prompt_set_funnel(sq, pq, a.min_length).collect()}
     overlap = S.source_overlap(sq, pq).first().asDict()
     sq.unpersist()

@@ -31,6 +31,10 @@ def test_prompts_rm_data_score_metrics(spark, tmp_path):
     rep = cli.main(["prompts", "--sft", f"{t}/sft.jsonl", "--dpo", f"{t}/dpo.jsonl", "--out", f"{t}/p", "--single-file"])
     assert [r["question"] for r in _read_json_dir(f"{t}/p")] == ["How to sleep better?", "Is tai chi useful here?"]
     assert rep["funnel"]["after_min_length"] == 2 and rep["overlap"]["both"] == 1
+    cli.main(["prompts", "--sft", f"{t}/sft.jsonl", "--dpo", f"{t}/dpo.jsonl", "--out", f"{t}/pc", "--format",
+              "conversation", "--single-file"])
+    assert [r["conversations"][0]["value"] for r in _read_json_dir(f"{t}/pc")] == [
+        "How to sleep better?", "Is tai chi useful here?"]
     rep = cli.main(["rm-data", "--dpo", f"{t}/dpo.jsonl", "--out", f"{t}/rm"])
     assert len(_read_json_dir(f"{t}/rm")) == 1 and rep["quarantined_lines"] == 1
     _w(f"{t}/res.jsonl", [{"Input": json.dumps({"id": 1, "question": "q"}), "Output": "建议就诊，咨询医生，定期复查。"}])
