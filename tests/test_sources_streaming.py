@@ -144,3 +144,12 @@ def test_stream_kl_alerts(spark, tmp_path):
     X.stream_kl_alerts(X.stream_metrics(s, "1 hour", None, "10 minutes"), str(tmp_path / "alerts"), "kl")
     got = {r.kl_flag for r in spark.read.parquet(str(tmp_path / "alerts")).collect()}
     assert got == {"explosion"}  # the 00:00 window mean (2.0 + 2.0 + 0.05) / 3 > 1.0; 05:00 is still open
+
+
+def test_failfast_mode_aborts_on_bad_line(spark, tmp_path):
+    import pytest
+
+    p = str(tmp_path / "bad.jsonl")
+    _write(p, [json.dumps({"question": "ok"}), "{not json"])
+    with pytest.raises(Exception):
+        io.read_jsonl(spark, p, PREFERENCE, mode="FAILFAST").collect()
