@@ -70,6 +70,13 @@ LARGE_LEXICON = 1024
 
 
 def _count_hits_automaton(terms: Sequence[str]):
+    from pyspark.sql import SparkSession
+
+    from alignfold.session import ship_package
+
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
     frozen = tuple(terms)
 
     @F.pandas_udf("int")

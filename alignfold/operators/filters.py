@@ -65,6 +65,10 @@ def _block_scores(cand: DataFrame, A, key: str, vec: str, k: int, keep_top: bool
     """One broadcast block product: every Arrow batch of candidates times the (unit) anchor block A."""
     import pandas as pd
 
+    from alignfold.session import ship_package
+
+    ship_package(cand.sparkSession)
+
     bA = cand.sparkSession.sparkContext.broadcast(A)
 
     def score(batches):

@@ -22,6 +22,10 @@ def batch_infer(df: DataFrame, generate_fn: Callable, key: str = "id", prompt: s
     """Generate one output per prompt; outputs are cut at ``stop`` and stripped."""
     import pandas as pd
 
+    from alignfold.session import ship_package
+
+    ship_package(df.sparkSession)
+
     def run(batches):
         for pdf in batches:
             outs = []
@@ -38,6 +42,10 @@ def batch_infer(df: DataFrame, generate_fn: Callable, key: str = "id", prompt: s
 
 def map_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """User batch function ``fn(pd.DataFrame) -> pd.DataFrame`` that may drop rows."""
+    from alignfold.session import ship_package
+
+    ship_package(df.sparkSession)
+
     def run(batches):
         for pdf in batches:
             out = fn(pdf)

@@ -268,6 +268,9 @@ def score_with(df: DataFrame, fn, prompt: str = "prompt", content: str = "conten
 
     Runs as an iterator pandas UDF, so a heavy scorer is loaded once per task, not per row.
     """
+    from alignfold.session import ship_package
+
+    ship_package(df.sparkSession)
     @F.pandas_udf("double")
     def _score(batches: Iterator[Tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for p, c in batches:

@@ -41,6 +41,13 @@ def whitespace_tokenize_sql(expr: str) -> str:
 
 def pandas_tokenizer(encode: Callable) -> Tokenizer:
     """U4: wrap ``encode(list[str]) -> list[list[int]]`` (e.g. a subword tokenizer) as an Arrow-batched UDF."""
+    from pyspark.sql import SparkSession
+
+    from alignfold.session import ship_package
+
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
     @F.pandas_udf(ARR_I)
     def _tok(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:

@@ -56,6 +56,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``alignfold`` importable in Python workers (the programmatic form of ``--py-files``).
+
+    Operators that run Python in tasks (Arrow block products, batch generation, pandas-UDF
+    hooks) pickle references to this package; a zip of the package is registered once per
+    application with ``SparkContext.addPyFile``, which Spark ships to every executor.
+    """
+    import shutil
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = tempfile.mkdtemp(prefix="alignfold-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "alignfold"), "zip", root_dir=pkg_root, base_dir="alignfold")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder; survives executor loss (never localCheckpoint)."""
     checkpoint_dir(df.sparkSession)
