@@ -97,18 +97,22 @@ def write_results(df: DataFrame, path: str) -> None:
 
 # ---------- S8 / S12 ----------
 def read_metrics(spark: SparkSession, path) -> DataFrame:
-    """Flat metric JSON files -> long (run, metric, value); run = the file's parent directory name."""
+    """Flat metric JSON files (one object per file, pretty-printed or not) -> long (run, metric, value).
+
+    run = the ``run=`` folder of the path when present (as ``write_metrics`` lays it out),
+    else the file's parent directory name (one results file per run directory).
+    """
     raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    m = raw.select(F.regexp_extract("file", r"([^/]+)/[^/]+$", 1).alias("run"),
-                   F.explode(F.from_json("value", METRIC_MAP)).alias("metric", "value"))
-    return m
+    run = F.coalesce(F.nullif(F.regexp_extract("file", r"/run=([^/]+)/", 1), F.lit("")),
+                     F.regexp_extract("file", r"([^/]+)/[^/]+$", 1))
+    return raw.select(run.alias("run"), F.explode(F.from_json("value", METRIC_MAP)).alias("metric", "value"))
 
 
 def write_metrics(df: DataFrame, path: str, run_col: str = "run", phase_col: str = "phase") -> None:
-    """One flat JSON object per run and phase: {run, phase, metrics: {name: value}}."""
+    """One flat JSON object {name: value, ...} per run and phase, under ``run=<run>/phase=<phase>/``."""
     out = df.groupBy(run_col, phase_col).agg(
-        F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("metrics"))
-    out.write.mode("overwrite").json(path)
+        F.to_json(F.map_from_entries(F.collect_list(F.struct("metric", "value")))).alias("value"))
+    out.write.mode("overwrite").partitionBy(run_col, phase_col).text(path)
 
 
 # ---------- S9 ----------

@@ -57,11 +57,16 @@ def test_lines_metrics_csv_results(spark, tmp_path):
     lines = [r.line for r in io.read_lines(spark, str(tmp_path / "q.txt")).orderBy("line_key").collect()]
     assert lines == ["a", "", "b"]
     _write(str(tmp_path / "runs" / "r1" / "all_results.json"), [json.dumps({"train_loss": 1.5, "epoch": 2.0})])
+    _write(str(tmp_path / "runs" / "r2" / "all_results.json"), [json.dumps({"eval_loss": 0.25}, indent=4)])
     m = io.read_metrics(spark, str(tmp_path / "runs" / "*" / "*.json"))
-    assert {(r.run, r.metric, r.value) for r in m.collect()} == {("r1", "train_loss", 1.5), ("r1", "epoch", 2.0)}
+    assert {(r.run, r.metric, r.value) for r in m.collect()} == {("r1", "train_loss", 1.5), ("r1", "epoch", 2.0),
+                                                                 ("r2", "eval_loss", 0.25)}
+    m = m.filter(F.col("run") == "r1")
     io.write_metrics(m.withColumn("phase", F.lit("train")), str(tmp_path / "mout"))
-    back = spark.read.json(str(tmp_path / "mout")).first()
-    assert back.metrics.train_loss == 1.5
+    files = [os.path.join(dp, f) for dp, _, fs in os.walk(tmp_path / "mout") for f in fs if f.startswith("part-")]
+    assert [json.loads(open(f).read()) for f in files] == [{"train_loss": 1.5, "epoch": 2.0}]  # flat object
+    back = io.read_metrics(spark, str(tmp_path / "mout" / "*" / "*" / "part-*"))
+    assert {(r.run, r.metric, r.value) for r in back.collect()} == {("r1", "train_loss", 1.5), ("r1", "epoch", 2.0)}
     wide = M.list_metrics(m.select("run", "metric", "value"))
     assert wide.first().train_loss == 1.5
     with open(tmp_path / "b.csv", "wb") as f:
