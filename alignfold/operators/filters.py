@@ -7,6 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from alignfold.functions.rows import keep_rows
 from alignfold.functions.text import content_hash, count_hits, hash_unit
 
 PLACEHOLDER = r"\{[A-Za-z_][A-Za-z0-9_]*\}"
@@ -29,9 +30,9 @@ def keyword_filter(df: DataFrame, col: str, terms: Sequence[str], min_hits: int
     Up to ~1k terms a chain of ``contains`` stays in whole-stage codegen; above that
     an Aho-Corasick automaton per Arrow batch is used (see ``count_hits``).
     """
-    h = count_hits(F.col(col), terms)
-    res = df.withColumn(out or "_hits", h).filter(F.col(out or "_hits") >= min_hits)
-    return res if out else res.drop("_hits")
+    name = out or "_hits"
+    res = keep_rows(df.withColumn(name, count_hits(F.col(col), terms)), F.col(name) >= min_hits)
+    return res if out else res.drop(name)
 
 
 # ---------- F8 / J5 ----------

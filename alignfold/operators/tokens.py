@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from alignfold.functions.rows import keep_rows  # noqa: F401  (re-exported)
 from alignfold.functions.text import PY_WHITESPACE, col_of, hash_unit
 
 PAD_ID, BOS_ID, EOS_ID, IGNORE_INDEX = 0, 1, 2, -100
@@ -151,17 +152,6 @@ def build_sft_examples(df: DataFrame, dialog: str = "dialog", max_len: int = 512
                       "labels")
 
 
-def keep_rows(df: DataFrame, cond: Column) -> DataFrame:
-    """Row filter evaluated in place, as a generator over a 0/1-element array.
-
-    A ``Filter`` above the token pipeline is pushed below every (deterministic)
-    projection, which inlines the whole array pipeline into the predicate and runs it
-    twice. A generator is not pushed through, so the pipeline runs once per row.
-    """
-    flag = F.when(cond, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
-    return df.withColumn("_keep", F.explode(flag)).drop("_keep")
-
-
 def quarantine_empty_turns(df: DataFrame, turns: str) -> DataFrame:
     """Drop rows with a turn that has no tokens on either side (the truncation share would divide by zero)."""
     return keep_rows(df, F.forall(turns, lambda t: (F.size(t["src"]) + F.size(t["tgt"])) > 0))

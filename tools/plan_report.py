@@ -29,6 +29,23 @@ PATTERNS = {
 }
 
 
+HEADLINE = ("prompt_set", "group_advantage", "keyword_filter")
+
+
+def formatted(df) -> str:
+    """``explain('formatted')`` text with the long Unicode-whitespace literals abbreviated."""
+    import contextlib
+    import io
+
+    from alignfold.functions.text import PY_WHITESPACE
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    text = buf.getvalue().replace(PY_WHITESPACE, "<unicode-whitespace>")
+    return re.sub(r"\n{3,}", "\n\n", text).strip()
+
+
 def shape(plan: str) -> dict:
     return {k: len(re.findall(p, plan)) for k, p in PATTERNS.items()}
 
@@ -51,6 +68,8 @@ def main() -> None:
            "| plan | " + " | ".join(keys) + " |", "| --- | " + " | ".join("---" for _ in keys) + " |"]
     for name, s in rows:
         out.append(f"| {name} | " + " | ".join(str(s[k]) for k in keys) + " |")
+    for name in HEADLINE:
+        out += ["", f"## {name}", "", "```", formatted(QUERIES[name](spark, sf)), "```"]
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(path, "w") as f:
         f.write("\n".join(out) + "\n")
