@@ -231,13 +231,13 @@ def pair_char_window(df: DataFrame, max_len: int, prompt="prompt", chosen="chose
     """0 < len(prompt + chosen) <= max_len and the same for rejected (code points)."""
     lc = F.length(F.concat(F.col(prompt), F.col(chosen)))
     lr = F.length(F.concat(F.col(prompt), F.col(rejected)))
-    return df.filter((lc > 0) & (lc <= max_len) & (lr > 0) & (lr <= max_len))
+    return keep_rows(df, (lc > 0) & (lc <= max_len) & (lr > 0) & (lr <= max_len))
 
 
 def pair_token_window(df: DataFrame, max_len: int) -> DataFrame:
     """both token arrays non-empty and at most max_len long."""
     a, b = F.size("input_ids_chosen"), F.size("input_ids_rejected")
-    return df.filter((a > 0) & (a <= max_len) & (b > 0) & (b <= max_len))
+    return keep_rows(df, (a > 0) & (a <= max_len) & (b > 0) & (b <= max_len))
 
 
 # ---------- K8 ----------

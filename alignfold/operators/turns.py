@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from alignfold.functions.rows import keep_rows
 from alignfold.functions.text import col_of, strip
 
 USER_ROLES = ("human", "user")
@@ -33,7 +34,7 @@ def first_user_turn(df: DataFrame, conversations: str = "conversations", out: st
                                                                             strip(t["text"]).alias("text")))
     hit = F.filter(turns, lambda t: t["role"].isin(*USER_ROLES) & (t["text"] != ""))
     q = F.try_element_at(hit, F.lit(1))["text"]
-    return df.withColumn(out, q).filter(F.col(out).isNotNull())
+    return keep_rows(df.withColumn(out, q), F.col(out).isNotNull())
 
 
 def first_user_turn_long(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
@@ -75,9 +76,10 @@ def normalize_dialog(df: DataFrame, conversations: str = "conversations", system
     walk = F.when(cut == 0, F.col("_rest")).otherwise(F.slice("_rest", 1, F.greatest(cut - 1, F.lit(0))))
     kept = F.filter(walk, lambda t, j: t["from"] == F.when(j % 2 == 0, "human").otherwise("gpt"))
     out = out.withColumn("_walk", walk).withColumn("_msgs", F.transform(kept, lambda t: t["value"]))
-    out = out.filter(F.size("_msgs") % 2 == 0)
+    ok = F.size("_msgs") % 2 == 0
     if strict:
-        out = out.filter(F.size("_msgs") == F.size("_walk"))
+        ok = ok & (F.size("_msgs") == F.size("_walk"))
+    out = keep_rows(out, ok)
     row_sys = F.coalesce(F.col(system_col), F.lit("")) if system_col and system_col in df.columns else F.lit("")
     system = F.when(F.col("_own_sys") != "", F.col("_own_sys")).otherwise(row_sys)
     return (out.withColumn("pairs", pair_turns("_msgs")).withColumn("system", system)
