@@ -34,7 +34,7 @@ STRIP_SQL = ("{'src': CASE WHEN len(t.src) > 0 AND t.src[1] = 2 THEN t.src[2:] E
              "'tgt': CASE WHEN len(t.tgt) > 0 AND t.tgt[-1] = 2 THEN t.tgt[1:len(t.tgt) - 1] ELSE t.tgt END}")
 
 
-def pipeline_sql(max_len: int) -> list:
+def token_steps_sql(max_len: int) -> list:
     return [
         FX.SFT_SQL, DIALOG_SQL,
         f"""rendered AS (SELECT conv_id, {TPL.render_dialog_sql('pairs', 'system', QWEN)} AS d FROM dialog)""",
@@ -67,7 +67,7 @@ def examples(spark, sf, max_len=MAX_LEN):
 @query("token_counts", FX.with_ctes(
     """SELECT conv_id, CAST(u.i AS INTEGER) AS k, CAST(len(u.t.src) AS INTEGER) AS n_src, CAST(len(u.t.tgt) AS INTEGER) AS n_tgt
        FROM (SELECT conv_id, unnest(list_transform(turns, lambda t, i: {'t': t, 'i': i - 1})) AS u FROM t1)""",
-    *pipeline_sql(MAX_LEN)))
+    *token_steps_sql(MAX_LEN)))
 def token_counts(spark, sf):
     """K1: tokens per turn side (bos on the first query only)."""
     t = dialogs(spark, sf).select("conv_id", F.posexplode(K.tokenize_dialog("dialog")).alias("k", "t"))
@@ -99,13 +99,13 @@ _SIZES_SQL = """SELECT conv_id, CAST(u.i AS INTEGER) AS k, CAST(len(u.t.src) AS
        FROM (SELECT conv_id, unnest(list_transform(turns, lambda t, i: {'t': t, 'i': i - 1})) AS u FROM {T})"""
 
 
-@query("turn_truncate", FX.with_ctes(_SIZES_SQL.replace("{T}", "t3"), *pipeline_sql(MAX_LEN)))
+@query("turn_truncate", FX.with_ctes(_SIZES_SQL.replace("{T}", "t3"), *token_steps_sql(MAX_LEN)))
 def turn_truncate(spark, sf):
     """K2: per-turn sizes after proportional truncation to 64 tokens."""
     return _turn_sizes(_stage(spark, sf, "truncate"), "turns")
 
 
-@query("eos_strip", FX.with_ctes(_SIZES_SQL.replace("{T}", "t4"), *pipeline_sql(MAX_LEN)))
+@query("eos_strip", FX.with_ctes(_SIZES_SQL.replace("{T}", "t4"), *token_steps_sql(MAX_LEN)))
 def eos_strip(spark, sf):
     """K3: per-turn sizes after dropping a leading source eos / trailing target eos."""
     return _turn_sizes(_stage(spark, sf, "strip"), "turns")
@@ -114,7 +114,7 @@ def eos_strip(spark, sf):
 @query("turn_budget", FX.with_ctes(
     """SELECT conv_id, CAST(len(turns) AS INTEGER) AS n_turns,
               CAST(coalesce(list_sum(list_transform(turns, lambda t: len(t.src) + len(t.tgt) + 1)), 0) AS INTEGER) AS n_tokens
-       FROM t5""", *pipeline_sql(MAX_LEN)))
+       FROM t5""", *token_steps_sql(MAX_LEN)))
 def turn_budget(spark, sf):
     """K4: turns kept under the 64-token budget and their token total."""
     d = _stage(spark, sf, "budget")
@@ -124,7 +124,7 @@ def turn_budget(spark, sf):
 
 @query("pack_turns", FX.with_ctes(
     """SELECT conv_id, array_to_string(input_ids, ' ') AS input_ids, CAST(len(input_ids) AS INTEGER) AS n_attention
-       FROM t6""", *pipeline_sql(MAX_LEN)))
+       FROM t6""", *token_steps_sql(MAX_LEN)))
 def pack_turns(spark, sf):
     """K5: packed input ids (space-joined for comparison) and attention-mask length."""
     e = examples(spark, sf)
@@ -133,7 +133,7 @@ def pack_turns(spark, sf):
 
 @query("pack_turns_long", FX.with_ctes(
     """SELECT conv_id, array_to_string(input_ids, ' ') AS input_ids, CAST(len(input_ids) AS INTEGER) AS n_attention
-       FROM t6""", *pipeline_sql(MAX_LEN)))
+       FROM t6""", *token_steps_sql(MAX_LEN)))
 def pack_turns_long(spark, sf):
     """K1-K6 from the one-row-per-turn long form (no per-conversation turn arrays); same result as pack_turns."""
     convs, pairs = TU.normalize_dialog_long(FX.turns_long(spark, sf))
@@ -142,7 +142,7 @@ def pack_turns_long(spark, sf):
 
 
 @query("label_mask", FX.with_ctes(
-    "SELECT conv_id, array_to_string(labels, ' ') AS labels FROM t6", *pipeline_sql(MAX_LEN)))
+    "SELECT conv_id, array_to_string(labels, ' ') AS labels FROM t6", *token_steps_sql(MAX_LEN)))
 def label_mask(spark, sf):
     """K6: labels with the ignore index over source tokens."""
     return examples(spark, sf).select("conv_id", K.ids_str("labels").alias("labels"))
@@ -150,7 +150,7 @@ def label_mask(spark, sf):
 
 @query("drop_unlabelled", FX.with_ctes(
     "SELECT conv_id, CAST(len(labels) AS INTEGER) AS n_labels FROM t6 WHERE len(list_filter(labels, lambda x: x <> -100)) > 0",
-    *pipeline_sql(MAX_LEN)))
+    *token_steps_sql(MAX_LEN)))
 def drop_unlabelled(spark, sf):
     """examples with at least one trainable label."""
     return K.drop_unlabelled(examples(spark, sf)).select("conv_id", F.size("labels").cast("int").alias("n_labels"))
@@ -158,7 +158,7 @@ def drop_unlabelled(spark, sf):
 
 @query("label_preview", FX.with_ctes(
     "SELECT conv_id, array_to_string(list_transform(labels, lambda x: CASE WHEN x = -100 THEN 0 ELSE x END), ' ') AS preview FROM t6",
-    *pipeline_sql(MAX_LEN)))
+    *token_steps_sql(MAX_LEN)))
 def label_preview(spark, sf):
     """Labels with the ignore index shown as the pad id."""
     return examples(spark, sf).select("conv_id", K.ids_str(K.unmask_labels("labels")).alias("preview"))
@@ -168,7 +168,7 @@ def label_preview(spark, sf):
     f"""SELECT conv_id, batch, CAST(target AS INTEGER) AS padded_len, CAST(target - len(input_ids) AS INTEGER) AS n_pad
         FROM (SELECT conv_id, input_ids, batch, CAST(ceil(max(len(input_ids)) OVER (PARTITION BY batch) / 4.0) * 4 AS INTEGER) AS target
               FROM (SELECT conv_id, input_ids, CAST(floor({hash_unit_sql(0, 'conv_id')} * 4) AS INTEGER) AS batch FROM t6))""",
-    *pipeline_sql(MAX_LEN)))
+    *token_steps_sql(MAX_LEN)))
 def pad_batch(spark, sf):
     """K8: pad each of 4 hash batches to its longest row rounded up to a multiple of 4."""
     e = examples(spark, sf).withColumn("batch", K.batch_of("conv_id", 4))
