@@ -35,12 +35,17 @@ def read_jsonl(spark: SparkSession, path, schema: T.StructType, mode: str = "PER
 
 
 def quarantine(df: DataFrame) -> tuple:
-    """(good rows without the corrupt column, bad rows with only the raw line)."""
+    """(good rows without the corrupt column, bad rows with only the raw line). No caching.
+
+    Spark rejects a raw JSON/CSV scan whose only needed column is the corrupt-record
+    column, so both predicates also read one data column (a bad line has it null).
+    """
     if CORRUPT not in df.columns:
         return df, df.limit(0)
-    df = df.cache()  # Spark requires a materialised frame to filter on the corrupt column alone
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    first = next(c for c in df.columns if c != CORRUPT)
+    anchor = F.col(first).isNull()  # true on every corrupt line; keeps a data column in the scan
+    good = df.filter(F.col(CORRUPT).isNull() | ~anchor).drop(CORRUPT)
+    bad = df.filter(F.col(CORRUPT).isNotNull() & anchor).select(CORRUPT)
     return good, bad
 
 
