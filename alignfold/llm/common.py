@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +70,31 @@ def global_order(df: DataFrame, order: Sequence[Column], out: str, name: str) ->
     return placed.drop(PID, POS, "_off"), total
 
 
+def global_order_sums(df: DataFrame, order: Sequence[Column], value: str, out: str, name: str) -> DataFrame:
+    """df with ``out``: the sum of ``value`` over all rows before it in ``order``. As ``global_order``."""
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(PID, F.spark_partition_id())
+    at = ranged.columns.index(value)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = 0
+        for batch in batches:
+            v = batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64)
+            upto = np.cumsum(v) + before
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(upto - v)], [*batch.schema.names, "_before"])
+            before = int(upto[-1]) if len(v) else before
+
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema.fields)
+    staged = stage(ranged.mapInArrow(run, f"{types}, _before long"), name)
+    offsets, total = [], 0
+    for pid, n in sorted((r[0], r[1] or 0) for r in staged.groupBy(PID).agg(F.sum(value)).collect()):
+        offsets.append((pid, total))
+        total += n
+    off = spark.createDataFrame(offsets or [(0, 0)], f"{PID} int, _off long")
+    return staged.join(F.broadcast(off), PID).withColumn(out, F.col("_off") + F.col("_before")) \
+        .drop(PID, "_off", "_before")
+
+
 def salted_join(rows: DataFrame, stats: DataFrame, key: str, spread: Column, salts: int = 64) -> DataFrame:
     """Inner join of raw rows with one row per key; a hot key is spread over ``salts`` groups."""
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))

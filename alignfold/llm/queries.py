@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alignfold.llm import bpe, sharding
-from alignfold.llm.common import documents, text_or_empty
+from alignfold.llm import bpe, gru_lm, host_rules, licenses, mixing, sharding, simhash, token_files, toxicity, winnow
+from alignfold.llm.common import WORD, documents, id_crc, label_key, text_or_empty
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,5 +32,65 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op3_byte_bpe)}
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = id_crc() % 4 == 2
+    model = toxicity.fit(docs, labels, ~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score",
+                                              (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.regexp_count(text_or_empty(), F.lit(WORD))
+    mixed, targets = mixing.mix(documents(spark, sf_dir), size, F.array("source"), mixing.repeating([3, 1, 2]),
+                                share=1.5, passes=2)
+    # one row per source, at most mixing.MAX_PATTERNS of them
+    table = spark.createDataFrame([("n" if s is None else "s" + s, int(n), float(t)) for s, (n, t) in targets.items()],
+                                  "_source string, source_size long, target double")
+    rows = mixed.withColumn("source", F.expr("CASE WHEN pattern[0] <> 'z' THEN substring(pattern[0], 2) END"))
+    out = rows.withColumn("_source", label_key("source")).join(F.broadcast(table), "_source")
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("given")).alias("taken"),
+                      "source")
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(documents(spark, sf_dir))
+    names = F.array_join(F.array_distinct(F.col("matches.license")), ",")
+    return found.select("doc_id", F.size("matches").cast("long").alias("n_matches"), names.alias("licenses"),
+                        F.array_max("matches.coverage").alias("best_coverage"), "matches")
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.neighbours(documents(spark, sf_dir))
+    return found.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                        winnow.as_text("hashes").alias("fingerprint"),
+                        winnow.as_text("edited_hashes").alias("edited_fingerprint"),
+                        winnow.likeness("hashes", "edited_hashes").alias("near_edited"),
+                        winnow.likeness("hashes", "next_hashes").alias("near_next"))
+
+
+def op8_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.score(documents(spark, sf_dir), id_crc() % 7 != 2)
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    manifest = token_files.write_files(docs, token_files.new_folder(docs), VOCABULARY, PATTERN, end_id=2)
+    return token_files.read_files(manifest)
+
+
+def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = host_rules.judge(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept", "n_lines", "host_bad")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_sharding, op2_simhash, op3_byte_bpe, op4_toxicity, op5_mixing, op6_licenses, op7_fingerprints, op8_gru_lm,
+    op9_token_files, op10_host_rules)}
 ORACLE: dict[str, str] = {}

@@ -1,15 +1,80 @@
-"""The corpus pipeline: each stage calls one operator of ``alignfold.llm`` on what its predecessor kept."""
+"""The corpus pipeline: toxic text goes, text that fails the quality rules goes, one of each group of
+near duplicates stays, sources are mixed to target weights, and what is left is encoded.
+
+Each stage calls one operator of ``alignfold.llm`` on all that its predecessor kept. Toxicity is
+learnt from the labelled documents of the stage's own input.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from alignfold.llm import bpe, host_rules, mixing, simhash, toxicity
+from alignfold.llm.common import WORD, id_crc, scratch_path, text_or_empty
+
+TOXIC_AT = 0.3
+ROW = "_row"
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below TOXIC_AT."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels, id_crc() % 4 != 2)
+    scored = toxicity.score(docs, model, carry=tuple(c for c in docs.columns if c != "doc_id"))
+    return scored.filter(F.col("score") < TOXIC_AT).select(*docs.columns)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rule and whose host is good."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
+    judged = host_rules.judge(docs, carry=others)
+    return judged.filter("kept").select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group the row of the smallest id (null ids last; of rows with one id, the smallest hash)."""
+    key = F.xxhash64(*[F.col(c) for c in docs.columns])
+    found = simhash.near_duplicates(docs.withColumn(ROW, key), carry=(ROW,))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
+    kept = found.groupBy("component").agg(F.min(first).alias("k")).select(F.col(f"k.{ROW}").alias(ROW)).distinct()
+    rows = docs.withColumn(ROW, key).join(kept, ROW)
+    # rows equal in all columns have one key: one of them stays
+    return rows.dropDuplicates([ROW]).select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: not at all, once or twice."""
+    key = F.xxhash64(*[F.col(c) for c in docs.columns])
+    keyed = docs.withColumn(ROW, key)
+    mixed, _ = mixing.mix(keyed, F.regexp_count(text_or_empty(), F.lit(WORD)), F.array("source"),
+                          mixing.repeating([3, 1, 2]), share=1.5, passes=2, carry=(ROW,))
+    times = mixed.groupBy(ROW).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("given")).alias("times"))
+    one = F.col("times").cast("int")
+    return keyed.dropDuplicates([ROW]).join(times, ROW).filter(one > 0) \
+        .withColumn(ROW, F.explode(F.sequence(F.lit(1), one))).select(*docs.columns)
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the digest of the text that they decode to."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    back = bpe.decode(ids, ranks)
+    return back.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
 
-STAGES: list = []
-ORACLE_SQL = None
+STAGES = [("toxicity", toxicity_stage), ("quality", quality_stage), ("near_duplicates", near_duplicate_stage),
+          ("mixing", mixing_stage), ("encoding", encoding_stage)]
+ORACLE_SQL = None  # a trained classifier and a tokenizer: tested against brute force instead
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the table of documents, each written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
