@@ -113,6 +113,20 @@ def slices(batches: Iterator, max_bytes: int = 8 << 20) -> Iterator:
             yield batch.slice(start, step)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def row_key(df: DataFrame) -> Column:
+    """128 bits of all columns as text: rows with one key are equal in every column."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return F.concat(F.hex(F.xxhash64(*cols)), F.lit("-"), F.hex(F.xxhash64(F.lit("second"), *cols)))
+
+
 def prepared(spark: SparkSession) -> SparkSession:
     """The session with the package shipped to Python workers and the checkpoint folder known."""
     ship_package(spark)

@@ -186,21 +186,23 @@ def fit(df: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id",
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-          carry: tuple[str, ...] = ()) -> DataFrame:
-    """Id, carried columns and ``score`` (0 to 1) of every whole text.
+          carry: tuple[str, ...] = (), out: str = "score") -> DataFrame:
+    """Id, carried columns and ``out`` (0 to 1) of every whole text.
 
     The text alone decides. Null and empty texts have no window: all their features are 0. A text
-    of one endless word is one window. Equal texts have equal scores.
+    of one endless word is one window. Equal texts have equal scores. ``out`` must differ from the
+    names carried.
     """
     prepared(df.sparkSession)
-    rows = df.select(F.col(id_col).alias("id"), *[F.col(c) for c in carry], text_or_empty(text_col).alias("whole"))
-    kept = rows.columns[:-1]
+    kept = [id_col, *carry]
+    # by place, so that no name of df can clash with another
+    rows = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], text_or_empty(text_col).alias("whole"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             scores = [model.score(t) for t in batch.column("whole").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(scores, pa.float64())],
-                                             [*kept, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())],
+                                             [*batch.schema.names[:-1], "score"])
 
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{types}, score double").withColumnRenamed("id", id_col)
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    return rows.mapInArrow(run, f"{types}, score double").toDF(*kept, out)
