@@ -8,6 +8,7 @@ window by window, so a score is the log-likelihood of the complete text.
 
 from __future__ import annotations
 
+import heapq
 import io
 from collections import Counter
 from collections.abc import Iterator
@@ -29,7 +30,8 @@ HIDDEN = 32
 TRAIN_TOKENS = 600_000  # the weights are fitted on a seeded sample of training documents of about so many tokens
 EPOCHS = 3
 STREAMS, STEPS = 64, 16  # parallel streams and window of the truncated backpropagation
-LANES = 384  # documents scored side by side
+LANES = 384  # streams scored side by side
+ROWS = 4096  # states whose softmax is taken at once
 END = b""
 
 
@@ -99,7 +101,8 @@ class Network:
         self.p = {"emb": draw(n, hidden), "wx": draw(hidden, 3 * hidden), "wh": draw(hidden, 3 * hidden),
                   "b": np.zeros(3 * hidden, np.float32), "wc": draw(hidden, c) * 0,
                   "bc": np.log(np.maximum(mass, 1) / mass.sum()).astype(np.float32),
-                  "ww": draw(max(f, 1), hidden) * 0, "bw": np.log(words.count[:max(f, 1)] + 1.0).astype(np.float32)}
+                  "ww": draw(max(f, 1), hidden) * 0, "bw": (np.log(words.count[:f] + 1.0) - np.log(mass)[words.class_of()[:f]]).astype(np.float32)
+                  if f else np.zeros(1, np.float32)}
         self.bounds, self.of, self.hidden = words.bounds, words.class_of(), hidden
         self.end = words.rank.get(END, 0)
 
@@ -113,9 +116,12 @@ class Network:
 
     def log_probability(self, h: np.ndarray, number: np.ndarray) -> np.ndarray:
         """Natural log of each token's class, times its share of a word class."""
-        logits = h @ self.p["wc"] + self.p["bc"]
+        logits = h @ self.p["wc"]
+        logits += self.p["bc"]
         of = self.of[number]
-        out = logits[np.arange(len(h)), of] - np.log(np.exp(logits).sum(1))
+        out = logits[np.arange(len(h)), of]
+        np.exp(logits, out=logits)
+        out -= np.log(logits.sum(1))
         order = np.argsort(of, kind="stable")
         cuts = np.searchsorted(of[order], np.arange(len(self.bounds)))
         for c, (a, b) in enumerate(zip(cuts, cuts[1:])):
@@ -123,9 +129,11 @@ class Network:
             if a == b or hi - lo < 2:
                 continue
             rows = order[a:b]
-            x = h[rows] @ self.p["ww"][lo:hi].T + self.p["bw"][lo:hi]
-            x -= x.max(1, keepdims=True)
-            out[rows] += x[np.arange(len(rows)), number[rows] - lo] - np.log(np.exp(x).sum(1))
+            x = h[rows] @ self.p["ww"][lo:hi].T
+            x += self.p["bw"][lo:hi]
+            want = x[np.arange(len(rows)), number[rows] - lo]
+            np.exp(x, out=x)
+            out[rows] += want - np.log(x.sum(1))
         return out
 
     def gradient(self, before: np.ndarray, number: np.ndarray, h: np.ndarray) -> tuple[float, dict, np.ndarray]:
@@ -208,33 +216,48 @@ class Network:
         return losses
 
     def score(self, documents: list[np.ndarray]) -> np.ndarray:
-        """Natural log-likelihood of whole documents (token numbers, the end included). Documents run
-        side by side in lanes, longest first; each lane's state is carried to its document's end."""
+        """Natural log-likelihood of whole documents (token numbers, the end included).
+
+        Documents run side by side in lanes, one after the other in a lane, as in training: the state
+        is carried from window to window and starts from nothing after an end.
+        """
+        if not documents:
+            return np.zeros(0)
         table = self.p["emb"] @ self.p["wx"] + self.p["b"]
+        lanes: list[list[int]] = [[] for _ in range(min(LANES, len(documents)))]
+        load = [(0, i) for i in range(len(lanes))]
+        for d in sorted(range(len(documents)), key=lambda i: -len(documents[i])):  # to the shortest lane
+            size, lane = heapq.heappop(load)
+            lanes[lane].append(d)
+            heapq.heappush(load, (size + len(documents[d]), lane))
+        lanes.sort(key=lambda held: -sum(len(documents[d]) for d in held))
+        size = np.array([sum(len(documents[d]) for d in held) for held in lanes])
+        number = np.zeros((int(size[0]), len(lanes)), np.int32)
+        for j, held in enumerate(lanes):
+            number[:size[j], j] = np.concatenate([documents[d] for d in held])
+        found = np.zeros(number.shape, np.float32)
+        h, last, t = np.zeros((len(lanes), self.hidden), np.float32), np.full(len(lanes), self.end), 0
+        while t < len(number):
+            states, first = [], t
+            until = min(len(number), t + max(8, ROWS // int(np.searchsorted(-size, -t, side="left"))))
+            live = []
+            for t in range(first, until):
+                n = int(np.searchsorted(-size, -t, side="left"))  # lanes with tokens left
+                h = h[:n]
+                h[last[:n] == self.end] = 0
+                h, _ = self.step(table[last[:n]], h)
+                last = number[t, :n]
+                states.append(h)
+                live.append(n)
+            got = self.log_probability(np.concatenate(states), np.concatenate(
+                [number[first + i, :n] for i, n in enumerate(live)]))
+            for i, (n, end) in enumerate(zip(live, np.cumsum(live))):
+                found[first + i, :n] = got[end - n:end]
+            t = until
         out = np.zeros(len(documents))
-        order = sorted(range(len(documents)), key=lambda i: -len(documents[i]))
-        for first in range(0, len(order), LANES):
-            lanes = order[first:first + LANES]
-            size = np.array([len(documents[i]) for i in lanes])
-            h, last = np.zeros((len(lanes), self.hidden), np.float32), np.full(len(lanes), self.end)
-            sums, window = np.zeros(len(lanes)), 32
-            for a in range(0, int(size[0]), window):
-                live = int(np.searchsorted(-size, -a, side="left"))  # lanes with tokens left
-                part = np.zeros((live, window), np.int32)
-                for j in range(live):
-                    got = documents[lanes[j]][a:a + window]
-                    part[j, :len(got)] = got
-                states, want, who = [], [], []
-                for t in range(min(window, int(size[0]) - a)):
-                    live = int(np.searchsorted(-size, -(a + t), side="left"))
-                    h[:live], _ = self.step(table[last[:live]], h[:live])
-                    last[:live] = part[:live, t]
-                    states.append(h[:live].copy())
-                    want.append(part[:live, t])
-                    who.append(np.arange(live))
-                got = self.log_probability(np.concatenate(states), np.concatenate(want))
-                sums += np.bincount(np.concatenate(who), got, minlength=len(lanes))
-            out[lanes] = sums
+        for j, held in enumerate(lanes):
+            starts = np.cumsum([0] + [len(documents[d]) for d in held[:-1]])
+            out[held] = np.add.reduceat(found[:size[j], j].astype(np.float64), starts)
         return out
 
     def saved(self) -> bytes:
@@ -340,7 +363,7 @@ def score(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
             made["net"] = Network(words).load(raw)
         net, unseen = made["net"], np.log10(words.total + words.types + 1)
         log_mass = np.log10(words.mass)
-        for batch in slices(batches):
+        for batch in slices(batches, 32 << 20):  # enough documents to fill the lanes
             texts, numbers, rows = batch.column("whole").to_pylist(), [], []
             for text in texts:
                 got = tokens(text or "")

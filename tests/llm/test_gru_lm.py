@@ -124,7 +124,7 @@ def test_training_learns_order():
     words = table([" ".join(stream)])
     net = gru_lm.Network(words, hidden=8)
     before = net.score([words.numbers(gru_lm.tokens(" ".join(stream)))[1]])[0]
-    losses = net.train(np.tile(words.numbers(gru_lm.tokens(" ".join(stream)))[1], 4), epochs=4)
+    losses = net.train(np.tile(words.numbers(gru_lm.tokens(" ".join(stream)))[1], 4), epochs=60)
     after = net.score([words.numbers(gru_lm.tokens(" ".join(stream)))[1]])[0]
     assert losses[-1] < losses[0] and after > 0.6 * before
 
