@@ -11,6 +11,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from alignfold.operators import prompts as P
 from alignfold.operators import rewards as R
 from alignfold.operators import splits as S
 from alignfold.operators import turns as TU
-from alignfold.session import get_spark
+from alignfold.session import checkpoint_dir, get_spark
 from alignfold.sources import io
 
 
@@ -29,8 +30,9 @@ def _prompts(spark, a) -> dict:
     sft, _ = io.quarantine(io.read_jsonl(spark, a.sft, SFT))
     pref, _ = io.quarantine(io.read_jsonl(spark, a.dpo, PREFERENCE))
     # both question sets feed the output, the funnel and the overlap report: read the inputs once
-    sq = TU.first_user_turn(sft).select("question").persist()
-    pq = TU.extract_questions(pref).persist()
+    work = f"{checkpoint_dir(spark)}/cli-{uuid.uuid4().hex}"
+    sq = io.ensure_stage(spark, f"{work}/sft", lambda: TU.first_user_turn(sft).select("question"))
+    pq = io.ensure_stage(spark, f"{work}/preference", lambda: TU.extract_questions(pref))
     ps = S.build_prompt_set(sq, pq, min_len=a.min_length, sort=False)
     if a.format == "conversation":  # sorted by question, written as [{from: human, value}]
         io.write_jsonl(P.to_conversation_prompts(ps.orderBy("question")).select("conversations"), a.out,
@@ -39,8 +41,6 @@ def _prompts(spark, a) -> dict:
         io.write_jsonl(ps, a.out, order_by=["question"], single_file=a.single_file)
     funnel = {r.stage: r.n for r in S.prompt_set_funnel(sq, pq, a.min_length).collect()}
     overlap = S.source_overlap(sq, pq).first().asDict()
-    sq.unpersist()
-    pq.unpersist()
     return {"funnel": funnel, "overlap": {"only_sft": overlap["only_a"], "only_preference": overlap["only_b"],
                                           "both": overlap["both"]}}
 
@@ -53,17 +53,21 @@ def _rm_data(spark, a) -> dict:
 
 
 def _score(spark, a) -> dict:
-    res = io.read_results(spark, a.results).withColumnRenamed("Output", "content")
+    good, bad = io.quarantine(io.read_results(spark, a.results))
+    res = good.withColumnRenamed("Output", "content")
     scored = R.score(res, load_lexicon(a.lexicon))
     io.write_jsonl(scored.select("q_id", "q_text", "entity", "structure", "safety", "length", "combined"), a.out,
                    single_file=a.single_file)
     means = scored.agg(*[F.avg(c).alias(c) for c in ("entity", "structure", "safety", "length", "combined")]).first()
-    return {"means": means.asDict()}
+    return {"means": means.asDict(), "quarantined_lines": bad.count()}
 
 
 def _metrics(spark, a) -> dict:
-    wide = M.list_metrics(io.read_metrics(spark, a.glob))
-    return {"runs": [r.asDict() for r in wide.orderBy("run").collect()]}  # one small row per run
+    found = io.read_metrics(spark, a.glob)
+    wide = M.list_metrics(found.filter(F.col("value").isNotNull()))
+    unread = found.filter(F.col("raw").isNotNull()).select("run", "metric").collect()
+    return {"runs": [r.asDict() for r in wide.orderBy("run").collect()],  # one small row per run
+            "unread": [r.asDict() for r in unread]}
 
 
 def main(argv=None) -> dict:

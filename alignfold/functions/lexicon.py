@@ -6,9 +6,6 @@ import csv
 import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
-
-from alignfold.functions.schemas import LEXICON
 
 DATA_DIR = os.path.join(os.path.dirname(os.path.dirname(__file__)), "data")
 ENTITY_CATEGORIES = ("drug", "symptom", "diagnosis", "care")
@@ -38,6 +35,3 @@ def load_lexicon(name_or_path: str = "clinical") -> Lexicon:
             terms[row["category"]].append(row["term"])
     return Lexicon({k: tuple(v) for k, v in terms.items()})
 
-
-def lexicon_df(spark: SparkSession, lex: Lexicon) -> DataFrame:
-    return spark.createDataFrame(lex.rows(), LEXICON)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,3 +18,23 @@ def keep_rows(df: DataFrame, cond: Column) -> DataFrame:
     """
     flag = F.when(cond, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
     return df.withColumn("_keep", F.explode(flag)).drop("_keep")
+
+
+def join_back(rows: DataFrame, stats: DataFrame, keys: Sequence[str], spread: Sequence[str], how: str = "inner",
+              salts: int = 32) -> DataFrame:
+    """Raw rows joined with one row per key, with the rows of a hot key spread over ``salts`` groups.
+
+    An aggregate above its exchange is no plain shuffle stage, so adaptive skew splitting does not
+    act on such a join. The small side is repeated ``salts`` times and each row picks one by the hash
+    of its ``spread`` columns. Keys are compared null-safely: no row is lost for a null key. With
+    ``how='left_semi'`` / ``'left_anti'`` the rows are filtered.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(salts)).cast("int")
+    left = rows.withColumn("_salt", salt)
+    right = stats.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+                         *[c for c in stats.columns if c not in keys]) \
+        .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    cond = F.col("_salt") == F.col("_copy")
+    for i, k in enumerate(keys):
+        cond &= left[k].eqNullSafe(F.col(f"_key{i}"))
+    return left.join(right, cond, how).drop("_salt", "_copy", *[f"_key{i}" for i in range(len(keys))])

@@ -7,9 +7,7 @@ a SQL form (returns a DuckDB/ANSI expression string) that computes the same valu
 from __future__ import annotations
 
 import sys
-from typing import Iterable, Iterator, Sequence
-
-import pandas as pd
+from typing import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,19 +39,14 @@ def count_hits(c, terms: Sequence[str]) -> Column:
     """Number of distinct terms that occur as case-sensitive substrings of ``c``.
 
     Overlapping terms each count once (a longer term also hits its shorter
-    prefix term). Null or empty text gives 0.
+    prefix term); the empty term occurs in every text. Null text gives 0 hits but for
+    the empty term. One form for any number of terms: the terms are one constant array.
     """
-    c = col_of(c)
     terms = list(dict.fromkeys(terms))
     if not terms:
         return F.lit(0)
-    if len(terms) > LARGE_LEXICON:
-        return _count_hits_automaton(terms)(c)
-    expr = None
-    for t in terms:
-        e = F.when(F.coalesce(c.contains(t), F.lit(False)), 1).otherwise(0)
-        expr = e if expr is None else expr + e
-    return expr
+    text = F.coalesce(col_of(c), F.lit(""))
+    return F.size(F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(text, t)))
 
 
 def count_hits_sql(expr: str, terms: Sequence[str]) -> str:
@@ -64,36 +57,6 @@ def count_hits_sql(expr: str, terms: Sequence[str]) -> str:
     return "(" + " + ".join(parts) + ")"
 
 
-# Above this many terms a chain of ``contains`` gets long for codegen; an
-# Aho-Corasick automaton per Arrow batch (built once per task) is used instead.
-LARGE_LEXICON = 1024
-
-
-def _count_hits_automaton(terms: Sequence[str]):
-    from pyspark.sql import SparkSession
-
-    from alignfold.session import ship_package
-
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        ship_package(active)
-    frozen = tuple(terms)
-
-    @F.pandas_udf("int")
-    def hits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-
-        a = ahocorasick.Automaton()  # built once per task, reused for every batch
-        for i, t in enumerate(frozen):
-            a.add_word(t, i)
-        a.make_automaton()
-        for s in batches:
-            out = [len({i for _, i in a.iter(x)}) if isinstance(x, str) and x else 0 for x in s]
-            yield pd.Series(out, dtype="int32")
-
-    return hits
-
-
 def sql_str(s: str) -> str:
     """A SQL string literal."""
     return "'" + s.replace("'", "''") + "'"
@@ -126,10 +89,6 @@ def hash_unit_sql(seed: int, expr: str) -> str:
     return f"(CAST(('0x' || substr({seeded_key_sql(seed, expr)}, 1, 7)) AS BIGINT) / {float(16 ** 7)})"
 
 
-def terms_array(terms: Iterable[str]) -> Column:
-    return F.array(*[F.lit(t) for t in terms])
-
-
 def as_instant(df, ts: str) -> Column:
     """Event time as an instant. TIMESTAMP_NTZ (wall clock, e.g. parquet without UTC adjustment)
     is read as UTC, so windows, watermarks and epoch buckets do not depend on the session zone."""

@@ -7,8 +7,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alignfold.functions.rows import keep_rows
-from alignfold.functions.text import content_hash, count_hits, hash_unit
+from alignfold.functions.rows import join_back, keep_rows
+from alignfold.functions.text import blank, content_hash, count_hits, hash_unit
 
 PLACEHOLDER = r"\{[A-Za-z_][A-Za-z0-9_]*\}"
 
@@ -20,16 +20,13 @@ def min_length(df: DataFrame, col: str, n: int = 8) -> DataFrame:
 
 
 def non_empty(df: DataFrame, col: str) -> DataFrame:
-    return df.filter(F.length(F.coalesce(F.col(col), F.lit(""))) > 0)
+    """Drop rows whose text is null, empty or white space only."""
+    return df.filter(~blank(col))
 
 
 # ---------- F7 ----------
 def keyword_filter(df: DataFrame, col: str, terms: Sequence[str], min_hits: int = 1, out: str | None = "hits"):
-    """Keep rows hitting at least ``min_hits`` distinct terms (case-sensitive substrings).
-
-    Up to ~1k terms a chain of ``contains`` stays in whole-stage codegen; above that
-    an Aho-Corasick automaton per Arrow batch is used (see ``count_hits``).
-    """
+    """Keep rows hitting at least ``min_hits`` distinct terms (case-sensitive substrings)."""
     name = out or "_hits"
     res = keep_rows(df.withColumn(name, count_hits(F.col(col), terms)), F.col(name) >= min_hits)
     return res if out else res.drop(name)
@@ -99,8 +96,8 @@ def semantic_scores(cand: DataFrame, anchors: DataFrame, key: str = "vec_id", ve
     turn (candidates are re-read, never shuffled), and the per-block maxima and top-k lists are
     merged per candidate in one aggregation. Never emits candidate x anchor rows.
     """
-    dim = len(anchors.select(vec).first()[0])
-    n_anchor = anchors.count()
+    size = anchors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec)).alias("dim")).first()
+    n_anchor, dim = size["n"], size["dim"]
     if n_anchor == 0:
         return cand.select(F.col(key).cast("long"), F.lit(None).cast("double").alias("max_sim"),
                            F.lit(None).cast("double").alias("topk_mean"))
@@ -150,7 +147,9 @@ def repeated_values(df: DataFrame, col: str, min_count: int) -> DataFrame:
 def drop_repeated(df: DataFrame, col: str, min_count: int) -> DataFrame:
     """Drop every row whose value is one of the repeated placeholders (anti-join on the hash)."""
     bad = repeated_values(df, col, min_count).select("value_hash")
-    return df.withColumn("value_hash", content_hash(col)).join(bad, "value_hash", "left_anti").drop("value_hash")
+    others = [c for c in df.columns if c != col] or [col]
+    return join_back(df.withColumn("value_hash", content_hash(col)), bad, ["value_hash"], others, "left_anti") \
+        .drop("value_hash")
 
 
 # ---------- F11 ----------
@@ -169,15 +168,18 @@ def length_match(df: DataFrame, tol: float, chosen: str = "response_chosen", rej
 def fill_quota(base: DataFrame, pool: DataFrame, stratum: str, target: int, seed: int, key: str) -> DataFrame:
     """Rows of ``pool`` that top each stratum of ``base`` up to ``target`` rows, chosen by seeded hash.
 
-    Exact and skew-proof: the pool is globally ordered by (stratum, hash) with range
-    partitions (a hot stratum spans many partitions), each row's index within its stratum
-    is its global index minus the stratum's first index, and rows below the gap are kept.
+    Exact and skew-proof: the pool's strata that have a gap are globally ordered by (stratum, hash)
+    with range partitions (a hot stratum spans many partitions), each row's index within its stratum
+    is its global index minus the stratum's first index, and rows below the gap are kept. A null
+    stratum is one of its own.
     """
     from alignfold.operators.splits import with_row_index
 
     have = base.groupBy(stratum).agg(F.count(F.lit(1)).alias("_have"))
-    idx = with_row_index(pool, [F.col(stratum), hash_unit(seed, key), F.col(key)], out="_gidx")
+    open_ = join_back(pool, have.filter(F.col("_have") >= target), [stratum], [key], "left_anti")
+    idx = with_row_index(open_, [F.col(stratum), hash_unit(seed, key), F.col(key)], out="_gidx")
     first = idx.groupBy(stratum).agg(F.min("_gidx").alias("_first"))
-    ranked = idx.join(first, stratum).join(have, stratum, "left")
-    gap = F.greatest(F.lit(target) - F.coalesce(F.col("_have"), F.lit(0)), F.lit(0))
-    return ranked.filter(F.col("_gidx") - F.col("_first") < gap).drop("_gidx", "_first", "_have")
+    gaps = first.join(have.withColumnRenamed(stratum, "_stratum"), F.col(stratum).eqNullSafe(F.col("_stratum")), "left") \
+        .select(stratum, "_first", (F.lit(target) - F.coalesce(F.col("_have"), F.lit(0))).alias("_gap"))
+    ranked = join_back(idx, gaps, [stratum], [key])
+    return ranked.filter(F.col("_gidx") - F.col("_first") < F.col("_gap")).drop("_gidx", "_first", "_gap")

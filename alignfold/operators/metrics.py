@@ -195,9 +195,11 @@ def metric_windows(metrics: DataFrame, size: str = "2 hours", slide: str = "1 ho
             .select("run", "metric", F.unix_timestamp("w.start").alias("window_start"), "mean", "sd", "n"))
 
 
-def list_metrics(metrics_long: DataFrame, run: str = "run") -> DataFrame:
-    """One row per run, one column per metric name."""
-    return metrics_long.groupBy(run).pivot("metric").agg(F.first("value"))
+def list_metrics(metrics_long: DataFrame, run: str = "run", names: Sequence[str] | None = None) -> DataFrame:
+    """One row per run, one column per metric name. With ``names`` the columns are known and no
+    job has to look for them first."""
+    pivot = metrics_long.groupBy(run).pivot("metric", list(names) if names is not None else None)
+    return pivot.agg(F.max("value"))
 
 
 # ---------- J2 / J3 ----------

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alignfold.functions.lexicon import ENTITY_CATEGORIES, Lexicon
-from alignfold.functions.text import PY_WHITESPACE, col_of, count_hits, count_hits_sql, strip, strip_sql
+from alignfold.functions.rows import join_back
+from alignfold.functions.text import col_of, count_hits, count_hits_sql, strip, strip_sql
 
 # FIXED VALUES of the scoring rules (basis points, 10000 = 1.0).
 NUMBERED_MARK = r"[1-9][.、]|[一二三四五六七八九十][、.]"
@@ -30,45 +31,18 @@ def _c(content) -> Column:
     return F.coalesce(col_of(content), F.lit(""))
 
 
-# With a column *name*, each rule is emitted as one Spark SQL expression: one parse on the
-# driver instead of hundreds of Column calls, and the same whole-stage-codegen'd plan.
-def _named(content) -> bool:
-    return isinstance(content, str)
-
-
-def _e(name: str) -> str:
-    return "coalesce(`" + name.replace("`", "``") + "`, '')"
-
-
-def _lit(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _hits(e: str, terms) -> str:
-    terms = list(dict.fromkeys(terms))
-    if not terms:
-        return "0"
-    return "(" + " + ".join(f"(CASE WHEN contains({e}, {_lit(t)}) THEN 1 ELSE 0 END)" for t in terms) + ")"
-
-
-def _small(lex: Lexicon, *cats) -> bool:
-    from alignfold.functions.text import LARGE_LEXICON
-
-    return all(len(lex.get(c)) <= LARGE_LEXICON for c in cats)
+def _steps(n: Column, values: Sequence[int]) -> Column:
+    """The value for 0, 1, 2, ... of a count; the last one for all larger counts. ``n`` stands once,
+    so a costly count is not computed again in every branch."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), F.least(n, F.lit(len(values) - 1)) + 1)
 
 
 # ---------- R1 entity coverage ----------
 def entity_bp(content, lex: Lexicon) -> Column:
-    if _named(content) and _small(lex, *ENTITY_CATEGORIES):
-        e = _e(content)
-        parts = [f"(CASE WHEN {_hits(e, lex.get(cat))} > 0 THEN least(10, {_hits(e, lex.get(cat))} + 6) * {ENTITY_STEP_BP} "
-                 f"ELSE 0 END)" for cat in ENTITY_CATEGORIES]
-        return F.expr("(" + " + ".join(parts) + ")")
     c = _c(content)
     total = F.lit(0)
     for cat in ENTITY_CATEGORIES:
-        h = count_hits(c, lex.get(cat))
-        total = total + F.when(h > 0, F.least(F.lit(10), h + 6) * ENTITY_STEP_BP).otherwise(0)
+        total = total + _steps(count_hits(c, lex.get(cat)), [0, *(ENTITY_STEP_BP * n for n in (7, 8, 9, 10))])
     return total
 
 
@@ -82,8 +56,7 @@ def entity_bp_sql(expr: str, lex: Lexicon) -> str:
 
 # ---------- R2 structure ----------
 def _tier(n: Column, lo_hi, one_at: int) -> Column:
-    lo, hi = lo_hi
-    return F.when(n >= one_at + 1, hi).when(n >= one_at, lo).otherwise(0)
+    return _steps(n, [0] * one_at + list(lo_hi))
 
 
 def _tier_sql(n: str, lo_hi, one_at: int) -> str:
@@ -107,20 +80,7 @@ def nonblank_lines_sql(expr: str) -> str:
     return f"len(list_filter(string_split(coalesce({expr}, ''), chr(10)), lambda p: {strip_sql('p')} <> ''))"
 
 
-def _tier_spark(n: str, lo_hi, one_at: int) -> str:
-    lo, hi = lo_hi
-    return f"(CASE WHEN {n} >= {one_at + 1} THEN {hi} WHEN {n} >= {one_at} THEN {lo} ELSE 0 END)"
-
-
 def structure_bp(content, lex: Lexicon) -> Column:
-    if _named(content) and _small(lex, "think", "advice"):
-        e = _e(content)
-        lines = f"size(filter(split({e}, {_lit(chr(10))}), p -> trim(BOTH {_lit(PY_WHITESPACE)} FROM p) <> ''))"
-        return F.expr("(" + " + ".join([
-            _tier_spark(_hits(e, lex.get("think")), STRUCT_BP["think"], 1),
-            _tier_spark(_hits(e, lex.get("advice")), STRUCT_BP["advice"], 1),
-            _tier_spark(f"regexp_count({e}, {_lit(NUMBERED_MARK)})", STRUCT_BP["numbered"], 2),
-            _tier_spark(lines, STRUCT_BP["lines"], 2)]) + ")")
     c = _c(content)
     return (_tier(count_hits(c, lex.get("think")), STRUCT_BP["think"], 1)
             + _tier(count_hits(c, lex.get("advice")), STRUCT_BP["advice"], 1)
@@ -137,19 +97,9 @@ def structure_bp_sql(expr: str, lex: Lexicon) -> str:
 
 # ---------- R3 safety ----------
 def safety_bp(content, lex: Lexicon) -> Column:
-    if _named(content) and _small(lex, "safety", "danger"):
-        e = _e(content)
-        sh, dh = _hits(e, lex.get("safety")), _hits(e, lex.get("danger"))
-        b1, b2, b3 = SAFETY_BONUS_BP
-        raw = (f"({SAFETY_BASE_BP} + (CASE WHEN {sh} >= 3 THEN {b3} WHEN {sh} >= 2 THEN {b2} WHEN {sh} >= 1 THEN {b1} "
-               f"ELSE 0 END) - {dh} * {DANGER_BP})")
-        return F.expr(f"(CASE WHEN {e} = '' THEN 0 ELSE greatest(0, least(10000, {raw})) END)")
     c = _c(content)
-    s = count_hits(c, lex.get("safety"))
-    d = count_hits(c, lex.get("danger"))
-    b1, b2, b3 = SAFETY_BONUS_BP
-    raw = (F.lit(SAFETY_BASE_BP) + F.when(s >= 3, b3).when(s >= 2, b2).when(s >= 1, b1).otherwise(0)
-           - d * DANGER_BP)
+    bonus = _steps(count_hits(c, lex.get("safety")), [0, *SAFETY_BONUS_BP])
+    raw = F.lit(SAFETY_BASE_BP) + bonus - count_hits(c, lex.get("danger")) * DANGER_BP
     return F.when(c == "", 0).otherwise(F.greatest(F.lit(0), F.least(F.lit(10000), raw)))
 
 
@@ -164,11 +114,6 @@ def safety_bp_sql(expr: str, lex: Lexicon) -> str:
 
 # ---------- R4 length ----------
 def length_bp(content) -> Column:
-    if _named(content):
-        n = f"length({_e(content)})"
-        return F.expr(f"(CASE WHEN {n} < 50 THEN 0 WHEN {n} < 100 THEN 2000 WHEN {n} < 200 THEN 5000 + 30 * ({n} - 100) "
-                      f"WHEN {n} <= 1500 THEN 10000 WHEN {n} <= 2500 THEN 10000 - 3 * ({n} - 1500) "
-                      f"ELSE greatest(1000, 7000 - 3 * ({n} - 2500)) END)")
     n = F.length(_c(content))
     return (F.when(n < 50, 0).when(n < 100, 2000).when(n < 200, 5000 + 30 * (n - 100))
             .when(n <= 1500, 10000).when(n <= 2500, 10000 - 3 * (n - 1500))
@@ -280,28 +225,31 @@ def score_with(df: DataFrame, fn, prompt: str = "prompt", content: str = "conten
 
 
 # ---------- R8 / R9 / R10 / J7 group operators ----------
-def _group_stats(df: DataFrame, group: str, reward: str) -> DataFrame:
-    # One partial+final aggregate per group: a hot prompt is pre-aggregated map-side,
-    # and the join back is a many-to-one join that AQE's skew handling can split.
-    return df.groupBy(group).agg(
+def _with_group_stats(df: DataFrame, group: str, reward: str, tie: str | None) -> DataFrame:
+    """Every row with its group's count, sum, mean and std: a partial + final aggregate joined back
+    with the hot groups spread (see ``join_back``). A null group is a group of its own."""
+    st = df.groupBy(group).agg(
         F.count(F.lit(1)).alias("_k"), F.sum(reward).alias("_sum"), F.avg(reward).alias("_mean"),
         F.stddev_samp(reward).alias("_sd"))
+    spread = [c for c in (tie, reward) if c and c in df.columns]
+    return join_back(df, st, [group], spread)
 
 
 def group_advantage(df: DataFrame, group: str = "prompt_id", reward: str = "reward", eps: float = 1e-4,
-                    out: str = "advantage") -> DataFrame:
-    """R8 (GRPO): (r - group mean) / (group sample std + eps); a group of one gives 0."""
-    st = _group_stats(df, group, reward)
-    j = df.join(st, group)
+                    out: str = "advantage", tie: str = "gen_id") -> DataFrame:
+    """R8 (GRPO): (r - group mean) / (group sample std + eps); a group of one gives 0.
+
+    ``_k`` counts rows; a null reward has a null advantage and does not enter the mean."""
+    j = _with_group_stats(df, group, reward, tie)
     adv = F.when(F.col("_k") <= 1, F.lit(0.0)).otherwise(
         (F.col(reward) - F.col("_mean")) / (F.coalesce(F.col("_sd"), F.lit(0.0)) + F.lit(eps)))
     return j.withColumn(out, adv).drop("_k", "_sum", "_mean", "_sd")
 
 
-def rloo_advantage(df: DataFrame, group: str = "prompt_id", reward: str = "reward", out: str = "advantage"):
+def rloo_advantage(df: DataFrame, group: str = "prompt_id", reward: str = "reward", out: str = "advantage",
+                   tie: str = "gen_id"):
     """R9 (RLOO): r - mean of the other k-1 rewards; k = 1 gives 0."""
-    st = _group_stats(df, group, reward)
-    j = df.join(st, group)
+    j = _with_group_stats(df, group, reward, tie)
     adv = F.when(F.col("_k") <= 1, F.lit(0.0)).otherwise(
         F.col(reward) - (F.col("_sum") - F.col(reward)) / (F.col("_k") - 1))
     return j.withColumn(out, adv).drop("_k", "_sum", "_mean", "_sd")
@@ -314,7 +262,8 @@ def group_rank(df: DataFrame, group: str = "prompt_id", reward: str = "reward",
     ``method='index'`` (default) is skew-proof: one global order on (group, reward desc, tie)
     over range partitions (a hot group spans many partitions), then row_number = position -
     group start + 1 and rank = first position of the (group, reward) tie run - group start + 1.
-    ``method='window'`` is the plain per-group window (one task per group).
+    Null groups are one group and null rewards rank last, as in a window. NaN ranks first, as Spark
+    orders it. ``method='window'`` is the plain per-group window (one task per group).
     """
     if method == "window":
         from pyspark.sql import Window
@@ -327,7 +276,7 @@ def group_rank(df: DataFrame, group: str = "prompt_id", reward: str = "reward",
     idx = with_row_index(df, [F.col(group), F.col(reward).desc(), F.col(tie)], out="_gpos")
     start = idx.groupBy(group).agg(F.min("_gpos").alias("_start"))
     runs = idx.groupBy(group, reward).agg(F.min("_gpos").alias("_run"))
-    out = idx.join(start, group).join(runs, [group, reward])
+    out = join_back(join_back(idx, start, [group], ["_gpos"]), runs, [group, reward], ["_gpos"])
     return (out.withColumn("rank", (F.col("_run") - F.col("_start") + 1).cast("int"))
             .withColumn("row_number", (F.col("_gpos") - F.col("_start") + 1).cast("int"))
             .drop("_gpos", "_start", "_run"))
@@ -335,20 +284,32 @@ def group_rank(df: DataFrame, group: str = "prompt_id", reward: str = "reward",
 
 def best_of_n(df: DataFrame, group: str = "prompt_id", reward: str = "reward", tie: str = "gen_id",
               payload: Sequence[str] = ("content",)) -> DataFrame:
-    """R10 best-of-n as an aggregate (max_by on (reward, -tie)): no window, partial aggregation."""
-    key = F.struct(F.col(reward), (-F.col(tie)).alias("_t"))
+    """R10 best-of-n as an aggregate (max_by on (reward, -tie)): no window, partial aggregation.
+
+    A reward that is null or NaN is no reward: such samples are never the best, and a group of
+    nothing else has a null reward and choice."""
+    r = _real(reward)
+    key = F.when(r.isNotNull(), F.struct(r.alias("_r"), (-F.col(tie)).alias("_t")))
     sel = [F.max_by(F.col(c), key).alias(c) for c in (tie, *payload)]
-    return df.groupBy(group).agg(F.max(reward).alias(reward), *sel, F.count(F.lit(1)).alias("n"))
+    return df.groupBy(group).agg(F.max(r).alias(reward), *sel, F.count(F.lit(1)).alias("n"))
+
+
+def _real(reward: str) -> Column:
+    """The reward, null where it is NaN."""
+    r = F.col(reward).cast("double")
+    return F.when(~F.isnan(r), r)
 
 
 def pairs_from_scores(df: DataFrame, group: str = "prompt_id", reward: str = "reward", tie: str = "gen_id",
                       content: str = "content") -> DataFrame:
-    """Best and worst sample of a group become (chosen, rejected); no pair when best == worst score."""
-    hi = F.struct(F.col(reward), (-F.col(tie)).alias("_t"))
-    lo = F.struct(F.col(reward), F.col(tie))
+    """Best and worst sample of a group become (chosen, rejected); no pair when best == worst score.
+    Samples whose reward is null or NaN take no part."""
+    r = _real(reward)
+    hi = F.when(r.isNotNull(), F.struct(r.alias("_r"), (-F.col(tie)).alias("_t")))
+    lo = F.when(r.isNotNull(), F.struct(r.alias("_r"), F.col(tie).alias("_t")))
     g = df.groupBy(group).agg(
         F.max_by(F.col(content), hi).alias("chosen"), F.max_by(F.col(tie), hi).alias("chosen_id"),
-        F.max(reward).alias("chosen_reward"),
+        F.max(r).alias("chosen_reward"),
         F.min_by(F.col(content), lo).alias("rejected"), F.min_by(F.col(tie), lo).alias("rejected_id"),
-        F.min(reward).alias("rejected_reward"))
+        F.min(r).alias("rejected_reward"))
     return g.filter(F.col("chosen_reward") > F.col("rejected_reward"))

@@ -13,6 +13,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from alignfold.functions.rows import join_back
 from alignfold.functions.text import col_of, content_hash, hash_unit, seeded_key
 from alignfold.session import cut_lineage
 
@@ -61,18 +62,10 @@ def shuffle(df: DataFrame, seed: int, key: str) -> DataFrame:
     return df.orderBy(seeded_key(seed, key), F.col(key))
 
 
-# Up to this many rows a top-k (TakeOrderedAndProject) is cheapest; above it the k rows would
-# be merged in one task, so the distributed row index is used instead.
-TOPK_MAX = 100_000
-
-
 def take_n(df: DataFrame, n: int | None, order_cols: Sequence) -> DataFrame:
     """Head-n in a declared order; n <= 0 or None means all rows (capped at the row count)."""
-    if n is None or n <= 0:
-        return df.orderBy(*order_cols)
-    if n <= TOPK_MAX:
-        return df.orderBy(*order_cols).limit(n)
-    return with_row_index(df, order_cols, out="_take").filter(F.col("_take") < n).drop("_take")
+    ordered = df.orderBy(*order_cols)
+    return ordered if n is None or n <= 0 else ordered.limit(n)
 
 
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
@@ -211,11 +204,8 @@ def union_sources(sources: Mapping[str, DataFrame], col: str = "question") -> Da
     return out
 
 
-def source_counts(union: DataFrame) -> DataFrame:
-    return union.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-
-
 def overlap_rows(train: DataFrame, val: DataFrame, key: str) -> DataFrame:
     """Rows of train whose content also occurs in val (semi-join on a 64-byte content hash)."""
     v = val.select(content_hash(key).alias("_h")).distinct()
-    return train.withColumn("_h", content_hash(key)).join(v, "_h", "left_semi").drop("_h")
+    others = [c for c in train.columns if c != key] or [key]
+    return join_back(train.withColumn("_h", content_hash(key)), v, ["_h"], others, "left_semi").drop("_h")

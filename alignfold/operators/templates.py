@@ -108,8 +108,3 @@ def render_prompt_sql(pairs: str, system: str | None, t: Template) -> str:
 def with_template(df: DataFrame, template_col: str = "template") -> DataFrame:
     """Attach t_* columns for a per-row template name (broadcast of the fixed 29-row registry)."""
     return df.join(F.broadcast(templates_df(df.sparkSession)), template_col, "left")
-
-
-def cut_at_stop(c, stop: str) -> Column:
-    """First part before the stop string (whole text if absent)."""
-    return F.substring_index(col_of(c), stop, 1)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alignfold.functions.rows import keep_rows  # noqa: F401  (re-exported)
+from alignfold.functions.rows import join_back, keep_rows  # noqa: F401  (re-exported)
 from alignfold.functions.text import PY_WHITESPACE, col_of, hash_unit
 
 PAD_ID, BOS_ID, EOS_ID, IGNORE_INDEX = 0, 1, 2, -100
@@ -252,7 +252,9 @@ def pad_batch(df: DataFrame, batch_key: str, multiple: int = 4, pad_id: int = PA
     The per-batch maximum is a grouped aggregate joined back (no window over a hot batch).
     """
     mx = df.groupBy(batch_key).agg(F.max(F.size("input_ids")).alias("_mx"))
-    j = df.join(mx, batch_key).withColumn("_target", (F.ceil(F.col("_mx") / multiple) * multiple).cast("int"))
+    others = [c for c in df.columns if c not in (batch_key, "attention_mask", "labels")]
+    j = join_back(df, mx, [batch_key], others).withColumn(
+        "_target", (F.ceil(F.col("_mx") / multiple) * multiple).cast("int"))
     return j.withColumns({
         "input_ids": pad_arrays("input_ids", F.col("_target"), pad_id),
         "attention_mask": pad_arrays("attention_mask", F.col("_target"), 0),

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from alignfold.operators import infer as INF
 from alignfold.operators import metrics as M
 from alignfold.plans import fixtures as FX
-from alignfold.plans.q_prompts import pref_questions, sft_questions
+from alignfold.functions.text import strip_sql
+from alignfold.operators import prompts as P
+from alignfold.plans.q_prompts import PREFQ_SQL, SFTQ_SQL, pref_questions, sft_questions
 from alignfold.operators import splits as S
 from alignfold.plans.registry import query
 
@@ -70,10 +72,10 @@ def score_breakdown(spark, sf):
 @query("length_stats", FX.with_ctes(
     """SELECT model, round(avg(length(text)), 6) AS mean_len, CAST(min(length(text)) AS INTEGER) AS min_len,
               CAST(max(length(text)) AS INTEGER) AS max_len, round(quantile_cont(length(text), 0.5), 6) AS median_len
-       FROM docs_scored GROUP BY model""", FX.DOCS_SCORED_SQL))
+       FROM (SELECT source AS model, text FROM documents) GROUP BY model"""))
 def length_stats(spark, sf):
-    """Completion length statistics per model."""
-    s = M.length_stats(FX.docs_scored(spark, sf))
+    """Text length statistics per source over all documents."""
+    s = M.length_stats(FX.table(spark, sf, "documents").withColumnRenamed("source", "model"))
     return s.select("model", F.round("mean_len", 6).alias("mean_len"), F.col("min_len").cast("int").alias("min_len"),
                     F.col("max_len").cast("int").alias("max_len"), F.round("median_len", 6).alias("median_len"))
 
@@ -118,12 +120,12 @@ def metric_windows(spark, sf):
 
 @query("results_join", FX.with_ctes(
     """SELECT q.doc_id AS id, q.lang AS scene, q.source AS perspective, CAST(length(r.text) AS INTEGER) AS output_len
-       FROM docs_scored r JOIN documents q ON q.doc_id = r.question_id""", FX.DOCS_SCORED_SQL))
+       FROM documents r JOIN documents q ON q.doc_id = r.doc_id"""))
 def results_join(spark, sf):
     """Results whose Input is the question record as JSON text, joined back to the question set by id."""
-    r = FX.docs_scored(spark, sf).select(
-        F.to_json(F.struct(F.col("question_id").alias("id"), "source", F.col("lang").alias("scene"),
-                           F.col("model").alias("perspective"), F.col("text").alias("question"))).alias("Input"),
+    r = FX.table(spark, sf, "documents").select(
+        F.to_json(F.struct(F.col("doc_id").alias("id"), "source", F.col("lang").alias("scene"),
+                           F.col("source").alias("perspective"), F.col("text").alias("question"))).alias("Input"),
         F.col("text").alias("Output"))
     q = FX.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("scene"),
                                                 F.col("source").alias("perspective"))
@@ -131,27 +133,40 @@ def results_join(spark, sf):
     return j.select("id", "scene", "perspective", F.length("Output").cast("int").alias("output_len"))
 
 
-def _model_compare_sql():
-    return FX.with_ctes(
-        """PIVOT (SELECT lang, model, accuracy + structure + cot AS total FROM docs_scored)
-           ON model USING round(avg(total), 6) GROUP BY lang""", FX.DOCS_SCORED_SQL)
+LANGS = ("de", "en", "es", "fr")
 
 
-@query("model_compare", _model_compare_sql())
+@query("model_compare", FX.with_ctes(
+    "SELECT source, " + ", ".join(f"round(avg(CASE WHEN lang = '{x}' THEN accuracy + structure + cot END), 6) AS {x}"
+                                  for x in LANGS) + " FROM docs_scored GROUP BY source", FX.DOCS_SCORED_SQL))
 def model_compare(spark, sf):
-    """Mean total per language, one column per model (pivot; the model list is tiny metadata)."""
+    """Several models (here the languages) on one question set (the sources), one column per model."""
     d = FX.docs_scored(spark, sf).withColumn("total", F.col("accuracy") + F.col("structure") + F.col("cot"))
-    return d.groupBy("lang").pivot("model").agg(F.round(F.avg("total"), 6))
+    means = {x: d.filter(F.col("lang") == x).groupBy("source").agg(F.round(F.avg("total"), 6).alias("total")) for x in LANGS}
+    return M.compare_models(means, "source", "total")
+
+
+@query("sample_counts", FX.with_ctes(
+    """SELECT round(avg(total), 6) AS mean_total, CAST(count(*) AS BIGINT) AS samples
+       FROM (SELECT accuracy + structure + cot AS total FROM docs_scored)""", FX.DOCS_SCORED_SQL))
+def sample_counts(spark, sf):
+    """M6: a metrics row with its number of samples."""
+    d = FX.docs_scored(spark, sf).withColumn("total", F.col("accuracy") + F.col("structure") + F.col("cot"))
+    return M.with_counts(d.agg(F.round(F.avg("total"), 6).alias("mean_total")), d)
 
 
 def _echo_generator(prompts, system_prompt):
     # stand-in for a language model: deterministic, cheap, and contains the stop string
-    return [f"{system_prompt}{p[::-1]}</s>ignored" for p in prompts]
+    return [f" {system_prompt}{p[::-1]} </s>ignored" for p in prompts]
 
 
-@query("batch_infer")
+@query("batch_infer", FX.with_ctes(
+    f"""SELECT question AS "Input", {strip_sql("' ' || reverse(question) || ' '")} AS "Output"
+        FROM (SELECT question FROM sftq UNION SELECT question FROM prefq) WHERE length(question) >= 8""",
+    FX.PREF_SQL, SFTQ_SQL, PREFQ_SQL))
 def batch_infer(spark, sf):
-    """U3 + P16 + P17: batched generation over the whole prompt set (stub generator), keyed by prompt."""
+    """U3 + P16 + P17: batched generation over the whole prompt set (stub generator), matched by key."""
     ps = S.build_prompt_set(sft_questions(spark, sf), pref_questions(spark, sf), sort=False)
     ps = ps.withColumn("id", F.sha2("question", 256))
-    return INF.batch_infer(ps, _echo_generator, key="id", prompt="question", batch=4, system_prompt="")
+    out = INF.batch_infer(ps, _echo_generator, key="id", prompt="question", batch=4, system_prompt="")
+    return P.to_results(ps.select("id", "question").join(out.select("id", "Output"), "id"), "question", "Output")

@@ -18,7 +18,8 @@ SFTQ_SQL = f"""sftq AS (
   SELECT conv_id, min_by({W('text')}, turn) AS question FROM conversations
   WHERE role IN ('human', 'user') AND {W('text')} <> '' GROUP BY conv_id)"""
 PREFQ_SQL = f"""prefq AS (
-  SELECT {W("coalesce(question, '')")} AS question FROM pref WHERE {W("coalesce(question, '')")} <> '')"""
+  SELECT {W("coalesce(text, '')")} AS question FROM conversations
+  WHERE role = 'user' AND {W("coalesce(text, '')")} <> '')"""
 
 
 @FX.shared
@@ -28,7 +29,9 @@ def sft_questions(spark, sf):
 
 @FX.shared
 def pref_questions(spark, sf):
-    return TU.extract_questions(FX.pref(spark, sf))
+    """P3 over the questions of all user turns (a pair's answers are not needed for it)."""
+    user = FX.table(spark, sf, "conversations").filter(F.col("role") == "user")
+    return TU.extract_questions(user.select(F.col("text").alias("question")))
 
 
 @query("prompt_set", FX.with_ctes(

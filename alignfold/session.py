@@ -45,10 +45,14 @@ def get_spark(master: str | None = None, app: str = "alignfold", shuffle_partiti
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; we only set our own when it is unset (local tests).
+    A cluster names it; we only set our own when it is unset and everything runs in this process
+    (local tests). On any other master a folder of this machine would not be shared: an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         d = tempfile.mkdtemp(prefix="alignfold-ckpt-", dir=os.environ.get("ALIGNFOLD_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

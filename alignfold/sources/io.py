@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alignfold.functions.schemas import EVAL_RESULT, METRIC_MAP
-from alignfold.functions.text import strip
+from alignfold.functions.schemas import EVAL_RESULT
+from alignfold.functions.text import blank, strip
 
 CORRUPT = "_corrupt_record"
 
@@ -26,27 +26,39 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
 
 
 # ---------- S1 ----------
+def parse_lines(lines: DataFrame, schema: T.StructType, line: str = "value") -> DataFrame:
+    """Typed columns of JSON lines plus ``_corrupt_record``; works on a batch table or a stream.
+
+    Every line that is not blank gives one row. The line goes to ``_corrupt_record`` (and only the
+    fields that could be read are set) when it is truncated, followed by other text, not a single
+    object, or holds a field of a type that does not fit. The line is read twice: once as the only
+    element of an array, which shows whether it is one whole object, and once for its fields.
+    """
+    full = _with_corrupt(schema)
+    kept = lines.filter(~blank(line)).select(F.col(line).alias("_line"))
+    row = F.from_json("_line", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    whole = F.from_json(F.concat(F.lit("["), F.col("_line"), F.lit("]")), "array<string>", {"mode": "PERMISSIVE"})
+    parsed = kept.select("_line", row.alias("_row"), whole.alias("_whole"))
+    sound = ((F.size("_whole") == 1) & F.coalesce(F.col("_whole")[0].startswith("{"), F.lit(False))
+             & F.col("_row").isNotNull() & F.col(f"_row.{CORRUPT}").isNull())
+    names = [f for f in full.fieldNames() if f != CORRUPT]
+    return parsed.select(*[F.col(f"_row.`{n}`").alias(n) for n in names],
+                         F.when(~F.coalesce(sound, F.lit(False)), F.col("_line")).alias(CORRUPT))
+
+
 def read_jsonl(spark: SparkSession, path, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
     """One JSON object per line; blank lines are skipped; bad lines go to ``_corrupt_record``."""
-    r = spark.read.schema(_with_corrupt(schema) if mode == "PERMISSIVE" else schema).option("mode", mode)
     if mode == "PERMISSIVE":
-        r = r.option("columnNameOfCorruptRecord", CORRUPT)
-    return r.json(path)
+        return parse_lines(spark.read.text(path), schema)
+    return spark.read.schema(schema).option("mode", mode).json(path)
 
 
 def quarantine(df: DataFrame) -> tuple:
-    """(good rows without the corrupt column, bad rows with only the raw line). No caching.
-
-    Spark rejects a raw JSON/CSV scan whose only needed column is the corrupt-record
-    column, so both predicates also read one data column (a bad line has it null).
-    """
+    """(good rows without the corrupt column, bad rows with only the raw line): split on that column
+    alone, so every row is in exactly one of them. Nothing is cached."""
     if CORRUPT not in df.columns:
         return df, df.limit(0)
-    first = next(c for c in df.columns if c != CORRUPT)
-    anchor = F.col(first).isNull()  # true on every corrupt line; keeps a data column in the scan
-    good = df.filter(F.col(CORRUPT).isNull() | ~anchor).drop(CORRUPT)
-    bad = df.filter(F.col(CORRUPT).isNotNull() & anchor).select(CORRUPT)
-    return good, bad
+    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
 # ---------- S2 / S3 ----------
@@ -56,8 +68,10 @@ def read_json_dir(spark: SparkSession, train_dir: str, schema: T.StructType, val
     def one(d):
         if not _exists(spark, d):
             raise FileNotFoundError(d)
-        r = spark.read.schema(_with_corrupt(schema) if mode == "PERMISSIVE" else schema).option("mode", mode)
-        return r.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,jsonl}").json(d)
+        r = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,jsonl}")
+        if mode == "PERMISSIVE":
+            return parse_lines(r.text(d), schema)
+        return r.schema(schema).option("mode", mode).json(d)
     out = {"train": one(train_dir)}
     if val_dir:
         out["validation"] = one(val_dir)
@@ -72,9 +86,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 # ---------- S4 ----------
 def read_lines(spark: SparkSession, path) -> DataFrame:
-    """Text lines, each stripped; blank lines are kept. Adds the file and a per-file line key."""
-    df = spark.read.text(path).select(strip("value").alias("line"), F.input_file_name().alias("file"))
-    return df.withColumn("line_key", F.monotonically_increasing_id())
+    """Text lines, each stripped; blank lines are kept. ``file`` and ``line_key`` (0, 1, ... in the
+    file) name a line and do not depend on how Spark cuts the files.
+
+    Each file is read as one row, as positions in a file need its whole text: meant for files that
+    fit a task (question lists). For larger files use ``spark.read.text``, which has no line order.
+    """
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    text = F.regexp_replace(F.regexp_replace("value", "\r\n?", "\n"), "\n\\z", "")
+    lines = whole.select("file", F.posexplode(F.split(text, "\n", -1)).alias("line_key", "line"))
+    return lines.select(strip("line").alias("line"), "file", F.col("line_key").cast("long").alias("line_key"))
 
 
 # ---------- S5 ----------
@@ -105,18 +126,27 @@ def read_metrics(spark: SparkSession, path) -> DataFrame:
     """Flat metric JSON files (one object per file, pretty-printed or not) -> long (run, metric, value).
 
     run = the ``run=`` folder of the path when present (as ``write_metrics`` lays it out),
-    else the file's parent directory name (one results file per run directory).
+    else the file's parent directory name (one results file per run directory). A value that is no
+    number has a null ``value`` and its text in ``raw``; a file that is no object gives one row with
+    a null metric and the file's text in ``raw``.
     """
     raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     run = F.coalesce(F.nullif(F.regexp_extract("file", r"/run=([^/]+)/", 1), F.lit("")),
                      F.regexp_extract("file", r"([^/]+)/[^/]+$", 1))
-    return raw.select(run.alias("run"), F.explode(F.from_json("value", METRIC_MAP)).alias("metric", "value"))
+    texts = F.from_json("value", "map<string,string>")
+    long = raw.select(run.alias("run"), F.col("value").alias("whole"), F.explode_outer(texts).alias("metric", "text"))
+    number = F.expr("try_cast(text AS double)")
+    bad = F.when(F.col("metric").isNull(), F.col("whole")).when(number.isNull(), F.col("text"))
+    return long.select("run", "metric", number.alias("value"), bad.alias("raw"))
 
 
 def write_metrics(df: DataFrame, path: str, run_col: str = "run", phase_col: str = "phase") -> None:
-    """One flat JSON object {name: value, ...} per run and phase, under ``run=<run>/phase=<phase>/``."""
-    out = df.groupBy(run_col, phase_col).agg(
-        F.to_json(F.map_from_entries(F.collect_list(F.struct("metric", "value")))).alias("value"))
+    """One flat JSON object {name: value, ...} per run and phase, under ``run=<run>/phase=<phase>/``.
+
+    A metric named twice in one phase keeps its greatest value (there can be only one per name)."""
+    one = df.groupBy(run_col, phase_col, "metric").agg(F.max("value").alias("value"))
+    out = one.groupBy(run_col, phase_col).agg(
+        F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("metric", "value"))))).alias("value"))
     out.write.mode("overwrite").partitionBy(run_col, phase_col).text(path)
 
 
@@ -131,12 +161,11 @@ def read_csv_bom(spark: SparkSession, path, schema: T.StructType | None = None,
 
 # ---------- S10 ----------
 def read_results(spark: SparkSession, path) -> DataFrame:
-    """Inference results; ``Input`` parsed as the question record when it is JSON, else kept as text."""
+    """Inference results; ``Input`` parsed as the question record when it is JSON, else kept as text.
+    Lines that are no record keep their text in ``_corrupt_record`` (see ``quarantine``)."""
     from alignfold.operators.metrics import parse_results
 
-    df = read_jsonl(spark, path, EVAL_RESULT)
-    good, _ = quarantine(df)
-    return parse_results(good)
+    return parse_results(read_jsonl(spark, path, EVAL_RESULT))
 
 
 # ---------- S11 ----------

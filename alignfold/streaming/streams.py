@@ -7,8 +7,8 @@ event-time window aggregates (finalised and evicted by the watermark, append mod
 
 from __future__ import annotations
 
+import hashlib
 import os
-import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,19 +16,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alignfold.functions.lexicon import Lexicon
-from alignfold.functions.text import as_instant, content_hash
-from alignfold.operators import filters as FL
+from alignfold.functions.rows import keep_rows
+from alignfold.functions.text import as_instant, content_hash, count_hits
 from alignfold.operators import rewards as R
 from alignfold.session import checkpoint_dir
+from alignfold.sources import io
 
 
 # ---------- X1 ----------
 def stream_keyword_filter(spark: SparkSession, path: str, schema: T.StructType, col: str, terms: Sequence[str],
                           min_hits: int = 1, max_files_per_trigger: int = 64) -> DataFrame:
-    """Incremental corpus ingest (JSONL files as they arrive) + keyword filter; stateless."""
-    s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-         .option("mode", "PERMISSIVE").json(path))
-    return FL.keyword_filter(s, col, terms, min_hits)
+    """Incremental corpus ingest (JSONL files as they arrive) + keyword filter; stateless.
+
+    Malformed lines are not lost: they pass with their text in ``_corrupt_record`` (null on the
+    records that hit), so the sink can route them.
+    """
+    lines = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(path)
+    s = io.parse_lines(lines, schema).withColumn("hits", count_hits(col, terms))
+    return keep_rows(s, (F.col("hits") >= min_hits) | F.col(io.CORRUPT).isNotNull())
+
+
+def stream_checkpoint(spark: SparkSession, sink: str) -> str:
+    """The checkpoint of the stream into ``sink``: the same at every start, so a restart goes on where
+    the last run ended. It lies in the shared checkpoint folder."""
+    return os.path.join(checkpoint_dir(spark), "streams", hashlib.sha256(sink.encode()).hexdigest()[:32])
 
 
 # ---------- X2 ----------
@@ -67,13 +78,15 @@ def kl_alerts(batch: DataFrame, kl_metric: str, explode: float = 1.0, high: floa
 
 def stream_kl_alerts(windows: DataFrame, sink: str, kl_metric: str, explode: float = 1.0, high: float = 0.5,
                      low: float = 0.1, checkpoint: str | None = None, available_now: bool = True):
-    """X4 + M14: KL flags on each micro-batch of finalised window means, appended to ``sink`` (Parquet)."""
-    spark = windows.sparkSession
-    ck = checkpoint or os.path.join(checkpoint_dir(spark), "streams", uuid.uuid4().hex)
+    """X4 + M14: KL flags on each micro-batch of finalised window means, in ``sink`` (Parquet).
+
+    Each batch replaces its own folder ``batch_id=...``: a batch that is run again after a failure
+    leaves one copy."""
+    ck = checkpoint or stream_checkpoint(windows.sparkSession, sink)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kl_alerts(batch, kl_metric, explode, high, low).filter(F.col("kl_flag") != "ok") \
-            .withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink)
+            .write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     w = windows.writeStream.outputMode("append").option("checkpointLocation", ck).foreachBatch(write)
     q = (w.trigger(availableNow=True) if available_now else w).start()
@@ -84,9 +97,8 @@ def stream_kl_alerts(windows: DataFrame, sink: str, kl_metric: str, explode: flo
 
 def run_available_now(stream: DataFrame, sink: str, fmt: str = "parquet", output_mode: str = "append",
                       checkpoint: str | None = None) -> str:
-    """Process everything available now, then stop; the checkpoint lives under the shared checkpoint dir."""
-    spark = stream.sparkSession
-    ck = checkpoint or os.path.join(checkpoint_dir(spark), "streams", uuid.uuid4().hex)
+    """Process everything available now, then stop. A second run into the same sink goes on from there."""
+    ck = checkpoint or stream_checkpoint(stream.sparkSession, sink)
     q = (stream.writeStream.format(fmt).outputMode(output_mode).option("checkpointLocation", ck)
          .trigger(availableNow=True).start(sink))
     q.awaitTermination()
