@@ -15,7 +15,7 @@ from alignfold.llm.common import global_order, stage, text_or_empty
 
 GRAM = 16
 WINDOW = 32
-BLOCK = 128  # GRAM + WINDOW - 2 <= BLOCK, and BLOCK + WINDOW <= 256 (a place in a block takes 8 bits)
+BLOCK = 224  # GRAM + WINDOW - 2 <= BLOCK, and BLOCK + WINDOW <= 256 (a place in a block takes 8 bits)
 #: Hashes keep 55 bits above the place in the block, counted from the right: the least of equals is the rightmost.
 HASH_BITS = 0x7FFFFFFFFFFFFF00
 
@@ -24,19 +24,21 @@ def with_minima(df: DataFrame, text: str, out: str) -> DataFrame:
     """``out``: for each block of the text, the kept minima (hash and place packed in a long).
 
     A text shorter than GRAM makes one gram, one with fewer than WINDOW grams one window, an
-    empty one nothing.
+    empty one nothing. Grams are hashed in UTF-32, in which a place is found without counting
+    characters.
     """
     reach = GRAM + WINDOW - 2
     cut = df.withColumn(out, F.expr(f"regexp_extract_all({text}, '(?s).{{1,{BLOCK}}}', 0)"))
     hashed = cut.withColumn(out, F.expr(f"""transform({out}, (block, i) ->
-        transform(array(concat(block, left(coalesce(get({out}, i + 1), ''), {reach}))), c ->
-            transform(sequence(1, greatest(char_length(c) - {GRAM - 1}, 1)), j ->
-                (xxhash64(substring(c, j, {GRAM})) & {HASH_BITS}L) | (256 - j)))[0])"""))
+        transform(array(encode(concat(block, left(coalesce(get({out}, i + 1), ''), {reach})), 'UTF-32')), c ->
+            transform(sequence(1, greatest(octet_length(c) div 4 - {GRAM - 1}, 1)), j ->
+                (xxhash64(substring(c, 4 * j - 3, {4 * GRAM})) & {HASH_BITS}L) | (256 - j)))[0])"""))
     step = 1
-    while step < WINDOW:  # minima over 2, 4, ... WINDOW hashes; past the end, over those that are left
+    while step < WINDOW:  # minima over 4, 16, ... WINDOW hashes; past the end, over those that are left
+        ahead = range(step, min(4 * step, WINDOW), step)
         hashed = hashed.withColumn(out, F.expr(
-            f"transform({out}, a -> transform(a, (x, i) -> least(x, get(a, i + {step}))))"))
-        step *= 2
+            f"transform({out}, a -> transform(a, (x, i) -> least(x, {', '.join(f'get(a, i + {k})' for k in ahead)})))"))
+        step *= 4
     return hashed.withColumn(out, F.expr(f"""transform({out}, a -> array_distinct(
         CASE WHEN size(a) >= {WINDOW} THEN slice(a, 1, size(a) - {WINDOW - 1})
              WHEN size({out}) = 1 THEN slice(a, 1, 1)
