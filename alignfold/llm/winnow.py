@@ -8,10 +8,10 @@ so that every array stays small and a place in a block is found in constant time
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from alignfold.llm.common import global_order, stage, text_or_empty
+from alignfold.llm.common import text_or_empty
 
 GRAM = 16
 WINDOW = 32
@@ -80,42 +80,48 @@ def neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     ``edited_hashes`` and ``next_hashes`` (the next document's).
 
     Documents are ordered by (id, hash of the text), null ids first; the last one's next is the
-    first. Rows equal in both are one document in that order, and each of them gets its result. A
-    single document is its own next. A null text is empty.
+    first. Every row is a document: of rows equal in both, each but the last has its like as next.
+    A single document is its own next. A null text is empty.
 
-    Text is shuffled twice: once to learn its place, once when a document meets the beginning of
-    the next one. The order itself is found on ids and lengths alone.
+    The order is cut into buckets at keys of documents, of which the driver holds one a bucket, four
+    for each shuffle partition. Text is shuffled once, to its bucket; the first document of each
+    bucket also goes to the bucket before, where it is the next of the last.
     """
+    spark = df.sparkSession
     whole = text_or_empty(text_col)
-    docs = df.select(F.col(id_col).alias("id"), F.xxhash64(whole).alias("h"),
-                     F.char_length(whole).cast("long").alias("n"), whole.alias("whole"))
-    keys = docs.groupBy("id", "h").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
-    placed, total = global_order(keys, [F.col("id"), F.col("h")], "at", "neighbour-order")
-    if not total:
-        total = 1
-    placed = stage(placed, "neighbour-places")
-    before = placed.select(F.pmod(F.col("at") + 1, F.lit(total)).alias("at"), F.expr("n div 4").alias("wanted"))
-    places = placed.drop("n").join(before, "at")
-    same = docs["id"].eqNullSafe(places["id"]) & (docs["h"] == places["h"])
-    found = docs.join(places, same).select(docs["id"], "n", "copies", "at", "wanted", "whole")
-    found = with_minima(found, "whole", "minima").withColumn("kept", F.expr("n - n div 4"))
+    docs = df.select(F.col(id_col).alias("id"), F.xxhash64(whole).alias("h"), whole.alias("whole"))
+    key = F.struct("id", "h")
+    n_buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = docs.select("id", "h").repartitionByRange(n_buckets, "id", "h")
+    firsts = sorted((r["k"] for r in ranges.groupBy(F.spark_partition_id()).agg(F.min(key).alias("k")).collect()),
+                    key=lambda k: (k["id"] is not None, k["id"] or 0, k["h"]))
+    if not firsts:
+        firsts = [{"id": None, "h": 0}]
+    step = max(1, int(len(firsts) ** 0.5))  # looked up in two steps: first among every step-th key
+    kind = f"struct<id:{docs.schema['id'].dataType.simpleString()},h:bigint>"
+    literal = lambda keys: F.array(*[F.struct(F.lit(k["id"]).alias("id"), F.lit(k["h"]).alias("h"))
+                                     for k in keys]).cast(f"array<{kind}>")
+    placed = docs.withColumn("key", key).withColumn("bounds", literal(firsts)).withColumn("tops", literal(firsts[::step]))
+    placed = placed.withColumn("top", F.expr("size(filter(tops, t -> t <= key))")) \
+        .withColumn("near", F.expr(f"slice(bounds, greatest(top - 1, 0) * {step} + 1, {step})")) \
+        .withColumn("bucket", F.expr(f"greatest(top - 1, 0) * {step} + size(filter(near, t -> t <= key)) - 1"))
+    opens = F.col("key").eqNullSafe(F.get("bounds", F.col("bucket")))
+    own = F.struct("bucket", F.lit(False).alias("guest"))
+    guest = F.struct(F.pmod(F.col("bucket") - 1, F.lit(len(firsts))).alias("bucket"), F.lit(True).alias("guest"))
+    rows = placed.withColumn("to", F.explode(F.when(opens, F.array(own, guest)).otherwise(F.array(own)))) \
+        .select("to.*", "id", "h", "whole").repartition("bucket")
+    found = with_minima(rows, "whole", "minima").withColumn("n", F.char_length("whole").cast("long")) \
+        .withColumn("kept", F.expr("n - n div 4"))
     # blocks whose windows all lie in the characters that stay have the same minima in the edited text
     safe = F.expr(f"cast(greatest(kept - {GRAM + WINDOW - 1}, 0) div {BLOCK} AS int)")
     found = found.withColumn("safe", safe).withColumn("hashes", hashes("minima")) \
-        .withColumn("head", hashes("slice(minima, 1, safe)"))
-    sent = found.select(F.explode(F.array(
-        F.struct(F.col("at"), F.struct("id", "n", "copies", F.expr("left(whole, kept)").alias("stays"), "hashes",
-                                       F.size("head").alias("n_head"), "safe").alias("own"),
-                 F.lit(None).alias("graft"), F.lit(None).alias("next_hashes")),
-        F.struct(F.pmod(F.col("at") - 1, F.lit(total)).alias("at"), F.lit(None).alias("own"),
-                 F.expr("left(whole, wanted)").alias("graft"), F.col("hashes").alias("next_hashes")),
-    )).alias("s")).select("s.*")
-    met = sent.groupBy("at").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("own", "graft", "next_hashes")])
-    edited = met.select("own.*", "next_hashes", F.concat("own.stays", "graft").alias("edited"))
+        .withColumn("n_head", F.size(hashes("slice(minima, 1, safe)"))).drop("minima")
+    order = Window.partitionBy("bucket").orderBy("guest", F.col("id").asc_nulls_first(), "h")
+    met = found.withColumn("next", F.lead(F.struct("whole", "hashes")).over(order)).filter(~F.col("guest"))
+    edited = met.withColumn("edited", F.expr("concat(left(whole, kept), left(next.whole, n - kept))"))
     # the part of the edited text that starts at its first changed block
     tail = with_minima(edited.withColumn("tail", F.expr(f"substring(edited, safe * {BLOCK} + 1)")), "tail", "minima")
     done = tail.withColumn("edited_hashes", F.array_distinct(F.concat(
         F.expr("slice(hashes, 1, n_head)"), hashes("minima"))))
-    each = done.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return each.select(F.col("id").alias(id_col), F.col("n").alias("n_chars"), "hashes", "edited", "edited_hashes",
-                       "next_hashes")
+    return done.select(F.col("id").alias(id_col), F.col("n").alias("n_chars"), "hashes", "edited", "edited_hashes",
+                       F.col("next.hashes").alias("next_hashes"))
