@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -32,17 +33,22 @@ def main() -> None:
     QUERIES["prompt_set"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     spark.range(int(cpus) * 4, numPartitions=int(cpus)).mapInPandas(lambda it: it, "id long") \
         .write.format("noop").mode("overwrite").save()
-    times, errors = {}, {}
+    times, errors, runs = {}, {}, {}
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     for name in names:
-        t = time.perf_counter()
+        took = []
         try:
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times[name] = round(time.perf_counter() - t, 3)
+            while len(took) < repeats and (not took or took[0] < 3):  # the slow ones run once
+                t = time.perf_counter()
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                took.append(time.perf_counter() - t)
+            times[name], runs[name] = round(statistics.median(took), 3), len(took)
         except Exception as e:  # report, keep benchmarking the rest
             errors[name] = repr(e)[:300]
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
-           "sf": float(m.group(1)) if m else sf_dir, "n_queries": len(times), "cpus": int(cpus)}
+           "sf": float(m.group(1)) if m else sf_dir, "n_queries": len(times), "cpus": int(cpus),
+           "note": "median of three runs, one run from 3 s on", "single_runs": sorted(n for n, k in runs.items() if k == 1)}
     if errors:
         out["errors"] = errors
     print(json.dumps(out))

@@ -52,3 +52,45 @@ def test_repeated_value_audit_with_hot_value(spark):
     rep = {r.n for r in FL.repeated_values(df, "text", 2).collect()}
     assert rep == {1000, 2}
     assert FL.drop_repeated(df, "text", 2).count() == 2000
+
+
+def test_null_groups_and_rewards_survive_and_nan_is_no_reward(spark):
+    nan = float("nan")
+    rows = [(1, 1, 0.5), (1, 2, None), (1, 3, nan), (1, 4, 0.1), (None, 5, 0.3), (None, 6, 0.7), (2, 7, None), (3, 8, nan)]
+    df = spark.createDataFrame(rows, "prompt_id long, gen_id int, reward double").withColumn("content", F.col("gen_id").cast("string"))
+    for op in (R.group_advantage, R.rloo_advantage, R.group_rank):
+        assert sorted(r.gen_id for r in op(df).collect()) == list(range(1, 9))
+    a = {(r.gen_id, r.rank, r.row_number) for r in R.group_rank(df).collect()}
+    assert a == {(r.gen_id, r.rank, r.row_number) for r in R.group_rank(df, method="window").collect()}
+    pairs = {r.prompt_id: (r.chosen, r.rejected) for r in R.pairs_from_scores(df).collect()}
+    assert pairs == {1: ("1", "4"), None: ("6", "5")}
+    best = {r.prompt_id: (r.reward, r.gen_id, r.n) for r in R.best_of_n(df).collect()}
+    assert best == {1: (0.5, 1, 4), None: (0.7, 6, 2), 2: (None, None, 1), 3: (None, None, 1)}
+
+
+def test_join_back_spreads_the_hot_key(spark):
+    n, parts = 24_000, 16
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold",
+                                           "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(keep, (str(parts), "-1", "false")):
+            spark.conf.set(k, v)
+        df = spark.range(n).select(F.when(F.col("id") < n // 3, F.lit(None).cast("long")).otherwise(F.col("id") % 3001)
+                                   .alias("prompt_id"), F.col("id").cast("int").alias("gen_id"), F.rand(1).alias("reward"))
+        for out in (R.group_advantage(df), R.rloo_advantage(df)):
+            sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == n and max(sizes) < 3 * n / parts  # the hot third alone would be n / 3
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_null_stratum_and_null_batch(spark):
+    base = spark.createDataFrame([("a",)] * 3 + [(None,)], "s string")
+    pool = spark.createDataFrame([(i, x) for i, x in enumerate(["a"] * 5 + [None] * 5 + ["b"] * 5 + ["c"])], "k long, s string")
+    got = {}
+    for r in FL.fill_quota(base, pool, "s", 3, 1, "k").collect():
+        got[r.s] = got.get(r.s, 0) + 1
+    assert got == {None: 2, "b": 3, "c": 1}
+    train = spark.createDataFrame([(1, "x"), (2, None), (3, "y")], "i long, t string")
+    assert sorted(r.i for r in S.overlap_rows(train, train.filter("i <> 3"), "t").collect()) == [1, 2]

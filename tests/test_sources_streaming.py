@@ -75,8 +75,8 @@ def test_lines_metrics_csv_results(spark, tmp_path):
     assert c.columns == ["name", "score"]
     _write(str(tmp_path / "res.jsonl"), [json.dumps({"Input": json.dumps({"id": 3, "question": "q"}), "Output": "o"}),
                                          json.dumps({"Input": "plain text", "Output": "p"})])
-    r = {x.q_text: x.q_id for x in io.read_results(spark, str(tmp_path / "res.jsonl")).collect()}
-    assert r == {"q": 3, "plain text": None}
+    good, bad = io.quarantine(io.read_results(spark, str(tmp_path / "res.jsonl")))
+    assert {x.q_text: x.q_id for x in good.collect()} == {"q": 3, "plain text": None} and bad.count() == 0
 
 
 def test_ensure_stage(spark, tmp_path):
@@ -158,3 +158,74 @@ def test_failfast_mode_aborts_on_bad_line(spark, tmp_path):
     _write(p, [json.dumps({"question": "ok"}), "{not json"])
     with pytest.raises(Exception):
         io.read_jsonl(spark, p, PREFERENCE, mode="FAILFAST").collect()
+
+
+def test_quarantine_loses_no_line_and_passes_no_broken_one(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("n", T.LongType())])
+    good = ['{"a": "x", "n": 1}', '  {"n": 2}', '{"a": null}', '{}', '{"a": "extra", "z": [1, {"y": 2}]}']
+    bad = ['{"a": "cut", "n": 3', '{"a": "cu', '{"a": "wrong", "n": "three"}', '{"a": "x", "n": 4} tail', '{"a": "x"},{"a": "y"}',
+           '{not json', 'null', '[1]', '7', '"text"']
+    p = str(tmp_path / "lines.jsonl")
+    _write(p, [x for pair in zip(good + bad, ["", "   ", "\t"] * 5) for x in pair])
+    for df in (io.read_jsonl(spark, p, schema), io.read_json_dir(spark, str(tmp_path), schema)["train"]):
+        ok, broken = io.quarantine(df)
+        assert sorted(r[0] for r in broken.collect()) == sorted(bad)
+        assert sorted((r.a or "", r.n or 0) for r in ok.collect()) == [("", 0), ("", 0), ("", 2), ("extra", 0), ("x", 1)]
+        assert ok.select("n").count() == len(good)  # pruned columns do not change the split
+
+
+def test_metric_files_with_values_that_are_no_numbers(spark, tmp_path):
+    _write(str(tmp_path / "r1" / "all.json"), ['{"train_loss": 1.5, "note": "abc", "epoch": 2.0, "nested": {"x": 1}}'])
+    _write(str(tmp_path / "r2" / "all.json"), ["no json at all"])
+    got = {(r.run, r.metric): (r.value, r.raw) for r in io.read_metrics(spark, str(tmp_path / "*" / "*.json")).collect()}
+    assert got[("r1", "train_loss")] == (1.5, None) and got[("r1", "epoch")] == (2.0, None)
+    assert got[("r1", "note")] == (None, "abc") and got[("r1", "nested")][0] is None
+    assert got[("r2", None)][1].strip() == "no json at all"
+    twice = spark.createDataFrame([("r", "train", "m", 1.0), ("r", "train", "m", 3.0)], "run string, phase string, metric string, value double")
+    io.write_metrics(twice, str(tmp_path / "out"))
+    assert [r.value for r in io.read_metrics(spark, str(tmp_path / "out" / "*" / "*" / "part-*")).collect()] == [3.0]
+
+
+def test_line_keys_do_not_depend_on_the_file_split(spark, tmp_path):
+    for name in ("a.txt", "b.txt"):
+        _write(str(tmp_path / name), [f"{name} {i}" for i in range(50)])
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        seen = []
+        for size in ("64", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            seen.append(sorted((r.file, r.line_key, r.line) for r in io.read_lines(spark, str(tmp_path)).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+    assert seen[0] == seen[1] and [k for _, k, _ in seen[0]] == list(range(50)) * 2
+
+
+def test_stream_keeps_malformed_lines_and_restarts(spark, tmp_path):
+    src, sink = tmp_path / "in", str(tmp_path / "sink")
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+    _write(str(src / "a.jsonl"), [json.dumps({"doc_id": 1, "text": "the cat"}), '{"doc_id": 2, "text": "the', "not json"])
+    for _ in range(2):  # the second run has nothing new
+        X.run_available_now(X.stream_keyword_filter(spark, str(src), schema, "text", ["the"]), sink)
+    _write(str(src / "b.jsonl"), [json.dumps({"doc_id": 3, "text": "the dog"}), json.dumps({"doc_id": 4, "text": "no hit"})])
+    X.run_available_now(X.stream_keyword_filter(spark, str(src), schema, "text", ["the"]), sink)
+    good, bad = io.quarantine(spark.read.parquet(sink))
+    assert sorted(r.doc_id for r in good.collect()) == [1, 3] and bad.count() == 2
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from alignfold import session
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())
