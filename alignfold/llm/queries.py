@@ -93,4 +93,42 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_simhash, op3_byte_bpe, op4_toxicity, op5_mixing, op6_licenses, op7_fingerprints, op8_gru_lm,
     op9_token_files, op10_host_rules)}
-ORACLE: dict[str, str] = {}
+def _op10_sql() -> str:
+    """Counts, moments of the hosts' rates and verdicts of op10 in DuckDB."""
+    n, f = "cast(n AS DOUBLE)", {r: f"cast({r} AS DOUBLE)" for r in host_rules.RULES}
+    fails = ", ".join(f"({rule}) AS {name}" for name, rule in host_rules.RULES.items())
+    sums = ", ".join(f"sum(cast({r} AS BIGINT)) AS {r}" for r in host_rules.RULES)
+    moments = ", ".join(f"sum({f[r]}) / sum({n}) AS {r}_mean, var_pop({f[r]} / {n}) - sum({f[r]}) / sum({n}) "
+                        f"* (1 - sum({f[r]}) / sum({n})) * sum(1 / {n}) / count(*) AS {r}_between" for r in host_rules.RULES)
+    weight = {r: f"(CASE WHEN {r}_between > 0 THEN least(greatest({r}_mean * (1 - {r}_mean) / {r}_between - 1, 1.0), 1e6) "
+                 "ELSE 1e6 END)" for r in host_rules.RULES}
+    bad = " OR ".join(f"({f[r]} + {r}_mean * {weight[r]}) / ({n} + {weight[r]}) > {host_rules.HOST_LIMIT}" for r in host_rules.RULES)
+    word = "[^ \\t\\n\\x0B\\f\\r]+"
+    return f"""WITH base AS (
+      SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '{word}') AS ws FROM documents),
+    lines AS (SELECT rid, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{word}')) AS ls FROM base),
+    places AS (SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM base),
+    windows AS (SELECT rid, p, lead(w, 2) OVER v AS w3, hash(w) AS h, w || ' ' || lead(w, 1) OVER v || ' ' || lead(w, 2) OVER v AS t
+      FROM places WINDOW v AS (PARTITION BY rid ORDER BY p)),
+    marked AS (SELECT rid, p, w3 IS NOT NULL AND count(*) OVER (PARTITION BY rid, t) > 1 AS rep FROM windows),
+    covered AS (SELECT rid, count(*) FILTER (WHERE hit) AS n_repeat_words FROM (
+      SELECT rid, rep OR coalesce(lag(rep, 1) OVER v, false) OR coalesce(lag(rep, 2) OVER v, false) AS hit
+      FROM marked WINDOW v AS (PARTITION BY rid ORDER BY p)) GROUP BY rid),
+    counted AS (
+      SELECT b.rid, doc_id, source, cast(len(ws) AS BIGINT) AS n_words,
+             cast(coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+             cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             cast(len(ls) AS BIGINT) AS n_lines, cast(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+             cast(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+      FROM base b JOIN lines l ON l.rid = b.rid LEFT JOIN covered c ON c.rid = b.rid),
+    failed AS (SELECT *, {fails} FROM counted),
+    hosts AS (SELECT source, count(*) AS n, {sums} FROM failed WHERE source IS NOT NULL GROUP BY source),
+    moments AS (SELECT {moments} FROM hosts),
+    verdicts AS (SELECT source, {bad} AS host_bad FROM hosts, moments)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base AS base_failed,
+           NOT base AND NOT coalesce(host_bad, false) AS kept, n_lines, coalesce(host_bad, false) AS host_bad
+    FROM failed f LEFT JOIN verdicts v ON v.source = f.source"""
+
+
+ORACLE: dict[str, str] = {"op10_host_rules": _op10_sql()}

@@ -73,3 +73,14 @@ def test_query(spark, sf_dir):
     assert len(got) == len(docs)
     assert all(found(r) == brute(docs[r.doc_id] or "") for r in got)
     assert all(r.kept == (not r.base_failed and not r.host_bad) for r in got)
+
+
+def test_query_equals_its_sql(spark, sf_dir):
+    from alignfold.plans.oracle import duck, rows_of
+
+    con = duck(sf_dir)
+    cur = con.execute(queries.ORACLE["op10_host_rules"])
+    cols = [d[0] for d in cur.description]
+    want = rows_of(cols, cur.fetchall())
+    df = queries.op10_host_rules(spark, sf_dir)
+    assert sorted(df.columns) == sorted(cols) and rows_of(df.columns, [tuple(r) for r in df.collect()]) == want
