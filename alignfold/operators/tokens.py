@@ -175,7 +175,7 @@ def build_sft_examples_long(convs: DataFrame, pairs: DataFrame, template, key: s
     sys = F.coalesce(F.nullif(F.col("system"), F.lit("")), t_sys)
     sys_sep = F.when(F.coalesce(sys, F.lit("")) != "", F.concat(sys, sep)).otherwise(F.lit(""))
     k0 = F.col("k") == 0
-    rows = pairs.join(convs.select(key, "system"), key)
+    rows = join_back(pairs, convs.select(key, "system"), [key], ["k"])
     src_text = F.concat(F.when(k0, sys_sep).otherwise(sep), pre, F.coalesce(F.col("query"), F.lit("")), suf)
     src = tok(src_text)
     if bos is not None:
@@ -183,7 +183,7 @@ def build_sft_examples_long(convs: DataFrame, pairs: DataFrame, template, key: s
     rows = rows.select(key, "k", src.alias("_src"), tok(F.coalesce(F.col("answer"), F.lit(""))).alias("_tgt"))
     empty = rows.groupBy(key).agg(F.max(F.when(F.size("_src") + F.size("_tgt") == 0, 1).otherwise(0)).alias("_e"))
     ok_convs = convs.select(key).join(empty.filter(F.col("_e") == 1).select(key), key, "left_anti")
-    rows = rows.join(ok_convs, key, "left_semi")
+    rows = join_back(rows, ok_convs, [key], ["k"], "left_semi")
     rows = rows.select(key, "k", truncate_turn("_src", "_tgt", max_len).alias("_t"))
     rows = rows.select(key, "k", strip_eos(F.col("_t")["src"], F.col("_t")["tgt"], eos).alias("_t"))
     # the truncated turns feed both the budget and the packing: materialise them once
@@ -191,7 +191,7 @@ def build_sft_examples_long(convs: DataFrame, pairs: DataFrame, template, key: s
     ok_convs = cut_lineage(ok_convs)
     cum = with_running_sum(rows.select(key, "k", "_cost"), [key, "k"], "_cost", out="_cum")
     start = cum.groupBy(key).agg(F.min(F.col("_cum") - F.col("_cost")).alias("_start"))
-    kept_keys = cum.join(start, key).filter(F.col("_cum") - F.col("_start") <= max_len).select(key, "k")
+    kept_keys = join_back(cum, start, [key], ["k"]).filter(F.col("_cum") - F.col("_start") <= max_len).select(key, "k")
     kept = rows.join(kept_keys, [key, "k"], "left_semi")
     packed = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("k", "_t"))).alias("_ts"))
     turns_col = F.transform("_ts", lambda x: x["_t"])
