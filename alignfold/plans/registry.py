@@ -45,4 +45,4 @@ def query(name: str, sql: str | None = None) -> Callable:
 
 def load_all() -> None:
     # import for side effects: each module registers its plans
-    from alignfold.plans import (q_prompts, q_rewards, q_splits, q_tokens, q_filters, q_metrics, q_io, q_hooks)  # noqa: F401
+    from alignfold.plans import (q_prompts, q_rewards, q_splits, q_tokens, q_filters, q_metrics, q_io, q_hooks, q_values)  # noqa: F401
