@@ -9,8 +9,9 @@ load_all()
 
 # plans whose single-partition window runs over an already-aggregated frame (one row per model)
 AGGREGATED_WINDOWS = {"stage_gain"}
-# plans that call user Python on purpose (Arrow-batched): similarity block product, batch generation
-PYTHON_BY_DESIGN = {"semantic_max", "semantic_topk_mean", "semantic_filter", "batch_infer"}
+# plans that call user Python on purpose (Arrow-batched): similarity block product, batch generation, hooks
+PYTHON_BY_DESIGN = {"semantic_max", "semantic_topk_mean", "semantic_filter", "batch_infer", "model_reward",
+                    "tokenizer_hook", "batch_map"}
 
 
 _PLANS: dict = {}
@@ -26,7 +27,7 @@ def _plan(spark, name, sf_dir):
 def test_flagship_pushes_filters(spark, sf_dir):
     p = _plan(spark, "prompt_set", sf_dir)
     assert re.search(r"PushedFilters: \[[^\]]*In\(role, \[human,user\]\)", p), p[:3000]
-    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(role,assistant\)", p)
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(role,user\)", p)
 
 
 def test_scans_read_only_needed_columns(spark, sf_dir):
