@@ -10,7 +10,6 @@ from __future__ import annotations
 import base64
 import json
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 
 from alignfold.llm.common import prepared, slices, text_or_empty
 
-#: Pieces a worker remembers between batches (about 200 bytes each); beyond it, it starts afresh.
+#: Pieces a worker remembers between batches (some 250 bytes each); beyond it, it starts afresh.
 REMEMBERED_PIECES = 400_000
 
 
@@ -82,7 +81,7 @@ class PieceEncoder:
         self.tokens = pa.array(tokens, pa.binary())
         self.token_bytes = np.array([len(t) for t in tokens], np.int64)
         self.whole = {t: i for i, t in enumerate(tokens)}
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # piece -> its ids, 4 bytes each
 
     @classmethod
     def of(cls, path: str) -> PieceEncoder:
@@ -107,11 +106,11 @@ class PieceEncoder:
         for piece in different:
             ids = known.get(piece)
             if ids is None:
-                ids = known[piece] = self.encode_piece(piece)
+                ids = known[piece] = np.array(self.encode_piece(piece), np.int32).tobytes()
             got.append(ids)
-        size = np.fromiter(map(len, got), np.int64, len(got))
+        size = np.fromiter(map(len, got), np.int64, len(got)) // 4
         first = np.cumsum(size) - size
-        flat = np.fromiter(chain.from_iterable(got), np.int32, int(size.sum()))
+        flat = np.frombuffer(b"".join(got), np.int32)
         at = coded.indices.to_numpy(zero_copy_only=False)
         n = size[at]
         ends = np.concatenate([[0], np.cumsum(n)])
@@ -155,9 +154,10 @@ def resolved(batch: pa.RecordBatch, pattern: str) -> pa.ListArray:
 
 
 def encode(df: DataFrame, tokenizer: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           offsets: bool = False) -> DataFrame:
+           offsets: bool = False, decoded: bool = False) -> DataFrame:
     """One row per row of ``df``: the id, ``ids`` array<int> and, on request, ``starts`` and ``ends``
-    (character offsets of each token).
+    (character offsets of each token) and ``decoded`` (the bytes that the ids stand for, as by
+    ``decode``, made in the same task).
 
     ``tokenizer`` is a rank file (base64 token and rank a line) or the library's JSON file; every
     match of ``pattern`` is encoded on its own and special tokens are ordinary text. A null text
@@ -179,10 +179,13 @@ def encode(df: DataFrame, tokenizer: str, pattern: str, id_col: str = "doc_id",
                 both = [coder.spans(t.encode(), ids[a:b]) if b > a else ((), ())
                         for t, a, b in zip(batch.column("text").to_pylist(), at, at[1:])]
                 lists += [pa.array([list(map(int, x[k])) for x in both], pa.list_(pa.int32())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *lists],
-                                             ["id", "ids", "starts", "ends"][:1 + len(lists)])
+            if decoded:
+                lists.append(coder.decode(ids, at))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *lists], names)
 
-    schema = f"id {id_type}, ids array<int>" + (", starts array<int>, ends array<int>" if offsets else "")
+    schema = f"id {id_type}, ids array<int>" + (", starts array<int>, ends array<int>" if offsets else "") \
+        + (", decoded binary" if decoded else "")
+    names = [c.split()[0] for c in schema.split(", ")]
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 

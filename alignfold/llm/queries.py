@@ -24,8 +24,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = bpe.encode(documents(spark, sf_dir), RANKS, PATTERN)
-    out = bpe.decode(ids, RANKS)
+    out = bpe.encode(documents(spark, sf_dir), RANKS, PATTERN, decoded=True)
     numbers = F.array_join(F.col("ids").cast("array<string>"), " ")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(numbers.cast("binary"), 256).alias("ids_sha256"),

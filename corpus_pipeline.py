@@ -60,8 +60,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, and the digest of the text that they decode to."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    back = bpe.decode(ids, ranks)
+    back = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
     return back.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 

@@ -44,6 +44,8 @@ def test_round_trip_and_offsets(spark):
             assert token in text[a:b].encode() and a < b  # a split character is named whole
         assert not r.ids or (r.starts[0], r.ends[-1]) == (0, len(text))
     back = bpe.decode(ids, RANKS).collect()
+    both = bpe.encode(frame(spark, rows), RANKS, P.PATTERN, decoded=True).collect()
+    assert sorted((str(r.doc_id), r.ids, bytes(r.decoded)) for r in both) == sorted((str(r.doc_id), r.ids, bytes(r.decoded)) for r in back)
     assert sorted(bytes(r.decoded) for r in back) == sorted(text_of(x).encode() for x in rows)
 
 
