@@ -142,7 +142,7 @@ MANIFEST = "part int, seq int, path string, docs long, ids long, low long, high
 
 def write_files(df: DataFrame, folder: str, tokenizer: str, pattern: str, end_id: int = 2, id_col: str = "doc_id",
                 text_col: str = "text", shard_ids: int = SHARD_IDS) -> DataFrame:
-    """Write the shards of all documents, in ascending order of (id, text), below ``folder``.
+    """Write the shards of all documents, in ascending order of (id, hash of the text), below ``folder``.
 
     Returns the manifest, a staged table with one row per shard: place in the order, path, numbers
     of documents and ids, lowest and highest document id. ``folder`` is a URI that all executors
@@ -155,8 +155,9 @@ def write_files(df: DataFrame, folder: str, tokenizer: str, pattern: str, end_id
     prepared(df.sparkSession)
     files, base = fs.FileSystem.from_uri(folder)
     files.create_dir(base, recursive=True)
-    order = [F.col("doc"), F.col("whole")]
-    sorted_ = df.select(F.col(id_col).cast("long").alias("doc"), text_or_empty(text_col).alias("whole")) \
+    order = [F.col("doc"), F.col("h")]  # a hash, as the range sampling sends keys to the driver
+    whole = text_or_empty(text_col)
+    sorted_ = df.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(whole).alias("h"), whole.alias("whole")) \
         .repartitionByRange(*order).sortWithinPartitions(*order)
     rows = sorted_.select("doc", *pieces_of(F.col("whole"), pattern), F.spark_partition_id().alias("part"))
 
