@@ -294,9 +294,22 @@ def count_words(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def word_table(counts: DataFrame) -> Words:
-    """The part of the counts that tasks hold (HELD words, ENDING_CLASSES endings), and the sums."""
+    """The part of the counts that tasks hold (at most HELD words, ENDING_CLASSES endings), and the sums.
+
+    The held words are those above the least count at which there are no more than HELD of them,
+    found from a histogram over some thousands of logarithmic steps. So the driver gets the held
+    words alone, not the best HELD of every partition.
+    """
     sums = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(HELD).collect()
+    step = F.floor(F.log2("c") * 64).cast("int")
+    least, words_above = None, 0
+    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
+        words_above += r["count"]
+        if words_above > HELD:
+            break
+        least = r["step"]
+    held = [] if least is None else counts.filter(step >= least).collect()
+    top = sorted(held, key=lambda r: (-r["c"], bytes(r["word"])))
     rank = {bytes(r["word"]): i for i, r in enumerate(top)}
     count = np.array([r["c"] for r in top], np.int64)
     frequent = min(FREQUENT, len(top))
