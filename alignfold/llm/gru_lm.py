@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import io
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,13 +23,14 @@ from pyspark.sql import functions as F
 
 from alignfold.llm.common import prepared, slices, stage, text_or_empty
 
-FREQUENT = 4096  # words with a softmax weight and an embedding of their own
-WORD_CLASSES, ENDING_CLASSES = 64, 64
+FREQUENT = 4096  # words with a softmax weight and an embedding of their own, at least; see ``frequent_words``
+WORD_CLASSES, ENDING_CLASSES = 64, 64  # word classes: at least
 ENDING = 3  # bytes of a rare word that choose its class
 HELD = 262_144  # most frequent words whose counts every task holds; rarer ones are joined
 HIDDEN = 32
-TRAIN_TOKENS = 600_000  # the weights are fitted on a seeded sample of training documents of about so many tokens
-EPOCHS = 3
+TRAIN_TOKENS = 600_000  # tokens of a part of the training documents, learnt in one task; more if the network is larger
+EPOCHS = 3  # rounds: each learns every part and takes the mean of the weights
+SLICE = 4096  # weights that are averaged as one row
 STREAMS, STEPS = 64, 16  # parallel streams and window of the truncated backpropagation
 LANES = 384  # streams scored side by side
 ROWS = 4096  # states whose softmax is taken at once
@@ -57,7 +59,7 @@ class Words:
     count: np.ndarray  # by rank
     total: int  # N
     types: int  # V
-    bounds: np.ndarray  # first rank of each word class, then FREQUENT or less
+    bounds: np.ndarray  # first rank of each word class, then the number of frequent words
     endings: dict[bytes, int]  # ending -> ending class; others: the last class
     mass: np.ndarray  # of the ending classes, smoothed
 
@@ -189,24 +191,29 @@ class Network:
         np.add.at(g["emb"], before.ravel(), rows @ p["wx"].T)
         return float(loss), g, states[-1]
 
-    def train(self, stream: np.ndarray, epochs: int = EPOCHS, rate: float = 0.01) -> list[float]:
+    def train(self, stream: np.ndarray, epochs: int = EPOCHS, rate: float = 0.01, after: int = 0,
+              of: int | None = None) -> list[float]:
         """Truncated backpropagation by Adam over the stream in STREAMS parallel parts; the state
-        runs on from window to window. Returns each epoch's loss a token."""
+        runs on from window to window. Every token is learnt; the parts overlap by the few tokens
+        that make them equally long. The rate falls over ``of`` epochs, of which ``after`` are
+        over. Returns each epoch's loss a token."""
         lanes = max(1, min(STREAMS, len(stream) // (4 * STEPS)))
-        length = len(stream) // lanes
-        if length < 2:
+        length = -(-len(stream) // lanes)
+        if not length:
             return []
-        lane = stream[:lanes * length].reshape(lanes, length).T
+        at = np.arange(length)[:, None] + np.arange(lanes) * (len(stream) - length) // max(lanes - 1, 1)
+        lane, ahead = stream[at], np.concatenate([[self.end], stream[:-1]])[at]
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(v) for k, v in self.p.items()}
-        n, losses, total = 0, [], epochs * max(1, (length - 1) // STEPS)
+        windows = -(-length // STEPS)
+        n, losses, total = 0, [], (of or epochs) * windows
         for _ in range(epochs):
             h, loss, seen = np.zeros((lanes, self.hidden), np.float32), 0.0, 0
-            for a in range(0, length - 1, STEPS):
-                want = lane[a + 1:a + 1 + STEPS]
-                part, grad, h = self.gradient(lane[a:a + len(want)], want, h)
+            for a in range(0, length, STEPS):
+                want = lane[a:a + STEPS]
+                part, grad, h = self.gradient(ahead[a:a + STEPS], want, h)
                 loss, seen, n = loss + part, seen + want.size, n + 1
-                speed = rate * max(0.05, 1 - n / total)
+                speed = rate * max(0.05, 1 - (after * windows + n) / total)
                 for k, x in grad.items():
                     x = np.clip(x / lanes, -1, 1)
                     m[k] += 0.1 * (x - m[k])
@@ -260,6 +267,15 @@ class Network:
             out[held] = np.add.reduceat(found[:size[j], j].astype(np.float64), starts)
         return out
 
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in self.p.values()])
+
+    def put(self, flat: np.ndarray) -> None:
+        """The reverse of ``flat``."""
+        ends = np.cumsum([x.size for x in self.p.values()])
+        self.p = {k: part.reshape(x.shape).astype(np.float32)
+                  for (k, x), part in zip(self.p.items(), np.split(flat, ends[:-1]))}
+
     def saved(self) -> bytes:
         out = io.BytesIO()
         np.savez(out, **self.p)
@@ -293,6 +309,11 @@ def count_words(df: DataFrame, text_col: str = "text") -> DataFrame:
     return rows.groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def frequent_words(types: int) -> int:
+    """Words with weights of their own: FREQUENT, from a million types on four times their root."""
+    return max(FREQUENT, math.isqrt(16 * types))
+
+
 def word_table(counts: DataFrame) -> Words:
     """The part of the counts that tasks hold (at most HELD words, ENDING_CLASSES endings), and the sums.
 
@@ -312,9 +333,10 @@ def word_table(counts: DataFrame) -> Words:
     top = sorted(held, key=lambda r: (-r["c"], bytes(r["word"])))
     rank = {bytes(r["word"]): i for i, r in enumerate(top)}
     count = np.array([r["c"] for r in top], np.int64)
-    frequent = min(FREQUENT, len(top))
+    frequent = min(frequent_words(int(sums["v"] or 0)), len(top))
+    classes = max(WORD_CLASSES, math.isqrt(frequent))
     share = np.cumsum(count[:frequent]) / max(count[:frequent].sum(), 1)
-    bounds = np.unique(np.concatenate([[0], np.searchsorted(share, np.arange(1, WORD_CLASSES) / WORD_CLASSES) + 1, [frequent]]))
+    bounds = np.unique(np.concatenate([[0], np.searchsorted(share, np.arange(1, classes) / classes) + 1, [frequent]]))
     bounds = bounds[bounds <= frequent]
     # rare words by ending: all of them, so also those that no task holds
     last = top[frequent - 1] if frequent else None
@@ -331,25 +353,76 @@ def word_table(counts: DataFrame) -> Words:
 
 
 def train(df: DataFrame, words: Words, id_col: str, text_col: str, seed: int = 11) -> Network:
-    """The network, trained in one task on a seeded share of the documents of about TRAIN_TOKENS."""
+    """The network, trained on every document.
+
+    Documents are dealt by a seeded hash to parts of about TRAIN_TOKENS tokens (or as many as the
+    network has weights, so that the weights of all parts are no more than the tokens). In each of
+    EPOCHS rounds a task learns a part from the current weights, and the mean of all parts'
+    weights, by their tokens, is taken on Spark, slice by slice. The driver gets one network a round.
+    """
+    net = Network(words)
+    if not words.total:
+        return net
     spark = df.sparkSession
-    share = min(1.0, TRAIN_TOKENS / max(words.total, 1))
-    chosen = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1 << 30)) < int(share * (1 << 30))
+    n_parts = -(-words.total // max(TRAIN_TOKENS, len(net.flat())))
+    n_slices = -(-len(net.flat()) // SLICE)
     held = spark.sparkContext.broadcast(words)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = held.value
-        texts = sorted((h, t) for b in batches for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-        parts = [words.numbers(tokens(t))[1] for _, t in texts]
-        net = Network(words)
-        if parts:
-            net.train(np.concatenate(parts))
-        yield pa.RecordBatch.from_arrays([pa.array([net.saved()], pa.binary())], ["weights"])
-
-    rows = df.filter(chosen).select(F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"), text_or_empty(text_col).alias("whole"))
-    got = rows.repartition(1).mapInArrow(run, "weights binary").collect()
-    net = Network(words)
-    return net.load(bytes(got[0]["weights"])) if got else net
+        for batch in slices(batches):
+            got = [words.numbers(tokens(t))[1].astype(np.int32).tobytes() for t in batch.column("whole").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("h"), pa.array(got, pa.binary())],
+                                             ["part", "h", "numbers"])
+
+    whole = text_or_empty(text_col)
+    rows = df.select(F.xxhash64(F.lit(seed), F.col(id_col), whole).alias("h"), whole.alias("whole"))
+    rows = rows.select(F.pmod("h", F.lit(n_parts)).alias("part"), "h", "whole")
+    coded = stage(rows.mapInArrow(number, "part long, h long, numbers binary"), "lm-numbers")
+    for turn in range(EPOCHS):
+        raw = spark.sparkContext.broadcast(net.saved())
+
+        def learn(batches: Iterator[pa.RecordBatch], turn: int = turn, raw=raw) -> Iterator[pa.RecordBatch]:
+            total, seen, part, docs = 0.0, 0, None, []
+
+            def fit() -> None:
+                nonlocal total, seen
+                stream = np.concatenate(docs)
+                net = Network(held.value).load(raw.value)
+                net.train(stream, epochs=1, after=turn, of=EPOCHS)
+                total, seen = total + net.flat().astype(np.float64) * len(stream), seen + len(stream)
+                docs.clear()
+
+            for batch in batches:
+                for p, numbers in zip(batch.column("part").to_pylist(), batch.column("numbers").to_pylist()):
+                    if p != part and docs:
+                        fit()
+                    part = p
+                    docs.append(np.frombuffer(numbers, np.int32))
+            if docs:
+                fit()
+            if seen:
+                mean = (total / seen).astype(np.float32)
+                cut = [mean[a:a + SLICE].tobytes() for a in range(0, len(mean), SLICE)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(cut)), pa.int32()), pa.array([seen] * len(cut), pa.int64()),
+                                                  pa.array(cut, pa.binary())], ["slice", "n", "weights"])
+
+        def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict = {}
+            for batch in batches:
+                for k, n, weights in zip(*(c.to_pylist() for c in batch.columns)):
+                    total, seen = sums.get(k, (0.0, 0))
+                    sums[k] = total + np.frombuffer(weights, np.float32).astype(np.float64) * n, seen + n
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), pa.int32()), pa.array([n for _, n in sums.values()], pa.int64()),
+                 pa.array([(t / n).astype(np.float32).tobytes() for t, n in sums.values()], pa.binary())],
+                ["slice", "n", "weights"])
+
+        kind = "slice int, n long, weights binary"
+        learnt = coded.repartition(n_parts, "part").sortWithinPartitions("part", "h").mapInArrow(learn, kind)
+        got = sorted(learnt.repartition(min(n_slices, n_parts), "slice").mapInArrow(mean, kind).collect())
+        net.put(np.concatenate([np.frombuffer(r["weights"], np.float32) for r in got]))
+    return net
 
 
 def score(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

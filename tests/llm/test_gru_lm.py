@@ -129,6 +129,42 @@ def test_training_learns_order():
     assert losses[-1] < losses[0] and after > 0.6 * before
 
 
+def test_every_training_row_moves_the_weights(spark, monkeypatch):
+    monkeypatch.setattr(gru_lm, "TRAIN_TOKENS", 300)
+    rng = random.Random(8)
+    rows = [(i, sentence(rng, 100), "en", "a", 0) for i in range(400)]
+
+    def weights(rows):
+        df = frame(spark, rows)
+        words = gru_lm.word_table(gru_lm.count_words(df))
+        return np.concatenate([x.ravel() for x in gru_lm.train(df, words, "doc_id", "text").p.values()])
+
+    first = weights(rows)
+    assert np.allclose(first, weights(rows[::-1]), atol=1e-4)  # however the rows lie
+    for i in (0, 111, 399):  # the same words in another order: the same counts
+        other = " ".join(sorted(rows[i][1].split()))
+        assert not np.allclose(first, weights([*rows[:i], (i, other, *rows[i][2:]), *rows[i + 1:]]), atol=1e-4), i
+
+
+def test_every_token_is_learnt():
+    rng = random.Random(9)
+    words = table([sentence(rng, 90) for _ in range(9)])
+    for n in (1, 2, 63, 64, 130, 131, 4095, 4097):
+        net, seen = gru_lm.Network(words, hidden=3), []
+        learn = net.gradient
+        net.gradient = lambda before, want, h: (seen.append((before, want)), learn(before, want, h))[1]
+        stream = np.arange(n) % words.frequent
+        net.train(stream, epochs=1)
+        pairs = Counter(p for b, w in seen for p in zip(b.ravel().tolist(), w.ravel().tolist()))
+        assert set(pairs) == set(zip([net.end, *stream.tolist()], stream.tolist()))
+        assert n <= sum(pairs.values()) < n + gru_lm.STREAMS
+
+
+def test_frequent_words_grow_with_the_vocabulary():
+    assert gru_lm.frequent_words(1000) == gru_lm.FREQUENT
+    assert gru_lm.frequent_words(100_000_000) == 40_000
+
+
 def test_empty_and_nothing_to_learn(spark):
     assert gru_lm.score(empty(spark), F.lit(True)).count() == 0
     got = gru_lm.score(frame(spark, awkward()[:6]), F.lit(False)).collect()
