@@ -53,14 +53,24 @@ def merge_rules(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes]]:
     return rules
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of the library's JSON file, which it finds inside texts; a rank file has none."""
+    if not path.endswith(".json"):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f).get("added_tokens") or []}
+
+
 class PieceEncoder:
     """Encodes pieces with a ``tokenizers`` BPE model; one per worker and vocabulary file."""
 
     _made: dict[str, PieceEncoder] = {}
+    _libraries: dict[tuple[str, str], object] = {}
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, models
 
+        self.path = path
         chars = byte_characters()
         self.to_chars = str.maketrans({chr(b): c for b, c in chars.items()})
         if path.endswith(".json"):
@@ -96,6 +106,22 @@ class PieceEncoder:
             return [i]
         return [t.id for t in self.model.tokenize(raw.decode("latin-1").translate(self.to_chars))]
 
+    def encode_whole(self, texts: list[str], pattern: str) -> list[np.ndarray]:
+        """Ids of whole texts by the library with its defaults: added tokens first, each stretch between
+        them cut by the pattern."""
+        if (self.path, pattern) not in self._libraries:
+            from tokenizers import Regex, Tokenizer, pre_tokenizers
+
+            library = Tokenizer.from_file(self.path)
+            library.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.Split(Regex(pattern), "removed", invert=True),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            library.no_truncation()
+            library.no_padding()
+            self._libraries[self.path, pattern] = library
+        library = self._libraries[self.path, pattern]
+        return [np.array(e.ids, np.int32) for e in library.encode_batch(texts, add_special_tokens=False)]
+
     def encode(self, pieces: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one after the other, row starts with the end added)."""
         coded = pieces.flatten().dictionary_encode()

@@ -9,10 +9,12 @@ one slice. Shards are cut from the documents in ascending order of their ids.
 from __future__ import annotations
 
 import io
+import operator
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alignfold.llm.bpe import PieceEncoder, pieces_of, resolved
+from alignfold.llm.bpe import PieceEncoder, added_tokens, pieces_of, resolved
 from alignfold.llm.common import prepared, scratch_path, slices, stage, text_or_empty
 
 MAGIC = b"AFTOKENS"
@@ -149,7 +151,8 @@ def write_files(df: DataFrame, folder: str, tokenizer: str, pattern: str, end_id
     reach (a path or any scheme of pyarrow.fs). Each task writes files of its own name and only the
     manifest says which count, so a repeated or lost task leaves no wrong shard.
 
-    A null text is empty (its end id alone), a null id comes first and is read by place, equal ids
+    Added tokens of the library's JSON file are found inside texts, as the library does by default (a
+    rank file has none); the rest is cut by the pattern. A null text is empty (its end id alone), a null id comes first and is read by place, equal ids
     stand side by side. Ids are stored in 2 bytes where the vocabulary allows it, else in 4.
     """
     prepared(df.sparkSession)
@@ -159,11 +162,14 @@ def write_files(df: DataFrame, folder: str, tokenizer: str, pattern: str, end_id
     whole = text_or_empty(text_col)
     sorted_ = df.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(whole).alias("h"), whole.alias("whole")) \
         .repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = sorted_.select("doc", *pieces_of(F.col("whole"), pattern), F.spark_partition_id().alias("part"))
+    added = added_tokens(tokenizer)
+    with_added = reduce(operator.or_, (F.contains("whole", F.lit(t)) for t in added), F.lit(False))
+    rows = sorted_.select("doc", *pieces_of(F.when(with_added, "").otherwise(F.col("whole")), pattern),
+                          F.when(with_added, F.col("whole")).alias("with_added"), F.spark_partition_id().alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = PieceEncoder.of(tokenizer)
-        kind = np.dtype("<u2" if max(len(coder.tokens), end_id + 1) <= 1 << 16 else "<u4")
+        kind = np.dtype("<u2" if max(len(coder.tokens), end_id + 1, *(i + 1 for i in added.values())) <= 1 << 16 else "<u4")
         docs, sizes, parts, held, seq = [], [], [], 0, 0
         attempt = uuid.uuid4().hex
 
@@ -182,6 +188,13 @@ def write_files(df: DataFrame, folder: str, tokenizer: str, pattern: str, end_id
             part = batch.column("part")[0].as_py()
             ids, at = coder.encode(resolved(batch, pattern))
             n = len(at) - 1
+            whole = batch.column("with_added")
+            if whole.null_count < n:
+                got = [ids[a:b] for a, b in zip(at, at[1:])]
+                rows = np.flatnonzero(whole.is_valid().to_numpy(zero_copy_only=False))
+                for i, row in zip(rows, coder.encode_whole(whole.drop_null().to_pylist(), pattern)):
+                    got[i] = row
+                ids, at = np.concatenate(got), np.concatenate([[0], np.cumsum([len(x) for x in got])])
             ids = np.insert(ids, at[1:], end_id).astype(kind)
             docs.append(batch.column("doc"))
             sizes.append(np.diff(at) + 1)

@@ -50,6 +50,17 @@ def test_files_hold_every_document_in_order(spark, library, tmp_path, shard_ids)
         assert found == want
 
 
+def test_added_tokens_inside_texts_are_the_librarys(spark, tmp_path):
+    library = Tokenizer.from_file(VOCABULARY)  # its defaults
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|><|endoftext|>b  <|endoftext|>  \n c", "<|endoftext|",
+             "naïve 😀 <|endoftext|> 日本語 don't\r\n\t <|ENDOFTEXT|>", "nothing of it", "\U000e0fff <|endoftext|> \u0378 x", "", None]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
+    manifest = token_files.write_files(frame(spark, rows), str(tmp_path / "out"), VOCABULARY, P.PATTERN)
+    assert library.encode(texts[0], add_special_tokens=False).ids == [505, 220, 50256, 734]
+    got = sorted((tuple(r) for r in token_files.read_files(manifest).collect()), key=lambda r: r[1])
+    assert got == brute([r[:2] for r in rows], library)
+
+
 def test_perfect_hash():
     rng = random.Random(5)
     for n in (0, 1, 2, 100, 20_000):
