@@ -110,33 +110,46 @@ class Index:
         return kept, code[kept]
 
     def candidates(self, row: np.ndarray) -> list[tuple[int, int]]:
-        """(template, diagonal) of the places that share kept grams, one for each run of near hits."""
+        """(template, diagonal) of the places that share kept grams, one for each run of near hits in
+        which the template does not start again."""
         hits = defaultdict(list)
         for at, code in zip(*self.winnow(row)):
             for t, place in self.places.get(int(code), ()):
                 hits[t].append((int(at) - place, int(at)))
         out = []
+
+        def cut(t: int, group: list[tuple[int, int]]) -> None:
+            run: list[tuple[int, int]] = []
+            for hit in sorted(group, key=lambda h: (h[1], h[0])):
+                if run and hit[1] - hit[0] <= run[-1][1] - run[-1][0]:  # no further in the template
+                    out.append((t, run[len(run) // 2][0]))
+                    run = []
+                run.append(hit)
+            out.append((t, run[len(run) // 2][0]))
+
         for t, found in hits.items():
             found.sort()
             group = [found[0]]
             for hit in found[1:]:
                 if hit[0] - group[0][0] > BAND:
-                    out.append((t, group[len(group) // 2][0]))
+                    cut(t, group)
                     group = []
                 group.append(hit)
-            out.append((t, group[len(group) // 2][0]))
-        return out
+            cut(t, group)
+        return list(dict.fromkeys(out))
 
-    def align(self, row: np.ndarray, t: int, diagonal: int) -> tuple[int, int, int]:
+    def align(self, row: np.ndarray, t: int, diagonal: int, start: int = 0, stop: int | None = None) -> tuple[int, int, int]:
         """(matched words, first and last matched place) of the best alignment of the template with
-        the row near the diagonal: most words in common, in order, within the band."""
+        the row (its places from start to stop) near the diagonal: most words in common, in order,
+        within the band; of equals the tightest span, then the nearest to the diagonal."""
+        stop = len(row) if stop is None else stop
         word = self.words[t]
         low, width = diagonal - BAND, 2 * BAND + 1
         best = np.zeros(width, np.int64)  # at row place = template place + low + j
         begin, until = np.full(width, -1), np.full(width, -1)
         for i, w in enumerate(word):
             at = i + low + np.arange(width)
-            inside = (at >= 0) & (at < len(row))
+            inside = (at >= start) & (at < stop)
             same = inside & (row[np.clip(at, 0, len(row) - 1)] == w)
             new, nb, nu = best.copy(), begin.copy(), until.copy()  # a match or a word replaced: the same diagonal
             new[same] += 1
@@ -144,17 +157,31 @@ class Index:
             nu[same] = at[same]
             up = np.append(best[1:], -1)  # a template word left out: one diagonal lower than before
             for j in range(width):
-                if up[j] > new[j]:
+                if up[j] > new[j] or (j + 1 < width and up[j] == new[j] and begin[j + 1] > nb[j]):
                     new[j], nb[j], nu[j] = up[j], begin[j + 1], until[j + 1]
-                if j and new[j - 1] > new[j]:  # a row word between: the next diagonal
+                if j and (new[j - 1] > new[j] or (new[j - 1] == new[j] and nb[j - 1] > nb[j])):  # a row word between: the next diagonal
                     new[j], nb[j], nu[j] = new[j - 1], nb[j - 1], nu[j - 1]
             best, begin, until = new, nb, nu
-        j = int(best.argmax())
+        j = min(range(width), key=lambda j: (-best[j], until[j] - begin[j], abs(j - BAND)))
         return int(best[j]), int(begin[j]), int(until[j])
 
+    def matches(self, row: np.ndarray, t: int, diagonal: int, coverage: float) -> Iterator[tuple[int, int, int]]:
+        """The alignments that reach the coverage: the best one, and those left and right of it."""
+        size, todo = len(self.words[t]), [(0, len(row))]
+        while todo:
+            start, stop = todo.pop()
+            room = min(stop, diagonal + BAND + size) - max(start, diagonal - BAND)
+            if room < GRAM or room < coverage * size:
+                continue
+            matched, first, last = self.align(row, t, diagonal, start, stop)
+            if matched >= GRAM and matched / size >= coverage:
+                yield matched, first, last
+                todo += [(start, first), (last + 1, stop)]
+
     def scan(self, text: str, coverage: float) -> list[tuple[str, float, int, int, int]]:
         """(template, matched coverage, matched words, start, end) with character offsets; of matches
-        that overlap, the one with the most matched words, then the greatest coverage."""
+        that overlap, the one with the most matched words, then the greatest coverage, then the
+        tightest span."""
         raw = text.encode().lower().split()
         get = self.ids.get
         row = np.fromiter((get(w) or get(plain(w), 0) for w in raw), np.int64, len(raw))
@@ -162,13 +189,14 @@ class Index:
             return []
         found = []
         for t, diagonal in self.candidates(row):
-            matched, first, last = self.align(row, t, diagonal)
-            share = matched / len(self.words[t])
-            if share >= coverage and matched >= GRAM:
-                found.append((-matched, -share, first, last, t))
+            for matched, first, last in self.matches(row, t, diagonal, coverage):
+                found.append((-matched, -matched / len(self.words[t]), first, last, t))
         kept: list[tuple] = []
-        for hit in sorted(set(found)):
-            if all(hit[3] < k[2] or hit[2] > k[3] for k in kept):
+        taken = np.zeros(len(row), bool)
+        # of equal matches the tightest, so that no span runs into the next place
+        for hit in sorted(set(found), key=lambda k: (k[0], k[1], k[3] - k[2], k)):
+            if not taken[hit[2]:hit[3] + 1].any():
+                taken[hit[2]:hit[3] + 1] = True
                 kept.append(hit)
         if not kept:
             return []

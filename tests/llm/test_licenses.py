@@ -51,6 +51,27 @@ def test_two_places_and_rival_templates(spark):
     assert [text[m.start:m.end] for m in got] == [gpl3, gpl2, licenses.TEMPLATES["MIT"][0]]
 
 
+def test_repeated_notices_have_a_match_each():
+    index = licenses.Index.build(licenses.TEMPLATES)
+    for texts in licenses.TEMPLATES.values():
+        for line in texts:
+            for n in range(2, 11):
+                for gap in ("\n", "\n# ", " and then "):
+                    text = "Intro words here\n" + gap.join([line] * n) + "\nmore words follow"
+                    got = index.scan(text, licenses.COVERAGE)
+                    want = [len("Intro words here\n") + i * len(line + gap) for i in range(n)]
+                    assert [m[3:] for m in got] == [(a, a + len(line)) for a in want], (line, n, gap)
+
+
+@pytest.mark.parametrize("where", range(6))
+def test_a_changed_notice_among_repeated_ones_has_its_match(where):
+    line = licenses.TEMPLATES["Apache-2.0"][0]
+    lines = [line] * 6
+    lines[where] = line.replace("Licensed", "Given")
+    got = licenses.Index.build(licenses.TEMPLATES).scan("\n".join(lines), licenses.COVERAGE)
+    assert [m[2] for m in got] == [6 if i == where else 7 for i in range(6)]
+
+
 def test_alignment_is_the_longest_common_run_in_the_band():
     rng = random.Random(2)
     for _ in range(60):
