@@ -123,7 +123,7 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def row_key(df: DataFrame) -> Column:
     """128 bits of all columns as text: rows with one key are equal in every column."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
+    cols = [x for c in df.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]  # the hash skips nulls
     return F.concat(F.hex(F.xxhash64(*cols)), F.lit("-"), F.hex(F.xxhash64(F.lit("second"), *cols)))
 
 

@@ -93,3 +93,10 @@ def test_awkward_and_empty_tables(spark, tables, name):
             assert got.columns == docs.columns
         n = got.count()
         assert n <= 2 * docs.count() and (docs.isEmpty() or name == "quality" or n > 0)
+
+
+def test_rows_that_differ_in_which_column_is_null_have_their_own_keys(spark):
+    from alignfold.llm.common import row_key
+
+    df = frame(spark, [(1, "same", "en", None, 4), (1, "same", None, "en", 4), (1, "same", None, None, 4), (1, "same", None, None, 4)])
+    assert df.select(row_key(df).alias("k")).distinct().count() == 3
