@@ -20,16 +20,23 @@ def keep_rows(df: DataFrame, cond: Column) -> DataFrame:
     return df.withColumn("_keep", F.explode(flag)).drop("_keep")
 
 
-def join_back(rows: DataFrame, stats: DataFrame, keys: Sequence[str], spread: Sequence[str], how: str = "inner",
+def spread_of(columns: Sequence[str]) -> Column:
+    """A number that differs between rows: the hash of ``columns`` and of the task's partition, so that
+    equal rows and frames of one column are spread too. A repeated task gives its rows the same numbers."""
+    return F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in columns])
+
+
+def join_back(rows: DataFrame, stats: DataFrame, keys: Sequence[str], spread: Sequence[str] = (), how: str = "inner",
               salts: int = 32) -> DataFrame:
-    """Raw rows joined with one row per key, with the rows of a hot key spread over ``salts`` groups.
+    """Raw rows joined with one row per key, with the rows of every key spread over ``salts`` groups.
 
     An aggregate above its exchange is no plain shuffle stage, so adaptive skew splitting does not
     act on such a join. The small side is repeated ``salts`` times and each row picks one by the hash
-    of its ``spread`` columns. Keys are compared null-safely: no row is lost for a null key. With
-    ``how='left_semi'`` / ``'left_anti'`` the rows are filtered.
+    of its ``spread`` columns and its partition. Keys are compared null-safely: no row is lost for a
+    null key. With ``how='left_semi'`` / ``'left_anti'`` the rows are filtered. Where the rows of each key
+    are counted, ``join_hot`` needs no copies.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(salts)).cast("int")
+    salt = F.pmod(spread_of(spread), F.lit(salts)).cast("int")
     left = rows.withColumn("_salt", salt)
     right = stats.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
                          *[c for c in stats.columns if c not in keys]) \
@@ -38,3 +45,42 @@ def join_back(rows: DataFrame, stats: DataFrame, keys: Sequence[str], spread: Se
     for i, k in enumerate(keys):
         cond &= left[k].eqNullSafe(F.col(f"_key{i}"))
     return left.join(right, cond, how).drop("_salt", "_copy", *[f"_key{i}" for i in range(len(keys))])
+
+
+#: Rows from which a key is hot. A table has at most one hot key for each so many of its rows.
+HOT_ROWS = 1 << 20
+
+
+def join_hot(rows: DataFrame, stats: DataFrame, keys: Sequence[str], count: str, how: str = "inner",
+             spread: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows joined with one row per key, which says in ``count`` how many rows have the key.
+
+    The statistics of hot keys, at most one for each ``hot_rows`` rows, are broadcast; all others meet their
+    rows in a shuffle, over which the rows of hot keys are dealt evenly, as they match nothing there. So no
+    row of ``stats`` is copied. Rows of a hot key go by their task's partition, and by ``spread`` columns if
+    given. Keys are compared null-safely. ``how`` is ``inner`` or ``left``; ``count`` is not in the result.
+    """
+    names = [c for c in stats.columns if c not in (*keys, count)]
+    packed = F.struct(F.lit(True).alias("there"), *[F.col(f"`{c}`") for c in names])
+
+    def side(part: DataFrame, out: str) -> DataFrame:
+        return part.select(*[F.col(f"`{k}`").alias(f"_{out}{i}") for i, k in enumerate(keys)], packed.alias(f"_{out}"),
+                           *[c for c in part.columns if c == "_zero"])
+
+    def same(out: str) -> Column:
+        cond = F.lit(True)
+        for i, k in enumerate(keys):
+            cond &= F.col(f"`{k}`").eqNullSafe(F.col(f"_{out}{i}"))
+        return cond
+
+    hot = side(stats.filter(F.col(count) >= hot_rows), "hot")
+    # a literal 0 would be no key of the shuffle: the optimizer makes it a condition on the rows' side alone
+    cold = side(stats.filter(F.col(count) < hot_rows).withColumn("_zero", F.shiftright(F.col(count), 62)), "cold")
+    met = rows.join(F.broadcast(hot), same("hot"), "left")
+    # 0 looks for its key in the shuffle; any other number only says where a row goes
+    met = met.withColumn("_at", F.when(F.col("_hot").isNotNull(), spread_of(spread).bitwiseOR(F.lit(1))).otherwise(F.lit(0)))
+    met = met.join(cold, same("cold") & (F.col("_at") == F.col("_zero")), "left")
+    found = F.coalesce(F.col("_hot"), F.col("_cold"))
+    if how == "inner":
+        met = met.filter(found.isNotNull())
+    return met.select(*[F.col(f"`{c}`") for c in rows.columns], *[found[c].alias(c) for c in names])

@@ -94,3 +94,30 @@ def test_null_stratum_and_null_batch(spark):
     assert got == {None: 2, "b": 3, "c": 1}
     train = spark.createDataFrame([(1, "x"), (2, None), (3, "y")], "i long, t string")
     assert sorted(r.i for r in S.overlap_rows(train, train.filter("i <> 3"), "t").collect()) == [1, 2]
+
+
+def test_join_hot_is_exact_and_copies_nothing(spark):
+    from alignfold.functions.rows import join_hot
+
+    n, parts = 24_000, 16
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold",
+                                           "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(keep, (str(parts), "-1", "false")):
+            spark.conf.set(k, v)
+        # one column, and a third of its rows are equal: nothing but the task tells them apart
+        one = spark.range(n).repartition(48).select(
+            F.when(F.col("id") < n // 3, F.lit(None).cast("long")).otherwise(F.col("id") % 3001).alias("k"))
+        stats = one.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.count(F.lit(1)).alias("times"))
+        out = join_hot(one, stats.filter("k IS NULL OR k % 2 = 0"), ["k"], "c", hot_rows=1000)
+        assert out.columns == ["k", "times"]
+        sizes = {r["p"]: r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()}
+        want = one.filter("k IS NULL OR k % 2 = 0").groupBy("k").count().collect()
+        assert sum(sizes.values()) == sum(r["count"] for r in want) and max(sizes.values()) < 3 * n / parts
+        got = {(r.k, r.times): r["count"] for r in out.groupBy("k", "times").count().collect()}
+        assert got == {(r.k, r["count"]): r["count"] for r in want}
+        left = join_hot(one, stats.filter("k = 7"), ["k"], "c", "left", hot_rows=1)
+        assert left.count() == n and {r.k for r in left.filter("times IS NOT NULL").collect()} == {7}
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
