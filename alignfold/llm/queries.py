@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alignfold.llm import bpe, gru_lm, host_rules, licenses, mixing, sharding, simhash, token_files, toxicity, winnow
+from alignfold.llm import (bpe, gru_lm, host_rules, licenses, mixing, periods, sharding, simhash, token_files, toxicity,
+                           vector_codes, warc, winnow)
 from alignfold.llm.common import WORD, documents, id_crc, label_key, text_or_empty
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -89,9 +94,55 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept", "n_lines", "host_bad")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    folder = warc.new_folder(pages)
+    warc.write_archive(pages, folder, min_bytes=0)
+    found = warc.resolved(spark, folder)
+    return found.select(F.col("document_id").cast("long").alias("page_id"), "payload_bytes",
+                        F.col("payload_sha1").alias("payload_digest"), "record_type",
+                        F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, codebooks = vector_codes.encode(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), carry=("label",))
+    return vector_codes.with_label_errors(found).select(
+        "vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(codebooks)).alias("codebooks_sha256"), "label")
+
+
+def planted_copies(doc_ids: pa.Array, first: np.ndarray) -> np.ndarray:
+    """For one in ten documents, by the crc32 of the id: from word a on, p words over and over."""
+    source = np.arange(int(first[-1]))
+    for doc_id, begin, n in zip(doc_ids.to_pylist(), first[:-1].tolist(), np.diff(first).tolist()):
+        h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+        if h % 10 == 0 and n > 0:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            source[begin + a:begin + n] = begin + a + np.arange(n - a) % p
+    return source
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(documents(spark, sf_dir), edit=planted_copies)
+    # runs come by start and period, so the first of the greatest exponents is the one asked for
+    best = F.expr("aggregate(runs, cast(null as struct<start: long, length: long, period: long>), (b, r) -> "
+                  "if(b is null or r.length * b.period > b.length * r.period, r, b))")
+    text = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    text = F.when(F.size("runs") > 0, F.concat(text, F.lit("\n"))).otherwise("")
+    found = found.select("doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), best.alias("b"),
+                         F.sha2(text.cast("binary"), 256).alias("runs_sha256"),
+                         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    return found.select("doc_id", "n_runs", "b.start", "b.length", "b.period",
+                        F.expr("1000 * b.length div b.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+                        "n_words")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_simhash, op3_byte_bpe, op4_toxicity, op5_mixing, op6_licenses, op7_fingerprints, op8_gru_lm,
-    op9_token_files, op10_host_rules)}
+    op9_token_files, op10_host_rules, op11_warc, op12_vector_codes, op13_periodic_runs)}
+
+
 def _op10_sql() -> str:
     """Counts, moments of the hosts' rates and verdicts of op10 in DuckDB."""
     n, f = "cast(n AS DOUBLE)", {r: f"cast({r} AS DOUBLE)" for r in host_rules.RULES}
