@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alignfold.llm import (bpe, gru_lm, host_rules, licenses, mixing, periods, sharding, simhash, token_files, toxicity,
-                           vector_codes, warc, winnow)
+from alignfold.llm import (bpe, corpus_sql, gru_lm, host_rules, licenses, mixing, periods, sharding, simhash, token_files,
+                           toxicity, vector_codes, warc, winnow)
 from alignfold.llm.common import WORD, documents, id_crc, label_key, text_or_empty
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -181,4 +181,4 @@ def _op10_sql() -> str:
     FROM failed f LEFT JOIN verdicts v ON v.source = f.source"""
 
 
-ORACLE: dict[str, str] = {"op10_host_rules": _op10_sql()}
+ORACLE: dict[str, str] = {"op10_host_rules": _op10_sql(), **corpus_sql.ORACLE}
