@@ -1,4 +1,4 @@
-"""Row filters and data audits (F1, F7-F13) and the many-to-anchor similarity join."""
+"""Row filters and data audits (F1, F7, F9-F13); the many-to-anchor similarity join (F8 / J5) is in ``similarity``."""
 
 from __future__ import annotations
 
@@ -32,100 +32,6 @@ def keyword_filter(df: DataFrame, col: str, terms: Sequence[str], min_hits: int
     return res if out else res.drop(name)
 
 
-# ---------- F8 / J5 ----------
-BROADCAST_ANCHOR_BYTES = 64 * 1024 * 1024  # anchors above this go through the block product
-
-
-def _unit_rows(m):
-    import numpy as np
-
-    n = np.linalg.norm(m, axis=1, keepdims=True)
-    n[n == 0] = 1.0
-    return m / n
-
-
-def _topk_stats(sims, k):
-    import numpy as np
-
-    mx = sims.max(axis=1)
-    kk = min(k, sims.shape[1])
-    part = -np.partition(-sims, kk - 1, axis=1)[:, :kk]
-    return mx, part
-
-
-def _to_matrix(series):
-    import numpy as np
-
-    return _unit_rows(np.stack(series.map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()))
-
-
-def _block_scores(cand: DataFrame, A, key: str, vec: str, k: int, keep_top: bool) -> DataFrame:
-    """One broadcast block product: every Arrow batch of candidates times the (unit) anchor block A."""
-    import pandas as pd
-
-    from alignfold.session import ship_package
-
-    ship_package(cand.sparkSession)
-
-    bA = cand.sparkSession.sparkContext.broadcast(A)
-
-    def score(batches):
-        A_ = bA.value
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            mx, top = _topk_stats(_to_matrix(pdf[vec]) @ A_.T, k)
-            out = {key: pdf[key].astype("int64").to_numpy(), "max_sim": mx}
-            if keep_top:
-                out["top"] = list(top)
-            else:
-                out["topk_mean"] = top.mean(axis=1)
-            yield pd.DataFrame(out)
-
-    schema = f"{key} long, max_sim double, " + ("top array<double>" if keep_top else "topk_mean double")
-    return cand.select(key, vec).mapInPandas(score, schema)
-
-
-def semantic_scores(cand: DataFrame, anchors: DataFrame, key: str = "vec_id", vec: str = "embedding", k: int = 5,
-                    broadcast_bytes: int = BROADCAST_ANCHOR_BYTES, blocks: int | None = None) -> DataFrame:
-    """Per candidate: max cosine similarity to the anchor set and the mean of its top-k similarities.
-
-    Anchors are counted first; when count x dim x 8 bytes fits ``broadcast_bytes`` they are
-    broadcast once and every Arrow batch of candidates does one matrix product. Beyond that,
-    anchors are split by hash into blocks that each fit the budget; each block is broadcast in
-    turn (candidates are re-read, never shuffled), and the per-block maxima and top-k lists are
-    merged per candidate in one aggregation. Never emits candidate x anchor rows.
-    """
-    size = anchors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec)).alias("dim")).first()
-    n_anchor, dim = size["n"], size["dim"]
-    if n_anchor == 0:
-        return cand.select(F.col(key).cast("long"), F.lit(None).cast("double").alias("max_sim"),
-                           F.lit(None).cast("double").alias("topk_mean"))
-    n_blocks = blocks or max(1, -(-n_anchor * dim * 8 // broadcast_bytes))
-    if n_blocks == 1:
-        return _block_scores(cand, _to_matrix(anchors.select(vec).toPandas()[vec]), key, vec, k, keep_top=False)
-    tagged = anchors.select(vec, F.floor(hash_unit(11, key) * n_blocks).cast("int").alias("_b"))
-    parts = None
-    for b in range(n_blocks):
-        block = tagged.filter(F.col("_b") == b).select(vec).toPandas()  # each block fits the budget
-        if len(block) == 0:
-            continue
-        part = _block_scores(cand, _to_matrix(block[vec]), key, vec, k, keep_top=True)
-        parts = part if parts is None else parts.unionByName(part)
-    merged = parts.groupBy(key).agg(F.max("max_sim").alias("max_sim"),
-                                    F.slice(F.sort_array(F.flatten(F.collect_list("top")), asc=False), 1, k).alias("_top"))
-    return merged.select(key, "max_sim",
-                         (F.aggregate("_top", F.lit(0.0), lambda acc, x: acc + x) / F.size("_top")).alias("topk_mean"))
-
-
-def semantic_filter(cand: DataFrame, anchors: DataFrame, threshold: float, agg: str = "max", k: int = 5,
-                    key: str = "vec_id", vec: str = "embedding") -> DataFrame:
-    """F8: candidates whose max (or top-k mean) similarity to the anchors reaches ``threshold``."""
-    s = semantic_scores(cand, anchors, key, vec, k)
-    col = "max_sim" if agg == "max" else "topk_mean"
-    return cand.join(s.filter(F.col(col) >= threshold), key, "left_semi")
-
-
 # ---------- F9 ----------
 def judge_filter(df: DataFrame, score: str, min_score: float) -> DataFrame:
     return df.filter(F.col(score) >= min_score)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from alignfold.functions.text import content_hash_sql, count_hits_sql, hash_unit_sql
 from alignfold.operators import filters as FL
+from alignfold.operators import similarity as SIM
 from alignfold.plans import fixtures as FX
 from alignfold.plans.registry import query
 
@@ -52,7 +53,7 @@ SIM_SQL = """sims AS (
 def semantic_max(spark, sf):
     """F8 (max): highest cosine similarity of each candidate to the anchor set."""
     cand, anchors = _emb(spark, sf)
-    return FL.semantic_scores(cand, anchors).select("vec_id", F.round("max_sim", 6).alias("max_sim"))
+    return SIM.semantic_scores(cand, anchors).select("vec_id", F.round("max_sim", 6).alias("max_sim"))
 
 
 @query("semantic_topk_mean", FX.with_ctes(
@@ -61,7 +62,7 @@ def semantic_max(spark, sf):
 def semantic_topk_mean(spark, sf):
     """F8 (top-5 mean): mean of the five highest similarities per candidate."""
     cand, anchors = _emb(spark, sf)
-    return FL.semantic_scores(cand, anchors, k=5).select("vec_id", F.round("topk_mean", 6).alias("topk_mean"))
+    return SIM.semantic_scores(cand, anchors, k=5).select("vec_id", F.round("topk_mean", 6).alias("topk_mean"))
 
 
 @query("semantic_filter", FX.with_ctes(
@@ -69,7 +70,7 @@ def semantic_topk_mean(spark, sf):
 def semantic_filter(spark, sf):
     """F8: candidates whose best anchor similarity reaches 0.3."""
     cand, anchors = _emb(spark, sf)
-    return FL.semantic_filter(cand, anchors, 0.3).select("vec_id")
+    return SIM.semantic_filter(cand, anchors, 0.3).select("vec_id")
 
 
 JUDGE_SQL = FX.with_ctes("""SELECT question_id, 1 + quality + (1 - toxic) AS score FROM docs_scored

@@ -9,6 +9,7 @@ from alignfold.functions import text as TX
 from alignfold.operators import filters as FL
 from alignfold.operators import infer as INF
 from alignfold.operators import rewards as R
+from alignfold.operators import similarity as SIM
 from alignfold.operators import tokens as K
 from alignfold.sources import io
 
@@ -37,15 +38,54 @@ def test_batch_infer_keyed_and_cleaned(spark):
     assert {(r.id, r.Output) for r in out.collect()} == {(1, "HELLO"), (2, "WORLD")}
 
 
-def test_semantic_block_path_equals_broadcast(spark):
+def _similarities(cand, anchors, k):
+    """(key, max, mean of the k highest) of each candidate, by all pairs."""
+    def fine(v):
+        return v is not None and all(x is not None and np.isfinite(x) for x in v)
+
+    def cosine(a, b):
+        a, b = (np.array(x) / (max(map(abs, x)) or 1) for x in (a, b))
+        n = np.linalg.norm(a) * np.linalg.norm(b)
+        return float(np.dot(a, b) / n) if n else 0.0
+
+    real = [v for _, v in anchors if fine(v)]
+    out = []
+    for key, v in cand:
+        top = sorted((cosine(v, a) for a in real), reverse=True)[:k] if fine(v) and real else []
+        out.append((key, round(top[0], 9) if top else None, round(sum(top) / len(top), 9) if top else None))
+    return sorted(out, key=str)
+
+
+def test_semantic_scores_are_the_same_for_any_number_of_blocks(spark):
     rng = np.random.default_rng(0)
-    anchors = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(37)], "vec_id long, embedding array<double>")
-    cand = spark.createDataFrame([(100 + i, rng.normal(size=8).tolist()) for i in range(53)], "vec_id long, embedding array<double>")
-    a = {r.vec_id: (r.max_sim, r.topk_mean) for r in FL.semantic_scores(cand, anchors, k=5).collect()}
-    b = {r.vec_id: (r.max_sim, r.topk_mean) for r in FL.semantic_scores(cand, anchors, k=5, blocks=4).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert abs(a[k][0] - b[k][0]) < 1e-12 and abs(a[k][1] - b[k][1]) < 1e-12
+    nan, inf = float("nan"), float("inf")
+    vectors = lambda n: [rng.normal(size=8).tolist() for _ in range(n)]
+    odd = [None, [0.0] * 8, [nan] * 8, [inf] + [0.0] * 7, [None] + [1.0] * 7, [1e200] * 8]
+    anchors = [(f"a{i}", v) for i, v in enumerate(vectors(37) + odd)]
+    cand = [(f"c{i % 20}", v) for i, v in enumerate(vectors(53) + odd)] + [(None, v) for v in vectors(2)]
+    schema = "qid string, vec array<double>"
+    for held in (anchors, anchors[:3], anchors[-6:-1], []):
+        want = _similarities(cand, held, 5)
+        for blocks in (1, 2, 50):
+            c, a = spark.createDataFrame(cand, schema).repartition(3), spark.createDataFrame(held, schema)
+            got = SIM.semantic_scores(c, a, key="qid", vec="vec", k=5, blocks=blocks).collect()
+            assert sorted(((r.qid, None if r.max_sim is None else round(r.max_sim, 9),
+                            None if r.topk_mean is None else round(r.topk_mean, 9)) for r in got), key=str) == want
+    for agg, col in (("max", 1), ("mean", 2)):
+        want = [w[0] for w in _similarities(cand, anchors, 5) if w[col] is not None and w[col] >= 0.6]
+        c = spark.createDataFrame(cand, schema).withColumn("max_sim", F.lit("kept"))
+        got = SIM.semantic_filter(c, spark.createDataFrame(anchors, schema), 0.6, agg, vec="vec", blocks=3)
+        assert got.columns == ["qid", "vec", "max_sim"] and sorted((str(r.qid) for r in got.collect())) == sorted(map(str, want))
+
+
+def test_semantic_scores_read_blocks_once_for_many_candidates(spark, monkeypatch):
+    rows = rng_rows = np.random.default_rng(1).normal(size=(300, 4))
+    blocks = [rng_rows[:100], rng_rows[100:101], rng_rows[101:]]
+    read = []
+    monkeypatch.setattr(SIM, "read_block", lambda p: read.append(p) or blocks[p])
+    monkeypatch.setattr(SIM, "ROWS_AT_ONCE", 7)
+    best = SIM.best_of_blocks(rows, [0, 1, 2], 3)
+    assert read == [0, 1, 2] and np.allclose(best, -np.sort(-(rows @ rows.T), axis=1)[:, :3])
 
 
 def test_hits_do_not_depend_on_the_number_of_terms(spark):
