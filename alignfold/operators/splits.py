@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from alignfold.functions.rows import join_back
 from alignfold.functions.text import col_of, content_hash, hash_unit, seeded_key
+from alignfold.operators.selection import OrderItem, first_n, sort_columns
 from alignfold.session import cut_lineage
 
 IDX = "row_idx"
@@ -62,15 +63,16 @@ def shuffle(df: DataFrame, seed: int, key: str) -> DataFrame:
     return df.orderBy(seeded_key(seed, key), F.col(key))
 
 
-def take_n(df: DataFrame, n: int | None, order_cols: Sequence) -> DataFrame:
-    """Head-n in a declared order; n <= 0 or None means all rows (capped at the row count)."""
-    ordered = df.orderBy(*order_cols)
-    return ordered if n is None or n <= 0 else ordered.limit(n)
+def take_n(df: DataFrame, n: int | None, order: Sequence[OrderItem]) -> DataFrame:
+    """Head-n in a declared order, sorted; n <= 0 or None means all rows (capped at the row count).
+
+    ``order`` holds names, columns or (column, "desc"). See ``selection.first_n``."""
+    return df.orderBy(*sort_columns(order)) if n is None or n <= 0 else first_n(df, n, order)
 
 
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     """Shuffled sample of exactly min(n, rows) rows (seeded md5 order, ties by key)."""
-    return take_n(df, max(int(n), 0), [seeded_key(seed, key), F.col(key)]) if n > 0 else df.limit(0)
+    return first_n(df, int(n), [seeded_key(seed, key), F.col(key)])
 
 
 # ---------- row index (2.5.1) ----------

@@ -28,7 +28,14 @@ def seeded_shuffle(spark, sf):
 @query("head_n", "SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 100")
 def head_n(spark, sf):
     """The first 100 rows in a declared order (top-k: the limit is the operator)."""
-    return S.take_n(docs(spark, sf).select("doc_id", "n_chars"), 100, [F.col("n_chars").desc(), F.col("doc_id")])
+    return S.take_n(docs(spark, sf).select("doc_id", "n_chars"), 100, [("n_chars", "desc"), "doc_id"])
+
+
+@query("head_half", "SELECT doc_id, lang, n_chars FROM documents ORDER BY lang DESC, n_chars, doc_id LIMIT (SELECT count(*) // 2 FROM documents)")
+def head_half(spark, sf):
+    """T7 with half the table: many ties in the first order column, no task holds the rows that are taken."""
+    d = docs(spark, sf).select("doc_id", "lang", "n_chars")
+    return S.take_n(d, d.count() // 2, [("lang", "desc"), "n_chars", "doc_id"])
 
 
 @query("sample_n", f"SELECT doc_id FROM documents ORDER BY {seeded_key_sql(SEED, 'doc_id')}, doc_id LIMIT 50")
@@ -37,6 +44,14 @@ def sample_n(spark, sf):
     return S.sample_n(docs(spark, sf).select("doc_id"), 50, SEED, "doc_id")
 
 
+@query("sample_half", f"""SELECT doc_id FROM documents ORDER BY {seeded_key_sql(SEED, 'doc_id')}, doc_id
+    LIMIT (SELECT count(*) // 2 FROM documents)""")
+def sample_half(spark, sf):
+    """T8 with half the table."""
+    d = docs(spark, sf).select("doc_id")
+    return S.sample_n(d, d.count() // 2, SEED, "doc_id")
+
+
 @query("random_split_exact", f"""SELECT doc_id, CASE WHEN rn < ceil(n * 0.1) THEN 'test' ELSE 'train' END AS split FROM (
       SELECT doc_id, row_number() OVER (ORDER BY {seeded_key_sql(SEED, 'doc_id')}, doc_id) - 1 AS rn,
              count(*) OVER () AS n FROM documents)""")
