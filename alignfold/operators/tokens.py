@@ -162,44 +162,31 @@ def build_sft_examples_long(convs: DataFrame, pairs: DataFrame, template, key: s
                             train_on_inputs: bool = False) -> DataFrame:
     """K1-K6 from the long form of ``normalize_dialog_long``: one row per turn pair.
 
-    Rendering, tokenising, truncation and eos handling are per row; the turn budget uses a
-    global running sum over a narrow (key, k, cost) frame (no per-conversation window), and
-    packing collects only the kept turns of a conversation, whose total is at most ``max_len``.
-    Conversations with a turn that has no tokens are quarantined, as in the record form.
+    Rendering, tokenising, truncation and eos handling are per row. A kept turn takes at least one of the
+    ``max_len`` tokens, so only the first ``max_len`` turns of a conversation can be kept, and these, at most
+    ``max_len`` tokens each, are all that one aggregate brings together; of later turns it takes only
+    whether they are empty. No text is shuffled. Conversations with a turn that has no tokens are
+    quarantined, as in the record form.
     """
-    from alignfold.operators.splits import with_running_sum
     from alignfold.operators.templates import _parts
-    from alignfold.session import cut_lineage
 
     t_sys, pre, suf, sep = _parts(template)
     sys = F.coalesce(F.nullif(F.col("system"), F.lit("")), t_sys)
     sys_sep = F.when(F.coalesce(sys, F.lit("")) != "", F.concat(sys, sep)).otherwise(F.lit(""))
     k0 = F.col("k") == 0
-    rows = join_back(pairs, convs.select(key, "system"), [key], ["k"])
-    src_text = F.concat(F.when(k0, sys_sep).otherwise(sep), pre, F.coalesce(F.col("query"), F.lit("")), suf)
-    src = tok(src_text)
+    src = tok(F.concat(F.when(k0, sys_sep).otherwise(sep), pre, F.coalesce(F.col("query"), F.lit("")), suf))
     if bos is not None:
         src = F.concat(F.when(k0, F.array(F.lit(bos))).otherwise(F.array().cast(ARR_I)), src)
-    rows = rows.select(key, "k", src.alias("_src"), tok(F.coalesce(F.col("answer"), F.lit(""))).alias("_tgt"))
-    empty = rows.groupBy(key).agg(F.max(F.when(F.size("_src") + F.size("_tgt") == 0, 1).otherwise(0)).alias("_e"))
-    ok_convs = convs.select(key).join(empty.filter(F.col("_e") == 1).select(key), key, "left_anti")
-    rows = join_back(rows, ok_convs, [key], ["k"], "left_semi")
-    rows = rows.select(key, "k", truncate_turn("_src", "_tgt", max_len).alias("_t"))
-    rows = rows.select(key, "k", strip_eos(F.col("_t")["src"], F.col("_t")["tgt"], eos).alias("_t"))
-    # the truncated turns feed both the budget and the packing: materialise them once
-    rows = cut_lineage(rows.withColumn("_cost", F.size(F.col("_t")["src"]) + F.size(F.col("_t")["tgt"]) + 1))
-    ok_convs = cut_lineage(ok_convs)
-    cum = with_running_sum(rows.select(key, "k", "_cost"), [key, "k"], "_cost", out="_cum")
-    start = cum.groupBy(key).agg(F.min(F.col("_cum") - F.col("_cost")).alias("_start"))
-    kept_keys = join_back(cum, start, [key], ["k"]).filter(F.col("_cum") - F.col("_start") <= max_len).select(key, "k")
-    kept = rows.join(kept_keys, [key, "k"], "left_semi")
-    packed = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("k", "_t"))).alias("_ts"))
-    turns_col = F.transform("_ts", lambda x: x["_t"])
-    packed = packed.select(key, packed_ids(turns_col, eos).alias("input_ids"),
-                           packed_labels(turns_col, eos, train_on_inputs).alias("labels"))
-    out = ok_convs.join(packed, key, "left").select(
-        key, F.coalesce("input_ids", F.array().cast(ARR_I)).alias("input_ids"),
-        F.coalesce("labels", F.array().cast(ARR_I)).alias("labels"))
+    rows = pairs.select(key, "k", src.alias("_src"), tok(F.coalesce(F.col("answer"), F.lit(""))).alias("_tgt"))
+    rows = rows.select(key, "k", (F.size("_src") + F.size("_tgt") == 0).alias("_empty"), truncate_turn("_src", "_tgt", max_len).alias("_t"))
+    rows = rows.select(key, "k", "_empty", strip_eos(F.col("_t")["src"], F.col("_t")["tgt"], eos).alias("_t"))
+    turn = F.when(F.col("k") < max_len, F.struct("k", "_t"))
+    found = rows.groupBy(key).agg(F.max("_empty").alias("_empty"), F.collect_list(turn).alias("_ts"))
+    found = found.select(key, "_empty", turn_budget(F.transform(F.array_sort("_ts"), lambda x: x["_t"]), max_len).alias("_ts"))
+    packed = found.select(key, "_empty", packed_ids("_ts", eos).alias("input_ids"), packed_labels("_ts", eos, train_on_inputs).alias("labels"))
+    # conversations without pairs have no tokens
+    bare = convs.filter(F.col("n_pairs") == 0).select(key, F.array().cast(ARR_I).alias("input_ids"), F.array().cast(ARR_I).alias("labels"))
+    out = packed.filter(~F.col("_empty")).drop("_empty").unionByName(bare)
     return out.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")).cast(ARR_I))
 
 

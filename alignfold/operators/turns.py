@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alignfold.functions.rows import keep_rows
-from alignfold.functions.rows import join_back
 from alignfold.functions.text import col_of, strip
 
 USER_ROLES = ("human", "user")
@@ -122,51 +121,22 @@ def normalize_dialog_long(turns: DataFrame, key: str = "conv_id", order: str = "
                           text: str = "value", strict: bool = False):
     """P10 + P11 on a one-row-per-turn table, with no per-conversation arrays.
 
-    Same rules as ``normalize_dialog``; ``order`` must be unique in a conversation. Positions, cuts
-    and parity are found on a narrow frame (key, order, role) without the text, which is joined once
-    at the end for the turns that stay. Positions come from the range-partitioned row index (a
-    conversation holding a third of all turns is spread over many partitions), per-conversation
-    facts (first roles, first unknown role, counts) are partial aggregates that are joined back with
-    hot conversations spread, and pairs are groups of exactly two messages. Returns (convs, pairs):
-    convs(key, system, n_pairs) for surviving conversations, pairs(key, k, query, answer).
+    Same rules as ``normalize_dialog``; ``order`` must be unique in a conversation. The turns are ordered
+    once over range partitions and written once (see ``segments``); a pass over the roles and a pass over
+    the texts follow, in place. A conversation that holds a third of all turns lies in many partitions.
+    Pairs cut by a border between partitions, at most two a border, are put together by their key.
+    Returns (convs, pairs): convs(key, system, n_pairs) for surviving conversations, pairs(key, k, query,
+    answer, system), where system is null but for k = 0.
     """
-    from alignfold.operators.splits import with_row_index
-    from alignfold.session import cut_lineage
-
-    t = with_row_index(turns.select(F.col(key), F.col(order), F.col(role).alias("_r")), [key, order], out="_g")
-    start = t.groupBy(key).agg(F.min("_g").alias("_s"), F.count(F.lit(1)).alias("_n"))
-    t = join_back(t, start, [key], [order]).withColumn("_j0", F.col("_g") - F.col("_s"))
-    bad = ~F.coalesce(F.col("_r").isin(*DIALOG_ROLES), F.lit(False))
-    j0 = F.col("_j0")
-    facts = t.groupBy(key).agg(
-        F.max("_n").alias("_n"), F.max(F.when(j0 == 0, F.col("_r"))).alias("_r0"),
-        F.min(order).alias("_first"), F.max(F.when(j0 == 1, F.col("_r"))).alias("_r1"),
-        *[F.min(F.when(bad & (j0 >= o), j0)).alias(f"_b{o}") for o in (0, 1, 2)])
-    has_sys = F.coalesce(F.col("_r0") == "system", F.lit(False))
-    head = F.when(has_sys, F.col("_r1")).otherwise(F.col("_r0"))
-    offset = F.when(has_sys, 1).otherwise(0) + F.when(F.coalesce(head == "human", F.lit(False)), 0).otherwise(1)
-    facts = facts.withColumn("_o", offset).filter((F.col("_n") >= 2) & (F.col("_n") - F.col("_o") >= 2))
-    cut = F.when(F.col("_o") == 0, F.col("_b0")).when(F.col("_o") == 1, F.col("_b1")).otherwise(F.col("_b2"))
-    facts = cut_lineage(facts.select(key, "_o", F.coalesce(cut, F.col("_n")).alias("_end"),
-                                     F.when(has_sys, F.col("_first")).alias("_sys_at")))
-    j = F.col("_j0") - F.col("_o")
-    kept = join_back(t, facts.select(key, "_o", "_end"), [key], [order]).filter(
-        (j >= 0) & (F.col("_j0") < F.col("_end")) & (F.col("_r") == F.when(j % 2 == 0, "human").otherwise("gpt")))
-    m = with_row_index(kept.select(key, order), [key, order], out="_m")
-    kstart = cut_lineage(m.groupBy(key).agg(F.min("_m").alias("_ms"), F.count(F.lit(1)).alias("_kc")))
-    convs = facts.join(kstart, key, "left").withColumn("_kc", F.coalesce(F.col("_kc"), F.lit(0)))
-    convs = convs.filter(F.col("_kc") % 2 == 0)
-    if strict:
-        convs = convs.filter(F.col("_kc") == F.col("_end") - F.col("_o"))
-    texts = turns.select(F.col(key), F.col(order), F.col(text).alias("_v"))
-    # both outputs are reused downstream: write them once to the shared checkpoint folder
-    system = texts.select(F.col(key), F.col(order).alias("_sys_at"), F.col("_v").alias("system"))
-    convs = cut_lineage(convs.join(system, [key, "_sys_at"], "left").select(
-        key, F.coalesce("system", F.lit("")).alias("system"), (F.col("_kc") / 2).cast("int").alias("n_pairs")))
-    mi = F.col("_m") - F.col("_ms")
-    stay = join_back(join_back(m, kstart, [key], [order]), convs.select(key), [key], [order], "left_semi")
-    msgs = stay.select(key, order, mi.alias("_mi")).join(texts, [key, order])
-    pairs = cut_lineage(msgs.groupBy(key, F.floor(F.col("_mi") / 2).cast("int").alias("k")).agg(
-        F.max(F.when(F.col("_mi") % 2 == 0, F.col("_v"))).alias("query"),
-        F.max(F.when(F.col("_mi") % 2 == 1, F.col("_v"))).alias("answer")))
-    return convs, pairs
+    from alignfold.operators import segments as SG
+
+    held = turns.select(F.col(key), SG.role_code(role).alias("_r"), F.col(order), F.col(text).alias("_v"))
+    held = SG.sorted_partitions(held, [key, order]).select(key, "_r", SG.PID, "_v")
+    rows = SG.dialog_rows(held, strict)
+    convs = rows.filter(F.col("kind") == SG.CONV).select(F.col("key").alias(key), "system", "n_pairs")
+    whole = rows.filter(F.col("kind") == SG.PAIR).select(F.col("key").alias(key), "k", "query", "answer", "system")
+    loose = rows.filter(F.col("kind") == SG.LOOSE).groupBy(F.col("key").alias("_key"), "k").agg(
+        F.max("query").alias("query"), F.max("answer").alias("answer"))
+    of = F.col("_key").eqNullSafe(F.col(key)) & (F.col("k") == 0)
+    loose = loose.join(convs.select(key, "system"), of, "left").select(F.col("_key").alias(key), "k", "query", "answer", "system")
+    return convs, whole.unionByName(loose)
