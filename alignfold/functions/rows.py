@@ -47,19 +47,27 @@ def join_back(rows: DataFrame, stats: DataFrame, keys: Sequence[str], spread: Se
     return left.join(right, cond, how).drop("_salt", "_copy", *[f"_key{i}" for i in range(len(keys))])
 
 
-#: Rows from which a key is hot. A table has at most one hot key for each so many of its rows.
-HOT_ROWS = 1 << 20
+#: A key is hot from this part of an even shuffle partition on; a table has at most
+#: HOT_PARTS x spark.sql.shuffle.partitions such keys.
+HOT_PARTS = 4
 
 
 def join_hot(rows: DataFrame, stats: DataFrame, keys: Sequence[str], count: str, how: str = "inner",
-             spread: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+             spread: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
     """Rows joined with one row per key, which says in ``count`` how many rows have the key.
 
-    The statistics of hot keys, at most one for each ``hot_rows`` rows, are broadcast; all others meet their
-    rows in a shuffle, over which the rows of hot keys are dealt evenly, as they match nothing there. So no
-    row of ``stats`` is copied. Rows of a hot key go by their task's partition, and by ``spread`` columns if
-    given. Keys are compared null-safely. ``how`` is ``inner`` or ``left``; ``count`` is not in the result.
+    The statistics of hot keys are broadcast; they are few, as each has a set part of all rows that ``stats``
+    counts (or ``hot_rows`` rows). All others meet their rows in a shuffle, over which the rows of hot keys
+    are dealt evenly, as they match nothing there. So no row of ``stats`` is copied. Rows of a hot key go by
+    their task's partition, and by ``spread`` columns if given. Keys are compared null-safely. ``how`` is
+    ``inner`` or ``left``; ``count`` is not in the result.
     """
+    if hot_rows is None:
+        parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+        total = stats.agg(F.sum(count)).scalar()
+        is_hot = F.coalesce(F.col(count) * F.lit(HOT_PARTS * parts) >= total, F.lit(False))
+    else:
+        is_hot = F.col(count) >= hot_rows
     names = [c for c in stats.columns if c not in (*keys, count)]
     packed = F.struct(F.lit(True).alias("there"), *[F.col(f"`{c}`") for c in names])
 
@@ -73,9 +81,9 @@ def join_hot(rows: DataFrame, stats: DataFrame, keys: Sequence[str], count: str,
             cond &= F.col(f"`{k}`").eqNullSafe(F.col(f"_{out}{i}"))
         return cond
 
-    hot = side(stats.filter(F.col(count) >= hot_rows), "hot")
+    hot = side(stats.filter(is_hot), "hot")
     # a literal 0 would be no key of the shuffle: the optimizer makes it a condition on the rows' side alone
-    cold = side(stats.filter(F.col(count) < hot_rows).withColumn("_zero", F.shiftright(F.col(count), 62)), "cold")
+    cold = side(stats.filter(~is_hot).withColumn("_zero", F.shiftright(F.col(count), 62)), "cold")
     met = rows.join(F.broadcast(hot), same("hot"), "left")
     # 0 looks for its key in the shuffle; any other number only says where a row goes
     met = met.withColumn("_at", F.when(F.col("_hot").isNotNull(), spread_of(spread).bitwiseOR(F.lit(1))).otherwise(F.lit(0)))

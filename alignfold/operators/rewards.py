@@ -259,11 +259,11 @@ def group_rank(df: DataFrame, group: str = "prompt_id", reward: str = "reward",
                method: str = "index") -> DataFrame:
     """Rank (ties share) and row number (ties by ``tie``) of each sample inside its group.
 
-    ``method='index'`` (default) is skew-proof: one global order on (group, reward desc, tie)
-    over range partitions (a hot group spans many partitions), then row_number = position -
-    group start + 1 and rank = first position of the (group, reward) tie run - group start + 1.
-    Null groups are one group and null rewards rank last, as in a window. NaN ranks first, as Spark
-    orders it. ``method='window'`` is the plain per-group window (one task per group).
+    ``method='index'`` (default) is skew-proof: one order on (group, reward desc, tie) over range
+    partitions (a hot group spans many), and one pass over each that counts on from the partitions
+    before it (see ``segments.ranked``). Null groups are one group and null rewards rank last, as in a
+    window. NaN ranks first, as Spark orders it. ``method='window'`` is the plain per-group window (one
+    task per group).
     """
     if method == "window":
         from pyspark.sql import Window
@@ -271,15 +271,9 @@ def group_rank(df: DataFrame, group: str = "prompt_id", reward: str = "reward",
         w = Window.partitionBy(group).orderBy(F.col(reward).desc())
         return (df.withColumn("rank", F.rank().over(w))
                 .withColumn("row_number", F.row_number().over(Window.partitionBy(group).orderBy(F.col(reward).desc(), F.col(tie)))))
-    from alignfold.operators.splits import with_row_index
-
-    idx = with_row_index(df, [F.col(group), F.col(reward).desc(), F.col(tie)], out="_gpos")
-    start = idx.groupBy(group).agg(F.min("_gpos").alias("_start"))
-    runs = idx.groupBy(group, reward).agg(F.min("_gpos").alias("_run"))
-    out = join_back(join_back(idx, start, [group], ["_gpos"]), runs, [group, reward], ["_gpos"])
-    return (out.withColumn("rank", (F.col("_run") - F.col("_start") + 1).cast("int"))
-            .withColumn("row_number", (F.col("_gpos") - F.col("_start") + 1).cast("int"))
-            .drop("_gpos", "_start", "_run"))
+    from alignfold.operators.segments import ranked
+
+    return ranked(df, group, reward, [F.col(group), F.col(reward).desc(), F.col(tie)])
 
 
 def best_of_n(df: DataFrame, group: str = "prompt_id", reward: str = "reward", tie: str = "gen_id",

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from alignfold.functions.text import col_of
 from alignfold.session import cut_lineage, ship_package
@@ -31,7 +32,7 @@ def sorted_partitions(df: DataFrame, order: list, num_partitions: int | None = N
     return cut_lineage(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).withColumn(PID, F.spark_partition_id()))
 
 
-def by_partition(df: DataFrame, work: Callable[[pa.Table], pa.RecordBatch | pa.Table], schema: str) -> DataFrame:
+def by_partition(df: DataFrame, work: Callable[[pa.Table], pa.Table], schema: str | T.StructType) -> DataFrame:
     """``work`` on the rows of each partition that has some, as one Arrow table."""
     ship_package(df.sparkSession)
 
@@ -131,18 +132,14 @@ def dialog_states(turns: DataFrame, strict: bool) -> dict[int, dict[int, State]]
     key_type = turns.schema[0].dataType.simpleString()
     one = "struct<n: long, first: array<long>, bad: array<long>, kept: array<long>>"
 
-    def sum_up(t: pa.Table) -> pa.RecordBatch:
+    def sum_up(t: pa.Table) -> pa.Table:
         at, role = stretches(t.column(0)), t.column(1).to_numpy().astype(np.int64)
         ends = [asdict(Stretch.of(part)) for part in (role[at[0]:(at[1] if len(at) > 1 else len(role))], role[at[-1]:])]
-        names = ["pid", "head_key", "tail_key", "stretches", "head", "tail"]
         kind = pa.struct([("n", pa.int64()), *[(x, pa.list_(pa.int64())) for x in ("first", "bad", "kept")]])
-        return pa.RecordBatch.from_arrays(
-            [t.column(2).slice(0, 1).combine_chunks(), t.column(0).slice(0, 1).combine_chunks(),
-             t.column(0).slice(t.num_rows - 1, 1).combine_chunks(), pa.array([len(at)], pa.int64()),
-             *[pa.array([e], kind) for e in ends]], names)
+        return pa.table({"pid": t.column(2).slice(0, 1), "head_key": t.column(0).slice(0, 1), "tail_key": t.column(0).slice(t.num_rows - 1, 1),
+                         "stretches": [len(at)], "head": pa.array([ends[0]], kind), "tail": pa.array([ends[1]], kind)})
 
-    rows = by_partition(turns, lambda t: pa.Table.from_batches([sum_up(t)]),
-                        f"pid int, head_key {key_type}, tail_key {key_type}, stretches long, head {one}, tail {one}").collect()
+    rows = by_partition(turns, sum_up, f"pid int, head_key {key_type}, tail_key {key_type}, stretches long, head {one}, tail {one}").collect()
     spans: list[Span] = []
     open_, last_key = None, None
     for r in sorted(rows, key=lambda r: r["pid"]):
@@ -231,3 +228,67 @@ def dialog_rows(turns: DataFrame, strict: bool = False) -> DataFrame:
         return pa.concat_tables([convs, pairs])
 
     return cut_lineage(by_partition(turns, work, f"kind byte, key {key_type}, k int, n_pairs int, system string, query string, answer string"))
+
+
+# ---------- ranks ----------
+def same_value(a, b) -> bool:  # noqa: ANN001
+    """Equal as in a sort: nulls are equal, and so are NaNs."""
+    return a == b or (a is None and b is None) or (isinstance(a, float) and isinstance(b, float) and a != a and b != b)
+
+
+def value_code(column: pa.ChunkedArray) -> np.ndarray:
+    column = column.combine_chunks()
+    if pa.types.is_floating(column.type):  # one zero
+        column = pa.array(column.to_numpy(zero_copy_only=False) + 0.0, column.type, mask=column.is_null().to_numpy(zero_copy_only=False))
+    return column.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+
+
+def begins(*codes: np.ndarray) -> np.ndarray:
+    """Places at which a row differs from the one before in any of the codes."""
+    differs = np.zeros(len(codes[0]) - 1, bool)
+    for c in codes:
+        differs |= c[1:] != c[:-1]
+    return np.flatnonzero(np.append(True, differs))
+
+
+def ranked(df: DataFrame, group: str, value: str, order: list) -> DataFrame:
+    """``df`` with ``rank`` (rows of equal ``value`` share one) and ``row_number`` within its group, in ``order`` (which
+    begins with the group and the value). A group of any size lies in as many partitions as it fills; the
+    driver gets one row a partition."""
+    held = sorted_partitions(df, order)
+    keys = held.select(F.col(group).alias("g"), F.col(value).alias("v"), PID)
+    kinds = {f.name: f.dataType.simpleString() for f in keys.schema}
+
+    def sum_up(t: pa.Table) -> pa.Table:
+        g, v = value_code(t.column(0)), value_code(t.column(1))
+        groups, runs, n = begins(g), begins(g, v), t.num_rows
+        last = pa.array([n - 1])
+        return pa.table({"pid": t.column(2).slice(0, 1), "n": [n], "groups": [len(groups)], "runs": [len(runs)], "tail_n": [n - int(groups[-1])],
+                         "tail_run": [n - int(runs[-1])], "g0": t.column(0).slice(0, 1), "v0": t.column(1).slice(0, 1),
+                         "g1": t.column(0).take(last), "v1": t.column(1).take(last)})
+
+    rows = by_partition(keys, sum_up, f"pid int, n long, groups long, runs long, tail_n long, tail_run long, g0 {kinds['g']}, "
+                                      f"v0 {kinds['v']}, g1 {kinds['g']}, v1 {kinds['v']}").collect()
+    carried, now = {}, None  # rows of the group and of the run before each partition
+    for r in sorted(rows, key=lambda r: r["pid"]):
+        goes_on = now is not None and same_value(now[0], r["g0"])
+        before = now[2] if goes_on else 0
+        run = now[3] if goes_on and same_value(now[1], r["v0"]) else 0
+        carried[r["pid"]] = (before, run)
+        now = (r["g1"], r["v1"], before + r["n"] if r["groups"] == 1 else r["tail_n"], run + r["n"] if r["runs"] == 1 else r["tail_run"])
+    sent = df.sparkSession.sparkContext.broadcast(carried)  # two numbers a partition
+    at, by = held.columns.index(group), held.columns.index(value)
+
+    def work(t: pa.Table) -> pa.Table:
+        before, run = sent.value[int(t.column(PID)[0].as_py())]
+        g, v = value_code(t.column(at)), value_code(t.column(by))
+        groups, runs, place = begins(g), begins(g, v), np.arange(t.num_rows)
+        start = groups[np.searchsorted(groups, place, "right") - 1]
+        first = runs[np.searchsorted(runs, place, "right") - 1]
+        more = np.where(start == 0, before, 0)
+        rank = first - start + 1 + more - np.where(first == 0, run, 0)
+        return t.drop_columns([PID]).append_column("rank", pa.array(rank, pa.int32())).append_column(
+            "row_number", pa.array(place - start + 1 + more, pa.int32()))
+
+    schema = T.StructType([*[f for f in held.schema if f.name != PID], T.StructField("rank", T.IntegerType()), T.StructField("row_number", T.IntegerType())])
+    return by_partition(held, work, schema)

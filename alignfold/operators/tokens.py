@@ -236,12 +236,15 @@ def pad_arrays(c, target, value: int) -> Column:
 def pad_batch(df: DataFrame, batch_key: str, multiple: int = 4, pad_id: int = PAD_ID) -> DataFrame:
     """Pad each batch to its longest row rounded up to a multiple: ids with pad, mask with 0, labels with -100.
 
-    The per-batch maximum is a grouped aggregate joined back (no window over a hot batch).
+    Rows are written once to the shared checkpoint folder, so that their tokens are not made again for the
+    lengths. The longest row of a batch comes from an aggregate over lengths, joined back with the rows of
+    a hot batch spread.
     """
-    mx = df.groupBy(batch_key).agg(F.max(F.size("input_ids")).alias("_mx"))
-    others = [c for c in df.columns if c not in (batch_key, "attention_mask", "labels")]
-    j = join_back(df, mx, [batch_key], others).withColumn(
-        "_target", (F.ceil(F.col("_mx") / multiple) * multiple).cast("int"))
+    from alignfold.session import cut_lineage
+
+    rows = cut_lineage(df)
+    mx = rows.groupBy(batch_key).agg(F.max(F.size("input_ids")).alias("_mx"))
+    j = join_back(rows, mx, [batch_key]).withColumn("_target", (F.ceil(F.col("_mx") / multiple) * multiple).cast("int"))
     return j.withColumns({
         "input_ids": pad_arrays("input_ids", F.col("_target"), pad_id),
         "attention_mask": pad_arrays("attention_mask", F.col("_target"), 0),
