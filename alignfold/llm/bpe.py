@@ -8,6 +8,7 @@ out with array arithmetic. Decoding reverses the byte table.
 from __future__ import annotations
 
 import base64
+import gc
 import json
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from alignfold.llm.common import prepared, slices, text_or_empty
 
-#: Pieces a worker remembers between batches (some 250 bytes each); beyond it, it starts afresh.
+#: Pieces a worker remembers between batches (some 30 bytes each); beyond it, it keeps those of the last batch.
 REMEMBERED_PIECES = 400_000
 
 
@@ -91,7 +92,8 @@ class PieceEncoder:
         self.tokens = pa.array(tokens, pa.binary())
         self.token_bytes = np.array([len(t) for t in tokens], np.int64)
         self.whole = {t: i for i, t in enumerate(tokens)}
-        self.known: dict[str, bytes] = {}  # piece -> its ids, 4 bytes each
+        self.known = pa.array([], pa.string())  # pieces, and the ids of each, 4 bytes an id
+        self.known_ids = pa.array([], pa.large_binary())
 
     @classmethod
     def of(cls, path: str) -> PieceEncoder:
@@ -106,6 +108,17 @@ class PieceEncoder:
             return [i]
         return [t.id for t in self.model.tokenize(raw.decode("latin-1").translate(self.to_chars))]
 
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, 4 bytes an id. Tokens are many small objects without cycles: the collector of
+        cycles would walk over them in vain."""
+        was_on = gc.isenabled()
+        gc.disable()
+        try:
+            return [np.array(self.encode_piece(p), np.int32).tobytes() for p in pieces]
+        finally:
+            if was_on:
+                gc.enable()
+
     def encode_whole(self, texts: list[str], pattern: str) -> list[np.ndarray]:
         """Ids of whole texts by the library with its defaults: added tokens first, each stretch between
         them cut by the pattern."""
@@ -125,22 +138,22 @@ class PieceEncoder:
     def encode(self, pieces: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one after the other, row starts with the end added)."""
         coded = pieces.flatten().dictionary_encode()
-        different = coded.dictionary.to_pylist()
-        if len(self.known) > REMEMBERED_PIECES:
-            self.known.clear()
-        known, got = self.known, []
-        for piece in different:
-            ids = known.get(piece)
-            if ids is None:
-                ids = known[piece] = np.array(self.encode_piece(piece), np.int32).tobytes()
-            got.append(ids)
-        size = np.fromiter(map(len, got), np.int64, len(got)) // 4
-        first = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(got), np.int32)
-        at = coded.indices.to_numpy(zero_copy_only=False)
-        n = size[at]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        ids = flat[np.repeat(first[at] - ends[:-1], n) + np.arange(ends[-1])]
+        different = coded.dictionary
+        held = pc.index_in(different, value_set=self.known)
+        unseen = held.is_null().to_numpy(zero_copy_only=False)
+        fresh = different.filter(pa.array(unseen))
+        got = self.encode_pieces(fresh.to_pylist())
+        at = held.fill_null(0).to_numpy().astype(np.int64)
+        at[unseen] = len(self.known) + np.arange(len(got))
+        every = pa.concat_arrays([self.known_ids, pa.array(got, pa.large_binary())])
+        mine = every.take(pa.array(at))
+        laid = mine.take(coded.indices)
+        if len(self.known) + len(got) > REMEMBERED_PIECES:
+            self.known, self.known_ids = different.cast(pa.string()), mine
+        else:
+            self.known, self.known_ids = pa.concat_arrays([self.known, fresh.cast(pa.string())]), every
+        ends = np.frombuffer(laid.buffers()[1], np.int64, len(laid) + 1, 8 * laid.offset) // 4
+        ids = np.frombuffer(laid.buffers()[2], np.int32, int(ends[-1])) if ends[-1] else np.zeros(0, np.int32)
         rows = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
         return ids, ends[rows]
 
@@ -160,7 +173,7 @@ class PieceEncoder:
 def pieces_of(text: Column, pattern: str) -> list[Column]:
     """``pieces`` (matches in Java's engine) and ``odd``: the text where it holds characters that
     this JVM's Unicode tables do not know, for which the task's newer tables decide."""
-    odd = text.rlike(r"\p{Cn}")
+    odd = (F.octet_length(text) != F.length(text)) & text.rlike(r"\p{Cn}")  # no ASCII character is unknown
     pieces = F.regexp_extract_all(text, F.lit("(?U)" + pattern), F.lit(0))
     none = F.array().cast("array<string>")
     return [F.when(odd, none).otherwise(pieces).alias("pieces"), F.when(odd, text).alias("odd")]

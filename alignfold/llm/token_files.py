@@ -1,14 +1,15 @@
 """Token-id files: raw id payloads with a minimal perfect hash index from document keys to offsets.
 
 A shard is two files: ``.ids`` (a small header, then the ids of its documents one after the other)
-and ``.idx`` (arrays: document ids, offsets, and a minimal perfect hash of the different ids with a
-fingerprint for each). Keyed access hashes the id a few times, compares one fingerprint and reads
-one slice. Shards are cut from the documents in ascending order of their ids.
+and ``.idx`` (a header with the places of its arrays: document ids, offsets, and a minimal perfect hash
+of the different ids, with a rank count a block and a fingerprint for each). Keyed access hashes the id a
+few times, reads a block of bits a try, compares one fingerprint and reads one slice: a few small reads
+of either file, whatever its size. Shards are cut from the documents in ascending order of their ids, so
+the manifest's lowest and highest ids say which shard may hold a key.
 """
 
 from __future__ import annotations
 
-import io
 import operator
 import uuid
 import zlib
@@ -86,38 +87,82 @@ def key_print(keys: np.ndarray) -> np.ndarray:
     return (scramble(keys, 1_000_003) >> np.uint64(32)).astype(np.uint32)
 
 
+INDEX_MAGIC = b"AFINDEX1"
+SECTIONS = {"sizes": "<i8", "bits": "u1", "ranks": "<i8", "prints": "<u4", "rows": "<i8", "runs": "<i8", "offsets": "<i8",
+            "doc_ids": "<i8", "null_id": "u1"}
+BLOCK_BITS = 512  # places of the hash for which one rank is stored
+
+
 class Shard:
-    """A shard read back from its two files."""
+    """A shard's two files. Arrays are read whole on first use, and ``get`` reads only what a key needs."""
 
     def __init__(self, path: str):
+        self.path = path
         files, base = fs.FileSystem.from_uri(path)
-        with files.open_input_file(base + ".idx") as f:
-            with np.load(io.BytesIO(f.read())) as got:
-                self.doc_ids, self.null_id, self.offsets = got["doc_ids"], got["null_id"], got["offsets"]
-                self.prints, self.rows, self.runs = got["prints"], got["rows"], got["runs"]
-                self.hash = PerfectHash(got["sizes"], got["bits"])
-        with files.open_input_file(base + ".ids") as f:
-            raw = f.read()
-        if raw[:8] != MAGIC:
+        self.index, self.payload = files.open_input_file(base + ".idx"), files.open_input_file(base + ".ids")
+        head = np.frombuffer(self.index.read(8 + 16 * len(SECTIONS)), np.uint8)
+        kind = self.payload.read(16)
+        if head[:8].tobytes() != INDEX_MAGIC or kind[:8] != MAGIC:
             raise ValueError(f"{path}: not a token file")
-        self.ids = np.frombuffer(raw, {2: "<u2", 4: "<u4"}[raw[8]], offset=16)
+        table = head[8:].view("<i8").reshape(-1, 2)
+        self.sections = {name: (int(at), int(n)) for name, (at, n) in zip(SECTIONS, table)}
+        self.kind = np.dtype({2: "<u2", 4: "<u4"}[kind[8]])
+        self.sizes = self.part("sizes", 0, self.sections["sizes"][1])
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.whole: dict[str, np.ndarray] = {}
+
+    def part(self, name: str, start: int, n: int) -> np.ndarray:
+        """``n`` values of an array of the index."""
+        at, kind = self.sections[name][0], np.dtype(SECTIONS[name])
+        self.index.seek(at + start * kind.itemsize)
+        return np.frombuffer(self.index.read(n * kind.itemsize), kind)
+
+    def __getattr__(self, name: str) -> np.ndarray:
+        if name not in SECTIONS:
+            raise AttributeError(name)
+        if name not in self.whole:
+            self.whole[name] = self.part(name, 0, self.sections[name][1])
+        return self.whole[name]
+
+    def slice(self, a: int, b: int) -> np.ndarray:
+        self.payload.seek(16 + a * self.kind.itemsize)
+        return np.frombuffer(self.payload.read((b - a) * self.kind.itemsize), self.kind)
+
+    @property
+    def ids(self) -> np.ndarray:
+        return self.slice(0, int(self.offsets[-1]))
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(first row, number of rows) of each document id; 0 rows where the shard does not hold it."""
-        number = self.hash.number(keys)
+        number = PerfectHash(self.sizes, self.bits).number(keys)
         safe = np.maximum(number, 0)
         if not len(self.prints):
             return np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         there = (number >= 0) & (self.prints[safe] == key_print(keys))
         return self.rows[safe], np.where(there, self.runs[safe], 0)
 
-    def document(self, row: int) -> np.ndarray:
-        return self.ids[self.offsets[row]:self.offsets[row + 1]].astype("<u4")
+    def find_one(self, key: int) -> tuple[int, int]:
+        """``find`` for one id: a block of bits and its rank for each level tried, then one entry."""
+        hashed = np.array([key], np.int64)
+        for level, size in enumerate(self.sizes):
+            at = int(scramble(hashed, level)[0] % np.uint64(size)) + int(self.first[level])
+            block = at // BLOCK_BITS
+            most = self.sections["bits"][1] - block * BLOCK_BITS // 8
+            flags = np.unpackbits(self.part("bits", block * BLOCK_BITS // 8, min(BLOCK_BITS // 8, most)))
+            inside = at - block * BLOCK_BITS
+            if flags[inside]:
+                number = int(self.part("ranks", block, 1)[0]) + int(flags[:inside].sum())
+                if self.part("prints", number, 1)[0] != key_print(hashed)[0]:
+                    break
+                return int(self.part("rows", number, 1)[0]), int(self.part("runs", number, 1)[0])
+        return 0, 0
 
     def get(self, doc_id: int) -> list[np.ndarray]:
         """The ids of the documents with this id, in the order of the file."""
-        row, n = (int(x[0]) for x in self.find(np.array([doc_id], np.int64)))
-        return [self.document(r) for r in range(row, row + n)]
+        row, n = self.find_one(doc_id)
+        ends = self.part("offsets", row, n + 1) if n else np.zeros(1, np.int64)
+        held = self.slice(int(ends[0]), int(ends[-1])).astype("<u4")
+        return [held[a:b] for a, b in zip(ends - ends[0], ends[1:] - ends[0])]
 
 
 def save_shard(path: str, doc_ids: np.ndarray, null_id: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
@@ -128,15 +173,19 @@ def save_shard(path: str, doc_ids: np.ndarray, null_id: np.ndarray, sizes: np.nd
     number = table.number(keys)
     prints, rows, count = np.zeros(len(keys), np.uint32), np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
     prints[number], rows[number], count[number] = key_print(keys), real[first] if len(real) else first, runs
-    head = MAGIC + bytes([ids.dtype.itemsize]) + bytes(7)
     with files.open_output_stream(base + ".ids") as f:
-        f.write(head)
-        f.write(ids.tobytes())
-    out = io.BytesIO()
-    np.savez(out, doc_ids=doc_ids, null_id=null_id, offsets=np.concatenate([[0], np.cumsum(sizes)]), prints=prints,
-             rows=rows, runs=count, sizes=table.sizes, bits=table.bits)
+        f.write(MAGIC + bytes([ids.dtype.itemsize]) + bytes(7))
+        f.write(memoryview(np.ascontiguousarray(ids)).cast("B") if len(ids) else b"")
+    arrays = {"sizes": table.sizes, "bits": table.bits, "ranks": table.rank[::BLOCK_BITS], "prints": prints, "rows": rows,
+              "runs": count, "offsets": np.concatenate([[0], np.cumsum(sizes)]), "doc_ids": doc_ids, "null_id": null_id}
+    at, table_, body = 8 + 16 * len(SECTIONS), [], []
+    for name, kind in SECTIONS.items():
+        raw = arrays[name].astype(kind).tobytes()
+        table_.append((at, len(arrays[name])))
+        body.append(raw + bytes(-len(raw) % 8))
+        at += len(body[-1])
     with files.open_output_stream(base + ".idx") as f:
-        f.write(out.getvalue())
+        f.write(INDEX_MAGIC + np.array(table_, "<i8").tobytes() + b"".join(body))
 
 
 MANIFEST = "part int, seq int, path string, docs long, ids long, low long, high long"
@@ -227,20 +276,61 @@ def read_files(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 shard = Shard(path)
-                keys = np.unique(shard.doc_ids[~shard.null_id])
+                null = shard.null_id.astype(bool)
+                keys = np.unique(shard.doc_ids[~null])
                 row, n = shard.find(keys)
-                nulls = np.flatnonzero(shard.null_id)
+                nulls = np.flatnonzero(null)
                 at = np.concatenate([nulls, np.repeat(row - (np.cumsum(n) - n), n) + np.arange(n.sum())])
                 doc = pa.array(np.concatenate([np.zeros(len(nulls), np.int64), np.repeat(keys, n)]),
                                mask=np.arange(len(at)) < len(nulls))
-                crc = [zlib.crc32(shard.document(int(r)).tobytes()) for r in at]
-                size = shard.offsets[at + 1] - shard.offsets[at]
-                yield pa.RecordBatch.from_arrays(
-                    [doc, pa.array(start + shard.offsets[at]), pa.array(size), pa.array(crc, pa.int64())],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"])
+                a, b = shard.offsets[at], shard.offsets[at + 1]
+                held = memoryview(shard.ids.astype("<u4")).cast("B") if b.max(initial=0) else b""
+                crc = [zlib.crc32(held[4 * x:4 * y]) for x, y in zip(a.tolist(), b.tolist())]
+                yield pa.RecordBatch.from_arrays([doc, pa.array(start + a), pa.array(b - a), pa.array(crc, pa.int64())],
+                                                 ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return plan.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def lookup(manifest: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Id and ``ids`` (array of long) of every document whose id is in ``keys``, by keyed access.
+
+    The manifest's lowest and highest ids choose the shards that may hold a key (two or more where equal
+    ids go on in the next shard). Keys are brought together by shard, those of a much-asked shard over
+    several tasks, and each costs a few small reads. Equal keys count once; null ids have no key, and
+    absent ids give no row. The driver holds the manifest, one row a shard.
+    """
+    spark = manifest.sparkSession
+    known = manifest.filter("low IS NOT NULL").select("path", "low", "high", "part", "seq").collect()
+    shards = sorted(known, key=lambda r: (r["part"], r["seq"]))
+    sent = spark.sparkContext.broadcast(([r["path"] for r in shards], np.array([r["low"] for r in shards], np.int64),
+                                         np.array([r["high"] for r in shards], np.int64)))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, low, high = sent.value
+        for batch in batches:
+            asked = batch.column(0).to_numpy()
+            first, last = np.searchsorted(high, asked, "left"), np.searchsorted(low, asked, "right")
+            n = np.maximum(last - first, 0)
+            shard = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(asked, n)), pa.array(shard, pa.int32())], ["id", "shard"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened, at = None, None
+        for batch in batches:
+            ids, got = [], []
+            for key, shard in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if shard != at:
+                    opened, at = Shard(sent.value[0][shard]), shard
+                found = opened.get(key)
+                ids += [key] * len(found)
+                got += found
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(got, pa.list_(pa.int64()))], ["id", "ids"])
+
+    asked = keys.select(F.col(id_col).cast("long").alias("id")).dropna().distinct().mapInArrow(choose, "id long, shard int")
+    dealt = asked.repartition("shard", F.pmod(F.xxhash64("id"), F.lit(8))).sortWithinPartitions("shard", "id")
+    return dealt.mapInArrow(read, "id long, ids array<long>").withColumnRenamed("id", id_col)
+
+
 def new_folder(df: DataFrame) -> str:
     return scratch_path(df.sparkSession, "token-files")

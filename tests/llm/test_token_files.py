@@ -50,6 +50,64 @@ def test_files_hold_every_document_in_order(spark, library, tmp_path, shard_ids)
         assert found == want
 
 
+def test_lookup_over_many_shards(spark, library, tmp_path):
+    rng = random.Random(3)
+    rows = [(i * 7 - 700, f"text {i} " * rng.randint(0, 5), "en", "a", 0) for i in range(400)]
+    rows += [(21, f"copy {i}", "en", "a", 0) for i in range(60)] + [(None, "no id", "en", "a", 0)]  # 21 goes over several shards
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        manifest = token_files.write_files(frame(spark, rows), str(tmp_path / "out"), VOCABULARY, P.PATTERN, shard_ids=60)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    shards = manifest.collect()
+    assert len(shards) > 20 and sum(r.low == r.high == 21 for r in shards) >= 2
+    asked = [None, 21, 21, -700, 2093, 22, -701, 10**15, *[i * 7 for i in range(-50, 50)]]
+    got = token_files.lookup(manifest, spark.createDataFrame([(x,) for x in asked], "doc_id long")).collect()
+    want = [(d, [*library.encode(t or "", add_special_tokens=False).ids, 2]) for d, t, *_ in rows if d is not None and d in asked]
+    assert sorted((r.doc_id, list(r.ids)) for r in got) == sorted(want)
+    assert token_files.lookup(manifest.limit(0), spark.createDataFrame([(1,)], "doc_id long")).count() == 0
+
+
+def test_keyed_access_reads_little(tmp_path):
+    n = 50_000
+    ids = np.arange(n * 10, dtype="<u2") % 999
+    keys = np.arange(n, dtype=np.int64) * 3
+    token_files.save_shard(str(tmp_path / "s"), keys, np.zeros(n, bool), np.full(n, 10), ids)
+    shard = token_files.Shard(str(tmp_path / "s"))
+    read = [0]
+
+    class Counting:
+        def __init__(self, f):
+            self.f = f
+
+        def seek(self, at):
+            self.f.seek(at)
+
+        def read(self, k):
+            read[0] += k
+            return self.f.read(k)
+
+    shard.index, shard.payload = Counting(shard.index), Counting(shard.payload)
+    rng = random.Random(1)
+    for k in rng.sample(range(n), 300):
+        assert [x.tolist() for x in shard.get(3 * k)] == [ids[10 * k:10 * k + 10].tolist()] and shard.get(3 * k + 1) == []
+    assert read[0] < 600 * 1000 and not shard.whole  # of two files of over 2 MB
+    assert shard.find(keys)[0].tolist() == list(range(n))
+
+
+def test_remembered_pieces_start_afresh(monkeypatch, library):
+    import pyarrow as pa
+    from alignfold.llm import bpe
+    monkeypatch.setattr(bpe, "REMEMBERED_PIECES", 5)
+    coder = bpe.PieceEncoder(VOCABULARY)
+    rng = random.Random(4)
+    for _ in range(20):
+        rows = [[rng.choice(["one", " two", " three", "é", " naïve", "x" * rng.randint(1, 9)]) for _ in range(rng.randint(0, 6))] for _ in range(4)]
+        ids, at = coder.encode(pa.array(rows, pa.list_(pa.string())).slice(1))
+        want = [[i for p in row for i in coder.encode_piece(p)] for row in rows[1:]]
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want
+
+
 def test_added_tokens_inside_texts_are_the_librarys(spark, tmp_path):
     library = Tokenizer.from_file(VOCABULARY)  # its defaults
     texts = ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|><|endoftext|>b  <|endoftext|>  \n c", "<|endoftext|",
