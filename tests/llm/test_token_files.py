@@ -60,7 +60,7 @@ def test_lookup_over_many_shards(spark, library, tmp_path):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     shards = manifest.collect()
-    assert len(shards) > 20 and sum(r.low == r.high == 21 for r in shards) >= 2
+    assert len(shards) > 20 and sum(r.low is not None and r.low <= 21 <= r.high for r in shards) >= 3
     asked = [None, 21, 21, -700, 2093, 22, -701, 10**15, *[i * 7 for i in range(-50, 50)]]
     got = token_files.lookup(manifest, spark.createDataFrame([(x,) for x in asked], "doc_id long")).collect()
     want = [(d, [*library.encode(t or "", add_special_tokens=False).ids, 2]) for d, t, *_ in rows if d is not None and d in asked]
