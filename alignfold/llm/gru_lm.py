@@ -9,8 +9,8 @@ window by window, so a score is the log-likelihood of the complete text.
 from __future__ import annotations
 
 import heapq
-import io
 import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,13 +27,14 @@ FREQUENT = 4096  # words with a softmax weight and an embedding of their own, at
 WORD_CLASSES, ENDING_CLASSES = 64, 64  # word classes: at least
 ENDING = 3  # bytes of a rare word that choose its class
 HELD = 262_144  # most frequent words whose counts every task holds; rarer ones are joined
-HIDDEN = 32
-TRAIN_TOKENS = 600_000  # tokens of a part of the training documents, learnt in one task; more if the network is larger
-EPOCHS = 3  # rounds: each learns every part and takes the mean of the weights
+HIDDEN = 24
+TRAIN_TOKENS = 1_500_000  # tokens of a part of the training documents, learnt in one task; more if the network is larger
+ROUNDS = 3  # each learns a third of every part and takes the mean of the weights
 SLICE = 4096  # weights that are averaged as one row
-STREAMS, STEPS = 64, 16  # parallel streams and window of the truncated backpropagation
+RATE = 0.02
+STREAMS, STEPS = 256, 16  # parallel streams and window of the truncated backpropagation
 LANES = 384  # streams scored side by side
-ROWS = 4096  # states whose softmax is taken at once
+ROWS = 8192  # states whose softmax is taken at once
 END = b""
 
 
@@ -72,6 +73,11 @@ class Words:
         share = np.log10(self.count[self.frequent:] + 1) - np.log10(self.mass)[self.number[self.frequent:] - self.frequent]
         self.inside = np.concatenate([np.zeros(self.frequent), share])  # log10 share within an ending class
 
+    def end(self) -> int:
+        """The token number of the end."""
+        rank = self.rank.get(END)
+        return int(self.number[rank]) if rank is not None else self.frequent + self.ending(END)
+
     def ending(self, word: bytes) -> int:
         return self.endings.get(word[-ENDING:], len(self.mass) - 1)
 
@@ -93,20 +99,37 @@ class Words:
 
 
 class Network:
-    """Embedding, one gated recurrent layer, softmax over classes, softmax within word classes."""
+    """Embedding, one gated recurrent layer, softmax over classes, softmax within word classes.
+
+    All weights are views of one vector, ``flat``, so that a step of the optimiser and a mean are few calls.
+    """
 
     def __init__(self, words: Words, hidden: int = HIDDEN, seed: int = 3):
         rng = np.random.default_rng(seed)
         n, c, f = words.frequent + len(words.mass), words.classes(), words.frequent
-        draw = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
         mass = np.concatenate([np.add.reduceat(words.count[:f] + 1.0, words.bounds[:-1]) if f else np.zeros(0), words.mass])
-        self.p = {"emb": draw(n, hidden), "wx": draw(hidden, 3 * hidden), "wh": draw(hidden, 3 * hidden),
-                  "b": np.zeros(3 * hidden, np.float32), "wc": draw(hidden, c) * 0,
-                  "bc": np.log(np.maximum(mass, 1) / mass.sum()).astype(np.float32),
-                  "ww": draw(max(f, 1), hidden) * 0, "bw": (np.log(words.count[:f] + 1.0) - np.log(mass)[words.class_of()[:f]]).astype(np.float32)
-                  if f else np.zeros(1, np.float32)}
+        share = np.log(words.count[:f] + 1.0) - np.log(mass)[words.class_of()[:f]] if f else np.zeros(1)
+        begin = {"emb": (n, hidden), "wx": (hidden, 3 * hidden), "wh": (hidden, 3 * hidden), "b": np.zeros(3 * hidden),
+                 "wc": np.zeros((hidden, c)), "bc": np.log(np.maximum(mass, 1) / mass.sum()),
+                 "ww": np.zeros((max(f, 1), hidden)), "bw": share}
+        begin = {k: rng.standard_normal(x) * 0.1 if isinstance(x, tuple) else x for k, x in begin.items()}
+        self.shapes = {k: x.shape for k, x in begin.items()}
+        self.flat = np.concatenate([x.ravel() for x in begin.values()]).astype(np.float32)
+        self.p = self.views(self.flat)
         self.bounds, self.of, self.hidden = words.bounds, words.class_of(), hidden
-        self.end = words.rank.get(END, 0)
+        self.end = words.end()
+        self.rooms: dict[str, np.ndarray] = {}
+
+    def room(self, name: str, *shape: int) -> np.ndarray:
+        """An array that is used again in each window: new ones of this size would cost more than their numbers."""
+        size = math.prod(shape)
+        if name not in self.rooms or self.rooms[name].size < size:
+            self.rooms[name] = np.empty(size, self.flat.dtype)
+        return self.rooms[name][:size].reshape(shape)
+
+    def views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        ends = np.cumsum([math.prod(shape) for shape in self.shapes.values()])
+        return {k: part.reshape(shape) for (k, shape), part in zip(self.shapes.items(), np.split(flat, ends[:-1]))}
 
     def step(self, gx: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
         k = self.hidden
@@ -116,82 +139,108 @@ class Network:
         n = np.tanh(gx[:, 2 * k:] + r * gn)
         return n + z * (h - n), (h, r, z, n, gn)
 
+    def by_class(self, of: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
+        """(an order of tokens by class, and the rows of each word class in it with its words' bounds)."""
+        order = np.argsort(of.astype(np.uint16), kind="stable")  # sorted by radix
+        cuts = np.searchsorted(of[order], np.arange(len(self.bounds))).tolist()
+        bounds = self.bounds.tolist()
+        return order, [(a, b, lo, hi) for a, b, lo, hi in zip(cuts, cuts[1:], bounds, bounds[1:]) if b > a and hi - lo > 1]
+
     def log_probability(self, h: np.ndarray, number: np.ndarray) -> np.ndarray:
         """Natural log of each token's class, times its share of a word class."""
-        logits = h @ self.p["wc"]
+        logits = np.matmul(h, self.p["wc"], out=self.room("prob", len(h), self.p["wc"].shape[1]))
         logits += self.p["bc"]
+        logits -= logits.max(1, keepdims=True)
         of = self.of[number]
         out = logits[np.arange(len(h)), of]
         np.exp(logits, out=logits)
         out -= np.log(logits.sum(1))
-        order = np.argsort(of, kind="stable")
-        cuts = np.searchsorted(of[order], np.arange(len(self.bounds)))
-        for c, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            lo, hi = self.bounds[c], self.bounds[c + 1]
-            if a == b or hi - lo < 2:
-                continue
-            rows = order[a:b]
-            x = h[rows] @ self.p["ww"][lo:hi].T
+        order, classes = self.by_class(of)
+        state, number, more = np.take(h, order, 0, self.room("state", *h.shape), "clip"), number[order], np.zeros(len(h), np.float32)
+        for a, b, lo, hi in classes:
+            x = state[a:b] @ self.p["ww"][lo:hi].T
             x += self.p["bw"][lo:hi]
-            want = x[np.arange(len(rows)), number[rows] - lo]
+            x -= x.max(1, keepdims=True)
+            want = x[np.arange(b - a), number[a:b] - lo]
             np.exp(x, out=x)
-            out[rows] += want - np.log(x.sum(1))
+            more[a:b] = want - np.log(x.sum(1))
+        out[order] += more
         return out
 
-    def gradient(self, before: np.ndarray, number: np.ndarray, h: np.ndarray) -> tuple[float, dict, np.ndarray]:
-        """Loss, gradients and last state for one window: rows are steps, columns streams."""
-        p, k, g = self.p, self.hidden, {}
+    def gradient(self, before: np.ndarray, number: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Loss, gradient (as ``flat``) and last state for one window: rows are steps, columns streams."""
+        p, k = self.p, self.hidden
+        gradient = self.room("gradient", len(self.flat))
+        gradient[:] = 0
+        g = self.views(gradient)
         steps, lanes = number.shape
-        gx_all = p["emb"][before] @ p["wx"] + p["b"]
-        kept, states = [], []
+        rows = steps * lanes
+        flows = (before != self.end)[:, :, None].astype(np.float32)  # a document starts from nothing
+        embedded = np.take(p["emb"], before.ravel(), 0, self.room("embedded", rows, k), "clip")
+        gx = np.matmul(embedded, p["wx"], out=self.room("gx", rows, 3 * k))
+        gx += p["b"]
+        gx = gx.reshape(steps, lanes, 3 * k)
+        kept, states = [], self.room("states", steps, lanes, k)
         for t in range(steps):
-            h = h * (before[t] != self.end)[:, None]  # a document starts from nothing
-            h, saved = self.step(gx_all[t], h)
+            h, saved = self.step(gx[t], h * flows[t])
             kept.append(saved)
-            states.append(h)
-        flat, want = np.concatenate(states), number.ravel()
-        logits = flat @ p["wc"] + p["bc"]
-        logits -= logits.max(1, keepdims=True)
-        prob = np.exp(logits)
-        prob /= prob.sum(1, keepdims=True)
+            states[t] = h
+        flat, want = states.reshape(-1, k), number.ravel()
         of, at = self.of[want], np.arange(len(want))
-        loss = -np.log(prob[at, of]).sum()
+        prob = np.matmul(flat, p["wc"], out=self.room("prob", rows, p["wc"].shape[1]))
+        prob += p["bc"]
+        prob -= prob.max(1, keepdims=True)
+        loss = -float(prob[at, of].sum())
+        np.exp(prob, out=prob)
+        total = prob.sum(1, keepdims=True)
+        loss += float(np.log(total).sum())
+        prob /= total
         prob[at, of] -= 1
-        g["wc"], g["bc"], dh = flat.T @ prob, prob.sum(0), prob @ p["wc"].T
-        g["ww"], g["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
-        order = np.argsort(of, kind="stable")
-        cuts = np.searchsorted(of[order], np.arange(len(self.bounds)))
-        for c, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            lo, hi = self.bounds[c], self.bounds[c + 1]
-            if a == b or hi - lo < 2:
-                continue
-            rows = order[a:b]
-            x = flat[rows] @ p["ww"][lo:hi].T + p["bw"][lo:hi]
-            x = np.exp(x - x.max(1, keepdims=True))
-            x /= x.sum(1, keepdims=True)
-            i, j = np.arange(len(rows)), want[rows] - lo
-            loss -= np.log(x[i, j]).sum()
+        g["wc"][:], g["bc"][:], dh = flat.T @ prob, prob.sum(0), np.matmul(prob, p["wc"].T, out=self.room("dh", rows, k))
+        order, classes = self.by_class(of)
+        state, word = np.take(flat, order, 0, self.room("state", rows, k), "clip"), want[order]
+        more = self.room("more", rows, k)
+        more[:] = 0
+        for a, b, lo, hi in classes:
+            held, ww = state[a:b], p["ww"][lo:hi]
+            x = held @ ww.T
+            x += p["bw"][lo:hi]
+            x -= x.max(1, keepdims=True)
+            i, j = at[:b - a], word[a:b] - lo
+            loss -= float(x[i, j].sum())
+            np.exp(x, out=x)
+            total = x.sum(1, keepdims=True)
+            loss += float(np.log(total).sum())
+            x /= total
             x[i, j] -= 1
-            g["ww"][lo:hi], g["bw"][lo:hi] = x.T @ flat[rows], x.sum(0)
-            dh[rows] += x @ p["ww"][lo:hi]
+            g["ww"][lo:hi], g["bw"][lo:hi] = x.T @ held, x.sum(0)
+            more[a:b] = x @ ww
+        dh[order] += more
         dh = dh.reshape(steps, lanes, k)
-        dgx, g["wh"], back = np.zeros_like(gx_all), np.zeros_like(p["wh"]), np.zeros((lanes, k), np.float32)
+        dgx, dgh = self.room("dgx", steps, lanes, 3 * k), self.room("dgh", steps, lanes, 3 * k)
+        back = np.zeros((lanes, k), np.float32)
         for t in reversed(range(steps)):
             h0, r, z, n, gn = kept[t]
             d = dh[t] + back
-            dz, dn = d * (h0 - n) * z * (1 - z), d * (1 - z) * (1 - n * n)
-            dr = dn * gn * r * (1 - r)
-            dgx[t] = np.hstack([dr, dz, dn])
-            dgh = np.hstack([dr, dz, dn * r])
-            g["wh"] += h0.T @ dgh
-            back = (d * z + dgh @ p["wh"].T) * (before[t] != self.end)[:, None]
-        rows = dgx.reshape(-1, 3 * k)
-        g["wx"], g["b"] = p["emb"][before.ravel()].T @ rows, rows.sum(0)
-        g["emb"] = np.zeros_like(p["emb"])
-        np.add.at(g["emb"], before.ravel(), rows @ p["wx"].T)
-        return float(loss), g, states[-1]
-
-    def train(self, stream: np.ndarray, epochs: int = EPOCHS, rate: float = 0.01, after: int = 0,
+            through = d * z
+            dn = (d - through) * (1 - n * n)
+            dgx[t, :, :k] = dgh[t, :, :k] = dn * gn * (r - r * r)
+            dgx[t, :, k:2 * k] = dgh[t, :, k:2 * k] = d * (h0 - n) * (z - z * z)
+            dgx[t, :, 2 * k:] = dn
+            dgh[t, :, 2 * k:] = dn * r
+            back = (through + dgh[t] @ p["wh"].T) * flows[t]
+        dgx = dgx.reshape(rows, 3 * k)
+        h0 = np.concatenate([x[0] for x in kept], out=self.room("state", rows, k))
+        g["wh"][:] = h0.T @ dgh.reshape(rows, 3 * k)
+        g["wx"][:], g["b"][:] = embedded.T @ dgx, dgx.sum(0)
+        back = np.matmul(dgx, p["wx"].T, out=self.room("dh", rows, k))
+        order = np.argsort(before.ravel(), kind="stable")
+        sorted_ = before.ravel()[order]
+        first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+        g["emb"][sorted_[first]] = np.add.reduceat(np.take(back, order, 0, self.room("more", rows, k), "clip"), first, axis=0)
+        return loss, gradient, states[-1].copy()
+
+    def train(self, stream: np.ndarray, epochs: int = 1, rate: float = RATE, after: int = 0,
               of: int | None = None) -> list[float]:
         """Truncated backpropagation by Adam over the stream in STREAMS parallel parts; the state
         runs on from window to window. Every token is learnt; the parts overlap by the few tokens
@@ -203,22 +252,26 @@ class Network:
             return []
         at = np.arange(length)[:, None] + np.arange(lanes) * (len(stream) - length) // max(lanes - 1, 1)
         lane, ahead = stream[at], np.concatenate([[self.end], stream[:-1]])[at]
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        v = {k: np.zeros_like(v) for k, v in self.p.items()}
+        m, v, change = (np.zeros_like(self.flat) for _ in range(3))
         windows = -(-length // STEPS)
         n, losses, total = 0, [], (of or epochs) * windows
         for _ in range(epochs):
             h, loss, seen = np.zeros((lanes, self.hidden), np.float32), 0.0, 0
             for a in range(0, length, STEPS):
                 want = lane[a:a + STEPS]
-                part, grad, h = self.gradient(ahead[a:a + STEPS], want, h)
+                part, x, h = self.gradient(ahead[a:a + STEPS], want, h)
                 loss, seen, n = loss + part, seen + want.size, n + 1
                 speed = rate * max(0.05, 1 - (after * windows + n) / total)
-                for k, x in grad.items():
-                    x = np.clip(x / lanes, -1, 1)
-                    m[k] += 0.1 * (x - m[k])
-                    v[k] += 0.01 * (x * x - v[k])
-                    self.p[k] -= (speed * (m[k] / (1 - 0.9 ** n)) / (np.sqrt(v[k] / (1 - 0.99 ** n)) + 1e-6)).astype(np.float32)
+                x *= np.float32(1 / lanes)
+                np.clip(x, -1, 1, out=x)
+                m += np.float32(0.1) * (x - m)
+                np.multiply(x, x, out=x)
+                v += np.float32(0.01) * (x - v)
+                np.sqrt(v, out=change)
+                change += np.float32(1e-6)
+                np.divide(m, change, out=change)
+                change *= np.float32(speed * math.sqrt(1 - 0.99 ** n) / (1 - 0.9 ** n))
+                self.flat -= change
             losses.append(loss / max(seen, 1))
         return losses
 
@@ -226,10 +279,12 @@ class Network:
         """Natural log-likelihood of whole documents (token numbers, the end included).
 
         Documents run side by side in lanes, one after the other in a lane, as in training: the state
-        is carried from window to window and starts from nothing after an end.
+        is carried from window to window and starts from nothing after an end. What is held beside the
+        documents is one window of states, however long a document is.
         """
+        out = np.zeros(len(documents))
         if not documents:
-            return np.zeros(0)
+            return out
         table = self.p["emb"] @ self.p["wx"] + self.p["b"]
         lanes: list[list[int]] = [[] for _ in range(min(LANES, len(documents)))]
         load = [(0, i) for i in range(len(lanes))]
@@ -238,52 +293,51 @@ class Network:
             lanes[lane].append(d)
             heapq.heappush(load, (size + len(documents[d]), lane))
         lanes.sort(key=lambda held: -sum(len(documents[d]) for d in held))
-        size = np.array([sum(len(documents[d]) for d in held) for held in lanes])
-        number = np.zeros((int(size[0]), len(lanes)), np.int32)
-        for j, held in enumerate(lanes):
-            number[:size[j], j] = np.concatenate([documents[d] for d in held])
-        found = np.zeros(number.shape, np.float32)
+        streams = [documents[held[0]] if len(held) == 1 else np.concatenate([documents[d] for d in held]) for held in lanes]
+        size = np.array([len(x) for x in streams])
+        ends = [np.cumsum([len(documents[d]) for d in held]).tolist() for held in lanes]
+        flat_ends, flat_docs = np.array([e for x in ends for e in x]), np.array([d for held in lanes for d in held])
+        n_docs = np.array([len(held) for held in lanes])
+        base, begun = np.cumsum(n_docs) - n_docs, np.zeros(len(lanes), np.int64)  # lanes' first documents; those not yet over
         h, last, t = np.zeros((len(lanes), self.hidden), np.float32), np.full(len(lanes), self.end), 0
-        while t < len(number):
-            states, first = [], t
-            until = min(len(number), t + max(8, ROWS // int(np.searchsorted(-size, -t, side="left"))))
-            live = []
-            for t in range(first, until):
-                n = int(np.searchsorted(-size, -t, side="left"))  # lanes with tokens left
-                h = h[:n]
-                h[last[:n] == self.end] = 0
-                h, _ = self.step(table[last[:n]], h)
-                last = number[t, :n]
-                states.append(h)
-                live.append(n)
-            got = self.log_probability(np.concatenate(states), np.concatenate(
-                [number[first + i, :n] for i, n in enumerate(live)]))
-            for i, (n, end) in enumerate(zip(live, np.cumsum(live))):
-                found[first + i, :n] = got[end - n:end]
-            t = until
-        out = np.zeros(len(documents))
-        for j, held in enumerate(lanes):
-            starts = np.cumsum([0] + [len(documents[d]) for d in held[:-1]])
-            out[held] = np.add.reduceat(found[:size[j], j].astype(np.float64), starts)
+        while t < size[0]:
+            live = int(np.searchsorted(-size, -t, side="left"))  # lanes with tokens left; they end in order
+            steps = max(8, ROWS // live)
+            window = np.full((steps, live), self.end, np.int32)
+            for j in range(live):
+                part = streams[j][t:t + steps]
+                window[:len(part), j] = part
+            h, last, states = h[:live], last[:live], self.room("states", steps, live, self.hidden)
+            for i in range(steps):
+                h[last == self.end] = 0
+                h, _ = self.step(table[last], h)
+                last = window[i]
+                states[i] = h
+            real = np.arange(steps)[:, None] < size[:live] - t
+            found = np.zeros((steps, live))
+            found[real] = self.log_probability(states[real], window[real])
+            upto = np.cumsum(found, axis=0)
+            # documents of a lane that have a part in the window end at these places in it
+            a, b = begun[:live], np.array([bisect_left(ends[j], min(t + steps, int(size[j])), int(begun[j])) for j in range(live)])
+            n = b - a + 1
+            lane = np.repeat(np.arange(live), n)
+            place = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            cut = np.minimum(flat_ends[base[lane] + place], t + steps) - t
+            sums = upto[cut - 1, lane]
+            sums[1:] -= np.where(lane[1:] == lane[:-1], sums[:-1].copy(), 0)
+            out[flat_docs[base[lane] + place]] += sums
+            begun[:live] = b + (flat_ends[base[:live] + b] <= t + steps)
+            t += steps
         return out
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in self.p.values()])
-
     def put(self, flat: np.ndarray) -> None:
-        """The reverse of ``flat``."""
-        ends = np.cumsum([x.size for x in self.p.values()])
-        self.p = {k: part.reshape(x.shape).astype(np.float32)
-                  for (k, x), part in zip(self.p.items(), np.split(flat, ends[:-1]))}
+        self.flat[:] = flat
 
     def saved(self) -> bytes:
-        out = io.BytesIO()
-        np.savez(out, **self.p)
-        return out.getvalue()
+        return self.flat.tobytes()
 
     def load(self, raw: bytes) -> Network:
-        with np.load(io.BytesIO(raw)) as got:
-            self.p = {k: got[k] for k in got.files}
+        self.flat[:] = np.frombuffer(raw, np.float32)
         return self
 
 
@@ -344,7 +398,8 @@ def word_table(counts: DataFrame) -> Words:
         (F.col("c") < last["c"]) | ((F.col("c") == last["c"]) & (F.col("word") > F.lit(bytearray(last["word"])))))
     by_ending = rare.groupBy(F.expr(f"substring(word, -least({ENDING}, length(word)), {ENDING})").alias("ending")) \
         .agg(F.sum(F.col("c") + 1).alias("m"))
-    chosen = by_ending.orderBy(F.desc("m"), "ending").limit(ENDING_CLASSES - 1).collect()
+    # the end alone has no ending: where it is no frequent word, it has a class of its own
+    chosen = by_ending.orderBy(F.length("ending") > 0, F.desc("m"), "ending").limit(ENDING_CLASSES - 1).collect()
     all_mass = by_ending.agg(F.sum("m")).first()[0] or 0
     mass = [r["m"] for r in chosen]
     mass.append(all_mass - sum(mass))
@@ -352,34 +407,72 @@ def word_table(counts: DataFrame) -> Words:
                  {bytes(r["ending"]): i for i, r in enumerate(chosen)}, np.array(mass, float) + 1)
 
 
-def train(df: DataFrame, words: Words, id_col: str, text_col: str, seed: int = 11) -> Network:
-    """The network, trained on every document.
+def code(docs: DataFrame, words: Words) -> DataFrame:
+    """Every document (``id``, ``whole``, ``learn``) as token numbers, staged with a number for its ``row`` and ``h``, a
+    hash of its id and text: ``numbers``
+    (2 or 4 bytes each), ``n_tokens``, ``n_held`` (words whose counts tasks hold), ``base`` (their part of the base
+    score, and what the others have without their counts), ``inside`` (words' shares within their ending
+    classes, as far as they are known) and the ``rare`` words that are not held, with their ``times``."""
+    held = docs.sparkSession.sparkContext.broadcast(words)
+    kind = number_kind(words)
+    id_type = docs.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = held.value
+        unseen, log_mass = np.log10(words.total + words.types + 1), np.log10(words.mass)
+        for batch in slices(batches):
+            rows = []
+            for text in batch.column("whole").to_pylist():
+                got = tokens(text)
+                at, number = words.numbers(got)
+                known = at[at >= 0]
+                lacking = np.flatnonzero(at < 0)
+                rare = Counter(map(got.__getitem__, lacking.tolist()))
+                # what the join adds for the rare ones is log10(c + 1), the same for either score
+                inside = words.inside[known].sum() - log_mass[number[lacking] - words.frequent].sum()
+                rows.append((number.astype(kind).tobytes(), len(got), len(known), words.base[known].sum() - len(lacking) * unseen,
+                             inside, list(rare), list(rare.values())))
+            types = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("learn"), batch.column("h"), *[pa.array(c, t) for c, t in zip(zip(*rows), types)]],
+                ["id", "learn", "h", "numbers", "n_tokens", "n_held", "base", "inside", "rare", "times"])
+
+    whole = text_or_empty("whole")
+    coded = docs.select("id", "learn", F.xxhash64("id", whole).alias("h"), whole.alias("whole")).mapInArrow(
+        run, f"id {id_type}, learn boolean, h long, numbers binary, n_tokens long, n_held long, base double, inside double, "
+             "rare array<binary>, times array<long>")
+    return stage(coded.withColumn("row", F.monotonically_increasing_id()), "lm-coded")
+
+
+def number_kind(words: Words) -> str:
+    return "<u2" if words.frequent + len(words.mass) <= 1 << 16 else "<i4"
+
+
+def train(coded: DataFrame, words: Words, seed: int = 11) -> Network:
+    """The network, trained on every document of ``coded`` that is to be learnt.
 
-    Documents are dealt by a seeded hash to parts of about TRAIN_TOKENS tokens (or as many as the
-    network has weights, so that the weights of all parts are no more than the tokens). In each of
-    EPOCHS rounds a task learns a part from the current weights, and the mean of all parts'
-    weights, by their tokens, is taken on Spark, slice by slice. The driver gets one network a round.
+    Documents are dealt by a seeded hash to parts of about TRAIN_TOKENS tokens (or as many as the network
+    has weights, so that the weights of all parts are no more than the tokens), and those of a part to
+    ROUNDS rounds. Copies of a row that fill a good share of a part are dealt each by itself. In a round a task learns its part's documents from the current weights, and the mean
+    of all parts' weights, by their tokens, is taken on Spark, slice by slice. So every document is
+    learnt once, and the driver gets one network a round.
     """
     net = Network(words)
     if not words.total:
         return net
-    spark = df.sparkSession
-    n_parts = -(-words.total // max(TRAIN_TOKENS, len(net.flat())))
-    n_slices = -(-len(net.flat()) // SLICE)
+    spark = coded.sparkSession
+    n_parts = -(-words.total // max(TRAIN_TOKENS, len(net.flat)))
+    n_slices = -(-len(net.flat) // SLICE)
     held = spark.sparkContext.broadcast(words)
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = held.value
-        for batch in slices(batches):
-            got = [words.numbers(tokens(t))[1].astype(np.int32).tobytes() for t in batch.column("whole").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("h"), pa.array(got, pa.binary())],
-                                             ["part", "h", "numbers"])
-
-    whole = text_or_empty(text_col)
-    rows = df.select(F.xxhash64(F.lit(seed), F.col(id_col), whole).alias("h"), whole.alias("whole"))
-    rows = rows.select(F.pmod("h", F.lit(n_parts)).alias("part"), "h", "whole")
-    coded = stage(rows.mapInArrow(number, "part long, h long, numbers binary"), "lm-numbers")
-    for turn in range(EPOCHS):
+    kind = number_kind(words)
+    mine = coded.filter("learn")
+    times = mine.groupBy("h").count()
+    # at most 4 hashes a part and round
+    many = times.filter(F.col("count") * (4 * n_parts * ROUNDS) > mine.agg(F.count(F.lit(1))).scalar()).select("h", F.lit(True).alias("many"))
+    own = F.when(F.col("many"), F.xxhash64("h", "row")).otherwise(F.col("h"))
+    dealt = mine.join(F.broadcast(many), "h", "left").select(F.xxhash64(F.lit(seed), own).alias("h"), "numbers")
+    dealt = dealt.withColumn("part", F.pmod("h", F.lit(n_parts)))
+    for turn in range(ROUNDS):
         raw = spark.sparkContext.broadcast(net.saved())
 
         def learn(batches: Iterator[pa.RecordBatch], turn: int = turn, raw=raw) -> Iterator[pa.RecordBatch]:
@@ -389,8 +482,8 @@ def train(df: DataFrame, words: Words, id_col: str, text_col: str, seed: int = 1
                 nonlocal total, seen
                 stream = np.concatenate(docs)
                 net = Network(held.value).load(raw.value)
-                net.train(stream, epochs=1, after=turn, of=EPOCHS)
-                total, seen = total + net.flat().astype(np.float64) * len(stream), seen + len(stream)
+                net.train(stream, after=turn, of=ROUNDS)
+                total, seen = total + net.flat.astype(np.float64) * len(stream), seen + len(stream)
                 docs.clear()
 
             for batch in batches:
@@ -398,7 +491,7 @@ def train(df: DataFrame, words: Words, id_col: str, text_col: str, seed: int = 1
                     if p != part and docs:
                         fit()
                     part = p
-                    docs.append(np.frombuffer(numbers, np.int32))
+                    docs.append(np.frombuffer(numbers, kind))
             if docs:
                 fit()
             if seen:
@@ -418,10 +511,12 @@ def train(df: DataFrame, words: Words, id_col: str, text_col: str, seed: int = 1
                  pa.array([(t / n).astype(np.float32).tobytes() for t, n in sums.values()], pa.binary())],
                 ["slice", "n", "weights"])
 
-        kind = "slice int, n long, weights binary"
-        learnt = coded.repartition(n_parts, "part").sortWithinPartitions("part", "h").mapInArrow(learn, kind)
-        got = sorted(learnt.repartition(min(n_slices, n_parts), "slice").mapInArrow(mean, kind).collect())
-        net.put(np.concatenate([np.frombuffer(r["weights"], np.float32) for r in got]))
+        schema = "slice int, n long, weights binary"
+        now = dealt.filter(F.pmod(F.xxhash64("h"), F.lit(ROUNDS)) == turn)
+        learnt = now.repartitionByRange(n_parts, "part").sortWithinPartitions("part", "h").mapInArrow(learn, schema)
+        got = sorted(learnt.repartition(min(n_slices, n_parts), "slice").mapInArrow(mean, schema).collect())
+        if got:  # a round may have no documents
+            net.put(np.concatenate([np.frombuffer(r["weights"], np.float32) for r in got]))
     return net
 
 
@@ -435,52 +530,30 @@ def score(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     """
     spark = prepared(df.sparkSession)
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("whole"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    training = docs.filter("learn")
-    counts = stage(count_words(training, "whole"), "word-counts")
+    counts = stage(count_words(docs.filter("learn"), "whole"), "word-counts")
     words = word_table(counts)
-    net = train(training, words, "id", "whole")
+    coded = code(docs, words)
+    net = train(coded, words)
     held = spark.sparkContext.broadcast((words, net.saved()))
-    id_type = docs.schema["id"].dataType.simpleString()
+    kind = number_kind(words)
     made: dict = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, raw = held.value
         if "net" not in made:
-            made["net"] = Network(words).load(raw)
-        net, unseen = made["net"], np.log10(words.total + words.types + 1)
-        log_mass = np.log10(words.mass)
-        for batch in slices(batches, 32 << 20):  # enough documents to fill the lanes
-            texts, numbers, rows = batch.column("whole").to_pylist(), [], []
-            for text in texts:
-                got = tokens(text or "")
-                at, number = words.numbers(got)
-                numbers.append(number)
-                known = at[at >= 0]
-                rare = Counter(got[i] for i in np.flatnonzero(at < 0))
-                n_rare = len(at) - len(known)
-                # what the join adds for the rare ones is log10(c + 1), the same for either score
-                inside = words.inside[known].sum() - log_mass[number[at < 0] - words.frequent].sum()
-                rows.append((len(got), len(known), words.base[known].sum() - n_rare * unseen, inside,
-                             list(rare), list(rare.values())))
-            model = net.score(numbers) / np.log(10)
-            n, known, base, inside, rare, times = zip(*rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("learn"), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(model + np.array(inside), pa.float64()),
-                 pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))],
-                ["id", "learn", "n_tokens", "n_held", "base", "model", "rare", "times"])
-
-    scored = docs.mapInArrow(run, f"id {id_type}, learn boolean, n_tokens long, n_held long, base double, "
-                                  "model double, rare array<binary>, times array<long>")
-    scored = stage(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
+            made["net"] = Network(held.value[0]).load(held.value[1])
+        for batch in slices(batches, 16 << 20):  # enough documents to fill the lanes
+            numbers = [np.frombuffer(x, kind) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made["net"].score(numbers) / np.log(10))], ["row", "model"])
+
+    scored = stage(coded.select("row", "numbers").mapInArrow(run, "row long, model double"), "lm-scores")
+    rare = coded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
         "row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
     found = rare.join(counts, "word").groupBy("row").agg(
         F.sum("times").alias("n_rare"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more"))
-    both = scored.drop("rare", "times").join(found, "row", "left")
+    both = coded.drop("h", "numbers", "rare", "times").join(scored, "row").join(found, "row", "left")
     more = F.coalesce("more", F.lit(0.0))
     return both.select(
         F.col("id").alias(id_col), (~F.col("learn")).alias("held_out"), "n_tokens",
         (F.col("n_held") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
         F.lit(words.total).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"),
-        (F.col("model") + more).alias("score"))
+        (F.col("model") + F.col("inside") + more).alias("score"))

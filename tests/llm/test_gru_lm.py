@@ -61,8 +61,7 @@ def test_probabilities_sum_to_one():
     rng = random.Random(3)
     words = table([sentence(rng, 40) for _ in range(30)])
     net = gru_lm.Network(words, hidden=6)
-    for k in net.p:
-        net.p[k] = net.p[k] + np.random.default_rng(1).standard_normal(net.p[k].shape).astype(np.float32) * 0.3
+    net.flat += np.random.default_rng(1).standard_normal(len(net.flat)).astype(np.float32) * 0.3
     h = np.random.default_rng(2).standard_normal((1, 6)).astype(np.float32)
     order = list(words.rank)
     total = 0.0
@@ -81,12 +80,13 @@ def test_gradient_matches_differences():
     words = table([sentence(rng, 30) for _ in range(10)])
     net = gru_lm.Network(words, hidden=4)
     gen = np.random.default_rng(4)
-    net.p = {k: (v + gen.standard_normal(v.shape) * 0.3).astype(np.float64) for k, v in net.p.items()}
+    net.flat = net.flat + gen.standard_normal(len(net.flat)) * 0.3  # doubles
+    net.p = net.views(net.flat)
     n = words.frequent + len(words.mass)
     before, want = gen.integers(0, n, (5, 3)), gen.integers(0, n, (5, 3))
     before[2, 1] = net.end
     h = gen.standard_normal((3, 4))
-    _, grad, _ = net.gradient(before, want, h)
+    grad = {k: v.copy() for k, v in net.views(net.gradient(before, want, h)[1]).items()}
     for k, v in net.p.items():
         for _ in range(4):
             at = tuple(gen.integers(0, s) for s in v.shape)
@@ -137,7 +137,8 @@ def test_every_training_row_moves_the_weights(spark, monkeypatch):
     def weights(rows):
         df = frame(spark, rows)
         words = gru_lm.word_table(gru_lm.count_words(df))
-        return np.concatenate([x.ravel() for x in gru_lm.train(df, words, "doc_id", "text").p.values()])
+        docs = df.select(F.col("doc_id").alias("id"), F.col("text").alias("whole"), F.lit(True).alias("learn"))
+        return gru_lm.train(gru_lm.code(docs, words), words).flat
 
     first = weights(rows)
     assert np.allclose(first, weights(rows[::-1]), atol=1e-4)  # however the rows lie
@@ -160,6 +161,58 @@ def test_every_token_is_learnt():
         assert n <= sum(pairs.values()) < n + gru_lm.STREAMS
 
 
+def test_a_long_text_is_scored_in_little_memory():
+    """Beside the documents themselves a window of states is all that is held."""
+    import tracemalloc
+    rng = random.Random(2)
+    words = table([sentence(rng, 90) for _ in range(9)], frequent=40)
+    net = gru_lm.Network(words, hidden=8)
+    gen = np.random.default_rng(1)
+    documents = [gen.integers(0, words.frequent, n).astype(np.uint16) for n in [300_000, *[50] * 400]]
+    tracemalloc.start()
+    got = net.score(documents[1:])
+    few = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    short = gru_lm.ROWS
+    try:
+        gru_lm.ROWS = 1 << 15
+        tracemalloc.start()
+        again = net.score([documents[0], *documents[1:]])
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    finally:
+        gru_lm.ROWS = short
+    assert np.allclose(again[1:], got, rtol=1e-4) and np.isfinite(again).all() and most < few + (120 << 20)
+
+
+def test_copies_of_one_row_are_dealt_to_all_parts(spark, monkeypatch):
+    monkeypatch.setattr(gru_lm, "TRAIN_TOKENS", 10)
+    rng = random.Random(1)
+    text = sentence(rng, 60)
+    rows = [(1, text, "en", "a", 0)] * 150 + [(i, sentence(rng, 60), "en", "a", 0) for i in range(2, 302)]
+    df = frame(spark, rows)
+    words = gru_lm.word_table(gru_lm.count_words(df))
+    docs = df.select(F.col("doc_id").alias("id"), F.col("text").alias("whole"), F.lit(True).alias("learn"))
+    learnt = []
+    real = type(df).repartitionByRange
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda self, n, *c: (learnt.append(
+        [r["count"] for r in self.groupBy(*c).count().collect()]), real(self, n, *c))[1])
+    gru_lm.train(gru_lm.code(docs, words), words)
+    assert len(learnt) == gru_lm.ROUNDS and sum(map(sum, learnt)) == 450
+    assert max(map(sum, learnt)) < 450 / 2  # the copies would all be in one of three rounds
+
+
+def test_the_end_has_a_class_of_its_own_where_no_word_is_held(spark, monkeypatch):
+    monkeypatch.setattr(gru_lm, "HELD", 5)
+    rows = [(i, f"w{i} x{i} y{i}", "en", "a", 0) for i in range(3)]  # all counts but the end's are one
+    words = gru_lm.word_table(gru_lm.count_words(frame(spark, rows)))
+    assert words.end() not in {words.frequent + words.ending(f"{c}{i}".encode()) for c in "wxy" for i in range(3)}
+    monkeypatch.setattr(gru_lm, "HELD", 0)
+    words = gru_lm.word_table(gru_lm.count_words(frame(spark, rows)))
+    assert words.frequent == 0 and words.end() not in {words.ending(f"{c}{i}".encode()) for c in "wxy" for i in range(3)}
+    assert all(math.isfinite(r.score) for r in gru_lm.score(frame(spark, rows), F.lit(True)).collect())
+
+
 def test_frequent_words_grow_with_the_vocabulary():
     assert gru_lm.frequent_words(1000) == gru_lm.FREQUENT
     assert gru_lm.frequent_words(100_000_000) == 40_000
