@@ -167,9 +167,21 @@ def training_health(metrics: DataFrame, kl_metric: str, loss_metric: str, reward
     from alignfold.functions.text import epoch_seconds
 
     size = BUCKET_SECONDS[bucket]  # UTC buckets by epoch arithmetic: independent of the session zone
-    b = metrics.groupBy("run", "metric", (F.floor(epoch_seconds(metrics, "ts") / size) * size).cast("long").alias("bucket")).agg(
-        F.avg(F.when(~F.isnan("value"), F.col("value"))).alias("mean"),
-        F.sum(F.when(F.isnan("value"), 1).otherwise(0)).alias("n_nan"), F.count(F.lit(1)).alias("n"))
+    b = metrics.groupBy("run", "metric", (F.floor(epoch_seconds(metrics, "ts") / size) * size).cast("long").alias("bucket")) \
+        .agg(*bucket_facts())
+    return health_flags(b, kl_metric, loss_metric, reward_metric, window, kl_explode, kl_high, kl_low, jump, spike_sd, flat_sd)
+
+
+def bucket_facts() -> list[Column]:
+    """Of a bucket's points: the mean of those that are numbers, how many are not, and how many there are."""
+    return [F.avg(F.when(~F.isnan("value"), F.col("value"))).alias("mean"),
+            F.sum(F.when(F.isnan("value"), 1).otherwise(0)).alias("n_nan"), F.count(F.lit(1)).alias("n")]
+
+
+def health_flags(b: DataFrame, kl_metric: str, loss_metric: str, reward_metric: str, window: int = 3, kl_explode: float = 1.0,
+                 kl_high: float = 0.5, kl_low: float = 0.1, jump: float = 2.0, spike_sd: float = 3.0,
+                 flat_sd: float = 1e-3) -> DataFrame:
+    """M14's rules on buckets (run, metric, bucket, mean, n_nan, n): each looks at most ``window`` buckets back."""
     w = Window.partitionBy("run", "metric").orderBy("bucket")
     trail = w.rowsBetween(-window, -1)
     b = b.withColumns({"prev": F.lag("mean").over(w), "t_mean": F.avg("mean").over(trail),
@@ -217,6 +229,11 @@ def join_results(results: DataFrame, questions: DataFrame, id_col: str = "id") -
     return r.join(questions, r["q_id"] == questions[id_col], "inner").drop("q_id")
 
 
+def model_means(df: DataFrame, key: str, model: str, value: str) -> DataFrame:
+    """The mean of ``value`` for every key and model found, with the number of rows; null models are one."""
+    return df.groupBy(key, model).agg(F.avg(value).alias(value), F.count(F.lit(1)).alias("n"))
+
+
 def compare_models(results_by_model: Mapping[str, DataFrame], key: str, value: str) -> DataFrame:
     """Several models on one question set, one column per model."""
     u = None

@@ -18,6 +18,7 @@ from alignfold.operators import rewards as R
 from alignfold.operators import splits as S
 from alignfold.plans import fixtures as FX
 from alignfold.plans.q_filters import KEYWORDS
+from alignfold.plans.q_metrics import HEALTH, health_sql
 from alignfold.plans.q_prompts import SFTQ_SQL
 from alignfold.plans.q_rewards import LEX, SCORED_SQL
 from alignfold.plans.registry import query
@@ -85,17 +86,31 @@ def json_dirs(spark, sf):
 
 
 # ---------- S4 ----------
-@query("text_lines", f"""SELECT {strip_sql("replace(replace(text, chr(13), ' '), chr(10), ' ')")} AS line, true AS keyed FROM benchmark
-    UNION ALL SELECT '', true FROM benchmark""")
+@query("text_lines", f"""WITH b AS (SELECT text, item_id % 4 AS g, row_number() OVER (PARTITION BY item_id % 4 ORDER BY item_id) - 1 AS k
+        FROM benchmark)
+    SELECT g, 2 * k AS line_key, {strip_sql("replace(replace(text, chr(13), ' '), chr(10), ' ')")} AS line FROM b
+    UNION ALL SELECT g, 2 * k + 1, '' FROM b""")
 def text_lines(spark, sf):
-    """Stripped lines, blank ones kept; a line's key is its place in its file."""
+    """Stripped lines of four files, blank ones kept; a line's key is its place in its file."""
     path = folder(spark, "lines")
-    b = FX.table(spark, sf, "benchmark").select(F.regexp_replace("text", "[\\r\\n]", " ").alias("value"))
-    b.select(F.concat(F.lit("  "), "value", F.lit("\t\n "))).write.text(path)
-    lines = io.read_lines(spark, path)
-    n = lines.groupBy(F.col("file").alias("_file")).agg(
-        (F.countDistinct("line_key") == F.max("line_key") + 1).alias("keyed"))
-    return lines.join(n, F.col("file") == F.col("_file")).select("line", "keyed")
+    b = FX.table(spark, sf, "benchmark").select((F.col("item_id") % 4).alias("g"), "item_id", F.regexp_replace("text", "[\\r\\n]", " ").alias("value"))
+    b = b.repartition("g").sortWithinPartitions("g", "item_id")
+    b.select("g", F.concat(F.lit("  "), "value", F.lit("\t\n "))).write.partitionBy("g").text(path)
+    return io.read_lines(spark, path).select(F.regexp_extract("file", r"/g=(\d+)/", 1).cast("long").alias("g"), "line_key", "line")
+
+
+# ---------- S9 ----------
+@query("csv_bom", """SELECT marked, doc_id, lang, n_chars FROM documents, (SELECT unnest([true, false]) AS marked)""")
+def csv_bom(spark, sf):
+    """CSV files with a byte-order mark before the header and without one read alike."""
+    d = FX.table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    out = None
+    for marked in (True, False):
+        path = folder(spark, "csv")
+        d.withColumnRenamed("doc_id", "\ufeffdoc_id" if marked else "doc_id").write.option("header", "true").csv(path)
+        part = io.read_csv_bom(spark, path, schema=d.schema).withColumn("marked", F.lit(marked))
+        out = part if out is None else out.unionByName(part)
+    return out.select("marked", "doc_id", "lang", "n_chars")
 
 
 # ---------- S5 / S11 ----------
@@ -226,3 +241,22 @@ def stream_windows(spark, sf):
     X.run_available_now(w, sink)
     return spark.read.parquet(sink).select("run", "metric", "window_start", F.round("mean", 6).alias("mean"),
                                            F.round("sd", 6).alias("sd"), "n")
+
+
+HEALTH_RULES = {k: v for k, v in HEALTH.items() if k != "bucket"}
+
+
+@query("stream_health", health_sql("WHERE bucket + 86400 <= epoch((SELECT max(ts) FROM events)) - 3600"))
+def stream_health(spark, sf):
+    """X4 + M14: all health flags on a stream that is stopped in the middle and gets rows that are too late."""
+    e, sink, path = FX.metrics_long(spark, sf), folder(spark, "health-out"), folder(spark, "health-in")
+    ends = e.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    middle = F.lit(ends["a"] + (ends["b"] - ends["a"]) / 2)
+    e.filter(F.col("ts") < middle).write.parquet(path)
+    for turn in range(2):
+        if turn:
+            late = e.filter(F.col("ts") < F.lit(ends["a"] + (ends["b"] - ends["a"]) / 4)).withColumn("value", F.lit(1e9))
+            e.filter(F.col("ts") >= middle).unionByName(late).write.mode("append").parquet(path)
+        X.run_health(X.stream_buckets(spark.readStream.schema(e.schema).parquet(path), HEALTH["bucket"], "1 hour"), sink, **HEALTH_RULES)
+    h = spark.read.parquet(sink)
+    return h.select("run", "metric", "bucket_ts", F.round("mean", 6).alias("mean"), "n", "kl_flag", "loss_flag", "reward_flag")

@@ -84,8 +84,8 @@ HEALTH = dict(kl_metric="view", loss_metric="error", reward_metric="purchase", b
               kl_explode=40.0, kl_high=25.0, kl_low=5.0, jump=2.0, spike_sd=3.0, flat_sd=0.5)
 
 
-@query("training_health", FX.with_ctes(
-    f"""SELECT run, metric, bucket AS bucket_ts, round(mean, 6) AS mean, CAST(n AS BIGINT) AS n,
+def health_sql(closed: str = "") -> str:
+    return FX.with_ctes(f"""SELECT run, metric, bucket AS bucket_ts, round(mean, 6) AS mean, CAST(n AS BIGINT) AS n,
           CASE WHEN metric <> 'view' THEN NULL WHEN mean > 40.0 THEN 'explosion' WHEN mean >= 25.0 THEN 'high'
                WHEN mean < 5.0 THEN 'conservative' ELSE 'ok' END AS kl_flag,
           CASE WHEN metric <> 'error' THEN NULL WHEN n_nan > 0 THEN 'nan'
@@ -99,7 +99,10 @@ HEALTH = dict(kl_metric="view", loss_metric="error", reward_metric="purchase", b
                            avg(CASE WHEN NOT isnan(value) THEN value END) AS mean,
                            sum(CASE WHEN isnan(value) THEN 1 ELSE 0 END) AS n_nan, count(*) AS n
                     FROM metrics_long GROUP BY ALL)
-              WINDOW w AS (PARTITION BY run, metric ORDER BY bucket))""", FX.METRICS_LONG_SQL))
+              WINDOW w AS (PARTITION BY run, metric ORDER BY bucket)) {closed}""", FX.METRICS_LONG_SQL)
+
+
+@query("training_health", health_sql())
 def training_health(spark, sf):
     """KL / loss / reward health flags on daily bucket means per run and metric."""
     h = M.training_health(FX.metrics_long(spark, sf), **HEALTH)
@@ -133,17 +136,28 @@ def results_join(spark, sf):
     return j.select("id", "scene", "perspective", F.length("Output").cast("int").alias("output_len"))
 
 
-LANGS = ("de", "en", "es", "fr")
-
-
 @query("model_compare", FX.with_ctes(
-    "SELECT source, " + ", ".join(f"round(avg(CASE WHEN lang = '{x}' THEN accuracy + structure + cot END), 6) AS {x}"
-                                  for x in LANGS) + " FROM docs_scored GROUP BY source", FX.DOCS_SCORED_SQL))
+    """SELECT source, lang AS model, round(avg(accuracy + structure + cot), 6) AS total, CAST(count(*) AS BIGINT) AS n
+       FROM docs_scored GROUP BY source, lang""", FX.DOCS_SCORED_SQL))
 def model_compare(spark, sf):
-    """Several models (here the languages) on one question set (the sources), one column per model."""
+    """All models (here the languages) on one question set (the sources), one row per model."""
+    d = FX.docs_scored(spark, sf).withColumn("total", F.col("accuracy") + F.col("structure") + F.col("cot"))
+    return M.model_means(d, "source", "lang", "total").select("source", F.col("lang").alias("model"), F.round("total", 6).alias("total"), "n")
+
+
+LANGS = ("de", "en", "es", "fr")  # models with a column of their own; all others share one
+
+
+@query("model_compare_wide", FX.with_ctes(
+    "SELECT source, " + ", ".join(f"round(avg(CASE WHEN lang = '{x}' THEN accuracy + structure + cot END), 6) AS {x}" for x in LANGS)
+    + f", round(avg(CASE WHEN coalesce(lang, '') NOT IN {LANGS} THEN accuracy + structure + cot END), 6) AS other"
+    " FROM docs_scored GROUP BY source", FX.DOCS_SCORED_SQL))
+def model_compare_wide(spark, sf):
+    """A column for each named model and one for all that are not named."""
     d = FX.docs_scored(spark, sf).withColumn("total", F.col("accuracy") + F.col("structure") + F.col("cot"))
-    means = {x: d.filter(F.col("lang") == x).groupBy("source").agg(F.round(F.avg("total"), 6).alias("total")) for x in LANGS}
-    return M.compare_models(means, "source", "total")
+    d = d.withColumn("model", F.when(F.col("lang").isin(*LANGS), F.col("lang")).otherwise("other"))
+    means = M.model_means(d, "source", "model", "total").withColumn("total", F.round("total", 6))
+    return M.compare_models({x: means.filter(F.col("model") == x) for x in (*LANGS, "other")}, "source", "total")
 
 
 @query("sample_counts", FX.with_ctes(

@@ -9,14 +9,16 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alignfold.functions.schemas import EVAL_RESULT
 from alignfold.functions.text import blank, strip
+from alignfold.session import cut_lineage
 
 CORRUPT = "_corrupt_record"
+MAX_BROADCAST_SPLITS = 100_000  # some 200 bytes each
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:
@@ -66,7 +68,7 @@ def read_json_dir(spark: SparkSession, train_dir: str, schema: T.StructType, val
                   mode: str = "PERMISSIVE") -> dict:
     """All ``**/*.json`` and ``**/*.jsonl`` under each directory, one split per directory."""
     def one(d):
-        if not _exists(spark, d):
+        if not exists(spark, d):
             raise FileNotFoundError(d)
         r = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,jsonl}")
         if mode == "PERMISSIVE":
@@ -78,24 +80,40 @@ def read_json_dir(spark: SparkSession, train_dir: str, schema: T.StructType, val
     return out
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this library's own, if it is there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 # ---------- S4 ----------
 def read_lines(spark: SparkSession, path) -> DataFrame:
     """Text lines, each stripped; blank lines are kept. ``file`` and ``line_key`` (0, 1, ... in the
-    file) name a line and do not depend on how Spark cuts the files.
+    file) name a line and do not depend on how Spark cuts the files. Lines end with LF, CR LF or CR; an
+    empty file has none.
 
-    Each file is read as one row, as positions in a file need its whole text: meant for files that
-    fit a task (question lists). For larger files use ``spark.read.text``, which has no line order.
+    A file is read in as many splits as it has. Rows of a split come in order, so a line's key is its
+    place in the split after the lines of the splits before it. These are counted in a pass of their
+    own; the counts, one row a split, are broadcast up to MAX_BROADCAST_SPLITS of them. The two passes
+    see the same splits, as long as the files and the session's file settings stay.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    text = F.regexp_replace(F.regexp_replace("value", "\r\n?", "\n"), "\n\\z", "")
-    lines = whole.select("file", F.posexplode(F.split(text, "\n", -1)).alias("line_key", "line"))
-    return lines.select(strip("line").alias("line"), "file", F.col("line_key").cast("long").alias("line_key"))
+    meta = F.col("_metadata")
+    rows = spark.read.text(path).select(
+        "value", F.input_file_name().alias("file"), meta["file_path"].alias("_path"), meta["file_block_start"].alias("_block"),
+        F.monotonically_increasing_id().alias("_at"))
+    counts = cut_lineage(rows.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first")))
+    before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = counts.select("_path", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    if counts.count() <= MAX_BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
+    placed = rows.join(splits, ["_path", "_block"])
+    return placed.select(strip("value").alias("line"), "file", (F.col("_before") + F.col("_at") - F.col("_first")).alias("line_key"))
 
 
 # ---------- S5 ----------
@@ -171,6 +189,6 @@ def read_results(spark: SparkSession, path) -> DataFrame:
 # ---------- S11 ----------
 def ensure_stage(spark: SparkSession, path: str, build: Callable[[], DataFrame], fmt: str = "parquet") -> DataFrame:
     """Run ``build`` and write its result only when ``path`` has no committed output (``_SUCCESS``)."""
-    if not _exists(spark, f"{path}/_SUCCESS"):
+    if not exists(spark, f"{path}/_SUCCESS"):
         build().write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)

@@ -11,15 +11,16 @@ import hashlib
 import os
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alignfold.functions.lexicon import Lexicon
 from alignfold.functions.rows import keep_rows
 from alignfold.functions.text import as_instant, content_hash, count_hits
+from alignfold.operators import metrics as M
 from alignfold.operators import rewards as R
-from alignfold.session import checkpoint_dir
+from alignfold.session import checkpoint_dir, cut_lineage
 from alignfold.sources import io
 
 
@@ -95,6 +96,58 @@ def stream_kl_alerts(windows: DataFrame, sink: str, kl_metric: str, explode: flo
     return q
 
 
+# ---------- X4 with M14's other rules ----------
+BUCKETS = "run string, metric string, bucket long, mean double, n_nan long, n long"
+
+
+def stream_buckets(df: DataFrame, bucket: str, watermark: str, ts: str = "ts") -> DataFrame:
+    """The buckets of ``metrics.training_health`` on a stream: each comes once, when the watermark has closed it."""
+    size = M.BUCKET_SECONDS[bucket]
+    df = df.withColumn(ts, as_instant(df, ts))
+    b = df.withWatermark(ts, watermark).groupBy("run", "metric", F.window(ts, f"{size} seconds").alias("w")).agg(*M.bucket_facts())
+    return b.select("run", "metric", F.unix_timestamp("w.start").alias("bucket"), "mean", "n_nan", "n")
+
+
+def health_state(spark: SparkSession, sink: str) -> str:
+    """The folder of the buckets that ``run_health`` still has to look back at."""
+    return stream_checkpoint(spark, sink) + "-health"
+
+
+def health_batch(batch: DataFrame, batch_id: int, sink: str, state: str, **rules) -> None:
+    """Flags of one micro-batch of closed buckets, into ``sink``/batch_id=..., and the state after it.
+
+    A batch looks back at the state that the batch before it left: the last ``window`` buckets of each
+    run and metric. It writes its own and its own flags anew each time it runs, so a batch that is
+    run again after a failure changes nothing, and the state does not grow with the history.
+    """
+    spark, window = batch.sparkSession, rules.get("window", 3)
+    batch = batch.select(*[F.col(f.split()[0]).cast(f.split()[1]) for f in BUCKETS.split(", ")])
+    known = batch.withColumn("_new", F.lit(True))
+    if io.exists(spark, f"{state}/batch_id={batch_id - 1}"):
+        old = spark.read.schema(BUCKETS).parquet(f"{state}/batch_id={batch_id - 1}")
+        known = known.unionByName(old.withColumn("_new", F.lit(False)))
+    held = cut_lineage(known)
+    new = held.filter("_new").select("run", "metric", F.col("bucket").alias("bucket_ts"))
+    M.health_flags(held.drop("_new"), **rules).join(new, ["run", "metric", "bucket_ts"], "left_semi") \
+        .write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+    last = Window.partitionBy("run", "metric").orderBy(F.desc("bucket"))
+    held.withColumn("_k", F.row_number().over(last)).filter(F.col("_k") <= window).drop("_k", "_new") \
+        .write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+    io.delete(spark, f"{state}/batch_id={batch_id - 2}")  # this batch may run again; the one before it not
+
+
+def run_health(buckets: DataFrame, sink: str, **rules) -> str:
+    """X4 + M14: KL, loss and reward flags of every closed bucket of a stream, as ``metrics.training_health`` gives
+    them, in ``sink`` (Parquet). Processes what is available; a later call goes on from there."""
+    spark = buckets.sparkSession
+    state = health_state(spark, sink)
+    q = (buckets.writeStream.outputMode("append").option("checkpointLocation", stream_checkpoint(spark, sink))
+         .foreachBatch(lambda batch, batch_id: health_batch(batch, batch_id, sink, state, **rules))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return sink
+
+
 def run_available_now(stream: DataFrame, sink: str, fmt: str = "parquet", output_mode: str = "append",
                       checkpoint: str | None = None) -> str:
     """Process everything available now, then stop. A second run into the same sink goes on from there."""

@@ -200,6 +200,69 @@ def test_line_keys_do_not_depend_on_the_file_split(spark, tmp_path):
     assert seen[0] == seen[1] and [k for _, k, _ in seen[0]] == list(range(50)) * 2
 
 
+def test_line_keys_of_a_file_in_many_splits(spark, tmp_path):
+    import random
+    rng = random.Random(6)
+    ends = ["\n", "\r\n", "\r\n", "\r"]
+    lines = [rng.choice(["", " ", "é" * rng.randint(1, 9), "x" * rng.randint(0, 40), "a\tb"]) for _ in range(300)]
+    text = "".join(x + rng.choice(ends) for x in lines[:-1]) + "last"
+    (tmp_path / "many.txt").write_bytes(text.encode())
+    (tmp_path / "none.txt").write_bytes(b"")
+    (tmp_path / "one.txt").write_bytes(b"only")
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    want = [x.strip() for x in text.replace("\r\n", "\n").replace("\r", "\n").split("\n")]
+    try:
+        for size in (17, 64, 101, 333, 1000, 1 << 20):  # line ends lie at the cuts
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            got = io.read_lines(spark, str(tmp_path)).collect()
+            assert [r.line for r in sorted((r for r in got if "many" in r.file), key=lambda r: r.line_key)] == want, size
+            assert sorted(r.line_key for r in got if "many" in r.file) == list(range(len(want))) and len(got) == len(want) + 1
+            assert [(r.line, r.line_key) for r in got if "one" in r.file] == [("only", 0)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+
+
+HEALTH = dict(kl_metric="kl", loss_metric="loss", reward_metric="reward", window=3, spike_sd=1.0, flat_sd=0.05)
+
+
+def test_stream_health_equals_batch_over_restarts_and_late_rows(spark, tmp_path):
+    import random
+    rng = random.Random(4)
+    hour = 3600
+    rows = [(run, metric, 1_700_006_400 + h * hour + rng.randint(0, hour - 1),
+             float("nan") if rng.random() < 0.02 else rng.choice([0.05, 0.3, 1.2, 1.0, 1.0, 9.0]))
+            for run in ("a", "b") for metric in ("kl", "loss", "reward") for h in range(40) if rng.random() < 0.8 for _ in range(3)]
+    rows.sort(key=lambda r: r[2])
+    last = rows[-1][2]
+    frame = lambda part: spark.createDataFrame(part, "run string, metric string, s long, value double").select(
+        "run", "metric", F.timestamp_seconds("s").alias("ts"), "value")
+    sink, src = str(tmp_path / "out"), str(tmp_path / "in")
+    cut = len(rows) // 5
+    for i in range(5):  # five starts of the stream; each later one also brings rows that are far too late
+        late = [(*r[:3], 1e6) for r in rows[:3]] if i >= 2 else []
+        frame(rows[i * cut:(i + 1) * cut if i < 4 else None] + late).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+        X.run_health(X.stream_buckets(stream, "hour", "30 minutes"), sink, **HEALTH)
+    got = spark.read.parquet(sink)
+    batch = M.training_health(frame(rows), bucket="hour", **HEALTH).filter(F.col("bucket_ts") + hour <= last - 1800)
+    cols = ["run", "metric", "bucket_ts", F.round("mean", 9).alias("mean"), "n", "kl_flag", "loss_flag", "reward_flag"]
+    found, want = (sorted(map(str, d.select(*cols).collect())) for d in (got, batch))
+    assert found == want and {"jump", "nan"} <= {r.loss_flag for r in got.collect()} and "spike" in {r.reward_flag for r in got.collect()}
+    states = [d for d in os.listdir(X.health_state(spark, sink)) if d.startswith("batch_id=")]
+    assert len(states) <= 2  # of ten batches
+    held = spark.read.parquet(os.path.join(X.health_state(spark, sink), max(states, key=lambda d: int(d.split("=")[1]))))
+    assert held.count() <= 2 * 3 * 3
+
+
+def test_a_batch_that_runs_again_leaves_one_copy(spark, tmp_path):
+    b = spark.createDataFrame([("a", "loss", 0, 1.0, 0, 1), ("a", "loss", 3600, 5.0, 0, 1)], X.BUCKETS)
+    for _ in range(2):
+        X.health_batch(b.filter("bucket = 0"), 0, str(tmp_path / "o"), str(tmp_path / "s"), **HEALTH)
+    for _ in range(2):
+        X.health_batch(b.filter("bucket > 0"), 1, str(tmp_path / "o"), str(tmp_path / "s"), **HEALTH)
+    assert sorted((r.bucket_ts, r.loss_flag) for r in spark.read.parquet(str(tmp_path / "o")).collect()) == [(0, "ok"), (3600, "jump")]
+
+
 def test_stream_keeps_malformed_lines_and_restarts(spark, tmp_path):
     src, sink = tmp_path / "in", str(tmp_path / "sink")
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
