@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from alignfold.functions.rows import join_back, keep_rows
 from alignfold.functions.text import blank, content_hash, count_hits, hash_unit
+from alignfold.operators.sketches import CELLS, maybe_frequent
 
 PLACEHOLDER = r"\{[A-Za-z_][A-Za-z0-9_]*\}"
 
@@ -42,10 +43,13 @@ def judge_pass_rate(df: DataFrame, score: str, min_score: float) -> Column:
 
 
 # ---------- F10 ----------
-def repeated_values(df: DataFrame, col: str, min_count: int) -> DataFrame:
-    """Values repeated at least ``min_count`` times, keyed by a content hash (partial aggregation:
-    a value that fills a third of the table is combined map-side, never gathered in one task)."""
-    return (df.groupBy(content_hash(col).alias("value_hash"))
+def repeated_values(df: DataFrame, col: str, min_count: int, cells: int = CELLS) -> DataFrame:
+    """Values repeated at least ``min_count`` times, keyed by a content hash.
+
+    A sketch of fixed size says first which rows may hold one; only their hashes are counted exactly, by a
+    partial aggregate (a value that fills a third of the table is combined map-side)."""
+    likely = maybe_frequent(df.select(col), col, min_count, cells)
+    return (likely.groupBy(content_hash(col).alias("value_hash"))
             .agg(F.count(F.lit(1)).alias("n"), F.min(F.length(col)).alias("value_len"))
             .filter(F.col("n") >= min_count))
 
@@ -53,7 +57,7 @@ def repeated_values(df: DataFrame, col: str, min_count: int) -> DataFrame:
 def drop_repeated(df: DataFrame, col: str, min_count: int) -> DataFrame:
     """Drop every row whose value is one of the repeated placeholders (anti-join on the hash)."""
     bad = repeated_values(df, col, min_count).select("value_hash")
-    others = [c for c in df.columns if c != col] or [col]
+    others = [c for c in df.columns if c != col]
     return join_back(df.withColumn("value_hash", content_hash(col)), bad, ["value_hash"], others, "left_anti") \
         .drop("value_hash")
 

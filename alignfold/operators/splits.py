@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from alignfold.functions.rows import join_back
 from alignfold.functions.text import col_of, content_hash, hash_unit, seeded_key
 from alignfold.operators.selection import OrderItem, first_n, sort_columns
+from alignfold.operators.sketches import CELLS, maybe_in
 from alignfold.session import cut_lineage
 
 IDX = "row_idx"
@@ -206,8 +207,12 @@ def union_sources(sources: Mapping[str, DataFrame], col: str = "question") -> Da
     return out
 
 
-def overlap_rows(train: DataFrame, val: DataFrame, key: str) -> DataFrame:
-    """Rows of train whose content also occurs in val (semi-join on a 64-byte content hash)."""
+def overlap_rows(train: DataFrame, val: DataFrame, key: str, words: int = CELLS) -> DataFrame:
+    """Rows of train whose content also occurs in val.
+
+    A Bloom filter of val's contents is tested in the scan of train, so about the rows that overlap are
+    shuffled; an exact semi-join on a 64-byte content hash follows. A null content is one content."""
+    likely = maybe_in(train, key, val, key, words)
     v = val.select(content_hash(key).alias("_h")).distinct()
-    others = [c for c in train.columns if c != key] or [key]
-    return join_back(train.withColumn("_h", content_hash(key)), v, ["_h"], others, "left_semi").drop("_h")
+    others = [c for c in train.columns if c != key]
+    return join_back(likely.withColumn("_h", content_hash(key)), v, ["_h"], others, "left_semi").drop("_h")

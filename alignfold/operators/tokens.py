@@ -57,6 +57,55 @@ def pandas_tokenizer(encode: Callable) -> Tokenizer:
     return lambda c: _tok(col_of(c))
 
 
+_LOADED: dict = {}
+
+
+def vocabulary(path: str) -> Callable[[list[str], bool], list[list[int]]]:
+    """(texts, whether each gets the end of sequence) -> ids, by a published subword vocabulary: a sentencepiece
+    model or a tokenizers JSON file. Loaded once a worker; special tokens in a text are ordinary text."""
+    if path not in _LOADED:
+        if path.endswith(".model"):
+            import sentencepiece
+
+            model = sentencepiece.SentencePieceProcessor(model_file=path)
+            _LOADED[path] = lambda texts, end: model.encode(texts, add_eos=end, num_threads=1)
+        else:
+            from tokenizers import Tokenizer
+
+            library = Tokenizer.from_file(path)
+            library.encode_special_tokens = True
+            library.no_truncation()
+            library.no_padding()
+            _LOADED[path] = lambda texts, end: [e.ids + [EOS_ID] * end for e in library.encode_batch(texts, add_special_tokens=False)]
+    return _LOADED[path]
+
+
+def subword_tokenizer(path: str, add_eos: bool = False) -> Tokenizer:
+    """U4 with the vocabulary at ``path`` (a path that every worker can read). ``.many`` takes a column of text
+    arrays to arrays of ids in one call, as Python cannot run inside a higher-order function."""
+    one = pandas_tokenizer(lambda texts: vocabulary(path)(texts, add_eos))
+
+    @F.pandas_udf(T.ArrayType(ARR_I))
+    def many(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            texts = [["" if t is None else t for t in (row if row is not None else [])] for row in s]
+            ids = iter(vocabulary(path)([t for row in texts for t in row], add_eos))
+            yield pd.Series([[next(ids) for _ in row] for row in texts])
+
+    one.many = lambda c: many(col_of(c))
+    return one
+
+
+def turns_of_ids(ids, bos: int | None = BOS_ID) -> Column:
+    """K1 from the ids of [q0, a0, q1, a1, ...]: array<struct<src, tgt>>; bos on the first query only."""
+    c = col_of(ids)
+    places = F.filter(F.sequence(F.lit(0), F.greatest(F.floor(F.size(c) / 2).cast("int") - 1, F.lit(0))), lambda i: i < F.floor(F.size(c) / 2))
+    head = F.array(F.lit(bos)) if bos is not None else F.array().cast(ARR_I)
+    return F.transform(places, lambda i: F.struct(
+        F.concat(F.when(i == 0, head).otherwise(F.array().cast(ARR_I)), F.try_element_at(c, i * 2 + 1)).alias("src"),
+        F.try_element_at(c, i * 2 + 2).alias("tgt")))
+
+
 def tokenize_dialog(dialog, tok: Tokenizer = whitespace_tokenize, bos: int | None = BOS_ID) -> Column:
     """K1: [q0, a0, q1, a1, ...] -> array<struct<src, tgt>>; special tokens (bos) on the first query only."""
     d = col_of(dialog)
@@ -143,7 +192,11 @@ def build_sft_examples(df: DataFrame, dialog: str = "dialog", max_len: int = 512
     re-run the tokenizer once per reference.
     """
     k = list(keep)
-    out = quarantine_empty_turns(df.select(*k, tokenize_dialog(dialog, tok).alias("_t")), "_t")
+    if hasattr(tok, "many"):
+        turns = df.select(*k, tok.many(dialog).alias("_ids")).select(*k, turns_of_ids("_ids").alias("_t"))
+    else:
+        turns = df.select(*k, tokenize_dialog(dialog, tok).alias("_t"))
+    out = quarantine_empty_turns(turns, "_t")
     out = out.select(*k, F.transform("_t", lambda t: truncate_turn(t["src"], t["tgt"], max_len)).alias("_t"))
     out = out.select(*k, F.transform("_t", lambda t: strip_eos(t["src"], t["tgt"], eos)).alias("_t"))
     out = out.select(*k, turn_budget("_t", max_len).alias("_t"))

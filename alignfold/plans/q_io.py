@@ -225,6 +225,18 @@ def stream_dedup(spark, sf):
     return spark.read.parquet(sink)
 
 
+@query("stream_dedup_exact", "SELECT DISTINCT text AS question FROM documents WHERE length(text) >= 8")
+def stream_dedup_exact(spark, sf):
+    """All documents come a second time, a year of event time later and after a restart; each text goes out once."""
+    path, sink = folder(spark, "stream-in"), folder(spark, "stream-out")
+    d = FX.table(spark, sf, "documents").select(F.col("text").alias("question"))
+    for turn in range(2):
+        part = d.withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_000 + turn * 31_536_000)))
+        part.write.mode("append").parquet(path)
+        X.run_exact_prompt_set(spark.readStream.schema(part.schema).parquet(path).select("question"), sink)
+    return spark.read.parquet(sink).select("question")
+
+
 @query("stream_windows", FX.with_ctes(
     """SELECT run, metric, CAST(epoch(ws) AS BIGINT) AS window_start, round(avg(value), 6) AS mean,
               round(stddev_samp(value), 6) AS sd, CAST(count(*) AS BIGINT) AS n

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib.util
+
 from pyspark.sql import functions as F
 
 from alignfold.operators import prompts as P
@@ -222,3 +224,49 @@ def pair_char_window(spark, sf):
     """preference prompts whose prompt + response stays within 1000 characters on both sides."""
     p = P.to_preference_prompts(FX.pref(spark, sf), QWEN, keep=("conv_id", "turn"))
     return K.pair_char_window(p, 1000).select("conv_id", "turn")
+
+
+# ---------- K1-K6 with a published vocabulary ----------
+def _subword():
+    """A sentencepiece vocabulary whose ids 1 and 2 are bos and eos; it ends every text with eos."""
+    import public_tokenizers
+
+    return K.subword_tokenizer(public_tokenizers.path("piece_bpe_32k.model"), add_eos=True)
+
+
+def _subword_turns(spark, sf):
+    ids = dialogs(spark, sf).select("conv_id", _subword().many("dialog").alias("_ids"))
+    return ids.select("conv_id", K.turns_of_ids("_ids").alias("turns"))
+
+
+def _there(module: str) -> bool:
+    try:
+        return importlib.util.find_spec(module) is not None
+    except ImportError:
+        return False
+
+
+if _there("public_tokenizers") and _there("sentencepiece"):
+    @query("token_counts_subword")
+    def token_counts_subword(spark, sf):
+        """K1 / U4: tokens of each dialog by a subword vocabulary."""
+        return _turn_sizes(_subword_turns(spark, sf), "turns")
+
+    @query("eos_strip_subword")
+    def eos_strip_subword(spark, sf):
+        """K3 where it bites: every target ends with the vocabulary's eos, which goes."""
+        turns = _subword_turns(spark, sf)
+        return _turn_sizes(turns.select("conv_id", F.transform("turns", lambda t: K.strip_eos(t["src"], t["tgt"])).alias("turns")), "turns")
+
+    @query("label_mask_subword")
+    def label_mask_subword(spark, sf):
+        """K1-K6 by a subword vocabulary: ids and labels."""
+        e = K.build_sft_examples(dialogs(spark, sf), "dialog", MAX_LEN, tok=_subword(), keep=("conv_id",))
+        return e.select("conv_id", K.ids_str("input_ids").alias("input_ids"), K.ids_str("labels").alias("labels"))
+
+    @query("label_mask_long_subword")
+    def label_mask_long_subword(spark, sf):
+        """The same from one row per turn."""
+        convs, pairs = TU.normalize_dialog_long(FX.turns_long(spark, sf))
+        e = K.build_sft_examples_long(convs, pairs, QWEN, max_len=MAX_LEN, tok=_subword())
+        return e.select("conv_id", K.ids_str("input_ids").alias("input_ids"), K.ids_str("labels").alias("labels"))

@@ -59,6 +59,35 @@ def stream_prompt_set(df: DataFrame, watermark: str, ts: str = "ts", col: str =
             .withWatermark(ts, watermark).dropDuplicatesWithinWatermark(["question_hash"]))
 
 
+def exact_batch(batch: DataFrame, batch_id: int, sink: str, seen: str, col: str, min_len: int = 8, buckets: int = 64) -> None:
+    """The prompts of a micro-batch that no batch before it had, into ``sink``/batch_id=...
+
+    ``seen`` holds the content hashes of all prompts that went out, by hash bucket and batch. A batch reads
+    the hashes of earlier batches, of its own buckets only, and writes its own anew each time it runs.
+    """
+    spark = batch.sparkSession
+    hashed = batch.filter(F.length(col) >= min_len).withColumn("_hash", content_hash(col)).dropDuplicates(["_hash"])
+    hashed = hashed.withColumn("_bucket", F.pmod(F.xxhash64("_hash"), F.lit(buckets)).cast("int"))
+    new = cut_lineage(hashed)
+    if batch_id > 0 and io.exists(spark, seen):
+        known = spark.read.schema("_hash string, batch_id long, _bucket int").parquet(seen).filter(F.col("batch_id") < batch_id)
+        new = new.join(known.select("_bucket", "_hash"), ["_bucket", "_hash"], "left_anti")
+    new.drop("_hash", "_bucket").write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+    new.select("_hash", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{seen}/batch_id={batch_id}")
+
+
+def run_exact_prompt_set(stream: DataFrame, sink: str, col: str = "question", min_len: int = 8) -> str:
+    """X3 without a watermark: each content once, however late its copies come. The hashes of what went out lie
+    in the shared folder, not in the state of the stream. Processes what is available; a later call goes on."""
+    spark = stream.sparkSession
+    checkpoint = stream_checkpoint(spark, sink)
+    q = (stream.writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda batch, batch_id: exact_batch(batch, batch_id, sink, checkpoint + "-seen", col, min_len))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return sink
+
+
 # ---------- X4 ----------
 def stream_metrics(df: DataFrame, window: str, slide: str | None, watermark: str, ts: str = "ts") -> DataFrame:
     """Mean / std / count per run and metric in event-time windows; late rows dropped by the watermark."""

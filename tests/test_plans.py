@@ -11,7 +11,8 @@ load_all()
 AGGREGATED_WINDOWS = {"stage_gain"}
 # plans that call user Python on purpose (Arrow-batched): similarity block product, batch generation, hooks
 PYTHON_BY_DESIGN = {"semantic_max", "semantic_topk_mean", "semantic_filter", "batch_infer", "model_reward",
-                    "tokenizer_hook", "batch_map"}
+                    "tokenizer_hook", "batch_map", "token_counts_subword", "eos_strip_subword", "label_mask_subword",
+                    "label_mask_long_subword"}
 
 
 _PLANS: dict = {}

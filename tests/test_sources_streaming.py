@@ -254,6 +254,21 @@ def test_stream_health_equals_batch_over_restarts_and_late_rows(spark, tmp_path)
     assert held.count() <= 2 * 3 * 3
 
 
+def test_exact_dedup_drops_copies_of_any_age(spark, tmp_path):
+    src, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    texts = [["the first prompt", "the second prompt", "the first prompt", "short", None], ["the second prompt", "a third prompt"], [],
+             ["the first prompt", "a third prompt", "the fourth prompt"]]
+    for part in texts:
+        spark.createDataFrame([(t,) for t in part], "question string").coalesce(1).write.mode("append").parquet(src)
+        X.run_exact_prompt_set(spark.readStream.schema("question string").parquet(src), sink)
+    want = ["a third prompt", "the first prompt", "the fourth prompt", "the second prompt"]
+    assert sorted(r.question for r in spark.read.parquet(sink).collect()) == want
+    out, seen = str(tmp_path / "o"), str(tmp_path / "s")
+    for batch_id, part in ((0, texts[0]), (0, texts[0]), (1, texts[1]), (1, texts[1])):  # batches that run again
+        X.exact_batch(spark.createDataFrame([(t,) for t in part], "question string"), batch_id, out, seen, "question")
+    assert sorted(r.question for r in spark.read.parquet(out).collect()) == ["a third prompt", "the first prompt", "the second prompt"]
+
+
 def test_a_batch_that_runs_again_leaves_one_copy(spark, tmp_path):
     b = spark.createDataFrame([("a", "loss", 0, 1.0, 0, 1), ("a", "loss", 3600, 5.0, 0, 1)], X.BUCKETS)
     for _ in range(2):
