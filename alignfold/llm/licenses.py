@@ -24,10 +24,13 @@ GRAM = 3  # words
 WINDOW = 2  # a run of GRAM + WINDOW - 1 = 4 template words is always found
 BAND = 8  # words inserted or left out that an alignment can bridge
 COVERAGE = 0.75
+VERSION = re.compile(rb"v?[0-9]+(\.[0-9]+)*")
+SHORT = 14  # words of a notice that is little more than the license's name
 EDGE = b".,;:!?()[]{}<>\"'`*#/-_="
 
 #: Short standard notices of public licenses.
 TEMPLATES = {
+    "Apache-1.1": ["Licensed under the Apache License, Version 1.1."],
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.",
                    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
                    "compliance with the License. You may obtain a copy of the License at "
@@ -45,6 +48,7 @@ TEMPLATES = {
                 "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
                 "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
                 "option) any later version."],
+    "LGPL-2.1": ["This work is licensed under the GNU Lesser General Public License, version 2.1."],
     "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
     "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
@@ -55,7 +59,14 @@ TEMPLATES = {
             "granted, provided that the above copyright notice and this permission notice appear in all copies."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.",
                   "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0."],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.",
+                     "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.",
+                     "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
+    "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0.",
+                        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."],
+    "CC-BY-NC-ND-4.0": ["Licensed under CC BY-NC-ND 4.0.",
+                        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.",
                      "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC0-1.0": ["Licensed under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and "
@@ -76,6 +87,8 @@ class Index:
     words: list[np.ndarray] = field(default_factory=list)
     ids: dict[bytes, int] = field(default_factory=dict)
     places: dict[int, list[tuple[int, int]]] = field(default_factory=lambda: defaultdict(list))
+    needs: list[set[int]] = field(default_factory=list)  # words that a match must have, and must not
+    bars: list[set[int]] = field(default_factory=list)
 
     @classmethod
     def build(cls, templates: dict[str, list[str]]) -> Index:
@@ -88,8 +101,42 @@ class Index:
                     index.places[int(code)].append((len(index.words), int(at)))
                 index.names.append(name)
                 index.words.append(row)
+        index.decide()
         return index
 
+    def decide(self) -> None:
+        """The words that tell a template from the others, which an alignment must not forgive.
+
+        Where most words of a template stand in one of another license, a match must have those that the
+        other lacks and none of those that only the other has. A short template must have all words that no
+        other license uses, and keeps off the words that its license's other short ones do. Versions always
+        decide."""
+        word = {i: w for w, i in self.ids.items()}
+        sets, used = [set(w.tolist()) for w in self.words], defaultdict(set)
+        for name, words in zip(self.names, sets):
+            for w in words:
+                used[w].add(name)
+        for name, mine in zip(self.names, sets):
+            needs, bars = {w for w in mine if VERSION.fullmatch(word[w]) or (used[w] == {name} and len(mine) <= SHORT)}, set()
+            for other, theirs in zip(self.names, sets):
+                common = len(mine & theirs)
+                if other != name and common >= COVERAGE * len(mine) and 2 * common >= len(theirs):
+                    needs |= mine - theirs
+                    bars |= theirs - mine
+            self.needs.append(needs)
+            self.bars.append(bars)
+        kept_off = defaultdict(set)
+        for name, mine, bars in zip(self.names, sets, self.bars):
+            if len(mine) <= SHORT:
+                kept_off[name] |= bars
+        self.bars = [bars | (kept_off[name] - mine) if len(mine) <= SHORT else bars
+                     for name, mine, bars in zip(self.names, sets, self.bars)]
+
+    def decided(self, t: int, words: np.ndarray) -> bool:
+        """Whether the words of a match's span are this license's, not a near one's."""
+        held = set(words.tolist())
+        return self.needs[t] <= held and not self.bars[t] & held
+
     @staticmethod
     def winnow(row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places, codes) of the kept k-grams. Grams with a word of no template (number 0) cannot
@@ -175,7 +222,8 @@ class Index:
                 continue
             matched, first, last = self.align(row, t, diagonal, start, stop)
             if matched >= GRAM and matched / size >= coverage:
-                yield matched, first, last
+                if self.decided(t, row[first:last + 1]):
+                    yield matched, first, last
                 todo += [(start, first), (last + 1, stop)]
 
     def scan(self, text: str, coverage: float) -> list[tuple[str, float, int, int, int]]:
@@ -210,9 +258,11 @@ def scan(df: DataFrame, templates: dict[str, list[str]] | None = None, id_col: s
     """Id and ``matches``: array<struct<license, coverage, words, start, end>> of each document, in
     order of place; empty where nothing matches. Offsets are characters of the whole text.
 
-    Templates are a fixed, small set that every task indexes. A null or empty text has no match. A
-    text that repeats a notice has a match for each place. Templates that share a place compete:
-    the one with the most matched words is reported.
+    Templates are a fixed, small set that every task indexes. A null or empty text has no match; an empty
+    table gives an empty result, and repeated rows a row each. A text that repeats a notice has a match
+    for each place. Templates that share a place compete: the one with the most matched words is
+    reported. A notice that lacks or replaces a word that decides the license (a version, NC, ND, SA,
+    Lesser) is no match of it.
     """
     prepared(df.sparkSession)
     chosen = TEMPLATES if templates is None else templates

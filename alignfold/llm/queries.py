@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from alignfold.llm import (bpe, corpus_sql, gru_lm, host_rules, licenses, mixing, periods, sharding, simhash, token_files,
                            toxicity, vector_codes, warc, winnow)
-from alignfold.llm.common import WORD, documents, id_crc, label_key, text_or_empty
+from alignfold.llm.common import WORD, documents, id_crc, text_or_empty
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,15 +51,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.regexp_count(text_or_empty(), F.lit(WORD))
-    mixed, targets = mixing.mix(documents(spark, sf_dir), size, F.array("source"), mixing.repeating([3, 1, 2]),
-                                share=1.5, passes=2)
-    # one row per source, at most mixing.MAX_PATTERNS of them
-    table = spark.createDataFrame([("n" if s is None else "s" + s, int(n), float(t)) for s, (n, t) in targets.items()],
-                                  "_source string, source_size long, target double")
-    rows = mixed.withColumn("source", F.expr("CASE WHEN pattern[0] <> 'z' THEN substring(pattern[0], 2) END"))
-    out = rows.withColumn("_source", label_key("source")).join(F.broadcast(table), "_source")
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("given")).alias("taken"),
-                      "source")
+    mixed, _ = mixing.mix_rows(documents(spark, sf_dir), size, F.array("source"), mixing.repeating([3, 1, 2]), share=1.5, passes=2)
+    return mixed.select("doc_id", "size", F.col("sizes")[0].alias("source_size"), F.col("targets")[0].alias("target"),
+                        (F.col("size") * F.size("given")).alias("taken"),
+                        F.expr("CASE WHEN pattern[0] <> 'z' THEN substring(pattern[0], 2) END").alias("source"))
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,6 +72,36 @@ def test_a_changed_notice_among_repeated_ones_has_its_match(where):
     assert [m[2] for m in got] == [6 if i == where else 7 for i in range(6)]
 
 
+@pytest.mark.parametrize("text, names", [
+    ("Licensed under CC BY-NC-ND 4.0.", ["CC-BY-NC-ND-4.0"]), ("Licensed under the Apache License, Version 1.1.", ["Apache-1.1"]),
+    ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", ["CC-BY-ND-4.0"]),
+    ("This work is licensed under the GNU Lesser General Public License, version 2.1.", ["LGPL-2.1"]),
+    ("This work is licensed under the GNU Lesser General Public License, version 7.", []),
+    ("This work is licensed under the GNU General Public License, version 4.", []), ("Licensed under CC BY-XY 4.0.", []),
+    ("Licensed under CC BY 3.0.", []), ("Released under the XYZ License.", []), ("Licensed under the ZLIB License.", [])])
+def test_near_misses_have_their_own_name_or_none(text, names):
+    index = licenses.Index.build(licenses.TEMPLATES)
+    assert [m[0] for m in index.scan(f"some words before {text} and some after", licenses.COVERAGE)] == names
+
+
+def test_no_template_is_reported_without_a_word_that_decides_it():
+    index = licenses.Index.build(licenses.TEMPLATES)
+    word = {i: w.decode() for w, i in index.ids.items()}
+    tried = 0
+    for t, name in enumerate(index.names):
+        line = [word[i] for i in index.words[t].tolist()]
+        for i in index.needs[t]:
+            for other in ("", "zzz"):
+                text = " ".join(x if x != word[i] else other for x in line)
+                assert name not in [m[0] for m in index.scan(f"before it {text} after it", licenses.COVERAGE)], (name, word[i])
+                tried += 1
+        for i in index.bars[t]:
+            at = len(line) // 2
+            text = " ".join([*line[:at], word[i], *line[at:]])
+            assert name not in [m[0] for m in index.scan(f"before it {text} after it", licenses.COVERAGE)], (name, word[i])
+    assert tried > 60 and all(index.needs[t] for t, w in enumerate(index.words) if len(w) <= 12)
+
+
 def test_alignment_is_the_longest_common_run_in_the_band():
     rng = random.Random(2)
     for _ in range(60):

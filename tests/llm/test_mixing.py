@@ -102,6 +102,41 @@ def test_overlapping_sources_share_a_pattern(spark):
         assert abs(to[s] - target) <= 20  # half a row at each end of at most two stretches
 
 
+def test_more_sources_than_the_driver_solves_a_flow_for(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 3)
+    rng = random.Random(4)
+    rows = [(i, rng.randint(0, 9), [f"s{i % 5000}"]) for i in range(12_000)] + [(20_000, 4, ["x", "y"]), (20_001, 4, ["x"])]
+    df = spark.createDataFrame(rows, "doc_id long, n long, sources array<string>")
+    got, targets = mixing.mix(df, F.col("n"), F.col("sources"), mixing.repeating([3, 1, 2]))
+    sizes = defaultdict(int)
+    for _, n, s in rows:
+        for x in s:
+            sizes[x] += n
+    weights = {s: [3.0, 1.0, 2.0][i % 3] for i, s in enumerate(sorted(sizes))}
+    want = mixing.source_targets(dict(sizes), weights, 1.5 * sum(n for _, n, _ in rows), 2)
+    assert all(abs(targets[s][1] - want[s]) < 1e-6 and targets[s][0] == sizes[s] for s in want) and list(targets) == sorted(sizes)
+    taken = defaultdict(int)
+    for r in got.collect():
+        assert len(r.given) <= 2
+        for s in r.given:
+            taken[s[1:]] += r.size
+    assert all(abs(taken[s] - want[s]) <= 9 for s in want)
+    many = spark.createDataFrame([(i, 1, [f"a{i}", f"b{i}"]) for i in range(5)], "doc_id long, n long, sources array<string>")
+    with pytest.raises(ValueError, match="patterns of several sources"):
+        mixing.mix(many, F.col("n"), F.col("sources"), mixing.repeating([1]))
+
+
+def test_a_hundred_and_fifty_thousand_sources(spark):
+    df = spark.range(300_000).select(F.col("id").alias("doc_id"), (F.col("id") % 7).alias("n"),
+                                     F.array(F.concat(F.lit("s"), (F.col("id") % 150_000).cast("string"))).alias("sources"))
+    rows, sources = mixing.mix_rows(df, F.col("n"), F.col("sources"), mixing.repeating([3, 1, 2]))
+    total = df.agg(F.sum("n")).first()[0]
+    r = sources.agg(F.count(F.lit(1)), F.sum("target"), F.max(F.col("target") - 2 * F.col("own"))).first()
+    assert r[0] == 150_000 and abs(r[1] - 1.5 * total) < 1e-3 * total and r[2] <= 1e-9
+    off = rows.groupBy("pattern").agg(F.sum(F.col("size") * F.size("given")).alias("taken"), F.first(F.col("targets")[0]).alias("target"))
+    assert off.filter(F.abs(F.col("taken") - F.col("target")) > 6).count() == 0
+
+
 def test_empty(spark):
     got, targets = mix(empty(spark))
     assert got.count() == 0 and targets == {}
