@@ -49,7 +49,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     keyed, row = with_key(docs)
     narrow = keyed.select("doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).alias("words"),
                           F.col(row).alias("_row"))
-    mixed, _ = mixing.mix(narrow, F.col("words"), F.array("source"), mixing.repeating([3, 1, 2]), share=1.5, passes=2,
+    mixed, _ = mixing.mix_rows(narrow, F.col("words"), F.array("source"), mixing.repeating([3, 1, 2]), share=1.5, passes=2,
                           carry=("_row",))
     # one row for each time a row is taken; rows equal in all columns are dealt out by their number
     times = mixed.groupBy(F.col("_row").alias(row)).agg(F.sum(F.size("given")).cast("int").alias("_times")).filter("_times > 0")
