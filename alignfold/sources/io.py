@@ -65,21 +65,60 @@ def quarantine(df: DataFrame) -> tuple:
 
 # ---------- S2 / S3 ----------
 def read_json_dir(spark: SparkSession, train_dir: str, schema: T.StructType, val_dir: str | None = None,
-                  mode: str = "PERMISSIVE") -> dict:
-    """All ``**/*.json`` and ``**/*.jsonl`` under each directory, one split per directory."""
+                  mode: str = "PERMISSIVE", layout: str = "auto") -> dict:
+    """All ``**/*.json`` and ``**/*.jsonl`` under each directory, one split per directory.
+
+    ``layout`` (for PERMISSIVE): ``lines`` takes every file as JSON lines. ``auto`` takes a ``.json`` file as one
+    document when its first line that is not blank starts with ``[`` or is ``{`` alone: an array gives a record for
+    each element, an object one record. This costs a pass over the text of the ``.json`` files. A document is
+    one row, so at most 2 GB; one that is neither a whole array nor a whole object is taken line by line.
+    """
+    if layout not in ("auto", "lines"):
+        raise ValueError(layout)
+
     def one(d):
         if not exists(spark, d):
             raise FileNotFoundError(d)
-        r = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,jsonl}")
-        if mode == "PERMISSIVE":
-            return parse_lines(r.text(d), schema)
-        return r.schema(schema).option("mode", mode).json(d)
+        files = lambda glob: spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+        every = "*.{json,jsonl}"
+        if mode != "PERMISSIVE":
+            return files(every).schema(schema).option("mode", mode).json(d)
+        lines, path = files(every).text(d), F.col("_metadata.file_path")
+        # as many paths as Spark itself has on the driver to plan the read
+        whole = document_files(files("*.json").text(d)) if layout == "auto" else []
+        if whole:
+            documents = files("*.json").text(d, wholetext=True).filter(path.isin(whole))
+            lines = lines.filter(~path.isin(whole)).unionByName(document_records(documents))
+        return parse_lines(lines, schema)
     out = {"train": one(train_dir)}
     if val_dir:
         out["validation"] = one(val_dir)
     return out
 
 
+def document_files(lines: DataFrame) -> list[str]:
+    """Paths of the files whose first line that is not blank opens an array, or an object and nothing else."""
+    text = F.trim(F.regexp_replace("value", r"^\uFEFF|[\t\r\n]", ""))
+    first = lines.filter((F.col("_metadata.file_block_start") == 0) & ~blank("value")).select(
+        F.col("_metadata.file_path").alias("path"), F.substring(text, 1, 2).alias("opens"),
+        F.monotonically_increasing_id().alias("at"))
+    opens = first.groupBy("path").agg(F.min_by("opens", "at").alias("opens"))
+    return [r["path"] for r in opens.filter(F.col("opens").startswith("[") | (F.col("opens") == "{")).collect()]
+
+
+def document_records(documents: DataFrame, text: str = "value") -> DataFrame:
+    """``value``: the elements of each array, each whole object, and the lines of what is neither."""
+    elements = lambda c: F.from_json(c, "array<string>", {"mode": "PERMISSIVE"})
+    whole = F.regexp_replace(text, r"^\uFEFF", "")
+    array = F.ltrim(F.regexp_replace(whole, r"^\s+", "")).startswith("[")
+    got = documents.select(whole.alias(text)).withColumn("_got", F.when(array, elements(F.col(text))).otherwise(
+        elements(F.concat(F.lit("["), F.col(text), F.lit("]")))))
+    # objects side by side would make one array: several elements of what is no array are lines
+    sound = F.col("_got").isNotNull() & (array | (F.size("_got") == 1))
+    records = F.when(sound, F.transform("_got", lambda e: F.coalesce(e, F.lit("null")))).otherwise(F.split(text, r"\r\n|\r|\n"))
+    return got.select(F.explode(records).alias(text))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -307,3 +308,24 @@ def test_checkpoint_folder_must_be_named_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(Session())
+
+
+def test_json_dir_takes_documents(spark, tmp_path):
+    """Arrays and printed objects beside JSON lines: the same records; what is neither goes line by line."""
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("t", T.StringType())])
+    record = [{"a": i, "t": f'line\n"{i}" [x]'} for i in range(6)]
+    (tmp_path / "deep").mkdir()
+    files = {"array.json": json.dumps(record[:2]), "printed.json": "\n \n" + json.dumps(record[2:4], indent=2),
+             "deep/object.json": json.dumps(record[4], indent=1), "lines.json": json.dumps(record[5]) + "\n\n{bad\n",
+             "mixed.json": '[{"a": 10, "t": "m"}, 7, null, {"a": "no"}]', "broken.json": '[\n{"a": 11, "t": "b"}\n{"a": 12',
+             "two.json": '{\n"a": 13},{"a": 14}\n', "none.json": "[]", "empty.json": "", "array.jsonl": '[{"a": 15}]\n'}
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    good, bad = io.quarantine(io.read_json_dir(spark, str(tmp_path), schema)["train"])
+    assert sorted((r.a, r.t) for r in good.collect()) == [(x["a"], x["t"]) for x in record] + [(10, "m"), (11, "b")]
+    assert sorted(r[0].replace(" ", "") for r in bad.collect()) == sorted(
+        ["{bad", "7", "null", '{"a":"no"}', "[", '{"a":12', "{", '"a":13},{"a":14}', '[{"a":15}]'])
+    lines, rest = io.quarantine(io.read_json_dir(spark, str(tmp_path), schema, layout="lines")["train"])
+    assert sorted(r.a for r in lines.collect()) == [5, 11]
+    with pytest.raises(ValueError):
+        io.read_json_dir(spark, str(tmp_path), schema, layout="other")
