@@ -200,8 +200,8 @@ def encode(df: DataFrame, tokenizer: str, pattern: str, id_col: str = "doc_id",
 
     ``tokenizer`` is a rank file (base64 token and rank a line) or the library's JSON file; every
     match of ``pattern`` is encoded on its own and special tokens are ordinary text. A null text
-    counts as empty: no ids. Whole texts of any length; other columns of ``df`` are not read. A
-    text of one endless match costs that match's memory in one task, as it is one row.
+    counts as empty: no ids. Whole texts of any length; other columns of ``df`` are not read. Repeated
+    rows give a row each, an empty table none. A text of one endless match costs that match's memory in one task, as it is one row.
     """
     prepared(df.sparkSession)
     text = text_or_empty(text_col)

@@ -201,8 +201,8 @@ def write_files(df: DataFrame, folder: str, tokenizer: str, pattern: str, end_id
     manifest says which count, so a repeated or lost task leaves no wrong shard.
 
     Added tokens of the library's JSON file are found inside texts, as the library does by default (a
-    rank file has none); the rest is cut by the pattern. A null text is empty (its end id alone), a null id comes first and is read by place, equal ids
-    stand side by side. Ids are stored in 2 bytes where the vocabulary allows it, else in 4.
+    rank file has none); the rest is cut by the pattern. A null text is empty (its end id alone), a null id
+    comes first and is read by place, equal ids stand side by side. An empty table gives an empty manifest. Ids are stored in 2 bytes where the vocabulary allows it, else in 4.
     """
     prepared(df.sparkSession)
     files, base = fs.FileSystem.from_uri(folder)

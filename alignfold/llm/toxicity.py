@@ -25,6 +25,9 @@ ORDINARY_BYTES, TOXIC_BYTES = 16384, 4096
 #: The classifier is fitted on at most so many labelled documents of each class, by seeded hash:
 #: one half for the dictionaries, the other for the calibration.
 TOXIC_SAMPLE, ORDINARY_SAMPLE = 1400, 4000
+#: The ordinary dictionary is trained on about so many of the sample's windows, evenly spread over it. This bounds
+#: the trainer's memory where the sample holds very long texts.
+ORDINARY_WINDOWS = 60_000
 GRAM = 5
 
 
@@ -131,9 +134,10 @@ def fit_sample(rows: list[tuple[str, int, int]], prior: float) -> Model:
     part = lambda half, y: [t for t, label, h in rows if h == half and label == y]
     toxic, ordinary = part(0, 1), part(0, 0)
     plain = [w for t in ordinary for w in windows(t)]
+    step = max(1, len(plain) // ORDINARY_WINDOWS)
     words = toxic_words(toxic, ordinary)
     grouped = [b" " + b" ".join(words[i:i + 8]) + b" " for i in range(0, len(words), 8)]
-    model = Model(trained(plain[::max(1, len(plain) // 60_000)], ORDINARY_BYTES), trained(grouped, TOXIC_BYTES),
+    model = Model(trained(plain[::step], ORDINARY_BYTES), trained(grouped, TOXIC_BYTES),
                   np.zeros(5), np.zeros(4), np.ones(4))
     texts = [(t, label) for t, label, h in rows if h == 1]
     y = np.array([label for _, label in texts], float)
@@ -190,8 +194,8 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     """Id, carried columns and ``out`` (0 to 1) of every whole text.
 
     The text alone decides. Null and empty texts have no window: all their features are 0. A text
-    of one endless word is one window. Equal texts have equal scores. ``out`` must differ from the
-    names carried.
+    of one endless word is one window. Equal texts have equal scores, repeated rows a row each, an empty
+    table none. ``out`` must differ from the names carried.
     """
     prepared(df.sparkSession)
     kept = [id_col, *carry]
