@@ -136,28 +136,37 @@ def results_join(spark, sf):
     return j.select("id", "scene", "perspective", F.length("Output").cast("int").alias("output_len"))
 
 
+LANGS = ("de", "en", "es", "fr")  # models with a column of their own; all others share one
+SIDE_BY_SIDE_SQL = ("SELECT source, " + ", ".join(f"round(avg(CASE WHEN lang = '{x}' THEN accuracy + structure + cot END), 6) AS {x}" for x in LANGS)
+                    + f", round(avg(CASE WHEN coalesce(lang, '') NOT IN {LANGS} THEN accuracy + structure + cot END), 6) AS other"
+                    " FROM docs_scored GROUP BY source")
+
+
+def _side_by_side(d):
+    """One row per source: the mean total of each named model, and of all that are not named."""
+    d = d.withColumn("model", F.when(F.col("lang").isin(*LANGS), F.col("lang")).otherwise("other"))
+    means = M.model_means(d, "source", "model", "total").withColumn("total", F.round("total", 6))
+    return M.compare_models({x: means.filter(F.col("model") == x) for x in (*LANGS, "other")}, "source", "total")
+
+
 @query("model_compare", FX.with_ctes(
-    """SELECT source, lang AS model, round(avg(accuracy + structure + cot), 6) AS total, CAST(count(*) AS BIGINT) AS n
-       FROM docs_scored GROUP BY source, lang""", FX.DOCS_SCORED_SQL))
+    f"""SELECT m.*, {", ".join(f"s.{x}" for x in (*LANGS, "other"))} FROM (
+          SELECT source, lang AS model, round(avg(accuracy + structure + cot), 6) AS total, CAST(count(*) AS BIGINT) AS n
+          FROM docs_scored GROUP BY source, lang) m
+        JOIN ({SIDE_BY_SIDE_SQL}) s ON s.source IS NOT DISTINCT FROM m.source""", FX.DOCS_SCORED_SQL))
 def model_compare(spark, sf):
-    """All models (here the languages) on one question set (the sources), one row per model."""
+    """All models (here the languages) on one question set (the sources): one row per model found, beside the
+    means of the named models and of all others."""
     d = FX.docs_scored(spark, sf).withColumn("total", F.col("accuracy") + F.col("structure") + F.col("cot"))
-    return M.model_means(d, "source", "lang", "total").select("source", F.col("lang").alias("model"), F.round("total", 6).alias("total"), "n")
+    means = M.model_means(d, "source", "lang", "total").select("source", F.col("lang").alias("model"), F.round("total", 6).alias("total"), "n")
+    side = _side_by_side(d).withColumnRenamed("source", "_source")
+    return means.join(side, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
 
-LANGS = ("de", "en", "es", "fr")  # models with a column of their own; all others share one
-
-
-@query("model_compare_wide", FX.with_ctes(
-    "SELECT source, " + ", ".join(f"round(avg(CASE WHEN lang = '{x}' THEN accuracy + structure + cot END), 6) AS {x}" for x in LANGS)
-    + f", round(avg(CASE WHEN coalesce(lang, '') NOT IN {LANGS} THEN accuracy + structure + cot END), 6) AS other"
-    " FROM docs_scored GROUP BY source", FX.DOCS_SCORED_SQL))
+@query("model_compare_wide", FX.with_ctes(SIDE_BY_SIDE_SQL, FX.DOCS_SCORED_SQL))
 def model_compare_wide(spark, sf):
     """A column for each named model and one for all that are not named."""
-    d = FX.docs_scored(spark, sf).withColumn("total", F.col("accuracy") + F.col("structure") + F.col("cot"))
-    d = d.withColumn("model", F.when(F.col("lang").isin(*LANGS), F.col("lang")).otherwise("other"))
-    means = M.model_means(d, "source", "model", "total").withColumn("total", F.round("total", 6))
-    return M.compare_models({x: means.filter(F.col("model") == x) for x in (*LANGS, "other")}, "source", "total")
+    return _side_by_side(FX.docs_scored(spark, sf).withColumn("total", F.col("accuracy") + F.col("structure") + F.col("cot")))
 
 
 @query("sample_counts", FX.with_ctes(
