@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from alignfold.session import checkpoint_dir, ship_package
 
 BLOCK_BYTES = 32 << 20  # bytes of an anchor block
-CANDIDATE_BYTES = 128 << 20  # bytes of candidates for which a task reads all blocks once
-ROWS_AT_ONCE = 2048  # candidates of one matrix product
+CANDIDATE_BYTES = 32 << 20  # bytes of candidates for which a task reads all blocks once
+ROWS_AT_ONCE = 1024  # candidates of one matrix product
+ANCHORS_AT_ONCE = 2048  # anchors of one matrix product
 
 
 def unit_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +68,8 @@ def read_block(path: str) -> np.ndarray:
 def best_of_blocks(rows: np.ndarray, paths: Sequence[str], k: int) -> np.ndarray:
     """The k greatest products of each row with the rows of all blocks, descending; -inf where there are fewer.
 
-    The blocks are read one after the other, and only the k best of a row are held.
+    The blocks are read one after the other, and only the k best of a row are held. A product has at most
+    ROWS_AT_ONCE x ANCHORS_AT_ONCE numbers, however many anchors a block has.
     """
     best = np.full((len(rows), k), -np.inf)
     for path in paths:
@@ -75,11 +77,15 @@ def best_of_blocks(rows: np.ndarray, paths: Sequence[str], k: int) -> np.ndarray
         if rows.shape[1] != block.shape[1]:
             raise ValueError(f"candidates of {rows.shape[1]} components, anchors of {block.shape[1]}")
         for a in range(0, len(rows), ROWS_AT_ONCE):
-            found = rows[a:a + ROWS_AT_ONCE] @ block.T
-            if found.shape[1] > k:
-                found = np.partition(found, found.shape[1] - k, axis=1)[:, -k:]
-            both = np.concatenate([best[a:a + ROWS_AT_ONCE], found], axis=1)
-            best[a:a + ROWS_AT_ONCE] = np.sort(both, axis=1)[:, :-k - 1:-1]
+            mine, held = rows[a:a + ROWS_AT_ONCE], best[a:a + ROWS_AT_ONCE]
+            for b in range(0, len(block), ANCHORS_AT_ONCE):
+                found = mine @ block[b:b + ANCHORS_AT_ONCE].T
+                better = np.flatnonzero(found.max(axis=1) > held[:, -1])
+                found = found[better]
+                if found.shape[1] > k:
+                    found = np.partition(found, found.shape[1] - k, axis=1)[:, -k:]
+                both = np.concatenate([held[better], found], axis=1)
+                held[better] = np.sort(both, axis=1)[:, :-k - 1:-1]
     return best
 
 
@@ -107,13 +113,18 @@ def with_scores(cand: DataFrame, anchors: DataFrame, vec: str = "embedding", k:
     at, names = cand.columns.index(vec), cand.columns
 
     def scored(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [unit_rows(b.column(at)) for b in batches]
-        real = [rows for rows, there in found if len(there)]
+        real, places = [], []
+        for batch in batches:
+            rows, there = unit_rows(batch.column(at))
+            places.append(there)
+            if len(there):
+                real.append(rows)
         if len({rows.shape[1] for rows in real}) > 1:
             raise ValueError("vectors of different lengths")
         best = best_of_blocks(np.concatenate(real), paths, k) if real and paths else None
+        real.clear()
         start = 0
-        for batch, (rows, there) in zip(batches, found):
+        for batch, there in zip(batches, places):
             top, mean = np.full(batch.num_rows, np.nan), np.full(batch.num_rows, np.nan)
             if best is not None and len(there):
                 mine = best[start:start + len(there)]

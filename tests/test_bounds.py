@@ -24,3 +24,25 @@ def test_model_compare_has_all_models_and_puts_them_side_by_side(spark, tmp_path
     side = {"s": (2.5, None, None, 2.0, 3.0), None: (None, 2.0, None, None, None)}
     want = {("s", "de", 2.5, 2), ("s", "fr", 2.0, 1), ("s", "xx", 4.0, 1), ("s", None, 2.0, 1), (None, "en", 2.0, 1)}
     assert {tuple(r) for r in got.collect()} == {(*w, *side[w[0]]) for w in want}
+
+
+def test_products_do_not_grow_with_the_block(monkeypatch):
+    rng = np.random.default_rng(0)
+    rows, block = rng.normal(size=(2048, 8)), rng.normal(size=(100_000, 8))
+    monkeypatch.setattr(SIM, "read_block", lambda path: block)
+    tracemalloc.start()
+    SIM.best_of_blocks(rows, ["one"], 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+
+
+@pytest.mark.parametrize("k", [1, 3, 40])
+def test_best_of_parts_of_a_block(monkeypatch, k):
+    rng = np.random.default_rng(2)
+    rows = rng.integers(-2, 3, size=(50, 3)).astype(float)  # many ties
+    blocks = [rows[:20], rows[20:21], rows[21:]]
+    monkeypatch.setattr(SIM, "read_block", lambda p: blocks[p])
+    monkeypatch.setattr(SIM, "ROWS_AT_ONCE", 7)
+    monkeypatch.setattr(SIM, "ANCHORS_AT_ONCE", 4)
+    assert np.array_equal(SIM.best_of_blocks(rows, [0, 1, 2], k), -np.sort(-(rows @ rows.T), axis=1)[:, :k])
