@@ -4,16 +4,17 @@ Everything is an array expression on one row (one conversation or one pair):
 truncation, eos handling, the turn budget, packing and label masks need no
 shuffle. The tokenizer is pluggable (``tok: Column -> array<int>``); the built-in
 default is a deterministic whitespace + md5 tokenizer so plans are testable
-offline and reproducible in any engine. A subword tokenizer plugs in as a
-pandas UDF (``pandas_tokenizer``), loaded once per task.
+offline and reproducible in any engine. A subword tokenizer plugs in as an
+Arrow UDF (``pandas_tokenizer``), loaded once per task.
 """
 
 from __future__ import annotations
 
 from typing import Callable, Iterator
 
-import pandas as pd
-
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,8 @@ PAD_ID, BOS_ID, EOS_ID, IGNORE_INDEX = 0, 1, 2, -100
 VOCAB = 32000
 WS_CLASS = "[" + PY_WHITESPACE + "]+"
 ARR_I = T.ArrayType(T.IntegerType())
+TEXT_AT_ONCE = 1 << 20  # bytes of the texts whose ids are Python's at one time
+ROWS_OUT = 16 << 20  # bytes of the texts of the rows that are given back together
 Tokenizer = Callable[[Column], Column]
 
 
@@ -40,6 +43,28 @@ def whitespace_tokenize_sql(expr: str) -> str:
             f"lambda t: CAST(CAST(('0x' || substr(md5(t), 1, 7)) AS BIGINT) % {VOCAB} + 3 AS INTEGER))")
 
 
+def runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of consecutive items that are together of at most ``most``, or one item."""
+    upto = np.concatenate([[0], np.cumsum(sizes)])
+    a = 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(upto, upto[a] + most, side="right")) - 1)
+        yield a, b
+        a = b
+
+
+def text_sizes(texts: pa.Array) -> np.ndarray:
+    """Bytes of each text, and some for itself."""
+    return pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
+
+
+def ids_of(texts: pa.Array, encode: Callable) -> pa.Array:
+    """The ids of each text (null: empty) as numbers of 4 bytes; those of TEXT_AT_ONCE are Python's at one time."""
+    kind = pa.list_(pa.int32())
+    parts = [pa.array(encode(pc.fill_null(texts.slice(a, b - a), "").to_pylist()), kind) for a, b in runs(text_sizes(texts), TEXT_AT_ONCE)]
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
 def pandas_tokenizer(encode: Callable) -> Tokenizer:
     """U4: wrap ``encode(list[str]) -> list[list[int]]`` (e.g. a subword tokenizer) as an Arrow-batched UDF."""
     from pyspark.sql import SparkSession
@@ -49,10 +74,11 @@ def pandas_tokenizer(encode: Callable) -> Tokenizer:
     active = SparkSession.getActiveSession()
     if active is not None:
         ship_package(active)
-    @F.pandas_udf(ARR_I)
-    def _tok(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series(encode(s.fillna("").tolist()))
+    @F.arrow_udf(ARR_I)
+    def _tok(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for a, b in runs(text_sizes(texts), ROWS_OUT):
+                yield ids_of(texts.slice(a, b - a), encode)
 
     return lambda c: _tok(col_of(c))
 
@@ -85,12 +111,16 @@ def subword_tokenizer(path: str, add_eos: bool = False) -> Tokenizer:
     arrays to arrays of ids in one call, as Python cannot run inside a higher-order function."""
     one = pandas_tokenizer(lambda texts: vocabulary(path)(texts, add_eos))
 
-    @F.pandas_udf(T.ArrayType(ARR_I))
-    def many(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            texts = [["" if t is None else t for t in (row if row is not None else [])] for row in s]
-            ids = iter(vocabulary(path)([t for row in texts for t in row], add_eos))
-            yield pd.Series([[next(ids) for _ in row] for row in texts])
+    @F.arrow_udf(T.ArrayType(ARR_I))
+    def many(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for rows in batches:
+            n = pc.fill_null(rows.value_lengths(), 0).to_numpy(zero_copy_only=False)
+            upto = np.concatenate([[0], np.cumsum(n)])
+            texts = rows.flatten()
+            size = np.concatenate([[0], np.cumsum(text_sizes(texts))])[upto]
+            for a, b in runs(np.diff(size) + 64, ROWS_OUT):
+                ids = ids_of(texts.slice(upto[a], upto[b] - upto[a]), lambda t: vocabulary(path)(t, add_eos))
+                yield pa.ListArray.from_arrays(pa.array(upto[a:b + 1] - upto[a], pa.int32()), ids)
 
     one.many = lambda c: many(col_of(c))
     return one

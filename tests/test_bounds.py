@@ -46,3 +46,24 @@ def test_best_of_parts_of_a_block(monkeypatch, k):
     monkeypatch.setattr(SIM, "ROWS_AT_ONCE", 7)
     monkeypatch.setattr(SIM, "ANCHORS_AT_ONCE", 4)
     assert np.array_equal(SIM.best_of_blocks(rows, [0, 1, 2], k), -np.sort(-(rows @ rows.T), axis=1)[:, :k])
+
+
+def test_tokenizer_gets_a_bounded_part_of_a_batch(spark):
+    at_once = K.pandas_tokenizer(lambda texts: [[len(texts), len(t)] for t in texts])
+    df = spark.range(1000).select(F.when(F.col("id") != 7, F.repeat(F.lit("x"), (10_000 + F.col("id")).cast("int"))).alias("t"), "id").coalesce(1)
+    got = df.select("id", at_once(F.col("t")).alias("ids")).collect()
+    assert [r.ids[1] for r in sorted(got)] == [0 if i == 7 else 10_000 + i for i in range(1000)]
+    assert max(r.ids[0] for r in got) < 200
+
+
+def test_subword_ids_of_long_short_and_missing_dialogs(spark):
+    P, sentencepiece = pytest.importorskip("public_tokenizers"), pytest.importorskip("sentencepiece")
+    path = P.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    rows = [(0, ["a b", None, ""]), (1, None), (2, []), (3, ["some words " * 150_000, "end"]), *((i, ["more words " * 2000] * 12) for i in range(4, 70))]
+    df = spark.createDataFrame(rows, "id long, dialog array<string>").coalesce(1)
+    got = {r.id: r.ids for r in df.select("id", K.subword_tokenizer(path, add_eos=True).many("dialog").alias("ids")).collect()}
+    long = model.encode("more words " * 2000, add_eos=True)
+    for i, dialog in rows:
+        want = [long] * 12 if i > 3 else [model.encode(t or "", add_eos=True) for t in dialog or []]
+        assert got[i] == want, i
