@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alignfold.functions.lexicon import ENTITY_CATEGORIES, Lexicon
-from alignfold.functions.rows import join_back
+from alignfold.functions.rows import join_hot
 from alignfold.functions.text import col_of, count_hits, count_hits_sql, strip, strip_sql
 
 # FIXED VALUES of the scoring rules (basis points, 10000 = 1.0).
@@ -227,12 +227,12 @@ def score_with(df: DataFrame, fn, prompt: str = "prompt", content: str = "conten
 # ---------- R8 / R9 / R10 / J7 group operators ----------
 def _with_group_stats(df: DataFrame, group: str, reward: str, tie: str | None) -> DataFrame:
     """Every row with its group's count, sum, mean and std: a partial + final aggregate joined back
-    with the hot groups spread (see ``join_back``). A null group is a group of its own."""
+    with the hot groups spread (see ``join_hot``). A null group is a group of its own."""
     st = df.groupBy(group).agg(
         F.count(F.lit(1)).alias("_k"), F.sum(reward).alias("_sum"), F.avg(reward).alias("_mean"),
         F.stddev_samp(reward).alias("_sd"))
     spread = [c for c in (tie, reward) if c and c in df.columns]
-    return join_back(df, st, [group], spread)
+    return join_hot(df, st.withColumn("_n", F.col("_k")), [group], "_n", spread=spread)
 
 
 def group_advantage(df: DataFrame, group: str = "prompt_id", reward: str = "reward", eps: float = 1e-4,

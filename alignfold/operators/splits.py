@@ -13,7 +13,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alignfold.functions.rows import join_back
+from alignfold.functions.rows import join_hot
 from alignfold.functions.text import col_of, content_hash, hash_unit, seeded_key
 from alignfold.operators.selection import OrderItem, first_n, sort_columns
 from alignfold.operators.sketches import CELLS, maybe_in
@@ -211,8 +211,10 @@ def overlap_rows(train: DataFrame, val: DataFrame, key: str, words: int = CELLS)
     """Rows of train whose content also occurs in val.
 
     A Bloom filter of val's contents is tested in the scan of train, so about the rows that overlap are
-    shuffled; an exact semi-join on a 64-byte content hash follows. A null content is one content."""
-    likely = maybe_in(train, key, val, key, words)
-    v = val.select(content_hash(key).alias("_h")).distinct()
+    shuffled; an exact join on a 64-byte content hash follows, with the hot contents of train spread and
+    no content of val copied. A null content is one content."""
+    likely = maybe_in(train, key, val, key, words).withColumn("_h", content_hash(key))
+    v = val.select(content_hash(key).alias("_v")).distinct()
+    both = likely.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).join(v, F.col("_h").eqNullSafe(F.col("_v")), "left_semi")
     others = [c for c in train.columns if c != key]
-    return join_back(likely.withColumn("_h", content_hash(key)), v, ["_h"], others, "left_semi").drop("_h")
+    return join_hot(likely, both, ["_h"], "_n", spread=others).drop("_h")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alignfold.functions.rows import join_back, keep_rows  # noqa: F401  (re-exported)
+from alignfold.functions.rows import join_hot, keep_rows  # noqa: F401  (re-exported)
 from alignfold.functions.text import PY_WHITESPACE, col_of, hash_unit
 
 PAD_ID, BOS_ID, EOS_ID, IGNORE_INDEX = 0, 1, 2, -100
@@ -326,8 +326,8 @@ def pad_batch(df: DataFrame, batch_key: str, multiple: int = 4, pad_id: int = PA
     from alignfold.session import cut_lineage
 
     rows = cut_lineage(df)
-    mx = rows.groupBy(batch_key).agg(F.max(F.size("input_ids")).alias("_mx"))
-    j = join_back(rows, mx, [batch_key]).withColumn("_target", (F.ceil(F.col("_mx") / multiple) * multiple).cast("int"))
+    mx = rows.groupBy(batch_key).agg(F.max(F.size("input_ids")).alias("_mx"), F.count(F.lit(1)).alias("_n"))
+    j = join_hot(rows, mx, [batch_key], "_n").withColumn("_target", (F.ceil(F.col("_mx") / multiple) * multiple).cast("int"))
     return j.withColumns({
         "input_ids": pad_arrays("input_ids", F.col("_target"), pad_id),
         "attention_mask": pad_arrays("attention_mask", F.col("_target"), 0),

@@ -67,3 +67,24 @@ def test_subword_ids_of_long_short_and_missing_dialogs(spark):
     for i, dialog in rows:
         want = [long] * 12 if i > 3 else [model.encode(t or "", add_eos=True) for t in dialog or []]
         assert got[i] == want, i
+
+
+def test_overlap_copies_no_content(spark):
+    train = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, F.lit("hot")).when(F.col("id") % 9 == 1, F.col("id").cast("string")).alias("t"))
+    val = spark.range(0, 4000, 3).select(F.col("id").cast("string").alias("t")).unionByName(spark.createDataFrame([("hot",), (None,)], "t string"))
+    out = S.overlap_rows(train.repartition(4), val, "t")
+    want = [i for i in range(4000) if i % 2 == 0 or i % 9 != 1 or i % 3 == 0]
+    assert out.columns == ["id", "t"] and sorted(r.id for r in out.collect()) == want
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_group_statistics_are_not_copied(spark):
+    from alignfold.operators import filters as FL
+    from alignfold.operators import rewards as R
+
+    df = spark.range(600).select((F.col("id") % 200).alias("prompt_id"), F.col("id").alias("gen_id"), (F.col("id") % 7).cast("double").alias("reward"))
+    values = spark.createDataFrame([("a", i) for i in range(9)] + [(None, 9), (None, 10), ("b", 11)], "t string, n long")
+    for out in (R.group_advantage(df), FL.drop_repeated(values, "t", 2)):
+        assert "_copy" not in out._jdf.queryExecution().analyzed().toString()
+    assert R.group_advantage(df).count() == 600
+    assert [tuple(r) for r in FL.drop_repeated(values, "t", 2).collect()] == [("b", 11)]
