@@ -2,7 +2,7 @@
 
 Words are counted over all training text. The frequent ones stand in classes of equal mass, in
 each of which the model learns a softmax; the rare ones in classes by their ending, in which a word
-has its smoothed share of the class's count. The recurrent state is carried over a whole document,
+has its smoothed share of the class's count. Classes stand in groups, with a softmax each. The recurrent state is carried over a whole document,
 window by window, so a score is the log-likelihood of the complete text.
 """
 
@@ -14,10 +14,11 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,14 +36,21 @@ RATE = 0.02
 STREAMS, STEPS = 256, 16  # parallel streams and window of the truncated backpropagation
 LANES = 384  # streams scored side by side
 ROWS = 8192  # states whose softmax is taken at once
+SAFE = 80  # logits up to this go to the exponential as they are; their sums stay within 32-bit floats
 END = b""
 
 
+def split(texts: pa.Array) -> pa.ListArray:
+    """The tokens of each text: lower-cased words (A-Z only; cut at ASCII white space) and the end, which is empty."""
+    low = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    # white space at the end of a text makes an empty token behind it; an empty text is one already
+    low = pc.if_else(pc.equal(low, ""), low, pc.binary_join_element_wise(low, "", " "))
+    return pc.ascii_split_whitespace(low)
+
+
 def tokens(text: str) -> list[bytes]:
-    """Lower-cased words (A-Z only; bytes split at ASCII white space) and the end."""
-    words = text.encode().lower().split()
-    words.append(END)
-    return words
+    """The tokens of one text, as ``split`` finds them."""
+    return split(pa.array([text], pa.string())).flatten().cast(pa.binary()).to_pylist()
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -89,19 +97,29 @@ class Words:
         n = len(self.bounds) - 1
         return np.concatenate([np.repeat(np.arange(n), np.diff(self.bounds)), n + np.arange(len(self.mass))])
 
-    def numbers(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    @cached_property
+    def held(self) -> pa.Array:
+        return pa.array(list(self.rank), pa.binary())
+
+    def numbers(self, words: list[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(rank or -1, token number) of each word."""
-        at = np.fromiter(map(self.rank.get, words, repeat(-1)), np.int64, len(words))
+        if isinstance(words, list):
+            words = pa.array(words, pa.binary())
+        at = pc.fill_null(pc.index_in(words, value_set=self.held), -1).to_numpy()
         number = self.number[at] if len(self.number) else np.zeros(len(at), np.int32)
-        for i in np.flatnonzero(at < 0):
-            number[i] = self.frequent + self.ending(words[i])
+        lacking = np.flatnonzero(at < 0)
+        number[lacking] = [self.frequent + self.ending(w) for w in words.take(pa.array(lacking)).to_pylist()]
         return at, number
 
 
 class Network:
-    """Embedding, one gated recurrent layer, softmax over classes, softmax within word classes.
+    """Embedding, one gated recurrent layer, softmax over groups of classes, within a group, within a word class.
+
+    A group is a run of as many classes as there are groups, so a token's logits are some tens: its
+    group's, its class's beside the others of the group, its word's beside the others of the class.
 
     All weights are views of one vector, ``flat``, so that a step of the optimiser and a mean are few calls.
+    The recurrence runs on arrays of (steps, units, lanes), whose gates are contiguous; the softmaxes on rows.
     """
 
     def __init__(self, words: Words, hidden: int = HIDDEN, seed: int = 3):
@@ -109,14 +127,21 @@ class Network:
         n, c, f = words.frequent + len(words.mass), words.classes(), words.frequent
         mass = np.concatenate([np.add.reduceat(words.count[:f] + 1.0, words.bounds[:-1]) if f else np.zeros(0), words.mass])
         share = np.log(words.count[:f] + 1.0) - np.log(mass)[words.class_of()[:f]] if f else np.zeros(1)
-        begin = {"emb": (n, hidden), "wx": (hidden, 3 * hidden), "wh": (hidden, 3 * hidden), "b": np.zeros(3 * hidden),
-                 "wc": np.zeros((hidden, c)), "bc": np.log(np.maximum(mass, 1) / mass.sum()),
-                 "ww": np.zeros((max(f, 1), hidden)), "bw": share}
+        self.run = math.isqrt(c)
+        runs = np.append(np.arange(0, c, self.run), c)
+        of_group, groups = np.add.reduceat(mass, runs[:-1]), len(runs) - 1
+        # the first output of each softmax, by level, then the number of outputs
+        self.levels = np.array([0, groups]), groups + runs, groups + c + words.bounds
+        bias = np.concatenate([np.log(np.maximum(of_group, 1) / of_group.sum()),
+                               np.log(np.maximum(mass, 1) / np.maximum(of_group, 1)[np.arange(c) // self.run]), share[:f]])
+        out = np.zeros((len(bias), hidden + 1))  # a row for each output, its bias last
+        out[:, hidden] = bias
+        begin = {"emb": (n, hidden), "wx": (hidden, 3 * hidden), "wh": (hidden, 3 * hidden), "b": np.zeros(3 * hidden), "out": out}
         begin = {k: rng.standard_normal(x) * 0.1 if isinstance(x, tuple) else x for k, x in begin.items()}
         self.shapes = {k: x.shape for k, x in begin.items()}
         self.flat = np.concatenate([x.ravel() for x in begin.values()]).astype(np.float32)
         self.p = self.views(self.flat)
-        self.bounds, self.of, self.hidden = words.bounds, words.class_of(), hidden
+        self.of, self.hidden = words.class_of(), hidden
         self.end = words.end()
         self.rooms: dict[str, np.ndarray] = {}
 
@@ -132,6 +157,7 @@ class Network:
         return {k: part.reshape(shape) for (k, shape), part in zip(self.shapes.items(), np.split(flat, ends[:-1]))}
 
     def step(self, gx: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """One step of the recurrence on rows of ``h``, as ``forward`` takes it for whole windows."""
         k = self.hidden
         gh = h @ self.p["wh"]
         rz = sigmoid(gx[:, :2 * k] + gh[:, :2 * k])
@@ -139,32 +165,87 @@ class Network:
         n = np.tanh(gx[:, 2 * k:] + r * gn)
         return n + z * (h - n), (h, r, z, n, gn)
 
-    def by_class(self, of: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
-        """(an order of tokens by class, and the rows of each word class in it with its words' bounds)."""
-        order = np.argsort(of.astype(np.uint16), kind="stable")  # sorted by radix
-        cuts = np.searchsorted(of[order], np.arange(len(self.bounds))).tolist()
-        bounds = self.bounds.tolist()
-        return order, [(a, b, lo, hi) for a, b, lo, hi in zip(cuts, cuts[1:], bounds, bounds[1:]) if b > a and hi - lo > 1]
+    def forward(self, before: np.ndarray, h: np.ndarray, keep: bool = False) -> tuple[np.ndarray, tuple]:
+        """(the states of a window after its steps, what ``gradient`` needs of them if they are to ``keep``).
 
-    def log_probability(self, h: np.ndarray, number: np.ndarray) -> np.ndarray:
-        """Natural log of each token's class, times its share of a word class."""
-        logits = np.matmul(h, self.p["wc"], out=self.room("prob", len(h), self.p["wc"].shape[1]))
-        logits += self.p["bc"]
-        logits -= logits.max(1, keepdims=True)
+        ``before`` and the rows of the states are steps, lanes; ``h`` has a row for each lane. A state
+        ends with a 1, the factor of a softmax's bias.
+        """
+        p, k, (steps, lanes) = self.p, self.hidden, before.shape
+        flows = (before != self.end).astype(self.flat.dtype)  # a document starts from nothing
+        half = np.repeat(np.array([0.5, 1], self.flat.dtype), [2 * k, k])  # sigmoid(x) is tanh(x / 2) / 2 + 1 / 2
+        embedded = np.take(p["emb"], before.ravel(), 0, self.room("embedded", steps * lanes, k), "clip").reshape(steps, lanes, k)
+        gx = np.matmul((p["wx"] * half).T, embedded.transpose(0, 2, 1), out=self.room("gx", steps, 3 * k, lanes))
+        gx += (p["b"] * half)[:, None]
+        wh = (p["wh"] * half).T
+        kept = steps if keep else 1
+        h0, gh, rz, new = (self.room(name, kept, n * k, lanes) for name, n in (("h0", 1), ("gh", 3), ("rz", 2), ("new", 1)))
+        states = self.room("states", steps + 1, k, lanes)
+        states[0] = h.T
+        for t in range(steps):
+            at = t if keep else 0
+            begun, g, gates, n, out, x = h0[at], gh[at], rz[at], new[at], states[t + 1], gx[t]
+            np.multiply(states[t], flows[t], out=begun)
+            np.matmul(wh, begun, out=g)
+            np.add(x[:2 * k], g[:2 * k], out=gates)
+            np.tanh(gates, out=gates)
+            gates *= 0.5
+            gates += 0.5
+            np.multiply(gates[:k], g[2 * k:], out=n)
+            n += x[2 * k:]
+            np.tanh(n, out=n)
+            np.subtract(begun, n, out=out)
+            out *= gates[k:]
+            out += n
+        rows = self.room("rows", steps, lanes, k + 1)
+        rows[:, :, :k] = states[1:].transpose(0, 2, 1)
+        rows[:, :, k] = 1
+        return rows, (flows, embedded, h0, gh, rz, new)
+
+    def nodes(self, number: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int, int, np.ndarray]]]:
+        """An order of tokens by class, and the softmaxes that they pass: the level, the rows in the order, the
+        outputs, and the places of the rows' tokens in the product of rows and outputs."""
         of = self.of[number]
-        out = logits[np.arange(len(h)), of]
-        np.exp(logits, out=logits)
-        out -= np.log(logits.sum(1))
-        order, classes = self.by_class(of)
-        state, number, more = np.take(h, order, 0, self.room("state", *h.shape), "clip"), number[order], np.zeros(len(h), np.float32)
-        for a, b, lo, hi in classes:
-            x = state[a:b] @ self.p["ww"][lo:hi].T
-            x += self.p["bw"][lo:hi]
+        order = np.argsort(of.astype(np.uint16), kind="stable")  # sorted by radix
+        of, number = of[order], number[order].astype(np.int64)
+        group, words = of // self.run, int(np.searchsorted(of, len(self.levels[2]) - 1))  # endings come last
+        found = []
+        for level, (bounds, node, target) in enumerate(zip(
+                self.levels, (np.zeros_like(of), group, of[:words]), (group, of, number[:words]))):
+            cuts, size = np.searchsorted(node, np.arange(len(bounds))), np.diff(bounds)
+            if len(node):
+                place = (np.arange(len(node)) - cuts[node]) * size[node] + target + (self.levels[level][0] - bounds[node])
+                found += [(level, a, b, lo, hi, place[a:b]) for a, b, lo, hi in zip(
+                    cuts.tolist(), cuts[1:].tolist(), bounds.tolist(), bounds[1:].tolist()) if b > a and hi - lo > 1]
+        return order, found
+
+    def safe(self, rows: np.ndarray) -> bool:
+        """Whether all logits of ``rows`` are far from the range's ends, by the lengths of rows and weights."""
+        w, h = self.p["out"][:, :self.hidden], rows[:, :self.hidden]
+        most = math.sqrt(np.einsum("ij,ij->i", h, h).max(initial=0))
+        return bool((np.sqrt(np.einsum("ij,ij->i", w, w)) * most + np.abs(self.p["out"][:, self.hidden])).max() < SAFE)
+
+    @staticmethod
+    def exponentials(x: np.ndarray, at: np.ndarray, safe: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(the logit of each row's token, which stands at ``at``, the sums); ``x`` gets the exponentials."""
+        if not safe:
             x -= x.max(1, keepdims=True)
-            want = x[np.arange(b - a), number[a:b] - lo]
-            np.exp(x, out=x)
-            more[a:b] = want - np.log(x.sum(1))
-        out[order] += more
+        want = x.ravel()[at]
+        np.exp(x, out=x)
+        return want, x.sum(1)
+
+    def log_probability(self, h: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """Natural log of each token's class, times its share of a word class. A state may end with its 1."""
+        if h.shape[1] == self.hidden:
+            h = np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1)
+        safe, (order, nodes) = self.safe(h), self.nodes(number)
+        state = np.take(h, order, 0, self.room("state", *h.shape), "clip")
+        want, total = np.zeros((3, len(h)), self.flat.dtype), np.ones((3, len(h)), self.flat.dtype)
+        for level, a, b, lo, hi, place in nodes:
+            x = np.matmul(state[a:b], self.p["out"][lo:hi].T, out=self.room("x", b - a, hi - lo))
+            want[level, a:b], total[level, a:b] = self.exponentials(x, place, safe)
+        out = np.empty(len(h), self.flat.dtype)
+        out[order] = (want - np.log(total)).sum(0)
         return out
 
     def gradient(self, before: np.ndarray, number: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
@@ -174,71 +255,60 @@ class Network:
         gradient[:] = 0
         g = self.views(gradient)
         steps, lanes = number.shape
-        rows = steps * lanes
-        flows = (before != self.end)[:, :, None].astype(np.float32)  # a document starts from nothing
-        embedded = np.take(p["emb"], before.ravel(), 0, self.room("embedded", rows, k), "clip")
-        gx = np.matmul(embedded, p["wx"], out=self.room("gx", rows, 3 * k))
-        gx += p["b"]
-        gx = gx.reshape(steps, lanes, 3 * k)
-        kept, states = [], self.room("states", steps, lanes, k)
-        for t in range(steps):
-            h, saved = self.step(gx[t], h * flows[t])
-            kept.append(saved)
-            states[t] = h
-        flat, want = states.reshape(-1, k), number.ravel()
-        of, at = self.of[want], np.arange(len(want))
-        prob = np.matmul(flat, p["wc"], out=self.room("prob", rows, p["wc"].shape[1]))
-        prob += p["bc"]
-        prob -= prob.max(1, keepdims=True)
-        loss = -float(prob[at, of].sum())
-        np.exp(prob, out=prob)
-        total = prob.sum(1, keepdims=True)
-        loss += float(np.log(total).sum())
-        prob /= total
-        prob[at, of] -= 1
-        g["wc"][:], g["bc"][:], dh = flat.T @ prob, prob.sum(0), np.matmul(prob, p["wc"].T, out=self.room("dh", rows, k))
-        order, classes = self.by_class(of)
-        state, word = np.take(flat, order, 0, self.room("state", rows, k), "clip"), want[order]
-        more = self.room("more", rows, k)
+        n_rows = steps * lanes
+        states, (flows, embedded, h0, gh, rz, new) = self.forward(before, h, keep=True)
+        last, states = states[-1, :, :k].copy(), states.reshape(n_rows, k + 1)
+        safe, (order, nodes) = self.safe(states), self.nodes(number.ravel())
+        state, more = np.take(states, order, 0, self.room("state", n_rows, k + 1), "clip"), self.room("more", n_rows, k + 1)
         more[:] = 0
-        for a, b, lo, hi in classes:
-            held, ww = state[a:b], p["ww"][lo:hi]
-            x = held @ ww.T
-            x += p["bw"][lo:hi]
-            x -= x.max(1, keepdims=True)
-            i, j = at[:b - a], word[a:b] - lo
-            loss -= float(x[i, j].sum())
-            np.exp(x, out=x)
-            total = x.sum(1, keepdims=True)
-            loss += float(np.log(total).sum())
-            x /= total
-            x[i, j] -= 1
-            g["ww"][lo:hi], g["bw"][lo:hi] = x.T @ held, x.sum(0)
-            more[a:b] = x @ ww
-        dh[order] += more
-        dh = dh.reshape(steps, lanes, k)
-        dgx, dgh = self.room("dgx", steps, lanes, 3 * k), self.room("dgh", steps, lanes, 3 * k)
-        back = np.zeros((lanes, k), np.float32)
+        want, total = np.zeros((3, n_rows), self.flat.dtype), np.ones((3, n_rows), self.flat.dtype)
+        for level, a, b, lo, hi, place in nodes:
+            held, out = state[a:b], p["out"][lo:hi]
+            x = np.matmul(held, out.T, out=self.room("x", b - a, hi - lo))
+            want[level, a:b], sums = self.exponentials(x, place, safe)
+            total[level, a:b] = sums
+            x /= sums[:, None]
+            x.ravel()[place] -= 1
+            np.matmul(x.T, held, out=g["out"][lo:hi])
+            more[a:b] += x @ out
+        loss = float(np.log(total).sum()) - float(want.sum())
+        back_order = np.empty_like(order)
+        back_order[order] = np.arange(n_rows)
+        dh = np.take(more, back_order, 0, self.room("state", n_rows, k + 1), "clip")
+        d_states = self.room("d_states", steps, k, lanes)
+        d_states[:] = dh.reshape(steps, lanes, k + 1)[:, :, :k].transpose(0, 2, 1)
+        # factors of the gates' gradients, for all steps
+        slope = np.multiply(rz, rz, out=self.room("slope", steps, 2 * k, lanes))
+        np.subtract(rz, slope, out=slope)
+        slope[:, :k] *= gh[:, 2 * k:]
+        h_new = np.subtract(h0, new, out=self.room("more", steps, k, lanes))
+        slope[:, k:] *= h_new
+        np.multiply(new, new, out=new)
+        np.subtract(1, new, out=new)
+        dgx, dgh, back = self.room("gx", steps, 3 * k, lanes), gh, np.zeros((k, lanes), self.flat.dtype)
         for t in reversed(range(steps)):
-            h0, r, z, n, gn = kept[t]
-            d = dh[t] + back
-            through = d * z
-            dn = (d - through) * (1 - n * n)
-            dgx[t, :, :k] = dgh[t, :, :k] = dn * gn * (r - r * r)
-            dgx[t, :, k:2 * k] = dgh[t, :, k:2 * k] = d * (h0 - n) * (z - z * z)
-            dgx[t, :, 2 * k:] = dn
-            dgh[t, :, 2 * k:] = dn * r
-            back = (through + dgh[t] @ p["wh"].T) * flows[t]
-        dgx = dgx.reshape(rows, 3 * k)
-        h0 = np.concatenate([x[0] for x in kept], out=self.room("state", rows, k))
-        g["wh"][:] = h0.T @ dgh.reshape(rows, 3 * k)
-        g["wx"][:], g["b"][:] = embedded.T @ dgx, dgx.sum(0)
-        back = np.matmul(dgx, p["wx"].T, out=self.room("dh", rows, k))
-        order = np.argsort(before.ravel(), kind="stable")
-        sorted_ = before.ravel()[order]
+            d, dx, dg = d_states[t], dgx[t], dgh[t]
+            d += back
+            through = d * rz[t, k:]
+            np.multiply(d, slope[t, k:], out=dg[k:2 * k])
+            d -= through
+            dn = np.multiply(d, new[t], out=dx[2 * k:])
+            np.multiply(dn, slope[t, :k], out=dg[:k])
+            np.multiply(dn, rz[t, :k], out=dg[2 * k:])
+            back = p["wh"] @ dg
+            back += through
+            back *= flows[t]
+        dgx[:, :2 * k] = dgh[:, :2 * k]
+        by_lane = dgx.transpose(0, 2, 1)
+        g["wh"][:] = np.matmul(h0, dgh.transpose(0, 2, 1)).sum(0)
+        g["wx"][:], g["b"][:] = np.matmul(embedded.transpose(0, 2, 1), by_lane).sum(0), dgx.sum((0, 2))
+        back = np.matmul(by_lane, p["wx"].T, out=self.room("dh", steps, lanes, k)).reshape(n_rows, k)
+        before = before.ravel()
+        order = np.argsort(before.astype(np.uint16) if len(p["emb"]) <= 1 << 16 else before, kind="stable")
+        sorted_ = before[order]
         first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-        g["emb"][sorted_[first]] = np.add.reduceat(np.take(back, order, 0, self.room("more", rows, k), "clip"), first, axis=0)
-        return loss, gradient, states[-1].copy()
+        g["emb"][sorted_[first]] = np.add.reduceat(np.take(back, order, 0, self.room("more", n_rows, k), "clip"), first, axis=0)
+        return loss, gradient, last
 
     def train(self, stream: np.ndarray, epochs: int = 1, rate: float = RATE, after: int = 0,
               of: int | None = None) -> list[float]:
@@ -251,7 +321,7 @@ class Network:
         if not length:
             return []
         at = np.arange(length)[:, None] + np.arange(lanes) * (len(stream) - length) // max(lanes - 1, 1)
-        lane, ahead = stream[at], np.concatenate([[self.end], stream[:-1]])[at]
+        lane, ahead = stream[at], np.concatenate([np.array([self.end], stream.dtype), stream[:-1]])[at]
         m, v, change = (np.zeros_like(self.flat) for _ in range(3))
         windows = -(-length // STEPS)
         n, losses, total = 0, [], (of or epochs) * windows
@@ -262,15 +332,18 @@ class Network:
                 part, x, h = self.gradient(ahead[a:a + STEPS], want, h)
                 loss, seen, n = loss + part, seen + want.size, n + 1
                 speed = rate * max(0.05, 1 - (after * windows + n) / total)
-                x *= np.float32(1 / lanes)
-                np.clip(x, -1, 1, out=x)
-                m += np.float32(0.1) * (x - m)
-                np.multiply(x, x, out=x)
-                v += np.float32(0.01) * (x - v)
+                speed = np.float32(speed * math.sqrt(1 - 0.99 ** n) / (1 - 0.9 ** n))
+                # m and v are kept as sums, of gradients and squares that are not divided by the lanes
+                np.clip(x, -lanes, lanes, out=x)
+                m *= np.float32(0.9)
+                m += x
+                v *= np.float32(0.99)
+                x *= x
+                v += x
                 np.sqrt(v, out=change)
-                change += np.float32(1e-6)
+                change += np.float32(1e-5 * lanes)
                 np.divide(m, change, out=change)
-                change *= np.float32(speed * math.sqrt(1 - 0.99 ** n) / (1 - 0.9 ** n))
+                change *= speed
                 self.flat -= change
             losses.append(loss / max(seen, 1))
         return losses
@@ -285,7 +358,6 @@ class Network:
         out = np.zeros(len(documents))
         if not documents:
             return out
-        table = self.p["emb"] @ self.p["wx"] + self.p["b"]
         lanes: list[list[int]] = [[] for _ in range(min(LANES, len(documents)))]
         load = [(0, i) for i in range(len(lanes))]
         for d in sorted(range(len(documents)), key=lambda i: -len(documents[i])):  # to the shortest lane
@@ -307,12 +379,8 @@ class Network:
             for j in range(live):
                 part = streams[j][t:t + steps]
                 window[:len(part), j] = part
-            h, last, states = h[:live], last[:live], self.room("states", steps, live, self.hidden)
-            for i in range(steps):
-                h[last == self.end] = 0
-                h, _ = self.step(table[last], h)
-                last = window[i]
-                states[i] = h
+            states, _ = self.forward(np.concatenate([last[None, :live], window[:-1]]), h[:live])
+            h, last = states[-1, :, :self.hidden].copy(), window[-1]
             real = np.arange(steps)[:, None] < size[:live] - t
             found = np.zeros((steps, live))
             found[real] = self.log_probability(states[real], window[real])
@@ -342,22 +410,11 @@ class Network:
 
 
 def count_words(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, c) over all texts, ends included. Tasks sum up what they read before the shuffle."""
+    """(word, c) over all texts, ends included. Tasks sum up some megabytes of text each time before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())],
-                                             ["word", "c"])
-            held.clear()
-            return out
-
         for batch in slices(batches):
-            for text in batch.column(0).to_pylist():
-                held.update(tokens(text))
-                if len(held) > 400_000:
-                    yield flush()
-        yield flush()
+            found = pc.value_counts(split(batch.column(0)).flatten().cast(pa.binary()))
+            yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "c"])
 
     rows = df.select(text_or_empty(text_col)).mapInArrow(run, "word binary, c long")
     return rows.groupBy("word").agg(F.sum("c").alias("c"))
@@ -420,21 +477,25 @@ def code(docs: DataFrame, words: Words) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = held.value
         unseen, log_mass = np.log10(words.total + words.types + 1), np.log10(words.mass)
+        base, share = np.append(words.base, -unseen), np.append(words.inside, 0)  # the last: of words that are not held
         for batch in slices(batches):
-            rows = []
-            for text in batch.column("whole").to_pylist():
-                got = tokens(text)
-                at, number = words.numbers(got)
-                known = at[at >= 0]
-                lacking = np.flatnonzero(at < 0)
-                rare = Counter(map(got.__getitem__, lacking.tolist()))
-                # what the join adds for the rare ones is log10(c + 1), the same for either score
-                inside = words.inside[known].sum() - log_mass[number[lacking] - words.frequent].sum()
-                rows.append((number.astype(kind).tobytes(), len(got), len(known), words.base[known].sum() - len(lacking) * unseen,
-                             inside, list(rare), list(rare.values())))
-            types = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+            lists = split(batch.column("whole"))
+            got, starts = lists.flatten().cast(pa.binary()), lists.offsets.to_numpy()
+            at, number = words.numbers(got)
+            lacking = np.flatnonzero(at < 0)
+            # what the join adds for the rare ones is log10(c + 1), the same for either score
+            inside = share[at]
+            inside[lacking] = -log_mass[number[lacking] - words.frequent]
+            n_held, by_base, inside = (np.add.reduceat(x, starts[:-1]) for x in ((at >= 0).astype(np.int64), base[at], inside))
+            names, cuts = got.take(pa.array(lacking)).to_pylist(), np.searchsorted(lacking, starts).tolist()
+            rare = [Counter(names[a:b]) for a, b in zip(cuts, cuts[1:])]
+            number = number.astype(kind)
+            numbers = pa.Array.from_buffers(pa.binary(), len(lists), [
+                None, pa.py_buffer((starts * number.itemsize).astype(np.int32)), pa.py_buffer(number)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("learn"), batch.column("h"), *[pa.array(c, t) for c, t in zip(zip(*rows), types)]],
+                [batch.column("id"), batch.column("learn"), batch.column("h"), numbers, pa.array(np.diff(starts).astype(np.int64)),
+                 pa.array(n_held), pa.array(by_base), pa.array(inside), pa.array(map(list, rare), pa.list_(pa.binary())),
+                 pa.array((list(x.values()) for x in rare), pa.list_(pa.int64()))],
                 ["id", "learn", "h", "numbers", "n_tokens", "n_held", "base", "inside", "rare", "times"])
 
     whole = text_or_empty("whole")

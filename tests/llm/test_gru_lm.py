@@ -5,6 +5,7 @@ import sys
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,6 +219,48 @@ def test_frequent_words_grow_with_the_vocabulary():
     assert gru_lm.frequent_words(100_000_000) == 40_000
 
 
+def test_tokens_are_cut_as_bytes_are():
+    rng = random.Random(4)
+    some = [*map(chr, range(40)), *"AzÉ\x85\xa0  ßİK\x7f", "\U0001F600", *"  \n"]
+    texts = ["", " ", "a", " a  B ", *("".join(rng.choices(some, k=rng.randint(0, 30))) for _ in range(3000))]
+    got = gru_lm.split(pa.array(texts)).cast(pa.list_(pa.binary())).to_pylist()
+    assert got == [[*t.encode().lower().split(), b""] for t in texts]
+
+
+def large():
+    """Words in classes of equal mass, as ``word_table`` makes them, and their shares."""
+    count = (1e6 / np.arange(1, 4097)).astype(np.int64)
+    share = np.cumsum(count) / count.sum()
+    bounds = np.unique(np.concatenate([[0], np.searchsorted(share, np.arange(1, 64) / 64) + 1, [4096]]))
+    endings = {b"%03d" % i: i for i in range(63)}
+    words = gru_lm.Words({b"w%d" % i: i for i in range(4096)}, count, int(count.sum()), 4096, bounds, endings, np.full(64, 1e5))
+    return words, count / count.sum()
+
+
+def test_a_token_passes_few_logits(monkeypatch):
+    """128 classes and some 64 words of a class were each token's logits."""
+    words, share = large()
+    net, real, sizes = gru_lm.Network(words), np.exp, []
+    number = np.random.default_rng(3).choice(4096, (16, 64), p=share)
+    monkeypatch.setattr(np, "exp", lambda x, **more: (sizes.append(x.size), real(x, **more))[1])
+    net.gradient(np.roll(number, 1, 0), number, np.zeros((64, net.hidden), np.float32))
+    assert 0 < sum(sizes) < 100 * number.size
+    sizes.clear()
+    net.log_probability(np.zeros((number.size, net.hidden), np.float32), number.ravel())
+    assert 0 < sum(sizes) < 100 * number.size
+
+
+def test_large_logits_change_no_probability():
+    words, share = large()
+    net, gen = gru_lm.Network(words), np.random.default_rng(5)
+    net.p["out"][:, :-1] = gen.standard_normal(net.p["out"][:, :-1].shape)
+    number, h = gen.choice(4096, 300, p=share), gen.uniform(-1, 1, (300, net.hidden)).astype(np.float32)
+    assert net.safe(h)
+    want = net.log_probability(h, number)
+    net.p["out"][:, -1] += 200  # of every output, so of none
+    assert not net.safe(h) and np.allclose(net.log_probability(h, number), want, atol=1e-3)
+
+
 def test_empty_and_nothing_to_learn(spark):
     assert gru_lm.score(empty(spark), F.lit(True)).count() == 0
     got = gru_lm.score(frame(spark, awkward()[:6]), F.lit(False)).collect()
