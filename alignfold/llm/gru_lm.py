@@ -175,16 +175,17 @@ class Network:
         flows = (before != self.end).astype(self.flat.dtype)  # a document starts from nothing
         half = np.repeat(np.array([0.5, 1], self.flat.dtype), [2 * k, k])  # sigmoid(x) is tanh(x / 2) / 2 + 1 / 2
         embedded = np.take(p["emb"], before.ravel(), 0, self.room("embedded", steps * lanes, k), "clip").reshape(steps, lanes, k)
-        gx = np.matmul((p["wx"] * half).T, embedded.transpose(0, 2, 1), out=self.room("gx", steps, 3 * k, lanes))
-        gx += (p["b"] * half)[:, None]
-        wh = (p["wh"] * half).T
+        wx, wh, bias = (p["wx"] * half).T, (p["wh"] * half).T, (p["b"] * half)[:, None]
+        x = self.room("x", 3 * k, lanes)
         kept = steps if keep else 1
         h0, gh, rz, new = (self.room(name, kept, n * k, lanes) for name, n in (("h0", 1), ("gh", 3), ("rz", 2), ("new", 1)))
         states = self.room("states", steps + 1, k, lanes)
         states[0] = h.T
         for t in range(steps):
             at = t if keep else 0
-            begun, g, gates, n, out, x = h0[at], gh[at], rz[at], new[at], states[t + 1], gx[t]
+            begun, g, gates, n, out = h0[at], gh[at], rz[at], new[at], states[t + 1]
+            np.matmul(wx, embedded[t].T, out=x)
+            x += bias
             np.multiply(states[t], flows[t], out=begun)
             np.matmul(wh, begun, out=g)
             np.add(x[:2 * k], g[:2 * k], out=gates)
@@ -381,9 +382,12 @@ class Network:
                 window[:len(part), j] = part
             states, _ = self.forward(np.concatenate([last[None, :live], window[:-1]]), h[:live])
             h, last = states[-1, :, :self.hidden].copy(), window[-1]
-            real = np.arange(steps)[:, None] < size[:live] - t
             found = np.zeros((steps, live))
-            found[real] = self.log_probability(states[real], window[real])
+            if size[live - 1] - t >= steps:
+                found[:] = self.log_probability(states.reshape(steps * live, -1), window.ravel()).reshape(steps, live)
+            else:
+                real = np.arange(steps)[:, None] < size[:live] - t
+                found[real] = self.log_probability(states[real], window[real])
             upto = np.cumsum(found, axis=0)
             # documents of a lane that have a part in the window end at these places in it
             a, b = begun[:live], np.array([bisect_left(ends[j], min(t + steps, int(size[j])), int(begun[j])) for j in range(live)])
@@ -478,7 +482,7 @@ def code(docs: DataFrame, words: Words) -> DataFrame:
         words = held.value
         unseen, log_mass = np.log10(words.total + words.types + 1), np.log10(words.mass)
         base, share = np.append(words.base, -unseen), np.append(words.inside, 0)  # the last: of words that are not held
-        for batch in slices(batches):
+        for batch in slices(batches, 4 << 20):
             lists = split(batch.column("whole"))
             got, starts = lists.flatten().cast(pa.binary()), lists.offsets.to_numpy()
             at, number = words.numbers(got)
